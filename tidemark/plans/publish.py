@@ -1,0 +1,239 @@
+"""Published versions of target tables.
+
+A run writes its rows under ``<root>/<table>/data/run_id=<id>/`` and then creates one small file,
+``<root>/<table>/_published/<id>``. That file is the commit: it lists every folder of the live version, so a reader
+needs only the newest one, and a run that died before it has changed nothing.
+
+Keyed targets are split into hash buckets, one folder each. An upsert reads and writes only the buckets that staged
+keys fall into; the new version lists the other buckets where they were. An append adds folders. Everything else
+replaces the whole list. One writer per table.
+"""
+
+from __future__ import annotations
+
+import json
+import math
+import uuid
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.layout import bucket_of, clustered
+from tidemark.operators.load import upsert
+from tidemark.sources import files
+
+BUCKET = "_bucket"
+BUCKET_BYTES = 1 << 30
+MAX_BUCKETS = 20_000
+_STAMP = "%Y%m%dT%H%M%S%f"
+
+
+@dataclass(frozen=True)
+class Part:
+    """One folder of a version: its path below the table's folder, and its bucket if it has one."""
+
+    path: str
+    bucket: int | None = None
+
+
+@dataclass(frozen=True)
+class Version:
+    """The content of a marker file.
+
+    ``size`` is about the bytes of the live rows. ``batches`` has the last loaded batch of every stream that feeds the
+    table.
+    """
+
+    run_id: str
+    mode: str
+    schema: str
+    keys: tuple[str, ...] = ()
+    buckets: int | None = None
+    parts: tuple[Part, ...] = ()
+    size: int = 0
+    batches: dict[str, int] = field(default_factory=dict)
+    comment: str | None = None
+    mandatory: bool = True
+
+    @property
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+    def to_text(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_text(cls, text: str) -> Version:
+        raw = json.loads(text)
+        raw["parts"] = tuple(Part(**p) for p in raw["parts"])
+        raw["keys"] = tuple(raw["keys"])
+        return cls(**raw)
+
+
+class TargetStore:
+    """Target tables, their state log and their monitor tables under one root folder."""
+
+    def __init__(self, spark: SparkSession, root: str, bucket_bytes: int = BUCKET_BYTES):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.bucket_bytes = bucket_bytes
+
+    def folder(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def stage_folder(self, table: str, run_id: str) -> str:
+        return f"{self.root}/_stage/{table}/{run_id}"
+
+    def published(self, table: str) -> list[str]:
+        return [n for n in files.names(self.spark, f"{self.folder(table)}/_published") if not n.startswith(("_", "."))]
+
+    def latest(self, table: str) -> Version | None:
+        runs = self.published(table)
+        return self.version(table, runs[-1]) if runs else None
+
+    def version(self, table: str, run_id: str) -> Version:
+        return Version.from_text(files.read_text(self.spark, f"{self.folder(table)}/_published/{run_id}"))
+
+    def exists(self, table: str) -> bool:
+        return bool(self.published(table))
+
+    def new_run_id(self, table: str, now: datetime | None = None) -> str:
+        """Greater than every published id of the table, also when a clock went back."""
+        now = now or datetime.now(timezone.utc).replace(tzinfo=None)
+        runs = self.published(table)
+        if runs:
+            last = datetime.strptime(runs[-1].split("-")[0], _STAMP)
+            now = max(now, last + timedelta(microseconds=1))
+        return f"{now.strftime(_STAMP)}-{uuid.uuid4().hex[:8]}"
+
+    def read(self, table: str, version: Version | None = None, buckets: set[int] | None = None) -> DataFrame:
+        """The live rows, or those of some buckets. NULLs and comments follow the published schema."""
+        version = version or self.latest(table)
+        if version is None:
+            raise LookupError(f"{table} has no published version")
+        paths = [
+            f"{self.folder(table)}/{p.path}" for p in version.parts if buckets is None or p.bucket in buckets
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], version.struct)
+        return self.spark.read.schema(version.struct).parquet(*paths)
+
+    def manifest(self, table: str, version: Version | None = None) -> DataFrame:
+        """The files of a version with their row counts. The rows themselves are not read."""
+        rows = self.read(table, version)
+        return rows.groupBy(F.input_file_name().alias("url")).agg(F.count(F.lit(1)).alias("row_count")).withColumn(
+            "mandatory", F.lit(True)
+        )
+
+    # Writing
+
+    def bucket_count(self, size: int) -> int:
+        return max(1, min(MAX_BUCKETS, math.ceil(size / self.bucket_bytes)))
+
+    def _write(
+        self, table: str, run_id: str, rows: DataFrame, keys: Sequence[str], buckets: int | None,
+        distribution_key: str | None = None, sort_keys: Sequence[str] = (),
+    ) -> tuple[Part, ...]:
+        """Write rows to the run's folder. AQE splits a bucket that is too large for one task."""
+        relative = f"data/run_id={run_id}"
+        path = f"{self.folder(table)}/{relative}"
+        if buckets is None:
+            placed = clustered(rows, [distribution_key] if distribution_key else [], sort_keys)
+            placed.write.parquet(path)
+            return (Part(relative),)
+        placed = clustered(rows.withColumn(BUCKET, bucket_of(keys, buckets)), [BUCKET], [BUCKET, *sort_keys])
+        placed.write.partitionBy(BUCKET).parquet(path)
+        folders = [n for n in files.names(self.spark, path) if n.startswith(f"{BUCKET}=")]
+        return tuple(Part(f"{relative}/{n}", int(n.split("=")[1])) for n in folders)
+
+    def publish(self, table: str, version: Version) -> Version:
+        path = f"{self.folder(table)}/_published/{version.run_id}"
+        files.write_text_once(self.spark, path, version.to_text())
+        return version
+
+    def replace(
+        self, table: str, run_id: str, rows: DataFrame, mode: str, keys: Sequence[str] = (),
+        buckets: int | None = None, size: int = 0, distribution_key: str | None = None,
+        sort_keys: Sequence[str] = (), schema: T.StructType | None = None,
+        batches: dict[str, int] | None = None, comment: str | None = None,
+    ) -> Version:
+        """Write a version that takes nothing over. Not published yet.
+
+        ``size`` is the bytes the rows are expected to take; it sets the number of buckets when none is given.
+        """
+        count = (buckets or self.bucket_count(size)) if keys else None
+        parts = self._write(table, run_id, rows, keys, count, distribution_key, sort_keys)
+        text = json.dumps((schema or rows.schema).jsonValue())
+        return Version(
+            run_id, mode, text, tuple(keys), count, parts, self.run_bytes(table, run_id), batches or {}, comment
+        )
+
+    def create(self, table: str, run_id: str, schema: T.StructType, keys: Sequence[str] = (),
+               buckets: int | None = None, comment: str | None = None) -> Version:
+        """An empty table, published at once: there is no data that could be half written."""
+        text = json.dumps(schema.jsonValue())
+        count = (buckets or 1) if keys else None
+        return self.publish(table, Version(run_id, "create", text, tuple(keys), count, (), 0, {}, comment))
+
+    def append(self, table: str, run_id: str, base: Version, rows: DataFrame, distribution_key: str | None = None,
+               sort_keys: Sequence[str] = (), batches: dict[str, int] | None = None) -> Version:
+        """Write a version that adds rows to ``base``. Nothing of the target is read."""
+        parts = self._write(table, run_id, rows, (), None, distribution_key, sort_keys)
+        return Version(run_id, "append", base.schema, base.keys, base.buckets, base.parts + parts,
+                       base.size + self.run_bytes(table, run_id), batches or base.batches, base.comment)
+
+    def upsert(
+        self, table: str, run_id: str, base: Version, staged: DataFrame, matches: DataFrame, keys: Sequence[str],
+        inserted: int, size: int = 0, buckets: int | None = None, sort_keys: Sequence[str] = (),
+        batches: dict[str, int] | None = None,
+    ) -> tuple[Version, int]:
+        """Write a version with the staged rows in place of those with their keys.
+
+        ``matches`` are the distinct staged keys, ``inserted`` is the number of staged rows and ``size`` their bytes.
+        Returns the version and the number of rows it deletes. Buckets that no staged row falls into are neither read
+        nor written. When that spares nothing and the buckets have outgrown their size, there will be more of them.
+        """
+        done = batches or base.batches
+        touched = None
+        if base.buckets and base.keys == tuple(keys) and all(p.bucket is not None for p in base.parts):
+            hit = staged.select(bucket_of(keys, base.buckets).alias(BUCKET)).distinct()
+            # At most one row per bucket of the table.
+            touched = {r[BUCKET] for r in hit.collect()}
+            if len(touched) == base.buckets and base.size > 2 * base.buckets * self.bucket_bytes:
+                touched = None
+
+        live = self.read(table, base, touched)
+        merged = upsert(live, staged, keys, matches=matches)
+        if touched is None:
+            version = self.replace(
+                table, run_id, merged, "upsert", keys, buckets, size + base.size, sort_keys=sort_keys, schema=base.struct,
+                batches=done, comment=base.comment,
+            )
+        else:
+            written = self._write(table, run_id, merged, keys, base.buckets, sort_keys=sort_keys)
+            kept = tuple(p for p in base.parts if p.bucket not in touched)
+            spared = base.size * len(kept) // max(1, len(base.parts))
+            version = Version(
+                run_id, "upsert", base.schema, base.keys, base.buckets, kept + written,
+                spared + self.run_bytes(table, run_id), done, base.comment,
+            )
+        # Row counts of Parquet folders come from their footers.
+        after = self.read(table, version, touched).count()
+        return version, live.count() - (after - inserted)
+
+    def run_bytes(self, table: str, run_id: str) -> int:
+        return files.folder_bytes(self.spark, f"{self.folder(table)}/data/run_id={run_id}")
+
+    def clean_up(self, table: str, keep: int = 2) -> list[str]:
+        """Delete run folders that none of the newest ``keep`` versions lists. Markers stay, as history."""
+        runs = self.published(table)
+        used = {p.path.split("/")[1] for run in runs[-keep:] for p in self.version(table, run).parts}
+        data = f"{self.folder(table)}/data"
+        stale = [n for n in files.names(self.spark, data) if n not in used and n.split("=")[-1] <= (runs or [""])[-1]]
+        for name in stale:
+            files.delete_folder(self.spark, f"{data}/{name}")
+        return stale
