@@ -1,48 +1,68 @@
 """Arrays, maps and structs as JSON text in the spelling that database drivers' Python values get.
 
-Items are separated by ``", "``, keys by ``": "``, and everything outside ASCII is escaped. ``to_json`` differs in
-all three, so the text is composed from the schema with native expressions.
+Items are separated by ``", "``, keys by ``": "``, and everything outside printable ASCII is escaped. ``to_json``
+differs in all three, so the text is composed from the schema with native expressions.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.temporal import iso_date, iso_timestamp
+from tidemark.functions.text import replace_marks
 
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
-def _escape_beyond_ascii(text: Column) -> Column:
-    """Write each character outside ASCII as one or two ``\\uXXXX`` units."""
+# The characters with an escape of their own. The backslash comes first.
+SHORT_ESCAPES = {
+    "\\": "\\\\",
+    '"': '\\"',
+    "\n": "\\n",
+    "\r": "\\r",
+    "\t": "\\t",
+    "\f": "\\f",
+    "\b": "\\b",
+}
+_UNPRINTABLE = "[^ -~]"
 
-    def escape(char: Column) -> Column:
-        units = F.lower(F.hex(F.encode(char, "UTF-16BE")))
-        return F.when(F.octet_length(char) == 1, char).otherwise(F.regexp_replace(units, "(.{4})", r"\\\\u$1"))
 
-    escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(escaped)
+def _units(char: Column) -> Column:
+    """A character as one or two ``\\uXXXX`` units."""
+    return F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", r"\\u$1")
 
 
 def json_string(c: Column) -> Column:
-    """A quoted, escaped string. ``to_json`` of a one-field struct does the quoting."""
-    quoted = F.to_json(F.struct(c.alias("s")))
-    # {"s":"..."} without its first five and last characters
-    body = quoted.substr(F.lit(6), F.length(quoted) - 6)
-    # DEL is the one ASCII control character that is never escaped; the others already are.
-    return F.when(c.isNotNull(), _escape_beyond_ascii(body))
+    """A quoted, escaped string."""
+    text = c
+    for char, escape in SHORT_ESCAPES.items():
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    return _quoted(F.when(text.rlike(_UNPRINTABLE), replace_marks(text, _UNPRINTABLE, _units)).otherwise(text))
+
+
+def _fewest_digits(c: Column, text: Column, data_type: T.DataType) -> Column:
+    """The shortest exponent form that reads back as the same number.
 
+    Java 17 sometimes writes a digit more than that. A form with one or two digits fewer is tried first.
+    """
+    kind, digits = ("float", 8) if isinstance(data_type, T.FloatType) else ("double", 16)
+    shorter = [F.format_string(f"%.{n}e", c) for n in (digits - 2, digits - 1)]
+    found = F.coalesce(*[F.when(s.cast(kind) == c, s) for s in shorter], text)
+    return F.when(F.length(text) >= digits, found).otherwise(text)
 
-def json_float(c: Column) -> Column:
+
+def json_float(c: Column, data_type: T.DataType) -> Column:
     """A floating-point number: shortest digits, exponent form below 1e-4 and from 1e16 on."""
     text = c.cast("string")
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(text, "^-", "")
-    mantissa = F.regexp_replace(F.regexp_extract(body, r"^([0-9.]+)E", 1), r"\.0$", "")
-    power = F.regexp_extract(body, r"E(-?\d+)$", 1).try_cast("int")
+    body = F.regexp_replace(_fewest_digits(c, text, data_type), "^-", "")
+    mantissa = F.regexp_replace(F.regexp_extract(body, r"^([0-9.]+)[eE]", 1), r"\.?0*$", "")
+    power = F.regexp_extract(body, r"[eE]([+-]?\d+)$", 1).try_cast("int")
     digits = F.replace(mantissa, F.lit("."), F.lit(""))
     size = F.length(digits)
 
@@ -83,7 +103,7 @@ def _render(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BooleanType) or isinstance(data_type, _NUMBERS):
         return c.cast("string")
     if isinstance(data_type, _FLOATS):
-        return json_float(c)
+        return json_float(c, data_type)
     if isinstance(data_type, T.ArrayType):
         items = F.transform(c, lambda x: _member(x, data_type.elementType))
         return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
@@ -97,12 +117,16 @@ def _render(c: Column, data_type: T.DataType) -> Column:
         return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
     if isinstance(data_type, T.StructType):
         fields = [
-            F.concat(json_string(F.lit(f.name)), F.lit(": "), _member(c[f.name], f.dataType))
+            F.concat(F.lit(f"{json.dumps(f.name)}: "), _member(c[f.name], f.dataType))
             for f in data_type.fields
         ]
         return F.when(c.isNotNull(), F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}")))
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return json_string(iso_timestamp(c))
+        return _quoted(iso_timestamp(c))
     if isinstance(data_type, T.DateType):
-        return json_string(iso_date(c))
+        return _quoted(iso_date(c))
     return json_string(c.cast("string"))
+
+
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit('"'), c, F.lit('"'))

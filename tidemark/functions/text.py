@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -33,30 +34,40 @@ def _fold_table() -> tuple[str, str, dict[str, str]]:
 
 @cache
 def _several_pattern() -> str:
-    return "[" + "".join(_fold_table()[2]) + "]"
+    """A class of ranges behind a guard: ASCII characters, most of any text, are turned down by one comparison."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, _fold_table()[2])):
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    spans = "".join(rf"\x{{{first:X}}}-\x{{{last:X}}}" for first, last in ranges)
+    return rf"(?![\x00-\x7F])[{spans}]"
 
 
 def _is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
 
-def _spell_out(c: Column) -> Column:
-    """Replace ligatures, fractions and the like by their several ASCII characters.
+def replace_marks(c: Column, pattern: str, replacement: Callable[[Column], Column]) -> Column:
+    """Replace each match of a pattern by an expression of it.
 
-    The text is cut at those characters only; each gap then takes one lookup.
+    The text is cut at the matches only, so a long text with few of them has few pieces.
     """
+    gaps = F.split(c, pattern, -1)
+    marks = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    # There is one gap more than marks: the last mark is NULL.
+    pieces = F.zip_with(gaps, marks, lambda gap, mark: F.concat(gap, F.coalesce(replacement(mark), F.lit(""))))
+    return F.array_join(pieces, "")
+
+
+def _spell_out(c: Column) -> Column:
+    """Replace ligatures, fractions and the like by their several ASCII characters."""
     several = _fold_table()[2]
     # One text literal, which Catalyst folds into one map literal.
     spelled = "\x02".join(f"{char}\x01{folded}" for char, folded in several.items())
     lookup = F.str_to_map(F.lit(spelled), F.lit("\x02"), F.lit("\x01"))
-    gaps = F.split(c, _several_pattern(), -1)
-    marks = F.regexp_extract_all(c, F.lit(_several_pattern()), F.lit(0))
-    pieces = F.zip_with(
-        gaps,
-        marks,
-        lambda gap, mark: F.concat(gap, F.coalesce(F.try_element_at(lookup, mark), F.lit(""))),
-    )
-    return F.array_join(pieces, "")
+    return replace_marks(c, _several_pattern(), lambda mark: F.try_element_at(lookup, mark))
 
 
 def ascii_fold(c: Column) -> Column:

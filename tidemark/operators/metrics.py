@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXTRACT_MONITOR = (
@@ -73,26 +74,41 @@ def _task_id_column(task: str, alias: str, database: str, table: Column) -> Colu
 
 
 def extract_monitor_row(
-    spark: SparkSession, task: str, key: tuple[str, str, str], started: datetime, ended: datetime,
-    data_path: str, row_count: int, upload_size: int,
-) -> DataFrame:
-    name = task.split(".")[-1]
-    row = (
-        task_id(name, *key), name, None, None, started.replace(microsecond=0), ended.replace(microsecond=0),
-        int((ended - started).total_seconds()), f"{data_path}/_SUCCESS", data_path, row_count > 0, row_count,
-        upload_size, None, ended,
-    )
-    return spark.createDataFrame([row], EXTRACT_MONITOR)
+    task: str, key: tuple[str, str, str], started: datetime, ended: datetime, data_path: str, row_count: int,
+    upload_size: int,
+) -> dict[str, Any]:
+    return {
+        **_task(task, key, started, ended),
+        "manifest_path": f"{data_path}/_SUCCESS",
+        "data_path": data_path,
+        "output_exists": row_count > 0,
+        "row_count": row_count,
+        "upload_size": upload_size,
+    }
 
 
 def load_monitor_row(
-    spark: SparkSession, task: str, key: tuple[str, str, str], target: str, started: datetime, ended: datetime,
-    data_path: str, inserted: int, deleted: int, load_size: int,
-) -> DataFrame:
-    name = task.split(".")[-1]
-    row = (
-        task_id(name, *key), name, None, None, target, started.replace(microsecond=0), ended.replace(microsecond=0),
-        int((ended - started).total_seconds()), task_id(name, *key), data_path, False, inserted, deleted,
-        load_size, None, ended,
-    )
-    return spark.createDataFrame([row], LOAD_MONITOR)
+    task: str, key: tuple[str, str, str], target: str, started: datetime, ended: datetime, data_path: str,
+    inserted: int, deleted: int, load_size: int,
+) -> dict[str, Any]:
+    return {
+        **_task(task, key, started, ended),
+        "target_table": target,
+        "extract_task_update_id": task_id(task, *key),
+        "s3_load_path": data_path,
+        "manifest_cleaned": False,
+        "rows_inserted": inserted,
+        "rows_deleted": deleted,
+        "load_size": load_size,
+    }
+
+
+def _task(task: str, key: tuple[str, str, str], started: datetime, ended: datetime) -> dict[str, Any]:
+    return {
+        "task_id": task_id(task, *key),
+        "class_name": task,
+        "start_dt": started.replace(microsecond=0),
+        "end_dt": ended.replace(microsecond=0),
+        "run_time_sec": int((ended - started).total_seconds()),
+        "created_at": ended,
+    }

@@ -1,14 +1,19 @@
-"""The state log and the monitor tables of a store: append-only Parquet, created when first written."""
+"""The state log and the monitor tables of a store: append-only, created when first written."""
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
+from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounds import STATE_KEY, latest_index, lookback_index, state_for
+from tidemark.operators.bounds import STATE_KEY, latest_index, lookback_index
+from tidemark.operators.metrics import EXTRACT_MONITOR, LOAD_MONITOR
 from tidemark.plans.publish import TargetStore
+from tidemark.session import text_rows
 from tidemark.sources import files
 
 STATE = (
@@ -32,8 +37,15 @@ def append_state(log: DataFrame, rows: DataFrame) -> DataFrame:
     return log.unionByName(rows.select(*log.columns))
 
 
+def _one_line(row: dict[str, Any]) -> str:
+    return json.dumps({k: v.isoformat() if isinstance(v, datetime) else v for k, v in row.items()})
+
+
 class StateLog:
-    """Index values of all runs. A row counts only once its run is published."""
+    """Index values of all runs: one small file per run, in one folder per table.
+
+    A row counts only once its run is published.
+    """
 
     def __init__(self, store: TargetStore):
         self.store = store
@@ -41,17 +53,25 @@ class StateLog:
         self.path = f"{store.root}/_state"
 
     def rows(self) -> DataFrame:
+        """All rows, published or not; a filter on the key columns prunes folders."""
         if not files.exists(self.spark, self.path):
             return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(self.path)
+        return self.spark.read.schema(STATE).json(self.path)
+
+    def _folder(self, key: tuple[str, str, str]) -> str:
+        return "/".join([self.path, *[f"{c}={quote(v, safe='')}" for c, v in zip(STATE_KEY, key)]])
 
     def of(self, key: tuple[str, str, str], target: str) -> DataFrame:
-        """One table's published rows. Only its folder is read; the ids come from a listing."""
-        runs = self.spark.createDataFrame([(r,) for r in self.store.published(target)], "run_id STRING")
-        return state_for(self.rows(), key).where(F.col("target") == target).join(runs, "run_id", "left_semi")
+        """One table's published rows. Only its folder is listed and read; the run ids come from a listing."""
+        folder = self._folder(key)
+        if not files.exists(self.spark, folder):
+            return self.spark.createDataFrame([], STATE)
+        rows = self.spark.read.schema(STATE).option("basePath", self.path).json(folder)
+        runs = text_rows(self.spark, self.store.published(target), "run_id")
+        return rows.where(F.col("target") == target).join(runs, "run_id", "left_semi")
 
     def bounds(self, key: tuple[str, str, str], target: str, runs_back: int) -> tuple[str | None, str | None]:
-        """The newest value and the one ``runs_back`` runs before it, from one job over at most two rows."""
+        """The newest value and the one ``runs_back`` runs before it, from one job that returns at most two rows."""
         log = self.of(key, target)
         newest = latest_index(log).select(F.lit("old").alias("k"), "index_value")
         if runs_back:
@@ -60,20 +80,18 @@ class StateLog:
         return found.get("old"), found.get("lookback")
 
     def add(self, key: tuple[str, str, str], target: str, run_id: str, index_value: str, created_ts: datetime) -> None:
-        row = self.spark.createDataFrame([(*key, index_value, created_ts, run_id, target)], STATE)
-        row.coalesce(1).write.mode("append").partitionBy(*STATE_KEY).parquet(self.path)
-
-
-def monitor_path(store: TargetStore, name: str) -> str:
-    return f"{store.root}/_monitor/{name}"
+        row = {"index_value": index_value, "created_ts": created_ts, "run_id": run_id, "target": target}
+        files.write_text_once(self.spark, f"{self._folder(key)}/{run_id}.json", _one_line(row))
 
 
-def append_monitor(store: TargetStore, name: str, row: DataFrame) -> None:
-    row.coalesce(1).write.mode("append").parquet(monitor_path(store, name))
+def append_monitor(store: TargetStore, name: str, run_id: str, row: dict[str, Any]) -> None:
+    files.write_text_once(store.spark, f"{store.root}/_monitor/{name}/{run_id}.json", _one_line(row))
 
 
-def read_monitor(store: TargetStore, name: str, schema: str) -> DataFrame:
-    path = monitor_path(store, name)
+def read_monitor(store: TargetStore, name: str) -> DataFrame:
+    """The ``extract`` or ``load`` monitor table."""
+    schema = {"extract": EXTRACT_MONITOR, "load": LOAD_MONITOR}[name]
+    path = f"{store.root}/_monitor/{name}"
     if not files.exists(store.spark, path):
         return store.spark.createDataFrame([], schema)
-    return store.spark.read.schema(schema).parquet(path)
+    return store.spark.read.schema(schema).json(path)

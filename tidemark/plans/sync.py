@@ -74,12 +74,6 @@ class InvalidSpecs(SpecError):
         self.results = list(results)
 
 
-def _one_text(df: DataFrame) -> str | None:
-    """The first row's only value. The frame is an aggregate or index SQL, so one row is all that is fetched."""
-    row = df.first()
-    return row[0] if row else None
-
-
 def _new_index(spark: SparkSession, spec: SyncSpec, old: str | None, table: DataFrame | None) -> tuple[str | None, bool]:
     """The new index value and whether it may follow the old one, both from one job."""
     source = spec.source
@@ -223,9 +217,9 @@ def sync_table(
     staged = stage(spark, store, spec, rows, schema, now)
     if monitor:
         row = metrics.extract_monitor_row(
-            spark, TASK, spec.state_key, started, _clock(now), f"{staged.folder}/rows", staged.count, staged.size
+            TASK, spec.state_key, started, _clock(now), f"{staged.folder}/rows", staged.count, staged.size
         )
-        append_monitor(store, "extract", row)
+        append_monitor(store, "extract", staged.run_id, row)
 
     if staged.count == 0 and not (spec.allow_empty_refresh and spec.full_refresh):
         if base is None:
@@ -239,10 +233,10 @@ def sync_table(
         state.add(spec.state_key, spec.target, staged.run_id, bounds.new, _stamp(staged.run_id))
     if monitor:
         row = metrics.load_monitor_row(
-            spark, TASK, spec.state_key, spec.target, load_started, _clock(now), f"{staged.folder}/rows",
-            staged.count, deleted, staged.size,
+            TASK, spec.state_key, spec.target, load_started, _clock(now), f"{staged.folder}/rows", staged.count,
+            deleted, staged.size,
         )
-        append_monitor(store, "load", row)
+        append_monitor(store, "load", staged.run_id, row)
     store.publish(spec.target, version)
     files.delete_folder(spark, staged.folder)
     return replace(
