@@ -1,0 +1,150 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from tidemark.operators.load import staged_keys
+from tidemark.plans.publish import BUCKET, TargetStore, Version
+from tidemark.plans.state import StateLog
+from tidemark.plans.sync import sync_table
+from tidemark.sources import files
+from tidemark.spec import SourceSpec, SyncSpec
+
+SPEC = SyncSpec(SourceSpec("a", "db"), "published_source", "t", index_column="id", primary_key="id", buckets=8)
+
+
+def source(spark, ids):
+    spark.createDataFrame([(i, f"v{i}") for i in ids], "id bigint, v string").createOrReplaceTempView("published_source")
+
+
+def values(store):
+    return sorted(r.id for r in store.read(SPEC.target).collect())
+
+
+def test_only_touched_buckets_are_written(spark, store):
+    source(spark, range(1000))
+    sync_table(spark, SPEC, store)
+    first = store.latest(SPEC.target)
+    assert first.buckets == 8 and len(first.parts) == 8
+    source(spark, [*range(1000), 1000])
+    result = sync_table(spark, SPEC, store)
+    second = store.latest(SPEC.target)
+    assert (result.rows_inserted, result.rows_deleted) == (1, 0)
+    assert len(set(first.parts) & set(second.parts)) == 7
+    assert values(store) == list(range(1001))
+    assert store.manifest(SPEC.target).agg({"row_count": "sum"}).first()[0] == 1001
+
+
+def test_bucket_column_is_not_in_the_table(spark, store):
+    source(spark, range(10))
+    sync_table(spark, SPEC, store)
+    assert BUCKET not in store.read(SPEC.target).columns
+
+
+def test_a_run_that_dies_before_its_marker_changes_nothing(spark, store, monkeypatch):
+    source(spark, range(10))
+    sync_table(spark, SPEC, store)
+    source(spark, range(20))
+
+    def die(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(TargetStore, "publish", die)
+        with pytest.raises(RuntimeError):
+            sync_table(spark, SPEC, store)
+    assert values(store) == list(range(10))
+    assert [r.index_value for r in StateLog(store).of(SPEC.state_key, SPEC.target).collect()] == ["9"]
+    assert StateLog(store).rows().count() == 2
+    again = sync_table(spark, SPEC, store)
+    assert (again.old_index_value, again.rows_inserted) == ("9", 10)
+    assert values(store) == list(range(20))
+
+
+def test_old_versions_stay_readable_until_cleaned_up(spark, store):
+    for n in (10, 20, 30):
+        source(spark, range(n))
+        sync_table(spark, SPEC, store, full_refresh=True)
+    runs = store.published(SPEC.target)
+    assert store.read(SPEC.target, store.version(SPEC.target, runs[0])).count() == 10
+    assert len(store.clean_up(SPEC.target, keep=1)) == 2
+    assert values(store) == list(range(30))
+    assert len(files.names(spark, f"{store.folder(SPEC.target)}/data")) == 1
+
+
+def test_stage_is_removed_after_the_load(spark, store):
+    source(spark, range(10))
+    sync_table(spark, SPEC, store)
+    assert files.names(spark, f"{store.root}/_stage/{SPEC.target}") == []
+
+
+def test_markers_are_written_once(spark, store):
+    path = f"{store.root}/x/marker"
+    files.write_text_once(spark, path, "a")
+    with pytest.raises(FileExistsError):
+        files.write_text_once(spark, path, "b")
+    assert files.read_text(spark, path) == "a" and files.names(spark, f"{store.root}/x") == ["marker"]
+
+
+def test_run_ids_grow_even_if_the_clock_does_not(spark, store):
+    from datetime import datetime
+
+    source(spark, range(3))
+    now = datetime(2024, 1, 1)
+    for n in (3, 5, 7):
+        source(spark, range(n))
+        sync_table(spark, SPEC, store, now=now)
+    assert store.published(SPEC.target) == sorted(store.published(SPEC.target))
+    assert values(store) == list(range(7))
+    log = [r.index_value for r in StateLog(store).of(SPEC.state_key, SPEC.target).orderBy("created_ts").collect()]
+    assert log == ["2", "4", "6"]
+
+
+def test_version_text_round_trip():
+    from tidemark.plans.publish import Part
+
+    version = Version("r", "upsert", json.dumps({"type": "struct", "fields": []}), ("k",), 2, (Part("p", 1),), 5, {"s": 3})
+    assert Version.from_text(version.to_text()) == version
+
+
+def test_outgrown_buckets_are_split(spark, store):
+    small = TargetStore(spark, store.root, bucket_bytes=400)
+    spec = SyncSpec(SPEC.source, SPEC.source_table, "t", index_column="id", primary_key="id")
+    source(spark, range(4))
+    sync_table(spark, spec, small)
+    before = small.latest(spec.target).buckets
+    for n in (2000, 6000):
+        source(spark, range(n))
+        sync_table(spark, spec, small)
+    assert small.latest(spec.target).buckets > before
+    assert values(small) == list(range(6000))
+
+
+def test_append_then_upsert_rewrites_into_buckets(spark, store):
+    appended = SyncSpec(SPEC.source, SPEC.source_table, "t", index_column="id", append_only=True)
+    source(spark, range(5))
+    sync_table(spark, appended, store)
+    source(spark, range(8))
+    sync_table(spark, SPEC, store)
+    version = store.latest(SPEC.target)
+    assert version.buckets == 8 and all(p.bucket is not None for p in version.parts)
+    assert values(store) == list(range(8))
+
+
+def test_null_and_duplicate_keys_in_a_published_upsert(spark, store):
+    schema = "id bigint, k string, v string"
+    spec = SyncSpec(SourceSpec("a", "db"), "nk", "nk", index_column="id", primary_key="k", buckets=4)
+    spark.createDataFrame([(1, None, "a"), (1, "x", "b"), (1, "y", "c")], schema).createOrReplaceTempView("nk")
+    sync_table(spark, spec, store)
+    batch = [(2, None, "d"), (2, "x", "e"), (2, "x", "f")]
+    spark.createDataFrame(batch, schema).createOrReplaceTempView("nk")
+    result = sync_table(spark, spec, store)
+    assert (result.rows_inserted, result.rows_deleted) == (3, 1)
+    got = sorted((r.k or "", r.v) for r in store.read(spec.target).collect())
+    assert got == [("", "a"), ("", "d"), ("x", "e"), ("x", "f"), ("y", "c")]
+
+
+def test_staged_keys_are_complete_and_distinct(spark):
+    frame = spark.createDataFrame([(1, 1), (1, 1), (None, 2), (2, None)], "a int, b int")
+    assert [tuple(r) for r in staged_keys(frame, ["a", "b"]).collect()] == [(1, 1)]
