@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.load import staged_keys
 from tidemark.plans.publish import BUCKET, TargetStore, Version
@@ -22,18 +24,87 @@ def values(store):
     return sorted(r.id for r in store.read(SPEC.target).collect())
 
 
-def test_only_touched_buckets_are_written(spark, store):
+def test_new_keys_rewrite_nothing(spark, store):
     source(spark, range(1000))
     sync_table(spark, SPEC, store)
     first = store.latest(SPEC.target)
     assert first.buckets == 8 and len(first.parts) == 8
-    source(spark, [*range(1000), 1000])
+    source(spark, range(1100))
     result = sync_table(spark, SPEC, store)
     second = store.latest(SPEC.target)
-    assert (result.rows_inserted, result.rows_deleted) == (1, 0)
-    assert len(set(first.parts) & set(second.parts)) == 7
-    assert values(store) == list(range(1001))
-    assert store.manifest(SPEC.target).agg({"row_count": "sum"}).first()[0] == 1001
+    assert (result.rows_inserted, result.rows_deleted) == (100, 0)
+    assert second.parts[:8] == first.parts and len(second.parts) == 16
+    assert values(store) == list(range(1100))
+    assert store.manifest(SPEC.target).agg({"row_count": "sum"}).first()[0] == 1100
+
+
+def moved(spark, rows):
+    spark.createDataFrame(rows, "id bigint, k bigint, v string").createOrReplaceTempView("moved_source")
+
+
+MOVED = SyncSpec(SPEC.source, "moved_source", "m", index_column="id", primary_key="k", buckets=8)
+
+
+def test_only_folders_with_a_staged_key_are_rewritten(spark, store):
+    moved(spark, [(1, k, "a") for k in range(1000)])
+    sync_table(spark, MOVED, store)
+    first = store.latest(MOVED.target)
+    moved(spark, [(2, 5, "b"), (2, 2000, "b")])
+    result = sync_table(spark, MOVED, store)
+    second = store.latest(MOVED.target)
+    assert (result.rows_inserted, result.rows_deleted) == (2, 1)
+    assert len(set(first.parts) - set(second.parts)) == 1
+    got = {r.k: r.v for r in store.read(MOVED.target).collect()}
+    assert len(got) == 1001 and got[5] == got[2000] == "b" and got[6] == "a"
+
+
+def test_many_small_loads_are_merged(spark, store, monkeypatch):
+    import tidemark.plans.publish as publish
+
+    monkeypatch.setattr(publish, "MAX_FOLDERS", 3)
+    spec = replace(MOVED, buckets=1)
+    for run in range(6):
+        moved(spark, [(run, run, f"v{run}"), (run, 100, f"v{run}")])
+        sync_table(spark, spec, store)
+    assert sorted((r.k, r.v) for r in store.read(spec.target).collect()) == [(k, f"v{k}") for k in range(6)] + [(100, "v5")]
+    assert len(store.latest(spec.target).parts) <= 4
+
+
+def test_large_batches_are_joined_by_a_shuffle(spark, store, monkeypatch):
+    import tidemark.plans.publish as publish
+
+    monkeypatch.setattr(publish, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved(spark, [(1, k % 50, "a") for k in range(200)])
+        sync_table(spark, MOVED, store)
+        moved(spark, [(2, 7, "b")])
+        result = sync_table(spark, MOVED, store)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (result.rows_inserted, result.rows_deleted) == (1, 4)
+    assert store.read(MOVED.target).count() == 197
+
+
+def test_compact(spark, store):
+    for n in (50, 60, 70):
+        source(spark, range(n))
+        sync_table(spark, SPEC, store)
+    version = store.compact(SPEC.target)
+    assert len(version.parts) == version.buckets == 1
+    assert values(store) == list(range(70))
+
+
+def test_scoped_refresh_rewrites_only_folders_with_such_rows(spark, store):
+    for n in (50, 60):
+        source(spark, range(n))
+        sync_table(spark, SPEC, store)
+    base = store.latest(SPEC.target)
+    staged = spark.createDataFrame([(100, "new")], base.struct)
+    version, deleted = store.replace_where(SPEC.target, store.new_run_id(SPEC.target), base, staged, F.expr("id = 55"))
+    store.publish(SPEC.target, version)
+    assert deleted == 1 and len(set(base.parts) - set(version.parts)) == 1
+    assert values(store) == [i for i in range(60) if i != 55] + [100]
 
 
 def test_bucket_column_is_not_in_the_table(spark, store):
@@ -108,19 +179,6 @@ def test_version_text_round_trip():
     assert Version.from_text(version.to_text()) == version
 
 
-def test_outgrown_buckets_are_split(spark, store):
-    small = TargetStore(spark, store.root, bucket_bytes=400)
-    spec = SyncSpec(SPEC.source, SPEC.source_table, "t", index_column="id", primary_key="id")
-    source(spark, range(4))
-    sync_table(spark, spec, small)
-    before = small.latest(spec.target).buckets
-    for n in (2000, 6000):
-        source(spark, range(n))
-        sync_table(spark, spec, small)
-    assert small.latest(spec.target).buckets > before
-    assert values(small) == list(range(6000))
-
-
 def test_append_then_upsert_rewrites_into_buckets(spark, store):
     appended = SyncSpec(SPEC.source, SPEC.source_table, "t", index_column="id", append_only=True)
     source(spark, range(5))

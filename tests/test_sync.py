@@ -354,3 +354,33 @@ def test_state_keys_with_odd_names(spark, store):
     assert logged(store, spec) == text(T1)
     rows = StateLog(store).rows().collect()
     assert [(r.datastore_name, r.database_name) for r in rows] == [("a/b=c", "d b%")]
+
+
+def test_index_that_went_back_is_reported_and_read(spark, store, caplog):
+    source(spark, [(1, T3, "v", 0, "a")])
+    sync_table(spark, BASIC, store)
+    source(spark, [(1, T1, "v", 5, "a")])
+    result = sync_table(spark, BASIC, store)
+    assert (result.status, result.new_index_value) == ("empty", text(T1)[0])
+    assert "does not follow" in caplog.text
+
+
+def test_straight_loads_leave_no_staging(spark, store):
+    from tidemark.sources import files
+
+    source(spark, FIRST)
+    for spec in (BASIC, replace(BASIC, target_table="whole", primary_key=(), index_column=None, full_refresh=True)):
+        sync_table(spark, spec, store)
+        sync_table(spark, replace(spec, append_only=False), store, full_refresh=True)
+    assert files.names(spark, f"{store.root}/_stage/{BASIC.target}") == []
+
+
+def test_failed_not_null_leaves_the_old_version(spark, store, tmp_path):
+    ddl = tmp_path / "s.sql"
+    ddl.write_text("id BIGINT, v STRING NOT NULL")
+    spec = SyncSpec(PG, "strict2", "strict2", index_column="id", append_only=True, schema_file=str(ddl))
+    source(spark, [(1, "a")], "id bigint, v string", "strict2")
+    sync_table(spark, spec, store)
+    source(spark, [(1, "a"), (2, None)], "id bigint, v string", "strict2")
+    assert [r.status for r in sync_all(spark, [spec], store)] == ["failed"]
+    assert target(store, spec) == [(1, "a")] and logged(store, spec) == ["1"]

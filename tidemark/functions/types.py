@@ -142,10 +142,10 @@ def mysql_type_column(source: Column, type_map: Mapping[str, str] | None = None)
         (name.rlike(MYSQL_BITS), F.concat(F.lit("varchar("), F.regexp_extract(name, MYSQL_BITS, 1), F.lit(")"))),
         (name.rlike(MYSQL_TEXT), F.concat(F.lit("varchar("), sized, F.lit(")"))),
     ]
-    chosen = F.lit(MYSQL_DEFAULT)
-    for condition, target in reversed(branches):
-        chosen = F.when(condition, target).otherwise(chosen)
-    return F.when(source.isNotNull(), chosen)
+    chosen = F.when(source.isNull(), F.lit(None).cast("string"))
+    for condition, target in branches:
+        chosen = chosen.when(condition, target)
+    return chosen.otherwise(F.lit(MYSQL_DEFAULT))
 
 
 def mysql_driver_type(type_name: str, precision: int | None = None, scale: int | None = None) -> str:

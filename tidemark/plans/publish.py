@@ -4,9 +4,10 @@ A run writes its rows under ``<root>/<table>/data/run_id=<id>/`` and then create
 ``<root>/<table>/_published/<id>``. That file is the commit: it lists every folder of the live version, so a reader
 needs only the newest one, and a run that died before it has changed nothing.
 
-Keyed targets are split into hash buckets, one folder each. An upsert reads and writes only the buckets that staged
-keys fall into; the new version lists the other buckets where they were. An append adds folders. Everything else
-replaces the whole list. One writer per table.
+Keyed targets are split into hash buckets, and a run makes one folder per bucket it writes to. A load first finds the
+folders that hold a row to delete, from the key columns alone, and rewrites only those; the new version lists the others
+where they were, and adds the folders with the staged rows. So a batch of new keys rewrites nothing. A bucket that has
+come to many folders is merged into one. An append only adds folders. One writer per table.
 """
 
 from __future__ import annotations
@@ -14,21 +15,28 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.layout import bucket_of, clustered
-from tidemark.operators.load import upsert
+from tidemark.operators import load
 from tidemark.sources import files
 
 BUCKET = "_bucket"
+PART = "_part"
 BUCKET_BYTES = 1 << 30
 MAX_BUCKETS = 20_000
+# A bucket with this many folders is merged by the next load that adds to it.
+MAX_FOLDERS = 16
+# Staged keys within both limits are sent to every executor; more of them are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 _STAMP = "%Y%m%dT%H%M%S%f"
 
 
@@ -40,6 +48,19 @@ class Part:
     bucket: int | None = None
 
 
+@dataclass(frozen=True)
+class Written:
+    """Keys that were written and read back, so that their number and bytes are known."""
+
+    rows: DataFrame
+    count: int
+    size: int
+
+    @property
+    def small(self) -> bool:
+        return self.count <= BROADCAST_ROWS and self.size <= BROADCAST_BYTES
+
+
 @dataclass(frozen=True)
 class Version:
     """The content of a marker file.
@@ -110,18 +131,31 @@ class TargetStore:
             now = max(now, last + timedelta(microseconds=1))
         return f"{now.strftime(_STAMP)}-{uuid.uuid4().hex[:8]}"
 
-    def read(self, table: str, version: Version | None = None, buckets: set[int] | None = None) -> DataFrame:
-        """The live rows, or those of some buckets. NULLs and comments follow the published schema."""
+    def read(self, table: str, version: Version | None = None, parts: Collection[Part] | None = None) -> DataFrame:
+        """The live rows, or those of some parts. NULLs and comments follow the published schema."""
         version = version or self.latest(table)
         if version is None:
             raise LookupError(f"{table} has no published version")
-        paths = [
-            f"{self.folder(table)}/{p.path}" for p in version.parts if buckets is None or p.bucket in buckets
-        ]
+        paths = [f"{self.folder(table)}/{p.path}" for p in (version.parts if parts is None else parts)]
         if not paths:
             return self.spark.createDataFrame([], version.struct)
         return self.spark.read.schema(version.struct).parquet(*paths)
 
+    def hits(
+        self, table: str, version: Version, parts: Collection[Part], doomed: Callable[[DataFrame], DataFrame]
+    ) -> dict[str, int]:
+        """How many rows each part would lose.
+
+        ``doomed`` picks the rows from a frame with the column ``_part``; only the columns it uses are read. At most
+        one row per part comes back.
+        """
+        if not parts:
+            return {}
+        folder = F.regexp_extract(F.col("_metadata.file_path"), rf"(data/run_id=[^/]+(?:/{BUCKET}=\d+)?)/[^/]+$", 1)
+        lost = doomed(self.read(table, version, parts).withColumn(PART, folder))
+        counts = lost.groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
+        return {r[PART]: r["n"] for r in counts.collect()}
+
     def manifest(self, table: str, version: Version | None = None) -> DataFrame:
         """The files of a version with their row counts. The rows themselves are not read."""
         rows = self.read(table, version)
@@ -138,15 +172,23 @@ class TargetStore:
         self, table: str, run_id: str, rows: DataFrame, keys: Sequence[str], buckets: int | None,
         distribution_key: str | None = None, sort_keys: Sequence[str] = (),
     ) -> tuple[Part, ...]:
-        """Write rows to the run's folder. AQE splits a bucket that is too large for one task."""
+        """Write rows to the run's folder."""
+        if buckets is not None:
+            return self._write_buckets(table, run_id, self._by_bucket(rows, keys, buckets, True), sort_keys)
+        relative = f"data/run_id={run_id}"
+        placed = clustered(rows, [distribution_key] if distribution_key else [], sort_keys)
+        placed.write.parquet(f"{self.folder(table)}/{relative}")
+        return (Part(relative),)
+
+    def _by_bucket(self, rows: DataFrame, keys: Sequence[str], buckets: int, together: bool) -> DataFrame:
+        """Add the bucket; bring its rows together if asked to. AQE splits a bucket that is too large for one task."""
+        labelled = rows.withColumn(BUCKET, bucket_of(keys, buckets))
+        return clustered(labelled, [BUCKET]) if together else labelled
+
+    def _write_buckets(self, table: str, run_id: str, rows: DataFrame, sort_keys: Sequence[str]) -> tuple[Part, ...]:
         relative = f"data/run_id={run_id}"
         path = f"{self.folder(table)}/{relative}"
-        if buckets is None:
-            placed = clustered(rows, [distribution_key] if distribution_key else [], sort_keys)
-            placed.write.parquet(path)
-            return (Part(relative),)
-        placed = clustered(rows.withColumn(BUCKET, bucket_of(keys, buckets)), [BUCKET], [BUCKET, *sort_keys])
-        placed.write.partitionBy(BUCKET).parquet(path)
+        rows.sortWithinPartitions(BUCKET, *[f"`{c}`" for c in sort_keys]).write.partitionBy(BUCKET).parquet(path)
         folders = [n for n in files.names(self.spark, path) if n.startswith(f"{BUCKET}=")]
         return tuple(Part(f"{relative}/{n}", int(n.split("=")[1])) for n in folders)
 
@@ -187,43 +229,87 @@ class TargetStore:
                        base.size + self.run_bytes(table, run_id), batches or base.batches, base.comment)
 
     def upsert(
-        self, table: str, run_id: str, base: Version, staged: DataFrame, matches: DataFrame, keys: Sequence[str],
+        self, table: str, run_id: str, base: Version, staged: DataFrame, matches: Written, keys: Sequence[str],
         inserted: int, size: int = 0, buckets: int | None = None, sort_keys: Sequence[str] = (),
         batches: dict[str, int] | None = None,
     ) -> tuple[Version, int]:
         """Write a version with the staged rows in place of those with their keys.
 
         ``matches`` are the distinct staged keys, ``inserted`` is the number of staged rows and ``size`` their bytes.
-        Returns the version and the number of rows it deletes. Buckets that no staged row falls into are neither read
-        nor written. When that spares nothing and the buckets have outgrown their size, there will be more of them.
+        Returns the version and the number of rows it deletes.
         """
-        done = batches or base.batches
-        touched = None
-        if base.buckets and base.keys == tuple(keys) and all(p.bucket is not None for p in base.parts):
-            hit = staged.select(bucket_of(keys, base.buckets).alias(BUCKET)).distinct()
-            # At most one row per bucket of the table.
-            touched = {r[BUCKET] for r in hit.collect()}
-            if len(touched) == base.buckets and base.size > 2 * base.buckets * self.bucket_bytes:
-                touched = None
-
-        live = self.read(table, base, touched)
-        merged = upsert(live, staged, keys, matches=matches)
-        if touched is None:
+        found = F.broadcast(matches.rows) if matches.small else matches.rows
+        if not (base.buckets and base.keys == tuple(keys) and all(p.bucket is not None for p in base.parts)):
+            live = self.read(table, base)
             version = self.replace(
-                table, run_id, merged, "upsert", keys, buckets, size + base.size, sort_keys=sort_keys, schema=base.struct,
-                batches=done, comment=base.comment,
+                table, run_id, load.upsert(live, staged, keys, matches=found), "upsert", keys, buckets,
+                size + base.size, sort_keys=sort_keys, schema=base.struct, batches=batches or base.batches,
+                comment=base.comment,
             )
-        else:
-            written = self._write(table, run_id, merged, keys, base.buckets, sort_keys=sort_keys)
-            kept = tuple(p for p in base.parts if p.bucket not in touched)
-            spared = base.size * len(kept) // max(1, len(base.parts))
-            version = Version(
-                run_id, "upsert", base.schema, base.keys, base.buckets, kept + written,
-                spared + self.run_bytes(table, run_id), done, base.comment,
+            return version, live.count() + inserted - self.read(table, version).count()
+
+        # At most one row per bucket of the table.
+        reached = {r[0] for r in staged.select(bucket_of(keys, base.buckets)).distinct().collect()}
+        near = [p for p in base.parts if p.bucket in reached]
+        lost = self.hits(table, base, near, lambda live: load.matching(live.select(*keys, PART), found, keys))
+        version = self._rewrite(
+            table, run_id, base, lost, near, lambda live: load.delete_matching(live, found, keys, distinct=False),
+            staged, "upsert", shuffle=not matches.small, size=size, sort_keys=sort_keys, batches=batches,
+        )
+        return version, sum(lost.values())
+
+    def replace_where(
+        self, table: str, run_id: str, base: Version, staged: DataFrame, scope: Column, size: int = 0,
+        sort_keys: Sequence[str] = (), batches: dict[str, int] | None = None,
+    ) -> tuple[Version, int]:
+        """Write a version with the staged rows in place of those where ``scope`` is true."""
+        doomed = F.coalesce(scope, F.lit(False))
+        lost = self.hits(table, base, base.parts, lambda live: live.where(doomed).select(PART))
+        version = self._rewrite(
+            table, run_id, base, lost, base.parts, lambda live: live.where(~doomed), staged, "scoped_refresh",
+            size=size, sort_keys=sort_keys, batches=batches,
+        )
+        return version, sum(lost.values())
+
+    def _rewrite(
+        self, table: str, run_id: str, base: Version, lost: dict[str, int], near: Collection[Part],
+        survivors: Callable[[DataFrame], DataFrame], staged: DataFrame, mode: str, shuffle: bool = False,
+        size: int = 0, sort_keys: Sequence[str] = (), batches: dict[str, int] | None = None,
+    ) -> Version:
+        """Write what is left of the parts that lose rows, and the staged rows; other parts are taken over.
+
+        Rows of a part are in its bucket already, so what is left of it is written by the tasks that read it. Only when
+        a bucket is merged, or the rows come out of a shuffle join, are they brought together again.
+        """
+        folders = Counter(p.bucket for p in near)
+        crowded = {bucket for bucket, n in folders.items() if n >= MAX_FOLDERS}
+        redone = [p for p in near if p.path in lost or p.bucket in crowded]
+        left = survivors(self.read(table, base, redone))
+        together = bool(crowded) or shuffle
+        if base.buckets:
+            rows = self._by_bucket(left, base.keys, base.buckets, together).unionByName(
+                self._by_bucket(staged.select(*left.columns), base.keys, base.buckets, True)
             )
-        # Row counts of Parquet folders come from their footers.
-        after = self.read(table, version, touched).count()
-        return version, live.count() - (after - inserted)
+            parts = self._write_buckets(table, run_id, rows, sort_keys)
+        else:
+            parts = self._write(table, run_id, load.insert_all(left, staged), (), None, None, sort_keys)
+        gone = {p.path for p in redone}
+        kept = tuple(p for p in base.parts if p.path not in gone)
+        spared = base.size * len(kept) // max(1, len(base.parts))
+        return Version(
+            run_id, mode, base.schema, base.keys, base.buckets, kept + parts, spared + self.run_bytes(table, run_id),
+            batches or base.batches, base.comment,
+        )
+
+    def compact(self, table: str, sort_keys: Sequence[str] = ()) -> Version:
+        """Publish the same rows in as few folders as there are buckets, with as many buckets as their size asks for."""
+        base = self.latest(table)
+        run_id = self.new_run_id(table)
+        version = self.replace(
+            table, run_id, self.read(table, base), "compact", base.keys, None, base.size, sort_keys=sort_keys,
+            schema=base.struct, batches=base.batches, comment=base.comment,
+        )
+        return self.publish(table, version)
 
     def run_bytes(self, table: str, run_id: str) -> int:
         return files.folder_bytes(self.spark, f"{self.folder(table)}/data/run_id={run_id}")

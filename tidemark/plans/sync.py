@@ -19,7 +19,7 @@ from tidemark.functions.types import override_types
 from tidemark.operators import load, metrics, reconcile
 from tidemark.operators.bounds import extract_window, index_check, index_literal
 from tidemark.operators.layout import layout_clause
-from tidemark.plans.publish import TargetStore, Version
+from tidemark.plans.publish import TargetStore, Version, Written
 from tidemark.plans.state import StateLog, append_monitor
 from tidemark.sources import files, jdbc, reader, sqltext
 from tidemark.spec import DIALECTS, SchemaMismatch, SpecError, SyncSpec
@@ -87,9 +87,20 @@ def _new_index(spark: SparkSession, spec: SyncSpec, old: str | None, table: Data
     elif spec.index_column:
         if table is None:
             raise SpecError(f"{spec.source_table}: index_column needs a table to find the newest value in")
+        if old is not None:
+            # Most of the table is older than the last run: with the bound, the scan skips it.
+            recent = table.where(F.col(spec.index_column) >= index_literal(old, table.schema[spec.index_column].dataType))
+            found = _mark(recent.agg(F.max(spec.index_column).alias("m")), old)
+            if found[0] is not None:
+                return found
         marks = table.agg(F.max(spec.index_column).alias("m"))
     else:
         return None, True
+    return _mark(marks, old)
+
+
+def _mark(marks: DataFrame, old: str | None) -> tuple[str | None, bool]:
+    """The text of the first row's ``m``, and whether it may follow the old value. One row is fetched."""
     data_type = marks.schema["m"].dataType
     kind = "timestamp" if isinstance(data_type, TIMESTAMP_TYPES) else "int"
     text = index_text(F.col("m"), data_type)
@@ -214,10 +225,11 @@ def sync_table(
         if ignored := [c for c in rows.columns if c not in schema.fieldNames()]:
             log.warning("%s: source columns without a target column: %s", spec.target, ", ".join(ignored))
 
-    staged = stage(spark, store, spec, rows, schema, now)
+    staged = land(spark, store, spec, rows, schema, mode, base, keys, now=now)
     if monitor:
+        ended = _clock(now)
         row = metrics.extract_monitor_row(
-            TASK, spec.state_key, started, _clock(now), f"{staged.folder}/rows", staged.count, staged.size
+            TASK, spec.state_key, started, ended, staged.folder, staged.count, staged.size
         )
         append_monitor(store, "extract", staged.run_id, row)
 
@@ -233,12 +245,13 @@ def sync_table(
         state.add(spec.state_key, spec.target, staged.run_id, bounds.new, _stamp(staged.run_id))
     if monitor:
         row = metrics.load_monitor_row(
-            TASK, spec.state_key, spec.target, load_started, _clock(now), f"{staged.folder}/rows", staged.count,
+            TASK, spec.state_key, spec.target, load_started, _clock(now), staged.folder, staged.count,
             deleted, staged.size,
         )
         append_monitor(store, "load", staged.run_id, row)
     store.publish(spec.target, version)
-    files.delete_folder(spark, staged.folder)
+    if staged.version is None:
+        files.delete_folder(spark, staged.folder)
     return replace(
         result, status="loaded", rows_extracted=staged.count, rows_inserted=staged.count, rows_deleted=deleted,
         run_id=staged.run_id,
@@ -247,7 +260,10 @@ def sync_table(
 
 @dataclass(frozen=True)
 class Staged:
-    """An extract that was written and read back, with its exact row count and size on disk."""
+    """An extract on disk, with its exact row count and size.
+
+    ``version`` is set when the rows lie where the new version keeps them, so that they need not be written again.
+    """
 
     run_id: str
     folder: str
@@ -255,55 +271,72 @@ class Staged:
     schema: T.StructType
     count: int
     size: int
+    version: Version | None = None
 
 
-def stage(
-    spark: SparkSession, store: TargetStore, spec: SyncSpec, rows: DataFrame, schema: T.StructType,
-    now: datetime | None = None,
+def land(
+    spark: SparkSession, store: TargetStore, spec: SyncSpec, rows: DataFrame, schema: T.StructType, mode: str,
+    base: Version | None, keys: Sequence[str], batches: dict[str, int] | None = None, now: datetime | None = None,
 ) -> Staged:
-    """Write the rows in the target's form. Counts come from the written files, so a repeated task counts once."""
+    """Write the rows in the target's form, from one pass over the source.
+
+    Loads that keep or drop whole versions write straight into the target's folder. Loads that look at the old rows,
+    or need the size of the extract to choose the number of buckets, write to a staging folder first. Counts come from
+    the written files, so a task that is run twice counts once.
+    """
     run_id = store.new_run_id(spec.target, now)
-    folder = store.stage_folder(spec.target, run_id)
-    reconcile.conform_to_target(rows, schema).write.parquet(f"{folder}/rows")
-    back = spark.read.schema(schema).parquet(f"{folder}/rows")
-    staged = Staged(run_id, folder, back, schema, back.count(), files.folder_bytes(spark, f"{folder}/rows"))
+    fitted = reconcile.conform_to_target(rows, schema)
+    looks_back = base is not None and mode in ("upsert", "scoped_refresh")
+    version = None
+    if looks_back or (keys and spec.buckets is None):
+        folder = store.stage_folder(spec.target, run_id)
+        fitted.write.parquet(f"{folder}/rows")
+        back = spark.read.schema(schema).parquet(f"{folder}/rows")
+    else:
+        folder = f"{store.folder(spec.target)}/data/run_id={run_id}"
+        version = _new_version(store, spec, run_id, fitted, schema, mode, base, keys, 0, batches)
+        back = store.read(spec.target, version, [p for p in version.parts if p.path.startswith(f"data/run_id={run_id}")])
+    staged = Staged(run_id, folder, back, schema, back.count(), files.folder_bytes(spark, folder), version)
     if staged.count:
         _require_not_null(back, schema)
     return staged
 
 
+def _new_version(
+    store: TargetStore, spec: SyncSpec, run_id: str, rows: DataFrame, schema: T.StructType, mode: str,
+    base: Version | None, keys: Sequence[str], size: int, batches: dict[str, int] | None,
+) -> Version:
+    """Write a version that takes over nothing of the old one, or all of it."""
+    layout = {"distribution_key": spec.distribution_key, "sort_keys": spec.sort_keys}
+    done = {**(base.batches if base else {}), **(batches or {})}
+    if base is not None and mode == "append":
+        return store.append(spec.target, run_id, base, rows, batches=done, **layout)
+    return store.replace(
+        spec.target, run_id, rows, mode, keys, spec.buckets, size, schema=schema, batches=done, **layout
+    )
+
+
 def write_version(
     spark: SparkSession, spec: SyncSpec, store: TargetStore, mode: str, base: Version | None, staged: Staged,
     keys: Sequence[str], bounds: Bounds = Bounds(), batches: dict[str, int] | None = None,
 ) -> tuple[Version, int]:
     """Write, but do not publish, the version that a load mode makes; returns it with the rows it deletes."""
     target, run_id, rows = spec.target, staged.run_id, staged.rows
-    layout = {"distribution_key": spec.distribution_key, "sort_keys": spec.sort_keys}
-    done = {**(base.batches if base else {}), **(batches or {})}
-
-    def whole(content: DataFrame, extra: int = 0) -> Version:
-        # A table that later runs find rows in by key gets its buckets now.
-        return store.replace(
-            target, run_id, content, mode, keys, spec.buckets, staged.size + extra, schema=staged.schema,
-            batches=done, **layout,
+    if base is None or mode in ("rebuild", "append", "full_refresh"):
+        version = staged.version or _new_version(
+            store, spec, run_id, rows, staged.schema, mode, base, keys, staged.size, batches
         )
-
-    if base is None or mode == "rebuild":
-        return whole(rows), 0
-    if mode == "append":
-        return store.append(target, run_id, base, rows, batches=done, **layout), 0
-    live = store.read(target, base)
-    if mode == "full_refresh":
-        return whole(rows), live.count()
+        return version, store.read(target, base).count() if base and mode == "full_refresh" else 0
+    done = {**base.batches, **(batches or {})}
     if mode == "scoped_refresh":
         text = sqltext.read_text(spec.truncate_file)
         values = sqltext.template_values(spec, bounds.old, bounds.new)
         scope = F.expr(sqltext.with_literals(sqltext.delete_predicate(text), values))
-        version = whole(load.scoped_refresh(live, rows, scope), base.size)
-        return version, live.count() + staged.count - store.read(target, version).count()
+        return store.replace_where(target, run_id, base, rows, scope, staged.size, spec.sort_keys, done)
     load.staged_keys(rows, keys).write.parquet(f"{staged.folder}/keys")
     key_schema = T.StructType([staged.schema[k] for k in keys])
-    matches = spark.read.schema(key_schema).parquet(f"{staged.folder}/keys")
+    back = spark.read.schema(key_schema).parquet(f"{staged.folder}/keys")
+    matches = Written(back, back.count(), files.folder_bytes(spark, f"{staged.folder}/keys"))
     return store.upsert(
         target, run_id, base, rows, matches, keys, staged.count, staged.size, spec.buckets, spec.sort_keys, done
     )

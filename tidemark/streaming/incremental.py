@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions.normalize import normalize_row
 from tidemark.operators.extract import project
 from tidemark.plans.publish import TargetStore
-from tidemark.plans.sync import stage, write_version
+from tidemark.plans.sync import land, write_version
 from tidemark.sources import files
 from tidemark.spec import SchemaMismatch, SyncSpec
 
@@ -46,11 +46,13 @@ def load_batch(spark: SparkSession, spec: SyncSpec, store: TargetStore, rows: Da
         raise SchemaMismatch(f"{spec.target}: an upsert needs a primary key")
     keys = () if spec.mode == "append" else spec.primary_key
     normal = normalize_row(rows)
-    staged = stage(spark, store, spec, normal, base.struct if base else normal.schema)
+    schema, batches = base.struct if base else normal.schema, {stream: batch}
+    staged = land(spark, store, spec, normal, schema, spec.mode, base, keys, batches)
     if staged.count:
-        version, _ = write_version(spark, spec, store, spec.mode, base, staged, keys, batches={stream: batch})
+        version, _ = write_version(spark, spec, store, spec.mode, base, staged, keys, batches=batches)
         store.publish(spec.target, version)
-    files.delete_folder(spark, staged.folder)
+    if staged.version is None or not staged.count:
+        files.delete_folder(spark, staged.folder)
 
 
 def stream_sync(
