@@ -95,32 +95,56 @@ def test_small_batches_are_broadcast_on_their_size(spark, sf_dir):
     import __spark_entry__ as entry
 
     plan = plan_text(entry.queries()["upsert_composite_dupes"](spark, sf_dir))
-    assert "BroadcastHashJoin LeftAnti" in plan.replace("\n", " ") or "BroadcastHashJoin" in plan
-
-
-def test_large_batches_are_not(spark, sf_dir):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        keys = lineitem.select("l_orderkey").distinct()
-        kept = load.delete_matching(lineitem, keys, ["l_orderkey"], salt=4)
-        plan = plan_text(kept)
-        assert "SortMergeJoin" in plan and "_salt" in plan
-        assert kept.count() == 0
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_hot_key_is_split(spark):
-    """A key with a third of the target's rows, joined by shuffle: the salt spreads it over several tasks."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        target = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
-        staged = spark.range(1, 20000, 2).select(F.col("id").alias("k"))
-        plain = load.delete_matching(target, staged, ["k"])
-        salted = load.delete_matching(target, staged, ["k"], salt=8)
-        assert plain.count() == salted.count()
-        spread = salted.where("k = 0").groupBy(F.spark_partition_id()).count().count()
-        assert spread >= 1
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin LeftAnti BuildRight" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins are shuffled, and a partition is skewed from a few kilobytes on."""
+    given = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for name, value in given.items():
+        spark.conf.set(name, value)
+    yield
+    for name in given:
+        spark.conf.unset(name)
+
+
+def hot_target(spark):
+    """A third of the rows share a key."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+    return spark.range(0, 120000, numPartitions=8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+
+
+@pytest.mark.parametrize("hot_key_is_staged", [True, False])
+def test_hot_key_is_split_by_aqe(spark, shuffled, hot_key_is_staged):
+    target = hot_target(spark)
+    batch = spark.range(0, 40000, numPartitions=8).select(F.when(F.col("id") % 2 == 0, 11).otherwise(F.col("id")).alias("k"))
+    staged = batch if hot_key_is_staged else batch.where("k <> 7")
+    kept = load.delete_matching(target, staged, ["k"])
+    staged_ids = {11, *range(1, 40000, 2)} - (set() if hot_key_is_staged else {7})
+    wanted = sum((7 if i % 3 == 0 else i) not in staged_ids for i in range(120000))
+    kept.collect()
+    assert len(kept.collect()) == wanted
+    final = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in final
+
+
+def test_hot_key_is_split_by_salt(spark, shuffled):
+    target = hot_target(spark)
+    staged = spark.range(1, 40000, 2).select(F.col("id").alias("k"))
+    salted = load.delete_matching(target, staged, ["k"], salt=8)
+    assert salted.count() == load.delete_matching(target, staged, ["k"]).count()
+    plan = plan_text(salted)
+    assert "SortMergeJoin" in plan and "_salt" in plan
+
+
+def test_keys_of_both_sides_are_distinct_before_a_shuffle_join(spark, shuffled):
+    plan = plan_text(load.orphan_keys(hot_target(spark), hot_target(spark).where("k > 10"), ["k"]))
+    joined = plan[plan.index("SortMergeJoin") :]
+    assert joined.count("HashAggregate") >= 4

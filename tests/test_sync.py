@@ -266,7 +266,7 @@ def test_not_null_is_enforced(spark, store, tmp_path):
 
 
 def test_comments_and_overrides(spark, store):
-    comment = "This is a comment with this: ' special character"
+    comment = "it's quoted"
     frame = spark.createDataFrame([(1, "long text", 1.5)], "pk int, v string, d double")
     frame.withMetadata("v", {"comment": comment}).createOrReplaceTempView("commented")
     spec = SyncSpec(
@@ -384,3 +384,35 @@ def test_failed_not_null_leaves_the_old_version(spark, store, tmp_path):
     source(spark, [(1, "a"), (2, None)], "id bigint, v string", "strict2")
     assert [r.status for r in sync_all(spark, [spec], store)] == ["failed"]
     assert target(store, spec) == [(1, "a")] and logged(store, spec) == ["1"]
+
+
+def test_dropped_index_column(spark, store):
+    source(spark, FIRST)
+    spec = replace(BASIC, columns_to_drop=("drop1", "updated_at"), sort_keys=(), target_table="no_index")
+    sync_table(spark, spec, store)
+    source(spark, [*FIRST, (3, T2, "x", 3, "c")])
+    assert sync_table(spark, spec, store).rows_inserted == 1
+    assert target(store, spec) == [(1, 0, "a"), (2, 1, "b"), (3, 3, "c")]
+
+
+def test_table_comment(spark, store):
+    spark.sql("CREATE TABLE noted (id BIGINT COMMENT 'c1') USING parquet COMMENT 'about notes'")
+    try:
+        spark.sql("INSERT INTO noted VALUES (1)")
+        spec = SyncSpec(PG, "noted", "noted", index_column="id", primary_key="id")
+        sync_table(spark, spec, store)
+        version = store.latest(spec.target)
+        assert version.comment == "about notes" and version.struct["id"].metadata["comment"] == "c1"
+        store.create_view(spec.target, "noted_view")
+        assert spark.sql("SELECT count(*) FROM noted_view").first()[0] == 1
+    finally:
+        spark.sql("DROP TABLE noted")
+
+
+def test_query_file_with_an_index_column(spark, store, tmp_path):
+    text_file = tmp_path / "q.sql"
+    text_file.write_text("SELECT id FROM qi WHERE id <= CAST(:run_new_index_value AS BIGINT)")
+    spec = SyncSpec(PG, "qi", "qi", query_file=str(text_file), index_column="id", primary_key="id")
+    source(spark, [(1,), (4,)], "id bigint", "qi")
+    assert sync_table(spark, spec, store).new_index_value == "4"
+    assert target(store, spec) == [(1,), (4,)]

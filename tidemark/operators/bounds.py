@@ -12,6 +12,16 @@ from tidemark.functions.temporal import index_text
 
 STATE_KEY = ("datastore_name", "database_name", "table_name")
 
+# The least value of each type that an index column can have.
+LEAST = {
+    "byte": str(-(2**7)),
+    "short": str(-(2**15)),
+    "integer": str(-(2**31)),
+    "long": str(-(2**63)),
+    "timestamp": "0001-01-01 00:00:00",
+    "timestamp_ntz": "0001-01-01 00:00:00",
+}
+
 
 def high_water_mark(df: DataFrame, index_column: str) -> DataFrame:
     """The greatest index value as one row ``index_value``, in the state log's text form.
@@ -116,12 +126,10 @@ def extract_windows(df: DataFrame, table_column: str, index_column: str, bounds:
         F.col("lower_value").cast(data_type).alias("_lower"),
         F.col("index_value").cast(data_type).alias("_upper"),
     )
-    # One first load among the tables makes the common lower bound NULL, and coalesce drops it.
-    span = typed.agg(
-        F.when(F.count("_lower") == F.count(F.lit(1)), F.min("_lower")).alias("lo"), F.max("_upper").alias("hi")
-    )
-    lowest, highest = span.select("lo").scalar(), span.select("hi").scalar()
-    pruned = df.where((index <= highest) & F.coalesce(index > lowest, F.lit(True)))
+    # A table without a lower bound takes the common one down to the least value of the type.
+    least = F.lit(LEAST[data_type.typeName()]).cast(data_type)
+    span = typed.agg(F.min(F.coalesce("_lower", least)).alias("lo"), F.max("_upper").alias("hi"))
+    pruned = df.where((index <= span.select("hi").scalar()) & (index >= span.select("lo").scalar()))
     matched = pruned.join(typed, pruned[table_column] == typed["_table"])
     inside = (index <= F.col("_upper")) & (F.col("_lower").isNull() | (index > F.col("_lower")))
     return matched.where(inside).select(*df.columns)

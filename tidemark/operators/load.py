@@ -2,8 +2,8 @@
 
 A target is usually far larger than what is staged. Only keys of the staged side meet the target, so that a small
 batch is broadcast by Catalyst (on its known size) and the target is not shuffled. For batches too large for that,
-both sides are shuffled on the key; ``salt`` spreads every key over that many partitions, so that a key with a large
-share of the target does not end up in one task.
+both sides are shuffled on the key, and AQE splits the partition of a key that has a large share of the target. Where
+AQE is off, ``salt`` spreads every key over that many partitions instead.
 """
 
 from __future__ import annotations
@@ -14,15 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "_salt"
+_HASH = "_hash"
 
 
 def staged_keys(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The distinct complete keys of the staged rows. Keys with a NULL match nothing and are left out.
 
-    Duplicates are dropped per task before the shuffle, so a key that is staged very often costs nothing there.
+    Duplicates are dropped per task before the shuffle, so a key that is staged very often costs nothing there. They
+    are grouped by a hash besides the key: the result is then not partitioned by the key alone, and a shuffle join
+    reads both of its sides from exchanges of its own. Only such joins have a hot key split by AQE; the price is one
+    more shuffle of the bare keys.
     """
     complete = staging.select(*keys).dropna(how="any")
-    return complete.distinct()
+    return complete.withColumn(_HASH, F.xxhash64(*keys)).distinct().select(*keys)
 
 
 def _matched(target: DataFrame, matches: DataFrame, keys: Sequence[str], how: str, salt: int) -> DataFrame:
@@ -44,7 +48,7 @@ def delete_matching(
     """Target rows whose key is not staged. Matching is SQL equality: rows with a NULL in the key always stay.
 
     ``distinct=False`` says that ``staging`` holds each key once already, such as a written result of
-    :func:`staged_keys`; the join then reads it directly, and AQE can split a hot target key at run time.
+    :func:`staged_keys`.
     """
     if not keys:
         raise ValueError("deleting by key needs a key; without one every row would go")

@@ -163,6 +163,10 @@ class TargetStore:
             "mandatory", F.lit(True)
         )
 
+    def create_view(self, table: str, name: str) -> None:
+        """The live version under a name that SQL of this session can use."""
+        self.read(table).createOrReplaceTempView(name)
+
     # Writing
 
     def bucket_count(self, size: int) -> int:

@@ -18,6 +18,7 @@ from tidemark.functions.temporal import TIMESTAMP_TYPES, index_text, replace_zer
 from tidemark.functions.types import override_types
 from tidemark.operators import load, metrics, reconcile
 from tidemark.operators.bounds import extract_window, index_check, index_literal
+from tidemark.operators.extract import project
 from tidemark.operators.layout import layout_clause
 from tidemark.plans.publish import TargetStore, Version, Written
 from tidemark.plans.state import StateLog, append_monitor
@@ -85,8 +86,7 @@ def _new_index(spark: SparkSession, spec: SyncSpec, old: str | None, table: Data
         sql = jdbc.high_water_query(source.kind, spec.source_table, spec.index_column)
         marks = jdbc.read(spark, jdbc.query_options(source, sql)).toDF("m")
     elif spec.index_column:
-        if table is None:
-            raise SpecError(f"{spec.source_table}: index_column needs a table to find the newest value in")
+        table = reader.read_table(spark, spec) if table is None else table
         if old is not None:
             # Most of the table is older than the last run: with the bound, the scan skips it.
             recent = table.where(F.col(spec.index_column) >= index_literal(old, table.schema[spec.index_column].dataType))
@@ -136,7 +136,7 @@ def extract(spark: SparkSession, spec: SyncSpec, bounds: Bounds, table: DataFram
             rows = extract_window(rows, spec.index_column, *literals)
     if spec.not_null_date and not isinstance(spec.not_null_date, bool):
         rows = replace_zero_dates(rows, dict(spec.not_null_date))
-    return normalize_row(rows)
+    return normalize_row(project(rows, spec.columns_to_drop))
 
 
 def new_target_schema(spec: SyncSpec, rows: DataFrame, source: T.StructType) -> T.StructType:
@@ -311,8 +311,9 @@ def _new_version(
     done = {**(base.batches if base else {}), **(batches or {})}
     if base is not None and mode == "append":
         return store.append(spec.target, run_id, base, rows, batches=done, **layout)
+    comment = reader.table_comment(store.spark, spec) if spec.include_comments else None
     return store.replace(
-        spec.target, run_id, rows, mode, keys, spec.buckets, size, schema=schema, batches=done, **layout
+        spec.target, run_id, rows, mode, keys, spec.buckets, size, schema=schema, batches=done, comment=comment, **layout
     )
 
 

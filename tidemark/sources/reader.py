@@ -14,16 +14,20 @@ from tidemark.spec import DIALECTS, SourceSpec, SyncSpec
 
 
 def read_table(spark: SparkSession, spec: SyncSpec, lower: Any = None, upper: Any = None) -> DataFrame:
-    """The source table without its dropped columns. The bounds only cut a JDBC read into ranges."""
+    """The source table without its dropped columns, but with its index column in any case.
+
+    The bounds only cut a JDBC read into ranges.
+    """
     source = spec.source
+    dropped = [c for c in spec.columns_to_drop if c != spec.index_column]
     if source.kind == "table":
-        return project(spark.table(qualified(source, spec.source_table)), spec.columns_to_drop)
+        return project(spark.table(qualified(source, spec.source_table)), dropped)
     if source.kind == "parquet":
         path = f"{source.location.rstrip('/')}/{spec.source_table}{source.suffix}"
-        return project(spark.read.parquet(path), spec.columns_to_drop)
+        return project(spark.read.parquet(path), dropped)
     if source.kind == "mssql":
         raise NotImplementedError("SQL Server tables need a query_file")
-    catalogue = jdbc.column_query(source.kind, spec.source_table, spec.columns_to_drop)
+    catalogue = jdbc.column_query(source.kind, spec.source_table, dropped)
     found = jdbc.read(spark, jdbc.query_options(source, catalogue)).collect()
     columns = [(r["column_name"], r["data_type"]) for r in found]
     sql = jdbc.select_query(source.kind, spec.source_table, columns, str(spec.type_map.get("money", "decimal(19,2)")))
@@ -49,6 +53,18 @@ def qualified(source: SourceSpec, table: str) -> str:
     return f"{source.database}.{table}" if source.options.get("qualified") == "true" else table
 
 
+def table_comment(spark: SparkSession, spec: SyncSpec) -> str | None:
+    """The comment on the source table, where the source keeps one."""
+    source = spec.source
+    if spec.query_file:
+        return None
+    if source.kind == "table":
+        return spark.catalog.getTable(qualified(source, spec.source_table)).description
+    if sql := jdbc.table_comment_query(source.kind, spec.source_table):
+        return jdbc.read(spark, jdbc.query_options(source, sql)).first()[0]
+    return None
+
+
 def read_query(spark: SparkSession, source: SourceSpec, text: str, values: Mapping[str, Any]) -> DataFrame:
     """The result of SQL text: run by the database for JDBC sources, by Spark for others."""
     if source.kind in DIALECTS:
