@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark.sources import jdbc, sqltext
+from tidemark.functions import normalize_row
+from tidemark.plans.sync import new_target_schema
+from tidemark.sources import jdbc, reader, sqltext
 from tidemark.spec import SourceSpec, SyncSpec
 
 
@@ -53,6 +55,59 @@ def test_catalogue_queries():
     assert jdbc.table_comment_query("mysql", "t") is None
 
 
+def test_times_are_read_as_text():
+    assert jdbc.select_query("mysql", "t", [("a", "time(6)"), ("b", "timestamp")]) == (
+        "SELECT CAST(`a` AS CHAR) AS `a`, `b` FROM `t`"
+    )
+    assert 'CAST("a" AS TEXT) AS "a"' in jdbc.select_query("postgresql", "t", [("a", "time")])
+
+
+def catalogue_row(name, data_type, **given):
+    return {"column_name": name, "data_type": data_type, "is_nullable": "YES", "comment": None, **given}
+
+
+def test_postgres_columns_keep_their_own_types(spark):
+    rows = spark.sql("SELECT 'b' AS kind, CAST(1 AS DECIMAL(38,18)) AS n, 'x' AS t, 1L AS id, '{\"k\": \"é\"}' AS j")
+    described = reader.described(
+        rows,
+        [
+            catalogue_row("kind", "enum1"),
+            catalogue_row("n", "numeric"),
+            catalogue_row("t", "varchar", text_size=63, comment="note"),
+            catalogue_row("id", "int8", is_nullable="NO"),
+            catalogue_row("j", "jsonb"),
+        ],
+        "postgresql",
+    )
+    normal = normalize_row(described)
+    assert normal.first().j == r'{"k": "\u00e9"}'
+    spec = SyncSpec(source("postgresql"), "s", "t", type_map={"enum1": "varchar(15)"})
+    schema = new_target_schema(spec, normal, described.schema)
+    assert schema["kind"].metadata["width"] == 15
+    assert schema["n"].dataType.simpleString() == "decimal(38,18)"
+    assert (schema["t"].metadata["width"], schema["t"].metadata["comment"]) == (63, "note")
+    assert not schema["id"].nullable
+    assert schema["j"].metadata["width"] == 65535
+
+
+def test_mysql_columns_keep_their_own_types(spark):
+    rows = spark.sql("SELECT 1 AS a, 2 AS b, 'é' AS c, true AS d")
+    described = reader.described(
+        rows,
+        [
+            catalogue_row("a", "tinyint(1)"),
+            catalogue_row("b", "int(11) unsigned"),
+            catalogue_row("c", "varchar(10)"),
+            catalogue_row("d", "bit(1)"),
+        ],
+        "mysql",
+    )
+    spec = SyncSpec(source("mysql"), "s", "t", type_map={"tinyint(1)": "bigint", "columns": {}})
+    schema = new_target_schema(spec, normalize_row(described), described.schema)
+    assert [f.dataType.simpleString() for f in schema] == ["bigint", "bigint", "string", "boolean"]
+    assert schema["c"].metadata["width"] == 40
+
+
 def test_parallel_ranges_follow_the_window():
     ranges = jdbc.range_options("id", 13, 42, 4)
     options = jdbc.table_options(source("postgresql", host="h"), "SELECT 1", ranges)

@@ -37,12 +37,17 @@ def _units(char: Column) -> Column:
     return F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", r"\\u$1")
 
 
+def escape_unprintable(c: Column) -> Column:
+    """JSON text with everything outside printable ASCII escaped."""
+    return F.when(c.rlike(_UNPRINTABLE), replace_marks(c, _UNPRINTABLE, _units)).otherwise(c)
+
+
 def json_string(c: Column) -> Column:
     """A quoted, escaped string."""
     text = c
     for char, escape in SHORT_ESCAPES.items():
         text = F.replace(text, F.lit(char), F.lit(escape))
-    return _quoted(F.when(text.rlike(_UNPRINTABLE), replace_marks(text, _UNPRINTABLE, _units)).otherwise(text))
+    return _quoted(escape_unprintable(text))
 
 
 def _fewest_digits(c: Column, text: Column, data_type: T.DataType) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.jsontext import json_text
+from tidemark.functions.jsontext import escape_unprintable, json_text
 from tidemark.functions.temporal import (
     INTEGER_TYPES,
     TIMESTAMP_TYPES,
@@ -61,11 +61,21 @@ def normalize_value(c: Column, data_type: T.DataType, as_staged: bool = False, s
     return c if text is None else truncate_text(text, size)
 
 
+def _holds_json(f: T.StructField) -> bool:
+    return f.metadata.get("source_kind") == "postgresql" and f.metadata.get("source_type") in ("json", "jsonb")
+
+
 def normalize_row(df: DataFrame, as_staged: bool = False, size: int = MAX_TEXT) -> DataFrame:
-    """Normalise all columns in one projection; names, order and comments stay."""
-    return df.select(
-        *[
-            normalize_value(F.col(f"`{f.name}`"), f.dataType, as_staged, size).alias(f.name, metadata=f.metadata)
-            for f in df.schema.fields
-        ]
-    )
+    """Normalise all columns in one projection; names, order and comments stay.
+
+    JSON that a database hands over as text is escaped instead of folded, as any other nested value is.
+    """
+    columns = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if _holds_json(f):
+            value = truncate_text(escape_unprintable(c), size)
+        else:
+            value = normalize_value(c, f.dataType, as_staged, size)
+        columns.append(value.alias(f.name, metadata=f.metadata))
+    return df.select(*columns)

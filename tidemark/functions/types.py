@@ -236,10 +236,25 @@ def spark_type(target: str) -> tuple[T.DataType, int | None]:
     return T.StringType(), MAX_TEXT
 
 
+def _declared(f: T.StructField, type_map: Mapping[str, object] | None) -> str | None:
+    """The target type that a database column's own type maps to, overrides included."""
+    about = f.metadata
+    if about.get("source_kind") == "mysql":
+        by_name = {k: v for k, v in (type_map or {}).items() if k != "columns"}
+        return mysql_type(about["source_type"], by_name)
+    if about.get("source_kind") == "postgresql":
+        own = about["source_type"]
+        sized = own.lower() in ("numeric", "decimal")
+        precision, scale = (about.get("digits", 65535), about.get("scale", 65535)) if sized else (None, None)
+        return postgres_type(own, f.name, about.get("text_size", -1), precision, scale, type_map)
+    return None
+
+
 def override_types(schema: T.StructType, type_map: Mapping[str, object] | None) -> T.StructType:
-    """Apply overrides to a schema: by column name, by Spark type text, or by that text's name without its size.
+    """The types a target is created with.
 
-    The width of a sized text type is kept in the field's metadata as ``width``.
+    Overrides are looked up by column name, by Spark type text, and by that text's name without its size. Columns of
+    a database go by their own type instead. The width of a sized text type is kept in the field's metadata.
     """
     overrides = lower_keys(type_map)
     by_column = overrides.pop("columns", {})
@@ -247,6 +262,7 @@ def override_types(schema: T.StructType, type_map: Mapping[str, object] | None)
     for f in schema.fields:
         text = f.dataType.simpleString().lower()
         wanted = by_column.get(f.name, overrides.get(text, overrides.get(text.split("(")[0])))
+        wanted = wanted if wanted is not None else _declared(f, type_map)
         if wanted is None:
             fields.append(f)
             continue

@@ -10,7 +10,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounds import STATE_KEY, latest_index, lookback_index
+from tidemark.operators.bounds import STATE_KEY
 from tidemark.operators.metrics import EXTRACT_MONITOR, LOAD_MONITOR
 from tidemark.plans.publish import TargetStore
 from tidemark.session import text_rows
@@ -71,13 +71,20 @@ class StateLog:
         return rows.where(F.col("target") == target).join(runs, "run_id", "left_semi")
 
     def bounds(self, key: tuple[str, str, str], target: str, runs_back: int) -> tuple[str | None, str | None]:
-        """The newest value and the one ``runs_back`` runs before it, from one job that returns at most two rows."""
-        log = self.of(key, target)
-        newest = latest_index(log).select(F.lit("old").alias("k"), "index_value")
-        if runs_back:
-            newest = newest.unionAll(lookback_index(log, runs_back).select(F.lit("lookback"), "index_value"))
-        found = {r["k"]: r["index_value"] for r in newest.collect()}
-        return found.get("old"), found.get("lookback")
+        """The newest value and the one ``runs_back`` runs before it.
+
+        Files are named after their runs, which are in the order of time: two files are read, however long the log.
+        """
+        folder = self._folder(key)
+        published = set(self.store.published(target))
+        runs = [name for name in files.names(self.spark, folder) if name.removesuffix(".json") in published]
+
+        def value(back: int) -> str | None:
+            if back >= len(runs):
+                return None
+            return json.loads(files.read_text(self.spark, f"{folder}/{runs[-1 - back]}"))["index_value"]
+
+        return value(0), value(runs_back) if runs_back else None
 
     def add(self, key: tuple[str, str, str], target: str, run_id: str, index_value: str, created_ts: datetime) -> None:
         row = {"index_value": index_value, "created_ts": created_ts, "run_id": run_id, "target": target}

@@ -149,11 +149,11 @@ def new_target_schema(spec: SyncSpec, rows: DataFrame, source: T.StructType) ->
         values = sqltext.template_values(spec)
         text = sqltext.with_literals(sqltext.read_text(spec.schema_file), values)
         return T.StructType.fromDDL(_columns_of(text))
-    nullable = {f.name: f.nullable for f in source.fields}
+    declared = {} if spec.query_file else {f.name: f.nullable for f in source.fields}
     strict = spec.query_file is not None and spec.source.kind == "postgresql"
     known = [
         T.StructField(
-            f.name, f.dataType, nullable.get(f.name, True) and not strict,
+            f.name, f.dataType, declared.get(f.name, True) and not strict and not f.metadata.get("required"),
             f.metadata if spec.include_comments else {k: v for k, v in f.metadata.items() if k != "comment"},
         )
         for f in rows.schema.fields

@@ -88,20 +88,21 @@ def primary_key_query(kind: str, table: str) -> str:
 
 
 def column_query(kind: str, table: str, dropped: Sequence[str] = ()) -> str:
-    """A query with the columns of a table in order: name, type, nullability and comment."""
+    """A query with the columns of a table in order: name, own type, sizes, nullability and comment."""
     name = text_literal(table)
     if kind == "postgresql":
         comment = f"pg_catalog.col_description({name}::regclass, ordinal_position::int)"
-        schema = "current_schema()"
+        own_type, schema = "udt_name", "current_schema()"
     elif kind == "mysql":
-        comment, schema = "column_comment", "DATABASE()"
+        comment, own_type, schema = "column_comment", "column_type", "DATABASE()"
     else:
-        comment, schema = "CAST(NULL AS VARCHAR(1))", "SCHEMA_NAME()"
+        comment, own_type, schema = "CAST(NULL AS VARCHAR(1))", "data_type", "SCHEMA_NAME()"
     without = f" AND column_name NOT IN ({', '.join(map(text_literal, dropped))})" if dropped else ""
     return (
-        f"SELECT column_name AS column_name, data_type AS data_type, is_nullable AS is_nullable, {comment} AS comment "
-        f"FROM information_schema.columns WHERE table_schema = {schema} AND table_name = {name}{without} "
-        "ORDER BY ordinal_position"
+        f"SELECT column_name AS column_name, {own_type} AS data_type, character_maximum_length AS text_size, "
+        "numeric_precision AS digits, numeric_scale AS scale, is_nullable AS is_nullable, "
+        f"{comment} AS comment FROM information_schema.columns "
+        f"WHERE table_schema = {schema} AND table_name = {name}{without} ORDER BY ordinal_position"
     )
 
 
@@ -112,11 +113,17 @@ def table_comment_query(kind: str, table: str) -> str | None:
 
 
 def select_query(kind: str, table: str, columns: Sequence[tuple[str, str]], money: str = "decimal(19,2)") -> str:
-    """An explicit column list from (name, type) pairs. Postgres money is cast, which loses nothing."""
+    """An explicit column list from (name, type) pairs.
+
+    Postgres money is cast, which loses nothing. Times of day are read as text: as such they are kept.
+    """
     def item(name: str, data_type: str) -> str:
         text = quoted(kind, name)
-        if kind == "postgresql" and data_type.lower() == "money":
+        own = data_type.lower().split("(")[0]
+        if kind == "postgresql" and own == "money":
             return f"{text}::{money} AS {text}"
+        if own == "time":
+            return f"CAST({text} AS {'CHAR' if kind == 'mysql' else 'TEXT'}) AS {text}"
         return text
 
     return f"SELECT {', '.join(item(*c) for c in columns)} FROM {quoted(kind, table)}"

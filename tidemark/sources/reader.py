@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.extract import project
 from tidemark.sources import jdbc, sqltext
@@ -34,18 +35,21 @@ def read_table(spark: SparkSession, spec: SyncSpec, lower: Any = None, upper: An
     partitions = int(source.options.get("numPartitions", 1))
     ranges = jdbc.range_options(spec.index_column, lower, upper, partitions) if spec.index_column else {}
     rows = jdbc.read(spark, jdbc.table_options(source, sql, ranges, bool(spec.not_null_date)))
-    return with_comments(rows, {r["column_name"]: r["comment"] for r in found if r["comment"]})
-
-
-def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, "comment": comments[f.name]})
-            if f.name in comments
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    return described(rows, [r.asDict() for r in found], source.kind)
+
+
+def described(df: DataFrame, columns: Sequence[Mapping[str, Any]], kind: str) -> DataFrame:
+    """Put what a database says about its columns into their metadata: comment, own type and sizes."""
+    by_name = {c["column_name"]: c for c in columns}
+
+    def metadata(f: T.StructField) -> dict[str, Any]:
+        about = by_name.get(f.name, {})
+        sizes = {k: about.get(k) for k in ("text_size", "digits", "scale")}
+        found = {"comment": about.get("comment"), "source_type": about.get("data_type"), **sizes}
+        given = {k: v if isinstance(v, str) else int(v) for k, v in found.items() if v not in (None, "")}
+        return {**f.metadata, **given, "source_kind": kind, "required": about.get("is_nullable") == "NO"}
+
+    return df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=metadata(f)) for f in df.schema.fields])
 
 
 def qualified(source: SourceSpec, table: str) -> str:
