@@ -81,13 +81,14 @@ def lineitem_stg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_keyed(orders: DataFrame) -> DataFrame:
-    """Every tenth order key becomes NULL."""
-    key = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey"))
+    """Keys of one priority become NULL."""
+    key = F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderkey"))
     return orders.select(key.alias("k"), F.col("o_orderstatus").alias("v"))
 
 
 def events_nullidx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = F.when(F.col("event_id") % 7 != 0, F.col("ts"))
+    """Events of one type lose their index value."""
+    index = F.when(F.col("event_type") != "signup", F.col("ts"))
     return table(spark, sf_dir, "events").select("event_id", index.alias("ts"), "event_type")
 
 

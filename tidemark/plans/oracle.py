@@ -26,11 +26,11 @@ FRAMES = {
         SELECT * FROM lineitem
         WHERE l_shipdate > TIMESTAMP '1998-03-31' AND l_shipdate <= TIMESTAMP '1998-12-31'""",
     "nullkey_tgt": """
-        SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS k, o_orderstatus AS v FROM orders_tgt""",
+        SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderkey END AS k, o_orderstatus AS v FROM orders_tgt""",
     "nullkey_stg": """
-        SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS k, o_orderstatus AS v FROM orders_stg""",
+        SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderkey END AS k, o_orderstatus AS v FROM orders_stg""",
     "events_nullidx": """
-        SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts, event_type FROM events""",
+        SELECT event_id, CASE WHEN event_type = 'signup' THEN NULL ELSE ts END AS ts, event_type FROM events""",
     "orders_moved": """
         SELECT * FROM orders_tgt UNION ALL
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + INTERVAL 365 DAY, o_orderpriority
@@ -187,7 +187,9 @@ ORACLE: dict[str, str] = {
         """SELECT * FROM events WHERE ts > (SELECT index_ts FROM run_log WHERE rn = 4)
            AND ts <= (SELECT index_ts FROM run_log WHERE rn = 1)""",
     ),
-    "incremental_window_int": "SELECT * FROM orders WHERE o_orderkey > 13 AND o_orderkey <= 4200",
+    "incremental_window_int": """
+        SELECT * FROM orders WHERE o_orderkey > (SELECT (min(o_orderkey) + max(o_orderkey)) // 2 FROM orders)
+        AND o_orderkey <= (SELECT max(o_orderkey) FROM orders)""",
     "first_load_window": _with(
         "run_log", "SELECT * FROM events WHERE ts <= (SELECT index_ts FROM run_log WHERE rn = 3)"
     ),
@@ -203,11 +205,12 @@ ORACLE: dict[str, str] = {
         "events_nullidx", "SELECT * FROM events_nullidx WHERE ts <= (SELECT max(ts) FROM events_nullidx)"
     ),
     "custom_index_sql": """
-        SELECT max(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS index_value FROM orders WHERE o_orderkey > 13""",
+        SELECT max(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS index_value FROM orders
+        WHERE o_orderdate > TIMESTAMP '1996-06-30'""",
     "custom_sql_extract": """
         SELECT o.o_orderkey, o.o_orderdate, c.c_name, c.c_mktsegment
         FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-        WHERE o.o_orderkey > 13 AND o.o_orderkey <= 12000 AND c.c_mktsegment <> 'MACHINERY'""",
+        WHERE o.o_orderdate > TIMESTAMP '1996-01-01' AND o.o_orderdate <= TIMESTAMP '2000-12-31' AND c.c_mktsegment <> 'MACHINERY'""",
     "state_key_override": """
         SELECT 'dw' AS datastore_name,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'urgent' ELSE o_orderpriority END AS database_name,
@@ -238,7 +241,8 @@ ORACLE: dict[str, str] = {
     "zero_date_default": _with(
         "dates_txt",
         """SELECT o_orderkey, d, CASE WHEN d IS NULL THEN NULL
-             ELSE coalesce(try_cast(d AS TIMESTAMP), TIMESTAMP '0001-01-01') END AS fixed FROM dates_txt""",
+             ELSE coalesce(strftime(try_cast(d AS TIMESTAMP), '%Y-%m-%d %H:%M:%S'), '0001-01-01 00:00:00') END AS fixed
+           FROM dates_txt""",
     ),
     "delete_using_staging": _with(
         "orders_tgt orders_stg",
@@ -278,7 +282,8 @@ ORACLE: dict[str, str] = {
     "orphan_keys": _with(
         "orders_tgt",
         """SELECT o_orderkey FROM orders_tgt t WHERE NOT EXISTS (
-             SELECT 1 FROM orders s WHERE s.o_orderkey % 11 <> 0 AND s.o_orderkey = t.o_orderkey)""",
+             SELECT 1 FROM orders s WHERE NOT (s.o_orderstatus = 'F' AND s.o_orderpriority = '1-URGENT')
+             AND s.o_orderkey = t.o_orderkey)""",
     ),
     "load_counts": _with(
         "lineitem_tgt lineitem_stg",
@@ -365,9 +370,9 @@ ORACLE: dict[str, str] = {
                'Zoe ' || c_name || '  cafe' AS c_note
         FROM customer""",
     "extract_metrics": f"""
-        SELECT CAST(ts AS DATE) AS day, count(*) AS row_count,
+        SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS row_count,
                CAST(sum({_bytes('event_id', 'user_id', 'event_type', 'props', 'CAST(ts AS DATE)')}) AS BIGINT) AS upload_size
-        FROM events GROUP BY CAST(ts AS DATE)""",
+        FROM events GROUP BY strftime(ts, '%Y-%m-%d')""",
     "extract_monitor": f"""
         SELECT 'SyncTable(alias=dw, database=sales, table=' || o_orderpriority || ')' AS task_id, 'SyncTable' AS class_name,
                count(*) > 0 AS output_exists, count(*) AS row_count,

@@ -94,10 +94,12 @@ def incremental_window(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def incremental_window_int(spark: SparkSession, sf: str) -> DataFrame:
+    """The upper half of the key range."""
     orders = d.table(spark, sf, "orders")
     key_type = orders.schema["o_orderkey"].dataType
-    new, old = bounds.index_literal("4200", key_type), bounds.index_literal("13", key_type)
-    return bounds.extract_window(orders, "o_orderkey", new, old)
+    middle = orders.agg(F.expr("(min(o_orderkey) + max(o_orderkey)) DIV 2").alias("index_value"))
+    new = bounds.index_scalar(bounds.high_water_mark(orders, "o_orderkey"), key_type)
+    return bounds.extract_window(orders, "o_orderkey", new, bounds.index_scalar(middle, key_type))
 
 
 @query
@@ -129,9 +131,9 @@ def custom_index_sql(spark: SparkSession, sf: str) -> DataFrame:
     d.table(spark, sf, "orders").createOrReplaceTempView("index_source")
     text = """
         SELECT max(CASE WHEN o_orderstatus = :table_open THEN o_orderkey END) AS index_value
-        FROM index_source WHERE o_orderkey > :index_old_index_value
+        FROM index_source WHERE o_orderdate > CAST(:index_old_index_value AS TIMESTAMP_NTZ)
     """
-    return sqltext.run_sql(spark, text, {"table_open": "O", "index_old_index_value": 13})
+    return sqltext.run_sql(spark, text, {"table_open": "O", "index_old_index_value": "1996-06-30 00:00:00.000000"})
 
 
 @query
@@ -142,10 +144,10 @@ def custom_sql_extract(spark: SparkSession, sf: str) -> DataFrame:
     text = """
         SELECT o.o_orderkey, o.o_orderdate, c.c_name, c.c_mktsegment
         FROM extract_orders o JOIN extract_customer c ON c.c_custkey = o.o_custkey
-        WHERE o.o_orderkey > :run_old_index_value AND o.o_orderkey <= :run_new_index_value
-          AND c.c_mktsegment <> :table_without
+        WHERE o.o_orderdate > CAST(:run_old_index_value AS TIMESTAMP_NTZ)
+          AND o.o_orderdate <= CAST(:run_new_index_value AS TIMESTAMP_NTZ) AND c.c_mktsegment <> :table_without
     """
-    values = {"run_old_index_value": 13, "run_new_index_value": 12000, "table_without": "MACHINERY"}
+    values = {"run_old_index_value": "1996-01-01", "run_new_index_value": "2000-12-31", "table_without": "MACHINERY"}
     return sqltext.run_sql(spark, text, values)
 
 
@@ -194,7 +196,7 @@ def money_cast(spark: SparkSession, sf: str) -> DataFrame:
 @query_named("zero_date_default")
 def zero_dates(spark: SparkSession, sf: str) -> DataFrame:
     dates = d.dates_txt(spark, sf)
-    return dates.select("o_orderkey", "d", zero_date_default(F.col("d")).alias("fixed"))
+    return dates.select("o_orderkey", "d", iso_timestamp(zero_date_default(F.col("d"))).alias("fixed"))
 
 
 # Load modes
@@ -278,7 +280,8 @@ def many_to_one_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def orphan_keys(spark: SparkSession, sf: str) -> DataFrame:
-    source = d.table(spark, sf, "orders").where("o_orderkey % 11 <> 0")
+    gone = "o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
+    source = d.table(spark, sf, "orders").where(f"NOT ({gone})")
     return load.orphan_keys(d.orders_tgt(spark, sf), source, ["o_orderkey"])
 
 
@@ -470,7 +473,8 @@ def normalize_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def extract_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    events = d.table(spark, sf, "events").select("event_id", "user_id", "event_type", "props", F.to_date("ts").alias("day"))
+    day = iso_date(F.to_date("ts")).alias("day")
+    events = d.table(spark, sf, "events").select("event_id", "user_id", "event_type", "props", day)
     return metrics.extract_metrics(events, "day")
 
 
