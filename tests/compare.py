@@ -55,7 +55,7 @@ def main() -> None:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
 
-    from tidemark.session import local_session
+    from tidemark.session import clear_scratch, local_session
 
     sf_dir, only = sys.argv[1], sys.argv[2:]
     spark, con = local_session("8"), oracle_connection(sf_dir)
@@ -71,6 +71,7 @@ def main() -> None:
             found = f"{type(e).__name__}: {str(e)[:900]}"
         failures += found is not None
         print(f"{name:28s} {time.time() - started:6.2f}s {found or 'ok'}", flush=True)
+    clear_scratch(spark)
     print(f"{failures} failures")
 
 

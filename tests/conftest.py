@@ -9,7 +9,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from tidemark.plans.publish import TargetStore  # noqa: E402
-from tidemark.session import local_session, scratch_dir  # noqa: E402
+from tidemark.session import clear_scratch, local_session, scratch_dir  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = local_session("8", shuffle_partitions=4, **{"spark.sql.warehouse.dir": warehouse})
     yield session
+    clear_scratch(session)
     session.stop()
 
 

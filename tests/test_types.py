@@ -137,3 +137,15 @@ def test_override_types(spark):
     assert got["a"].metadata == {"width": 5}
     assert got["b"].dataType == T.FloatType()
     assert got["c"].dataType == T.LongType() and not got["c"].nullable
+
+
+def test_postgres_type_column_agrees(spark):
+    names = ["int4", "varchar", "numeric", "text", "uuid", "money", "Enum1", "enum1", "decimal"]
+    rows = [(n, c, s, p, q) for n in names for c in ("c", "x") for s in (-1, 20) for p, q in ((10, 2), (60, 50), (5, 0))]
+    rows = [(n, c, s, *((p, q) if n in ("numeric", "decimal") else (None, None))) for n, c, s, p, q in rows]
+    overrides = {"Enum1": "varchar(15)", "numeric(10,2)": "real", "columns": {"c": "bigint"}}
+    frame = spark.createDataFrame(rows, "n string, c string, s int, p int, q int")
+    for given in (overrides, None):
+        target = ty.postgres_type_column(*[F.col(x) for x in "ncspq"], type_map=given)
+        for r in frame.withColumn("got", target).collect():
+            assert r.got == ty.postgres_type(r.n, r.c, r.s, r.p, r.q, given)

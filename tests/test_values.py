@@ -153,3 +153,17 @@ def test_normalize_row_keeps_types_unless_staged(spark):
     staged = f.normalize_row(frame, as_staged=True)
     assert tuple(staged.first()) == ("Zoe", 1, "1.50", "2024-01-01 00:00:00", "x", "[1, null]", True, 0.5, "2024-01-01")
     assert {x.dataType.simpleString() for x in staged.schema} == {"string", "bigint", "double", "boolean"}
+
+
+@pytest.fixture
+def time_type(spark):
+    """TIME columns are off by default."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    yield
+    spark.conf.unset("spark.sql.timeType.enabled")
+
+
+def test_times(spark, time_type):
+    row = spark.sql("SELECT time'10:11:12' AS a, time'10:11:12.5' AS b, CAST(NULL AS TIME) AS c")
+    assert tuple(row.select(*[f.iso_time(F.col(x)) for x in "abc"]).first()) == ("10:11:12", "10:11:12.500000", None)
+    assert tuple(f.normalize_row(row).first()) == ("10:11:12", "10:11:12.500000", None)

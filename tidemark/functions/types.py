@@ -181,6 +181,36 @@ def postgres_type(
     return str(overrides.get(sized, sized))
 
 
+def postgres_type_column(
+    source: Column,
+    column: Column,
+    size: Column,
+    precision: Column,
+    scale: Column,
+    type_map: Mapping[str, object] | None = None,
+) -> Column:
+    """:func:`postgres_type` over columns that describe one source column per row."""
+    overrides = {**POSTGRES_DEFAULTS, **lower_keys(type_map)}
+    by_column = overrides.pop("columns", {})
+
+    def replaced(name: Column, pairs: Mapping[str, object]) -> Column:
+        if not pairs:
+            return name
+        found = F.create_map(*[F.lit(str(x)) for pair in pairs.items() for x in pair])
+        return F.coalesce(F.try_element_at(found, name), name)
+
+    name = replaced(source, overrides)
+    exact = F.lower(name).isin("decimal", "numeric")
+    digits = F.when(exact, F.least(precision, F.lit(MAX_PRECISION))).otherwise(precision)
+    behind = F.when(exact, F.least(scale, F.lit(MAX_SCALE))).otherwise(scale)
+    numbers = F.concat_ws(",", F.when(digits != 0, digits.cast("string")), F.when(behind != 0, behind.cast("string")))
+    length = F.when(size > 0, size.cast("string")).otherwise(F.lit("max"))
+    sizes = F.when(name == "varchar", length).otherwise(numbers)
+    sized = F.when(sizes == "", name).otherwise(F.concat(name, F.lit("("), sizes, F.lit(")")))
+    own = F.try_element_at(F.create_map(*[F.lit(str(x)) for p in by_column.items() for x in p]), column) if by_column else None
+    return replaced(sized, overrides) if own is None else F.coalesce(own, replaced(sized, overrides))
+
+
 def staging_type(dialect: str, type_name: str) -> tuple[str, bool]:
     """The staging type of a source type, and whether it is a known one (others are staged as text)."""
     known_text = {

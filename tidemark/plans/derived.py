@@ -174,6 +174,26 @@ def mysql_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.replace(chosen, F.lit("%"), size).alias("source_type"))
 
 
+# Postgres types.
+POSTGRES_TYPE_NAMES = ("int4", "varchar", "numeric", "text", "uuid", "money", "jsonb", "mood", "timestamp", "decimal")
+
+
+def postgres_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One description of a Postgres column per part; every fourth size is unknown."""
+    names = F.array(*[F.lit(t) for t in POSTGRES_TYPE_NAMES])
+    source = F.element_at(names, (F.col("p_partkey") % len(POSTGRES_TYPE_NAMES) + 1).cast("int"))
+    exact = source.isin("numeric", "decimal")
+    size = F.col("p_size")
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        source.alias("source_type"),
+        F.col("p_type").alias("column_name"),
+        F.when(size % 4 == 0, F.lit(-1)).otherwise(size).alias("size"),
+        F.when(exact, size).alias("precision"),
+        F.when(exact, size % 7).alias("scale"),
+    )
+
+
 def acl_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-control string per customer: users, groups, the public; some are empty or malformed."""
     group, user = F.col("c_mktsegment"), F.col("c_custkey").cast("string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark.functions.types import MYSQL_RULES
 from tidemark.operators.acl import GRANTS
-from tidemark.plans.derived import MYSQL_TYPE_TEXTS
+from tidemark.plans.derived import MYSQL_TYPE_TEXTS, POSTGRES_TYPE_NAMES
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -109,6 +109,23 @@ def _mysql_type() -> str:
         FROM n"""
 
 
+def _postgres_type() -> str:
+    names = ", ".join(f"'{t}'" for t in POSTGRES_TYPE_NAMES)
+    return f"""
+        WITH t AS (SELECT p_partkey, ([{names}])[CAST(p_partkey % {len(POSTGRES_TYPE_NAMES)} + 1 AS INT)] AS source_type,
+                          p_type, CASE WHEN p_size % 4 = 0 THEN -1 ELSE p_size END AS size,
+                          least(p_size, 38) AS p, p_size % 7 AS s FROM part)
+        SELECT p_partkey, source_type, CASE WHEN p_type = 'PROMO' THEN 'varchar(99)'
+          WHEN source_type = 'numeric' AND p = 10 AND s = 3 THEN 'real'
+          WHEN source_type IN ('numeric', 'decimal')
+            THEN source_type || '(' || p || CASE WHEN s > 0 THEN ',' || s ELSE '' END || ')'
+          WHEN source_type = 'varchar' THEN 'varchar(' || CASE WHEN size > 0 THEN CAST(size AS VARCHAR) ELSE 'max' END || ')'
+          WHEN source_type IN ('text', 'jsonb') THEN 'varchar(max)' WHEN source_type = 'uuid' THEN 'char(36)'
+          WHEN source_type = 'money' THEN 'decimal(19,2)' WHEN source_type = 'mood' THEN 'varchar(15)'
+          ELSE source_type END AS target_type
+        FROM t"""
+
+
 def _grants() -> str:
     letters = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in GRANTS.items())
     return _with(
@@ -327,6 +344,7 @@ ORACLE: dict[str, str] = {
         ),
     ),
     "mysql_type_map": _mysql_type(),
+    "postgres_type_map": _postgres_type(),
     "type_override_cast": """
         SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
                CAST(l_quantity AS DECIMAL(12,2)) AS l_quantity, CAST(l_extendedprice AS DECIMAL(12,2)) AS l_extendedprice,

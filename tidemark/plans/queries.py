@@ -24,7 +24,7 @@ from tidemark.functions import (
     uuid_text,
     zero_date_default,
 )
-from tidemark.functions.types import mysql_type_column, override_types, staging_schema
+from tidemark.functions.types import mysql_type_column, override_types, postgres_type_column, staging_schema
 from tidemark.operators import acl, bounds, extract, layout, load, metrics, reconcile, rules
 from tidemark.plans import derived as d
 from tidemark.plans.publish import TargetStore
@@ -351,6 +351,17 @@ def mysql_type_map(spark: SparkSession, sf: str) -> DataFrame:
     return d.mysql_types(spark, sf).select("p_partkey", "source_type", target.alias("target_type"))
 
 
+# Overrides by name, by sized type, and by column.
+POSTGRES_OVERRIDES = {"mood": "varchar(15)", "numeric(10,3)": "real", "columns": {"PROMO": "varchar(99)"}}
+
+
+@query
+def postgres_type_map(spark: SparkSession, sf: str) -> DataFrame:
+    described = [F.col(c) for c in ("source_type", "column_name", "size", "precision", "scale")]
+    target = postgres_type_column(*described, type_map=POSTGRES_OVERRIDES)
+    return d.postgres_columns(spark, sf).select("p_partkey", "source_type", target.alias("target_type"))
+
+
 @query
 def type_override_cast(spark: SparkSession, sf: str) -> DataFrame:
     """Overrides by column, by type name, and to a text type that cuts."""

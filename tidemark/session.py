@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
+
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,6 +23,7 @@ SESSION_SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_scratch_dirs: list[str] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -58,7 +61,15 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared root; never handed out twice."""
-    return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    _scratch_dirs.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the folders that :func:`scratch_dir` has named in this process. Frames that read them end with it."""
+    while _scratch_dirs:
+        files.delete_folder(spark, _scratch_dirs.pop())
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
