@@ -18,16 +18,19 @@ INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 TIMESTAMP_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 
-def _with_six_digits(plain: Column) -> Column:
+# Lengths of ``yyyy-MM-dd HH:mm:ss.ffffff`` and ``HH:mm:ss.ffffff``.
+_STAMP = 26
+_TIME = 15
+
+
+def _with_six_digits(plain: Column, size: int) -> Column:
     """Spark trims trailing zeros of a fraction; a fraction here has none or six digits."""
-    whole_and_fraction = F.split(plain, r"\.")
-    fraction = F.rpad(F.try_element_at(whole_and_fraction, F.lit(2)), 6, "0")
-    return F.concat_ws(".", F.element_at(whole_and_fraction, 1), fraction)
+    return F.when(F.contains(plain, F.lit(".")), F.rpad(plain, size, "0")).otherwise(plain)
 
 
 def iso_timestamp(c: Column, zoned: bool = False) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with six digits of fraction when there is one, and the offset when zoned."""
-    text = F.when(c.isNotNull(), _with_six_digits(c.cast("string")))
+    text = _with_six_digits(c.cast("string"), _STAMP)
     return F.concat(text, F.date_format(c, "xxx")) if zoned else text
 
 
@@ -37,7 +40,7 @@ def iso_date(c: Column) -> Column:
 
 def iso_time(c: Column) -> Column:
     """A TIME value as ``HH:mm:ss``, with six digits of fraction when there is one."""
-    return F.when(c.isNotNull(), _with_six_digits(c.cast("string")))
+    return _with_six_digits(c.cast("string"), _TIME)
 
 
 def micros_time_of_day(micros: Column) -> Column:
@@ -94,8 +97,7 @@ def index_text(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, INTEGER_TYPES):
         return c.cast("string")
     if isinstance(data_type, TIMESTAMP_TYPES):
-        parts = F.split(c.cast("string"), r"\.")
-        fraction = F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
-        text = F.concat(F.element_at(parts, 1), F.lit("."), F.rpad(fraction, 6, "0"))
-        return F.when(c.isNotNull(), text)
+        plain = c.cast("string")
+        whole = F.when(F.contains(plain, F.lit(".")), plain).otherwise(F.concat(plain, F.lit(".")))
+        return F.rpad(whole, _STAMP, "0")
     raise TypeError(f"an index column must be an integer or a timestamp, not {data_type.simpleString()}")

@@ -13,12 +13,16 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def clustered(df: DataFrame, by: Sequence[str] = (), sort_keys: Sequence[str] = ()) -> DataFrame:
+def clustered(
+    df: DataFrame, by: Sequence[str] = (), sort_keys: Sequence[str] = (), partitions: int | None = None
+) -> DataFrame:
     """Bring rows with equal ``by`` values together and sort within each task.
 
     Rebalancing, unlike a plain repartition, lets AQE split a value that holds too many rows and merge small ones.
+    ``partitions`` is the number to start from, by default the session's.
     """
-    placed = df.hint("rebalance", *[F.col(f"`{c}`") for c in by]) if by else df
+    first = [partitions] if partitions else []
+    placed = df.hint("rebalance", *first, *[F.col(f"`{c}`") for c in by]) if by else df
     return placed.sortWithinPartitions(*[f"`{c}`" for c in sort_keys]) if sort_keys else placed
 
 

@@ -185,9 +185,13 @@ class TargetStore:
         return (Part(relative),)
 
     def _by_bucket(self, rows: DataFrame, keys: Sequence[str], buckets: int, together: bool) -> DataFrame:
-        """Add the bucket; bring its rows together if asked to. AQE splits a bucket that is too large for one task."""
+        """Add the bucket; bring its rows together if asked to.
+
+        There is one shuffle partition per bucket, so that a task writes few folders. AQE splits a bucket that is too
+        large for one task, and merges small ones.
+        """
         labelled = rows.withColumn(BUCKET, bucket_of(keys, buckets))
-        return clustered(labelled, [BUCKET]) if together else labelled
+        return clustered(labelled, [BUCKET], partitions=buckets) if together else labelled
 
     def _write_buckets(self, table: str, run_id: str, rows: DataFrame, sort_keys: Sequence[str]) -> tuple[Part, ...]:
         relative = f"data/run_id={run_id}"
