@@ -63,8 +63,9 @@ def table_comment(spark: SparkSession, spec: SyncSpec) -> str | None:
     if spec.query_file:
         return None
     if source.kind == "table":
-        return spark.catalog.getTable(qualified(source, spec.source_table)).description
-    if sql := jdbc.table_comment_query(source.kind, spec.source_table):
+        name = qualified(source, spec.source_table)
+        return spark.catalog.getTable(name).description if spark.catalog.tableExists(name) else None
+    if source.kind in DIALECTS and (sql := jdbc.table_comment_query(source.kind, spec.source_table)):
         return jdbc.read(spark, jdbc.query_options(source, sql)).first()[0]
     return None
 
