@@ -120,3 +120,22 @@ def test_state_key_override(spark):
     rows = log(spark, [("t", "1", 1)])
     overrides = spark.createDataFrame([("b", "common"), ("x", None)], "database_name string, override_database string")
     assert b.override_state_key(rows, overrides).first().database_name == "common"
+
+
+def test_state_of_one_table(spark):
+    rows = log(spark, [("t", "1", 1), ("u", "2", 2)])
+    assert [r.index_value for r in b.state_for(rows, ("d", "b", "u")).collect()] == ["2"]
+    assert b.state_for(rows, ("x", "b", "u")).count() == 0
+
+
+def test_window_plan_without_history_is_a_first_load(spark):
+    rows = log(spark, [("t", "1", 1), ("t", "5", 2)])
+    marks = spark.createDataFrame([("t", "9"), ("u", "3")], "table_name string, index_value string")
+    got = {r.table_name: tuple(r)[1:] for r in b.window_plan(rows, marks, 1).collect()}
+    assert got == {"t": ("incremental", "5", "1", "1", "9"), "u": ("first_load", None, None, None, "3")}
+
+
+def test_least_values_keep_the_first_row(spark):
+    rows = spark.createDataFrame([("a", -(2**63)), ("a", 5)], "t string, i bigint")
+    limits = spark.createDataFrame([("a", None, "9")], "table_name string, lower_value string, index_value string")
+    assert b.extract_windows(rows, "t", "i", limits).count() == 2

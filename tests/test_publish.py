@@ -179,6 +179,34 @@ def test_version_text_round_trip():
     assert Version.from_text(version.to_text()) == version
 
 
+def test_outgrown_buckets_are_split(spark, store):
+    small = TargetStore(spark, store.root, bucket_bytes=2000)
+    spec = replace(SPEC, buckets=None)
+    source(spark, range(4))
+    sync_table(spark, spec, small)
+    counts = [small.latest(spec.target).buckets]
+    for n in (6000, 6100, 6200):
+        source(spark, range(n))
+        sync_table(spark, spec, small)
+        counts.append(small.latest(spec.target).buckets)
+    assert counts[0] < 4 and counts[-1] > 4 * counts[0]
+    assert values(small) == list(range(6200))
+
+
+def test_key_range_reaches_the_scan(spark, store):
+    from conftest import plan_text
+    from tidemark.operators.load import matching, near_keys
+
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(100)], "id bigint, v string")
+    rows.write.parquet(f"{store.root}/rows")
+    rows.where("id BETWEEN 40 AND 50").select("id").write.parquet(f"{store.root}/keys")
+    live, keys = spark.read.parquet(f"{store.root}/rows"), spark.read.parquet(f"{store.root}/keys")
+    found = matching(near_keys(live, keys, ["id"]), keys, ["id"])
+    plan = plan_text(found)
+    assert "GreaterThanOrEqual(id,ScalarSubquery" in plan and "LessThanOrEqual(id,ScalarSubquery" in plan
+    assert found.count() == 11
+
+
 def test_append_then_upsert_rewrites_into_buckets(spark, store):
     appended = SyncSpec(SPEC.source, SPEC.source_table, "t", index_column="id", append_only=True)
     source(spark, range(5))

@@ -111,3 +111,8 @@ def test_state_key_override():
 )
 def test_target_status(source, target, dropped, rebuild, status):
     assert target_status(set(source), set(target), set(dropped), rebuild) == status
+
+
+def test_unknown_kind_of_source():
+    with pytest.raises(SpecError):
+        SourceSpec("a", "b", "oracle")

@@ -8,7 +8,7 @@ AQE is off, ``salt`` spreads every key over that many partitions instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +61,20 @@ def matching(target: DataFrame, matches: DataFrame, keys: Sequence[str], salt: i
     return _matched(target, matches, keys, "left_semi", salt)
 
 
+def near_keys(target: DataFrame, matches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows between the least and the greatest of the keys, column by column.
+
+    The bounds are subqueries whose values reach the scan, so that row groups of other ranges are skipped. Use it where
+    only matching rows matter and ``matches`` is written.
+    """
+    def bound(aggregate: Callable[[str], Column], key: str) -> Column:
+        return matches.agg(aggregate(key)).scalar()
+
+    for key in keys:
+        target = target.where((F.col(key) >= bound(F.min, key)) & (F.col(key) <= bound(F.max, key)))
+    return target
+
+
 def insert_all(target: DataFrame, staging: DataFrame) -> DataFrame:
     """All rows of both, duplicates kept; staged columns are matched by name and others are ignored."""
     return target.unionByName(staging.select(*target.columns))

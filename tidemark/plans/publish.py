@@ -34,6 +34,8 @@ BUCKET_BYTES = 1 << 30
 MAX_BUCKETS = 20_000
 # A bucket with this many folders is merged by the next load that adds to it.
 MAX_FOLDERS = 16
+# Buckets that are this many times larger than intended are split.
+MAX_GROWTH = 4
 # Staged keys within both limits are sent to every executor; more of them are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
@@ -244,10 +246,13 @@ class TargetStore:
         """Write a version with the staged rows in place of those with their keys.
 
         ``matches`` are the distinct staged keys, ``inserted`` is the number of staged rows and ``size`` their bytes.
-        Returns the version and the number of rows it deletes.
+        Returns the version and the number of rows it deletes. A table that has outgrown its buckets, unless their
+        number is given, is written anew with more of them.
         """
         found = F.broadcast(matches.rows) if matches.small else matches.rows
-        if not (base.buckets and base.keys == tuple(keys) and all(p.bucket is not None for p in base.parts)):
+        placed = base.buckets and base.keys == tuple(keys) and all(p.bucket is not None for p in base.parts)
+        outgrown = buckets is None and base.size > MAX_GROWTH * self.bucket_bytes * (base.buckets or 1)
+        if not placed or outgrown:
             live = self.read(table, base)
             version = self.replace(
                 table, run_id, load.upsert(live, staged, keys, matches=found), "upsert", keys, buckets,
@@ -259,7 +264,11 @@ class TargetStore:
         # At most one row per bucket of the table.
         reached = {r[0] for r in staged.select(bucket_of(keys, base.buckets)).distinct().collect()}
         near = [p for p in base.parts if p.bucket in reached]
-        lost = self.hits(table, base, near, lambda live: load.matching(live.select(*keys, PART), found, keys))
+
+        def doomed(live: DataFrame) -> DataFrame:
+            return load.matching(load.near_keys(live.select(*keys, PART), matches.rows, keys), found, keys)
+
+        lost = self.hits(table, base, near, doomed)
         version = self._rewrite(
             table, run_id, base, lost, near, lambda live: load.delete_matching(live, found, keys, distinct=False),
             staged, "upsert", shuffle=not matches.small, size=size, sort_keys=sort_keys, batches=batches,

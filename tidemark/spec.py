@@ -39,6 +39,10 @@ class SourceSpec:
     data: Mapping[str, Any] = field(default_factory=dict)
     enabled: bool = True
 
+    def __post_init__(self) -> None:
+        if self.kind not in (*DIALECTS, "parquet", "table"):
+            raise SpecError(f"{self.alias}: unknown kind of source {self.kind}")
+
 
 @dataclass(frozen=True)
 class SyncSpec:
