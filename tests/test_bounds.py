@@ -139,3 +139,10 @@ def test_least_values_keep_the_first_row(spark):
     rows = spark.createDataFrame([("a", -(2**63)), ("a", 5)], "t string, i bigint")
     limits = spark.createDataFrame([("a", None, "9")], "table_name string, lower_value string, index_value string")
     assert b.extract_windows(rows, "t", "i", limits).count() == 2
+
+
+def test_common_bounds_of_many_tables_reach_the_scan(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    plan = plan_text(entry.queries()["lookback_window"](spark, sf_dir))
+    assert "LessThanOrEqual(ts,ScalarSubquery" in plan and "GreaterThanOrEqual(ts,ScalarSubquery" in plan

@@ -194,16 +194,21 @@ def test_outgrown_buckets_are_split(spark, store):
 
 
 def test_key_range_reaches_the_scan(spark, store):
-    from conftest import plan_text
-    from tidemark.operators.load import matching, near_keys
+    from datetime import datetime
 
-    rows = spark.createDataFrame([(i, f"v{i}") for i in range(100)], "id bigint, v string")
-    rows.write.parquet(f"{store.root}/rows")
-    rows.where("id BETWEEN 40 AND 50").select("id").write.parquet(f"{store.root}/keys")
-    live, keys = spark.read.parquet(f"{store.root}/rows"), spark.read.parquet(f"{store.root}/keys")
-    found = matching(near_keys(live, keys, ["id"]), keys, ["id"])
+    from conftest import plan_text
+    from tidemark.operators.load import key_bounds, within
+
+    rows = [(i, f"v{i:03d}", datetime(2024, 1, 1 + i % 9), b"x", i > 3) for i in range(100)]
+    schema = "id bigint, v string, t timestamp_ntz, b binary, k boolean"
+    spark.createDataFrame(rows, schema).write.parquet(f"{store.root}/rows")
+    live = spark.read.parquet(f"{store.root}/rows")
+    keys = live.where("id BETWEEN 40 AND 50")
+    names = ["id", "v", "t", "b", "k"]
+    found = within(live, key_bounds(keys, names).first(), names)
     plan = plan_text(found)
-    assert "GreaterThanOrEqual(id,ScalarSubquery" in plan and "LessThanOrEqual(id,ScalarSubquery" in plan
+    assert "GreaterThanOrEqual(id,40), LessThanOrEqual(id,50), GreaterThanOrEqual(v,v040), LessThanOrEqual(v,v050)" in plan
+    assert "GreaterThanOrEqual(t,2024-01-01T00:00)" in plan
     assert found.count() == 11
 
 

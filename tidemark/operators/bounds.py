@@ -128,8 +128,10 @@ def extract_windows(df: DataFrame, table_column: str, index_column: str, bounds:
     )
     # A table without a lower bound takes the common one down to the least value of the type.
     least = F.lit(LEAST[data_type.typeName()]).cast(data_type)
-    span = typed.agg(F.min(F.coalesce("_lower", least)).alias("lo"), F.max("_upper").alias("hi"))
-    pruned = df.where((index <= span.select("hi").scalar()) & (index >= span.select("lo").scalar()))
+    # Two aggregates of one frame would be merged into a struct, whose fields do not push down; these two are not alike.
+    highest = typed.agg(F.max("_upper")).scalar()
+    lowest = typed.select(F.coalesce("_lower", least).alias("lo")).orderBy("lo").limit(1).scalar()
+    pruned = df.where((index <= highest) & (index >= lowest))
     matched = pruned.join(typed, pruned[table_column] == typed["_table"])
     inside = (index <= F.col("_upper")) & (F.col("_lower").isNull() | (index > F.col("_lower")))
     return matched.where(inside).select(*df.columns)

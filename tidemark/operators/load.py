@@ -8,13 +8,15 @@ AQE is off, ``salt`` spreads every key over that many partitions instead.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SALT = "_salt"
 _HASH = "_hash"
+_EXACT_TEXT = (T.IntegralType, T.StringType, T.DateType, T.TimestampNTZType, T.DecimalType)
 
 
 def staged_keys(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,17 +63,24 @@ def matching(target: DataFrame, matches: DataFrame, keys: Sequence[str], salt: i
     return _matched(target, matches, keys, "left_semi", salt)
 
 
-def near_keys(target: DataFrame, matches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows between the least and the greatest of the keys, column by column.
+def key_bounds(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The number of keys and, as texts, the least and the greatest value of each key column: one row."""
+    texts = [agg(k).cast("string").alias(f"{name}_{k}") for k in keys for name, agg in (("min", F.min), ("max", F.max))]
+    return matches.agg(F.count(F.lit(1)).alias("n"), *texts)
 
-    The bounds are subqueries whose values reach the scan, so that row groups of other ranges are skipped. Use it where
-    only matching rows matter and ``matches`` is written.
-    """
-    def bound(aggregate: Callable[[str], Column], key: str) -> Column:
-        return matches.agg(aggregate(key)).scalar()
 
+def within(target: DataFrame, found: Row, keys: Sequence[str]) -> DataFrame:
+    """Target rows between the bounds of :func:`key_bounds`, column by column.
+
+    The bounds become literals that reach the scan, so that row groups of other ranges are skipped. Only types whose
+    text says everything about a value take part.
+    """
     for key in keys:
-        target = target.where((F.col(key) >= bound(F.min, key)) & (F.col(key) <= bound(F.max, key)))
+        data_type = target.schema[key].dataType
+        if not isinstance(data_type, _EXACT_TEXT) or found[f"min_{key}"] is None:
+            continue
+        least, greatest = (F.lit(found[f"{name}_{key}"]).cast(data_type) for name in ("min", "max"))
+        target = target.where((F.col(key) >= least) & (F.col(key) <= greatest))
     return target
 
 

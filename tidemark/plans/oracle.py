@@ -205,7 +205,7 @@ ORACLE: dict[str, str] = {
            AND ts <= (SELECT index_ts FROM run_log WHERE rn = 1)""",
     ),
     "incremental_window_int": """
-        SELECT * FROM orders WHERE o_orderkey > (SELECT (min(o_orderkey) + max(o_orderkey)) // 2 FROM orders)
+        SELECT * FROM orders WHERE o_orderkey > (SELECT (min(l_orderkey) + max(l_orderkey)) // 2 FROM lineitem)
         AND o_orderkey <= (SELECT max(o_orderkey) FROM orders)""",
     "first_load_window": _with(
         "run_log", "SELECT * FROM events WHERE ts <= (SELECT index_ts FROM run_log WHERE rn = 3)"

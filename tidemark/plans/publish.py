@@ -20,7 +20,7 @@ from collections.abc import Callable, Collection, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,15 +52,15 @@ class Part:
 
 @dataclass(frozen=True)
 class Written:
-    """Keys that were written and read back, so that their number and bytes are known."""
+    """Distinct keys that were written and read back, so that their number, bounds and bytes are known."""
 
     rows: DataFrame
-    count: int
+    bounds: Row
     size: int
 
     @property
     def small(self) -> bool:
-        return self.count <= BROADCAST_ROWS and self.size <= BROADCAST_BYTES
+        return self.bounds["n"] <= BROADCAST_ROWS and self.size <= BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -266,7 +266,7 @@ class TargetStore:
         near = [p for p in base.parts if p.bucket in reached]
 
         def doomed(live: DataFrame) -> DataFrame:
-            return load.matching(load.near_keys(live.select(*keys, PART), matches.rows, keys), found, keys)
+            return load.matching(load.within(live.select(*keys, PART), matches.bounds, keys), found, keys)
 
         lost = self.hits(table, base, near, doomed)
         version = self._rewrite(

@@ -94,10 +94,16 @@ def incremental_window(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def incremental_window_int(spark: SparkSession, sf: str) -> DataFrame:
-    """The upper half of the key range."""
+    """Orders above the middle of the keys that line items refer to.
+
+    Bounds of two tables are two subqueries. Those of one table would be merged into a struct, whose fields do not push
+    down.
+    """
     orders = d.table(spark, sf, "orders")
     key_type = orders.schema["o_orderkey"].dataType
-    middle = orders.agg(F.expr("(min(o_orderkey) + max(o_orderkey)) DIV 2").alias("index_value"))
+    middle = d.table(spark, sf, "lineitem").agg(
+        F.expr("(min(l_orderkey) + max(l_orderkey)) DIV 2").alias("index_value")
+    )
     new = bounds.index_scalar(bounds.high_water_mark(orders, "o_orderkey"), key_type)
     return bounds.extract_window(orders, "o_orderkey", new, bounds.index_scalar(middle, key_type))
 

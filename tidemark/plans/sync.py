@@ -337,7 +337,8 @@ def write_version(
     load.staged_keys(rows, keys).write.parquet(f"{staged.folder}/keys")
     key_schema = T.StructType([staged.schema[k] for k in keys])
     back = spark.read.schema(key_schema).parquet(f"{staged.folder}/keys")
-    matches = Written(back, back.count(), files.folder_bytes(spark, f"{staged.folder}/keys"))
+    found = load.key_bounds(back, keys).first()
+    matches = Written(back, found, files.folder_bytes(spark, f"{staged.folder}/keys"))
     return store.upsert(
         target, run_id, base, rows, matches, keys, staged.count, staged.size, spec.buckets, spec.sort_keys, done
     )
