@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.load import staged_keys
-from tidemark.plans.publish import BUCKET, TargetStore, Version
+from tidemark.plans.publish import BUCKET, ConcurrentRun, TargetStore, Version
 from tidemark.plans.state import StateLog
 from tidemark.plans.sync import sync_table
 from tidemark.sources import files
@@ -102,7 +102,7 @@ def test_scoped_refresh_rewrites_only_folders_with_such_rows(spark, store):
     base = store.latest(SPEC.target)
     staged = spark.createDataFrame([(100, "new")], base.struct)
     version, deleted = store.replace_where(SPEC.target, store.new_run_id(SPEC.target), base, staged, F.expr("id = 55"))
-    store.publish(SPEC.target, version)
+    store.publish(SPEC.target, version, base)
     assert deleted == 1 and len(set(base.parts) - set(version.parts)) == 1
     assert values(store) == [i for i in range(60) if i != 55] + [100]
 
@@ -144,6 +144,18 @@ def test_old_versions_stay_readable_until_cleaned_up(spark, store):
     assert len(files.names(spark, f"{store.folder(SPEC.target)}/data")) == 1
 
 
+def test_a_second_writer_is_refused(spark, store):
+    source(spark, range(10))
+    sync_table(spark, SPEC, store)
+    base = store.latest(SPEC.target)
+    mine = store.append(SPEC.target, store.new_run_id(SPEC.target), base, store.read(SPEC.target))
+    source(spark, range(12))
+    sync_table(spark, SPEC, store)
+    with pytest.raises(ConcurrentRun):
+        store.publish(SPEC.target, mine, base)
+    assert values(store) == list(range(12))
+
+
 def test_stage_is_removed_after_the_load(spark, store):
     source(spark, range(10))
     sync_table(spark, SPEC, store)

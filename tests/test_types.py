@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import types as ty
 
+# MySQL types and their target types.
 MYSQL = {
     "TINYINT(1)": "smallint",
     "TINYINT(2)": "smallint",

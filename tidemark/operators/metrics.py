@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns of the monitor tables.
 EXTRACT_MONITOR = (
     "task_id STRING NOT NULL, class_name STRING NOT NULL, task_date_params STRING, task_other_params STRING, "
     "start_dt TIMESTAMP_NTZ NOT NULL, end_dt TIMESTAMP_NTZ, run_time_sec INT, manifest_path STRING, "

@@ -42,6 +42,10 @@ BROADCAST_BYTES = 64 << 20
 _STAMP = "%Y%m%dT%H%M%S%f"
 
 
+class ConcurrentRun(RuntimeError):
+    """A table has two writers. The later of two runs is refused; its rows and index value do not count."""
+
+
 @dataclass(frozen=True)
 class Part:
     """One folder of a version: its path below the table's folder, and its bucket if it has one."""
@@ -202,9 +206,11 @@ class TargetStore:
         folders = [n for n in files.names(self.spark, path) if n.startswith(f"{BUCKET}=")]
         return tuple(Part(f"{relative}/{n}", int(n.split("=")[1])) for n in folders)
 
-    def publish(self, table: str, version: Version) -> Version:
-        path = f"{self.folder(table)}/_published/{version.run_id}"
-        files.write_text_once(self.spark, path, version.to_text())
+    def publish(self, table: str, version: Version, base: Version | None) -> Version:
+        """Make a version the live one. ``base`` is the version it was made from; another run must not have come first."""
+        if self.published(table)[-1:] != ([base.run_id] if base else []):
+            raise ConcurrentRun(f"{table} was published by another run; {version.run_id} is void")
+        files.write_text_once(self.spark, f"{self.folder(table)}/_published/{version.run_id}", version.to_text())
         return version
 
     def replace(
@@ -229,7 +235,7 @@ class TargetStore:
         """An empty table, published at once: there is no data that could be half written."""
         text = json.dumps(schema.jsonValue())
         count = (buckets or 1) if keys else None
-        return self.publish(table, Version(run_id, "create", text, tuple(keys), count, (), 0, {}, comment))
+        return self.publish(table, Version(run_id, "create", text, tuple(keys), count, (), 0, {}, comment), None)
 
     def append(self, table: str, run_id: str, base: Version, rows: DataFrame, distribution_key: str | None = None,
                sort_keys: Sequence[str] = (), batches: dict[str, int] | None = None) -> Version:
@@ -326,7 +332,7 @@ class TargetStore:
             table, run_id, self.read(table, base), "compact", base.keys, None, base.size, sort_keys=sort_keys,
             schema=base.struct, batches=base.batches, comment=base.comment,
         )
-        return self.publish(table, version)
+        return self.publish(table, version, base)
 
     def run_bytes(self, table: str, run_id: str) -> int:
         return files.folder_bytes(self.spark, f"{self.folder(table)}/data/run_id={run_id}")

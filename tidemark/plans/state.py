@@ -16,6 +16,7 @@ from tidemark.plans.publish import TargetStore
 from tidemark.session import text_rows
 from tidemark.sources import files
 
+# The columns of the state log; the last two tell which run a row belongs to.
 STATE = (
     "datastore_name STRING NOT NULL, database_name STRING NOT NULL, table_name STRING NOT NULL, "
     "index_value STRING NOT NULL, created_ts TIMESTAMP_NTZ, run_id STRING, target STRING"

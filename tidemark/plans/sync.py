@@ -249,7 +249,7 @@ def sync_table(
             deleted, staged.size,
         )
         append_monitor(store, "load", staged.run_id, row)
-    store.publish(spec.target, version)
+    store.publish(spec.target, version, base)
     if staged.version is None:
         files.delete_folder(spark, staged.folder)
     return replace(

@@ -50,7 +50,7 @@ def load_batch(spark: SparkSession, spec: SyncSpec, store: TargetStore, rows: Da
     staged = land(spark, store, spec, normal, schema, spec.mode, base, keys, batches)
     if staged.count:
         version, _ = write_version(spark, spec, store, spec.mode, base, staged, keys, batches=batches)
-        store.publish(spec.target, version)
+        store.publish(spec.target, version, base)
     if staged.version is None or not staged.count:
         files.delete_folder(spark, staged.folder)
 
