@@ -195,10 +195,7 @@ def sync_table(
     started = now or datetime.now(timezone.utc).replace(tzinfo=None)
     state = StateLog(store)
     base = store.latest(spec.target)
-    if base is None:
-        mode = "rebuild" if spec.rebuild else spec.mode
-    else:
-        mode = spec.mode
+    mode = spec.mode
 
     table = None if spec.query_file else reader.read_table(spark, spec)
     bounds = resolve_bounds(spark, spec, state, table)
