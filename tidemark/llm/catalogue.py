@@ -4,15 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, lines, quality, simhash
+from tidemark.llm import counting, decontaminate, huffman, lines, packing, quality, simhash
 from tidemark.llm.common import table
+from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = counting.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_fingerprint(F.col("bits")).alias("fingerprint"), "component_id")
@@ -23,6 +34,12 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
+def op6_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "huffman")
+    huffman.write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return huffman.read_ids(spark, folder)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -43,5 +60,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 CATALOGUE: dict[str, Query] = {
     f.__name__: f
-    for f in (op4_simhash_near_dedup, op5_quality_cascade, op7_line_dedup, op10_benchmark_decontamination)
-}
+    for f in (
+        op2_token_counts,
+        op3_harmonic_packing,
+        op4_simhash_near_dedup,
+        op5_quality_cascade,
+        op6_huffman_ids,
+        op7_line_dedup,
+        op10_benchmark_decontamination,
+    )
+}
