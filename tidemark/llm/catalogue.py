@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import counting, decontaminate, huffman, lines, packing, quality, simhash
+from tidemark.llm import counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % toxicity.FOLDS == 0
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = counting.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -45,6 +58,30 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.sort_array(F.array_distinct(F.transform("found", lambda x: x["license"])))
+    return found.select(
+        "doc_id",
+        "n_blocks",
+        F.size("found").cast("long").alias("n_found"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_min(F.transform("found", lambda x: x["start"])).cast("long").alias("first_start"),
+    )
+
+
+def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica that has one byte changed in some records and lacks others, as their place's hash decides."""
+    pages = table(spark, sf_dir, "pages")
+    good = warc.archive(pages, scratch_dir(spark, "warc"))
+    luck = F.pmod(F.xxhash64("file", "offset"), F.lit(500))
+    spoilt = F.concat(F.expr("substring(record, 1, octet_length(record) - 5)"), F.lit(b"?"), F.expr("substring(record, -4)"))
+    replica = good.where(luck != 1).withColumn("record", F.when(luck == 0, spoilt).otherwise(F.col("record")))
+    folder = scratch_dir(spark, "warc-replica")
+    replica.write.option("compression", "zstd").parquet(folder)
+    return warc.fixity(spark, good, spark.read.schema(good.schema).parquet(folder))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = decontaminate.scan(documents, table(spark, sf_dir, "benchmark"))
@@ -61,12 +98,15 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 CATALOGUE: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_token_counts,
         op3_harmonic_packing,
         op4_simhash_near_dedup,
         op5_quality_cascade,
         op6_huffman_ids,
         op7_line_dedup,
+        op8_license_scan,
+        op9_warc_fixity,
         op10_benchmark_decontamination,
     )
 }
