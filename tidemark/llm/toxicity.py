@@ -13,7 +13,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ MAX_TERMS, MIN_Z, MIN_ODDS = 50_000, 4.0, 1.0
 PRIOR = 0.1
 #: Lengths of the beginnings of words that are terms too.
 STEMS = (5, 4)
-#: What a word that is no term costs.
+#: What a word that is no term costs at least; in a clean text, scores have to sink on the average.
 COST = 0.1
 #: Segments are reported as passages up to this expected number in a clean text of the same length.
 MAX_EXPECTED = 0.05
@@ -54,6 +54,7 @@ class Model:
 
     terms: Mapping[str, float]
     scale: float
+    cost: float = COST
     slope: float = 1.0
     level: float = 0.0
 
@@ -62,7 +63,7 @@ class Model:
         for term in (word, *(word[:n] + "*" for n in STEMS if len(word) > n)):
             if term in self.terms:
                 return self.terms[term]
-        return -COST
+        return -self.cost
 
     def evidence(self, best: float, n_words: int) -> float:
         """How far, on the scale of extreme values, a best segment lies beyond what a clean text of this length holds."""
@@ -132,12 +133,12 @@ def _sample(labels: DataFrame, id_col: str, label_col: str) -> dict:
     return found
 
 
-def _terms(counts: DataFrame) -> tuple[dict[str, float], float]:
-    """Scores of the significant terms, and the scale of extreme values of clean texts."""
+def _terms(counts: DataFrame) -> Model:
+    """Scores of the significant terms, what other words cost, and the scale of extreme values of clean texts."""
     sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "toxic", "clean")]).first()
     prior = PRIOR * (sums["toxic"] + sums["clean"])
     if not sums["toxic"] or not sums["clean"]:
-        return {}, 1.0
+        return Model({}, 1.0)
     stems = [
         counts.where(F.length("word") > n)
         .groupBy(F.concat(F.substring("word", 1, n), F.lit("*")).alias("word"))
@@ -155,15 +156,16 @@ def _terms(counts: DataFrame) -> tuple[dict[str, float], float]:
         (clean / (sums["clean"] + prior)).alias("share"),
     )
     rows = weighed.where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).orderBy(F.desc("z"), "word").limit(MAX_TERMS).collect()
-    shares, odds = np.array([r["share"] for r in rows]), np.array([r["odds"] for r in rows])
+    shares, odds = (np.array([r[c] for r in rows], float) for c in ("share", "odds"))
     # The scale at which exp(scale * score) has the mean one over clean words: there, best segments are extreme values.
-    rest = max(1e-9, 1 - shares.sum()) if len(rows) else 1.0
+    rest = max(1e-9, 1 - float(shares.sum()))
+    cost = max(COST, 2 * float((shares * odds).sum()) / rest)
     low, high = 1e-3, 50.0
     for _ in range(100):
         scale = (low + high) / 2
-        mean = rest * math.exp(-COST * scale) + float((shares * np.exp(np.minimum(700, scale * odds))).sum())
+        mean = rest * math.exp(-cost * scale) + float((shares * np.exp(np.minimum(700, scale * odds))).sum())
         low, high = (scale, high) if mean < 1 else (low, scale)
-    return {r["word"]: float(r["odds"]) for r in rows}, (low if rows else 1.0)
+    return Model({r["word"]: float(r["odds"]) for r in rows}, low if rows else 1.0, cost)
 
 
 def _calibrated(model: Model, evidence: np.ndarray, labels: np.ndarray) -> Model:
@@ -179,7 +181,7 @@ def _calibrated(model: Model, evidence: np.ndarray, labels: np.ndarray) -> Model
         w = w + np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-8:
             break
-    return Model(model.terms, model.scale, max(float(w[0]), 1e-6), float(w[1]))
+    return replace(model, slope=max(float(w[0]), 1e-6), level=float(w[1]))
 
 
 class _Scores(dict):
@@ -231,7 +233,7 @@ def _scored(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFr
     from pyspark.sql.types import StructType
 
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.scale, model.slope, model.level))
+    shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.scale, model.cost, model.slope, model.level))
     made = StructType().add("doc_id", rows.schema["doc_id"].dataType).add("evidence", "double").add("score", "double")
     made.add("passages", _passage_type())
     arrow = to_arrow_schema(made)
@@ -258,9 +260,8 @@ def fit(
     shared = spark.sparkContext.broadcast(sample)
     counted = rows.mapInArrow(lambda batches: _counts(batches, shared), "word string, n long, toxic long, clean long")
     counts = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "clean")])
-    terms, scale = _terms(written(counts, "words"))
-    model = Model(terms, scale)
-    if not terms:
+    model = _terms(written(counts, "words"))
+    if not model.terms:
         return model
     ids = spark.createDataFrame(list(sample.items()), f"id {rows.schema['doc_id'].dataType.simpleString()}, label int")
     labelled = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("doc_id", "text")
