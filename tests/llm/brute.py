@@ -95,3 +95,32 @@ def decontaminate(docs, items, size: int = 10) -> dict[int, tuple]:
                     found |= windows[tuple(words[i : i + n])]
         out[doc] = (len(words), len(hit), len(found), sha(",".join(sorted(found))), bool(hit))
     return out
+
+
+def kept(text: str | None) -> bool:
+    """The verdict of all quality rules."""
+    n, chars, symbols, dup, _, failed = quality(text)
+    if failed:
+        return False
+    words, lines = WORD.findall(text), [x.strip(" \t\n\x0b\x0c\r") for x in text.split("\n") if WORD.search(x)]
+    return (
+        2 * n <= chars <= 12 * n
+        and 10 * symbols <= n
+        and 2 * dup <= len(lines)
+        and sum(x[0] in "-*•" for x in lines) <= 0.9 * len(lines)
+        and sum(x.endswith(("...", "…")) for x in lines) <= 0.3 * len(lines)
+        and sum(any(c.isalpha() for c in w) for w in words) >= 0.8 * n
+        and sum(w == w.upper() and w != w.lower() for w in words) <= 0.5 * n
+    )
+
+
+def without_lines(docs: list[tuple[int, str | None]]) -> list[tuple[int, str]]:
+    """The texts that line dedup leaves."""
+    holders = defaultdict(set)
+    for doc, text in docs:
+        for line in text.split("\n"):
+            holders[line.strip(" \t\n\x0b\x0c\r").translate(UPPER)].add(doc)
+    gone = {k: max(d) for k, d in holders.items() if len(k) >= 20 and len(d) >= 3}
+    return [
+        (d, "\n".join(x for x in t.split("\n") if gone.get(x.strip(" \t\n\x0b\x0c\r").translate(UPPER), d) == d)) for d, t in docs
+    ]
