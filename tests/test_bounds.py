@@ -122,10 +122,20 @@ def test_state_key_override(spark):
     assert b.override_state_key(rows, overrides).first().database_name == "common"
 
 
-def test_state_of_one_table(spark):
-    rows = log(spark, [("t", "1", 1), ("u", "2", 2)])
-    assert [r.index_value for r in b.state_for(rows, ("d", "b", "u")).collect()] == ["2"]
-    assert b.state_for(rows, ("x", "b", "u")).count() == 0
+def test_instants_keep_their_order_in_any_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rows = spark.sql("SELECT explode(array(timestamp'2024-11-03 05:30:00Z', timestamp'2024-11-03 06:30:00Z')) AS i")
+        texts = [r[0] for r in rows.select(b.index_text(F.col("i"), T.TimestampType()).alias("t")).orderBy("t").collect()]
+        assert texts == ["2024-11-03 05:30:00.000000", "2024-11-03 06:30:00.000000"]
+        bound = b.index_literal(texts[0], T.TimestampType())
+        assert rows.where(F.col("i") > bound).count() == 1
+        assert b.high_water_mark(rows, "i").first()[0] == texts[1]
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert rows.where(F.col("i") > b.index_literal(texts[0], T.TimestampType())).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_window_plan_without_history_is_a_first_load(spark):

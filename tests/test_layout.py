@@ -20,17 +20,6 @@ def test_clustered_rows_are_together_and_sorted(spark, sf_dir):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_text(placed)
 
 
-def test_bucketed_table_is_aggregated_without_a_shuffle(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    layout.save_bucketed(orders, "bucketed_orders", ["o_orderkey"], 4, ["o_orderkey"])
-    try:
-        plan = plan_text(spark.table("bucketed_orders").groupBy("o_orderkey").count())
-        assert "Exchange" not in plan
-        assert spark.table("bucketed_orders").count() == orders.count()
-    finally:
-        spark.sql("DROP TABLE bucketed_orders")
-
-
 def test_every_row_has_a_bucket(spark):
     rows = spark.createDataFrame([(None, "a"), (1, None), (2, "b")], "k int, j string")
     found = [r[0] for r in rows.select(layout.bucket_of(["k", "j"], 5)).collect()]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from dataclasses import replace
 
 import pytest
@@ -73,7 +74,7 @@ def test_many_small_loads_are_merged(spark, store, monkeypatch):
 def test_large_batches_are_joined_by_a_shuffle(spark, store, monkeypatch):
     import tidemark.plans.publish as publish
 
-    monkeypatch.setattr(publish, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(publish, "BROADCAST_BYTES", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         moved(spark, [(1, k % 50, "a") for k in range(200)])
@@ -191,18 +192,68 @@ def test_version_text_round_trip():
     assert Version.from_text(version.to_text()) == version
 
 
-def test_outgrown_buckets_are_split(spark, store):
+def test_a_small_load_never_rewrites_an_outgrown_table(spark, store):
     small = TargetStore(spark, store.root, bucket_bytes=2000)
     spec = replace(SPEC, buckets=None)
     source(spark, range(4))
     sync_table(spark, spec, small)
-    counts = [small.latest(spec.target).buckets]
-    for n in (6000, 6100, 6200):
+    first = small.latest(spec.target).buckets
+    for n in (6000, 6001, 6002, 6003):
+        before = set(small.latest(spec.target).parts)
         source(spark, range(n))
-        sync_table(spark, spec, small)
-        counts.append(small.latest(spec.target).buckets)
-    assert counts[0] < 4 and counts[-1] > 4 * counts[0]
-    assert values(small) == list(range(6200))
+        assert sync_table(spark, spec, small).rows_deleted == 0
+        assert before <= set(small.latest(spec.target).parts)
+    assert small.latest(spec.target).buckets == first
+    assert small.compact(spec.target).buckets > 2 * first
+    assert values(small) == list(range(6003))
+
+
+def test_of_two_writers_that_saw_the_same_version_one_wins(spark, store, monkeypatch):
+    source(spark, range(10))
+    sync_table(spark, SPEC, store)
+    base = store.latest(SPEC.target)
+    state, versions = StateLog(store), []
+    for n in (5, 6):
+        run = store.new_run_id(SPEC.target)
+        state.add(SPEC.state_key, SPEC.target, run, str(100 + n), datetime(2030, 1, n))
+        versions.append(store.append(SPEC.target, run, base, store.read(SPEC.target).limit(n)))
+    seen = store._newest(SPEC.target)
+    with monkeypatch.context() as m:
+        m.setattr(TargetStore, "_newest", lambda self, table: seen)
+        store.publish(SPEC.target, versions[1], base)
+        with pytest.raises(ConcurrentRun):
+            store.publish(SPEC.target, versions[0], base)
+    assert len(values(store)) == 16
+    assert state.bounds(SPEC.state_key, SPEC.target, 1) == ("106", "9")
+    assert versions[0].run_id not in store.published(SPEC.target)
+
+
+def test_a_marker_that_was_cut_short_does_not_count(spark, store):
+    source(spark, range(10))
+    sync_table(spark, SPEC, store)
+    marker = f"{store.folder(SPEC.target)}/_published/{2:012d}"
+    files.write_text_once(spark, marker, "2024")
+    assert values(store) == list(range(10))
+    source(spark, range(12))
+    with pytest.raises(ConcurrentRun):
+        sync_table(spark, SPEC, store)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr("tidemark.plans.publish.UNFINISHED_SECONDS", 0)
+        sync_table(spark, SPEC, store)
+    assert values(store) == list(range(12))
+
+
+def test_a_run_that_died_after_its_marker_counts(spark, store, monkeypatch):
+    source(spark, range(10))
+    with monkeypatch.context() as m:
+        m.setattr(TargetStore, "_name_run", lambda self, table, run_id: None)
+        first = sync_table(spark, SPEC, store)
+    assert store.published(SPEC.target) == [first.run_id]
+    source(spark, range(12))
+    second = sync_table(spark, SPEC, store)
+    assert second.old_index_value == "9"
+    assert store.published(SPEC.target) == [first.run_id, second.run_id]
+
 
 
 def test_key_range_reaches_the_scan(spark, store):

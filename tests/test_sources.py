@@ -29,8 +29,8 @@ def test_connection_options():
 
 def test_mysql_zero_dates_follow_the_spec():
     plain = jdbc.connection_options(source("mysql", host="h"))["url"]
-    assert plain == "jdbc:mysql://h:3306/db1?useCursorFetch=true&zeroDateTimeBehavior=CONVERT_TO_NULL"
-    assert jdbc.connection_options(source("mysql", host="h"), zero_dates=True)["url"].endswith("zeroDateTimeBehavior=ROUND")
+    assert plain == "jdbc:mysql://h:3306/db1?useCursorFetch=true&zeroDateTimeBehavior=CONVERT_TO_NULL&tinyInt1isBit=false&yearIsDateType=false"
+    assert "&zeroDateTimeBehavior=ROUND&" in jdbc.connection_options(source("mysql", host="h"), zero_dates=True)["url"]
 
 
 def test_high_water_queries():
@@ -116,6 +116,37 @@ def test_parallel_ranges_follow_the_window():
     assert jdbc.range_options("id", None, 42, 4) == {}
 
 
+def test_a_first_load_is_read_in_ranges_too(spark, monkeypatch):
+    asked = []
+
+    def read(spark, options):
+        asked.append(options.get("query", options.get("dbtable")))
+        columns = [("id", "int4", None, None, None, "NO", None)]
+        if "information_schema" in asked[-1]:
+            names = "column_name string, data_type string, text_size int, digits int, scale int, is_nullable string, comment string"
+            return spark.createDataFrame(columns, names)
+        if "MIN(" in asked[-1]:
+            return spark.createDataFrame([(3, 99)], "least int, greatest int")
+        asked.append({k: options.get(k) for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")})
+        return spark.range(5).toDF("id")
+
+    monkeypatch.setattr(jdbc, "read", read)
+    spec = SyncSpec(source("postgresql", host="h", numPartitions="8"), "s", "t", index_column="id")
+    for refreshed in (spec, spec.forced(full_refresh=True)):
+        asked.clear()
+        columns = reader.catalogue_columns(spark, refreshed)
+        reader.read_table(spark, refreshed, None, None, True, columns)
+        assert asked[-1] == {"partitionColumn": "id", "lowerBound": "3", "upperBound": "99", "numPartitions": "8"}
+        assert sum("information_schema" in str(q) for q in asked) == 1
+    asked.clear()
+    reader.read_query(spark, spec.source, "SELECT id FROM a;", {}, "id")
+    assert asked[0] == 'SELECT MIN("id") AS least, MAX("id") AS greatest FROM (SELECT id FROM a) src'
+    assert asked[1] == "(SELECT id FROM a) src" and asked[2]["numPartitions"] == "8"
+    asked.clear()
+    reader.read_table(spark, spec, 50, 70, True, columns)
+    assert not any("MIN(" in str(q) for q in asked) and asked[-1]["lowerBound"] == "50"
+
+
 def test_parameters_are_bound(spark):
     got = sqltext.run_sql(spark, "SELECT :run_a + 1 AS x, ':no' AS y -- :neither", {"run_a": 1, "unused": 2})
     assert tuple(got.first()) == (2, ":no")

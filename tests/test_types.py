@@ -6,48 +6,40 @@ from pyspark.sql import types as T
 
 from tidemark.functions import types as ty
 
-# MySQL types and their target types.
+# MySQL types, also as MySQL 8 reports them, and the types that they must get.
 MYSQL = {
-    "TINYINT(1)": "smallint",
-    "TINYINT(2)": "smallint",
-    "tinyint(1) unsigned": "smallint",
-    "SMALLINT(2)": "smallint",
-    "smallint(2) unsigned": "integer",
-    "MEDIUMINT(3)": "integer",
-    "INT(4)": "integer",
-    "INT(40)": "integer",
-    "INTEGER(4)": "integer",
-    "int": "integer",
-    "INT(40) UNSIGNED": "bigint",
-    "BIGINT(1)": "bigint",
-    "BIGINT(8)": "bigint",
-    "BIGINT(8) UNSIGNED": "numeric(65, 0)",
-    "FLOAT": "real",
-    "DOUBLE": "double precision",
-    "DECIMAL(6, 2)": "decimal(6, 2)",
-    "decimal(8, 4)": "decimal(8, 4)",
-    "decimal(8, 4) unsigned": "decimal(8, 4)",
-    "NUMERIC(5)": "numeric(5)",
-    "BIT(1)": "boolean",
-    "BIT(8)": "varchar(8)",
-    "VARCHAR(10)": "varchar(40)",
-    "CHAR(10)": "varchar(40)",
-    "VARCHAR(20000)": "varchar(65535)",
-    "tinytext": "varchar(65535)",
-    "mediumtext": "varchar(65535)",
-    "text": "varchar(65535)",
+    "tinyint": "smallint",
+    "tinyint(3) unsigned": "smallint",
+    "tinyint unsigned": "smallint",
+    "SMALLINT(5) UNSIGNED": "integer",
+    "smallint unsigned": "integer",
+    "smallint": "smallint",
+    "mediumint unsigned": "integer",
+    "int(7)": "integer",
+    "int unsigned": "bigint",
+    "int unsigned zerofill": "bigint",
+    "integer": "integer",
+    "bigint": "bigint",
+    "bigint unsigned": "numeric(65, 0)",
+    "bigint(20) unsigned zerofill": "numeric(65, 0)",
+    "float unsigned": "real",
+    "float(7,3)": "real",
+    "double unsigned": "double precision",
+    "decimal(12,3) unsigned": "decimal(12,3)",
+    "numeric(9)": "numeric(9)",
+    "bit(1)": "boolean",
+    "bit(17)": "varchar(17)",
+    "char(3)": "varchar(12)",
+    "varchar(33)": "varchar(132)",
+    "varchar(16384)": "varchar(65535)",
     "longtext": "varchar(65535)",
-    "tinyblob": "varchar(65535)",
-    "mediumblob": "varchar(65535)",
     "blob": "varchar(65535)",
-    "longblob": "varchar(65535)",
     "json": "varchar(65535)",
-    "enum('foo', 'bar')": "varchar(65535)",
+    "set('on','off')": "varchar(65535)",
+    "interval unsigned": "varchar(65535)",
     "date": "date",
-    "time": "varchar(40)",
-    "time(6)": "varchar(40)",
-    "datetime": "timestamp",
-    "datetime(6)": "timestamp",
+    "time(3)": "varchar(40)",
+    "datetime(3)": "timestamp",
     "timestamp": "timestamp",
     "year": "integer",
     "year(4)": "integer",
@@ -66,18 +58,10 @@ def test_mysql_type_column_agrees(spark):
 
 
 def test_mysql_overrides_ignore_case(spark):
-    overrides = {"TINYINT(1)": "boolean"}
-    assert ty.mysql_type("tinyint(1)", overrides) == "boolean"
-    frame = spark.createDataFrame([("TinyInt(1)",), ("tinyint(2)",)], "s string")
-    assert [r[0] for r in frame.select(ty.mysql_type_column(F.col("s"), overrides)).collect()] == ["boolean", "smallint"]
-
-
-def test_mysql_driver_types():
-    assert ty.mysql_driver_type("LONG", 11) == "INT(11)"
-    assert ty.mysql_driver_type("NEWDECIMAL", 8, 2) == "DECIMAL(8,2)"
-    assert ty.mysql_driver_type("JSON") == "BLOB"
-    with pytest.raises(KeyError):
-        ty.mysql_driver_type("GEOMETRY")
+    overrides = {"Year(4)": "varchar(4)"}
+    assert ty.mysql_type("year(4)", overrides) == "varchar(4)"
+    frame = spark.createDataFrame([("YEAR(4)",), ("year",)], "s string")
+    assert [r[0] for r in frame.select(ty.mysql_type_column(F.col("s"), overrides)).collect()] == ["varchar(4)", "integer"]
 
 
 def test_postgres_types():
@@ -120,18 +104,6 @@ def test_spark_types(target, wanted):
     assert ty.spark_type(target) == wanted
 
 
-def test_staging_types():
-    assert ty.staging_type("postgresql", "int8") == ("long", True)
-    assert ty.staging_type("postgresql", "float4") == ("double", True)
-    assert ty.staging_type("postgresql", "bool") == ("boolean", True)
-    assert ty.staging_type("postgresql", "decimal(10,2)") == ("string", True)
-    assert ty.staging_type("postgresql", "timestamptz") == ("string", False)
-    assert ty.staging_type("mysql", "LONGLONG") == ("long", True)
-    assert ty.staging_type("mysql", "NEWDECIMAL") == ("string", True)
-    assert ty.staging_type("mssql", "NUMBER") == ("long", True)
-    assert ty.staging_type("mssql", "DECIMAL") == ("string", True)
-
-
 def test_override_types(spark):
     schema = T.StructType.fromDDL("a string, b decimal(10,2), c int NOT NULL")
     got = ty.override_types(schema, {"columns": {"a": "varchar(5)"}, "decimal(10,2)": "real", "int": "bigint"})

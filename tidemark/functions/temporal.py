@@ -62,7 +62,8 @@ def micros_time_of_day(micros: Column) -> Column:
 
 
 def interval_micros(c: Column) -> Column:
-    """The length of a day-time interval in microseconds."""
+    """The length of a day-time interval in microseconds, whatever fields its type has."""
+    c = c.cast("interval day to second")
     whole = (
         F.extract(F.lit("DAY"), c).cast("long") * 86_400
         + F.extract(F.lit("HOUR"), c).cast("long") * 3_600
@@ -89,6 +90,18 @@ def replace_zero_dates(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({name: zero_date_default(F.col(name), kind) for name, kind in columns.items()})
 
 
+def _utc(c: Column) -> Column:
+    """An instant as the clock shows it in UTC, without a zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
+def index_value(text: Column, data_type: T.DataType) -> Column:
+    """A text of :func:`index_text` as a value of the index column's own type."""
+    if isinstance(data_type, T.TimestampType):
+        text = F.concat(text, F.when(text.rlike(r"[0-9]$"), F.lit("Z")).otherwise(F.lit("")))
+    return text.cast(data_type)
+
+
 def index_text(c: Column, data_type: T.DataType) -> Column:
     """An index value as the state log keeps it: plain digits, or a timestamp with six digits of fraction.
 
@@ -97,7 +110,8 @@ def index_text(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, INTEGER_TYPES):
         return c.cast("string")
     if isinstance(data_type, TIMESTAMP_TYPES):
-        plain = c.cast("string")
+        # An instant is written, and read back, in UTC: a session's own zone has hours that occur twice.
+        plain = c.cast("string") if isinstance(data_type, T.TimestampNTZType) else _utc(c).cast("string")
         whole = F.when(F.contains(plain, F.lit(".")), plain).otherwise(F.concat(plain, F.lit(".")))
         return F.rpad(whole, _STAMP, "0")
     raise TypeError(f"an index column must be an integer or a timestamp, not {data_type.simpleString()}")

@@ -19,57 +19,36 @@ from tidemark.functions.text import MAX_TEXT
 MAX_PRECISION = 38
 MAX_SCALE = 37
 
-# MySQL types. The first pattern that matches the lower-cased type decides; a type whose name is
-# not directly followed by a bracket or the end matches no pattern but the last.
+# What may follow a type's name: sizes, or the attributes that MySQL 8 reports without one.
+_TAIL = r" *(\(.*|(unsigned|zerofill).*)?$"
+_UNSIGNED = r"\b.*\bunsigned\b.*$"
+
+# MySQL types. The first pattern that matches the lower-cased type decides.
 MYSQL_RULES: tuple[tuple[str, str], ...] = (
-    (r"^tinyint *(\(.*)?$", "smallint"),
-    (r"^mediumint(eger)? *(\(.*)?$", "integer"),
-    (r"^float *(\(.*)?$", "real"),
-    (r"^double *(\(.*)?$", "double precision"),
-    (r"^smallint *\(.*unsigned.*$", "integer"),
-    (r"^smallint *(\(.*)?$", "smallint"),
-    (r"^int(eger)? *\(.*unsigned.*$", "bigint"),
-    (r"^int(eger)? *(\(.*)?$", "integer"),
-    (r"^bigint *\(.*unsigned.*$", "numeric(65, 0)"),
-    (r"^bigint *(\(.*)?$", "bigint"),
+    (rf"^tinyint{_TAIL}", "smallint"),
+    (rf"^mediumint(eger)?{_TAIL}", "integer"),
+    (rf"^float{_TAIL}", "real"),
+    (rf"^double{_TAIL}", "double precision"),
+    (rf"^smallint{_UNSIGNED}", "integer"),
+    (rf"^smallint{_TAIL}", "smallint"),
+    (rf"^int(eger)?{_UNSIGNED}", "bigint"),
+    (rf"^int(eger)?{_TAIL}", "integer"),
+    (rf"^bigint{_UNSIGNED}", "numeric(65, 0)"),
+    (rf"^bigint{_TAIL}", "bigint"),
     (r"^bit *(\(1\).*)?$", "boolean"),
     (r"^date *(\(.*)?$", "date"),
     (r"^time *(\(.*)?$", "varchar(40)"),
     (r"^datetime *(\(.*)?$", "timestamp"),
     (r"^timestamp *(\(.*)?$", "timestamp"),
-    (r"^year *(\(.*)?$", "integer"),
+    (rf"^year{_TAIL}", "integer"),
 )
-MYSQL_DECIMAL = r"^(decimal|numeric) *(\(.*)?$"
+MYSQL_DECIMAL = rf"^(decimal|numeric){_TAIL}"
 MYSQL_BITS = r"^bit *\((\d+)\).*$"
 MYSQL_TEXT = r"^(?:var)?char *\((\d+)\).*$"
 # A character takes up to four bytes.
 MYSQL_BYTES_PER_CHAR = 4
 MYSQL_DEFAULT = f"varchar({MAX_TEXT})"
 
-# The MySQL driver's type names with a spelling of their own in a type.
-MYSQL_DRIVER_TYPES = {
-    "TINY": "TINYINT",
-    "SHORT": "SMALLINT",
-    "INT24": "MEDIUMINT",
-    "LONG": "INT",
-    "LONGLONG": "BIGINT",
-    "FLOAT": "FLOAT",
-    "DOUBLE": "DOUBLE",
-    "NEWDECIMAL": "DECIMAL",
-    "TIME": "TIME",
-    "DATE": "DATE",
-    "DATETIME": "DATETIME",
-    "TIMESTAMP": "TIMESTAMP",
-    "STRING": "CHAR",
-    "VAR_STRING": "VARCHAR",
-    "TINY_BLOB": "TINYBLOB",
-    "BLOB": "BLOB",
-    "MEDIUM_BLOB": "MEDIUMBLOB",
-    "LONG_BLOB": "LONGBLOB",
-    "BIT": "BIT",
-    "JSON": "BLOB",
-}
-
 # Postgres types that get another type in the target.
 POSTGRES_DEFAULTS = {
     "text": "varchar(max)",
@@ -81,30 +60,6 @@ POSTGRES_DEFAULTS = {
     "money": "decimal(19,2)",
 }
 
-# The staging type of each source type. Decimals are staged as text, and so is any other type.
-POSTGRES_STAGING = {
-    "int2": "long",
-    "int4": "long",
-    "int8": "long",
-    "oid": "long",
-    "serial8": "long",
-    "float4": "double",
-    "float8": "double",
-    "bool": "boolean",
-}
-MYSQL_STAGING = {
-    "TINY": "long",
-    "SHORT": "long",
-    "INT24": "long",
-    "LONG": "long",
-    "LONGLONG": "long",
-    "FLOAT": "double",
-    "DOUBLE": "double",
-}
-MSSQL_STAGING = {"NUMBER": "long"}
-STAGING = {"postgresql": POSTGRES_STAGING, "mysql": MYSQL_STAGING, "mssql": MSSQL_STAGING}
-
-
 def lower_keys(type_map: Mapping[str, object] | None) -> dict[str, object]:
     """Overrides under their lower-cased and their original names."""
     given = dict(type_map or {})
@@ -121,7 +76,7 @@ def mysql_type(source: str, type_map: Mapping[str, str] | None = None) -> str:
         if re.match(pattern, name):
             return target
     if re.match(MYSQL_DECIMAL, name):
-        return name.replace("unsigned", "").rstrip()
+        return re.sub(" *(unsigned|zerofill)", "", name).rstrip()
     if bits := re.match(MYSQL_BITS, name):
         return f"varchar({bits[1]})"
     if chars := re.match(MYSQL_TEXT, name):
@@ -138,7 +93,7 @@ def mysql_type_column(source: Column, type_map: Mapping[str, str] | None = None)
     chars = F.regexp_extract(name, MYSQL_TEXT, 1).try_cast("long")
     sized = F.least(F.lit(MAX_TEXT), chars * MYSQL_BYTES_PER_CHAR).cast("string")
     branches += [
-        (name.rlike(MYSQL_DECIMAL), F.rtrim(F.replace(name, F.lit("unsigned"), F.lit("")))),
+        (name.rlike(MYSQL_DECIMAL), F.rtrim(F.regexp_replace(name, " *(unsigned|zerofill)", ""))),
         (name.rlike(MYSQL_BITS), F.concat(F.lit("varchar("), F.regexp_extract(name, MYSQL_BITS, 1), F.lit(")"))),
         (name.rlike(MYSQL_TEXT), F.concat(F.lit("varchar("), sized, F.lit(")"))),
     ]
@@ -148,12 +103,6 @@ def mysql_type_column(source: Column, type_map: Mapping[str, str] | None = None)
     return chosen.otherwise(F.lit(MYSQL_DEFAULT))
 
 
-def mysql_driver_type(type_name: str, precision: int | None = None, scale: int | None = None) -> str:
-    """A MySQL type text from what the driver reports about a column."""
-    sizes = [str(n) for n in (precision, scale) if n]
-    return MYSQL_DRIVER_TYPES[type_name] + (f"({','.join(sizes)})" if sizes else "")
-
-
 def postgres_type(
     source: str,
     column: str | None = None,
@@ -211,19 +160,6 @@ def postgres_type_column(
     return replaced(sized, overrides) if own is None else F.coalesce(own, replaced(sized, overrides))
 
 
-def staging_type(dialect: str, type_name: str) -> tuple[str, bool]:
-    """The staging type of a source type, and whether it is a known one (others are staged as text)."""
-    known_text = {
-        "postgresql": "xml char text bytea name json jsonb varchar timestamp date time timestampz citext decimal numeric money",
-        "mysql": "BIT BLOB TINY_BLOB MEDIUM_BLOB LONG_BLOB STRING VAR_STRING VARCHAR GEOMETRY "
-        "DATE TIME TIMESTAMP JSON DATETIME ENUM YEAR NULL DECIMAL NEWDECIMAL",
-        "mssql": "STRING DATETIME BINARY DECIMAL",
-    }
-    name = type_name.split("(")[0]
-    table = STAGING[dialect]
-    return table.get(name, "string"), name in table or name in known_text[dialect].split()
-
-
 _TARGET_TYPES: dict[str, T.DataType] = {
     "smallint": T.ShortType(),
     "int2": T.ShortType(),

@@ -18,11 +18,16 @@ GRANTS = {
 }
 
 
+# A comma that is followed by an even number of quotation marks separates entries.
+_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_SHAPE = r"^[^=]*=[^/=]*/[^/=]+$"
+
+
 def _entry(raw: Column) -> Column:
     """``user=letters/owner`` as a struct. ``*`` (may be passed on) and unknown letters are left out."""
     entry = F.btrim(raw, F.lit('"'))
     user = F.substring_index(entry, "=", 1)
-    rights = F.split(entry, "=", -1)[1]
+    rights = F.substring_index(entry, "=", -1)
     letters = F.split(F.substring_index(rights, "/", 1), "")
     names = F.create_map(*[F.lit(x) for pair in GRANTS.items() for x in pair])
     grants = F.filter(F.transform(letters, lambda c: F.try_element_at(names, c)), lambda g: g.isNotNull())
@@ -30,29 +35,25 @@ def _entry(raw: Column) -> Column:
         F.when(user == "", F.lit("PUBLIC")).otherwise(F.regexp_replace(user, "^group ", "")).alias("name"),
         ((user == "") | user.startswith("group ")).alias("is_group"),
         grants.alias("grants"),
-        F.split(rights, "/", -1)[1].alias("owner"),
+        F.substring_index(rights, "/", -1).alias("owner"),
     )
 
 
 def parse_acl(raw: Column) -> Column:
-    """The entries of ``{user=arwd/owner,"group g=r/owner"}``.
+    """The entries of ``{user=arwd/owner,"group g,h=r/owner"}``. Commas in quotation marks belong to names.
 
-    An empty or missing text has no entries; NULL comes back for a text that is not in braces.
+    An empty or missing text has no entries, and neither have empty braces. NULL comes back for a text that is not in
+    braces or has an entry of another form.
     """
     none = F.array().cast("array<struct<name:string,is_group:boolean,grants:array<string>,owner:string>>")
-    entries = F.transform(F.split(F.btrim(raw, F.lit("{}")), ","), _entry)
-    in_braces = raw.startswith("{") & raw.endswith("}")
-    return F.when(F.coalesce(raw, F.lit("")) == "", none).when(in_braces, entries)
+    text = F.coalesce(raw, F.lit(""))
+    parts = F.split(F.regexp_replace(text, r"^\{|\}$", ""), _SEPARATOR)
+    shaped = F.forall(parts, lambda p: F.btrim(p, F.lit('"')).rlike(_SHAPE))
+    in_braces = text.startswith("{") & text.endswith("}")
+    return F.when(text.isin("", "{}"), none).when(in_braces & shaped, F.transform(parts, _entry))
 
 
 def explode_acl(df: DataFrame, column: str, *keep: str) -> DataFrame:
     """One row per grant. Texts without entries, or malformed ones, have no rows."""
     entries = df.select(*keep, F.explode(parse_acl(F.col(column))).alias("e"))
     return entries.select(*keep, "e.name", "e.is_group", "e.owner", F.explode("e.grants").alias("grant"))
-
-
-def grant_statements(df: DataFrame, column: str, table: str) -> DataFrame:
-    """The statements that would give the same rights on ``table``, to be run where grants exist."""
-    who = F.concat(F.when(F.col("is_group"), F.lit("GROUP ")).otherwise(F.lit("")), F.col("name"))
-    text = F.concat(F.lit("GRANT "), F.col("grant"), F.lit(f" ON {table} TO "), who, F.lit(";"))
-    return explode_acl(df, column).select(text.alias("statement"))

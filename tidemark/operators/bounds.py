@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.temporal import index_text
+from tidemark.functions.temporal import index_text, index_value
 
 STATE_KEY = ("datastore_name", "database_name", "table_name")
 
@@ -71,19 +71,14 @@ def override_state_key(state: DataFrame, overrides: DataFrame) -> DataFrame:
     )
 
 
-def state_for(state: DataFrame, key: tuple[str, str, str]) -> DataFrame:
-    """The log of one table; the key columns are folders, so that only its own files are read."""
-    return state.where(reduce(Column.__and__, [F.col(c) == F.lit(v) for c, v in zip(STATE_KEY, key)]))
-
-
 def index_literal(value: str | int | None, data_type: T.DataType) -> Column | None:
     """A logged value as a literal of the index column's own type, so that comparisons push down to the scan."""
-    return None if value is None else F.lit(str(value)).cast(data_type)
+    return None if value is None else index_value(F.lit(str(value)), data_type)
 
 
 def index_scalar(bound: DataFrame, data_type: T.DataType) -> Column:
     """A one-row frame ``index_value`` as a bound. The subquery runs first and its value reaches the scan."""
-    return bound.select(F.col("index_value").cast(data_type)).scalar()
+    return bound.select(index_value(F.col("index_value"), data_type)).scalar()
 
 
 def in_window(
@@ -123,8 +118,8 @@ def extract_windows(df: DataFrame, table_column: str, index_column: str, bounds:
     index = F.col(index_column)
     typed = bounds.select(
         F.col("table_name").alias("_table"),
-        F.col("lower_value").cast(data_type).alias("_lower"),
-        F.col("index_value").cast(data_type).alias("_upper"),
+        index_value(F.col("lower_value"), data_type).alias("_lower"),
+        index_value(F.col("index_value"), data_type).alias("_upper"),
     )
     # A table without a lower bound takes the common one down to the least value of the type.
     least = F.lit(LEAST[data_type.typeName()]).cast(data_type)

@@ -32,9 +32,3 @@ def layout_clause(distribution_key: str | None, sort_keys: Sequence[str] = ()) -
     if sort_keys:
         parts.append(f"{'compound ' if len(sort_keys) > 1 else ''}sortkey({','.join(sort_keys)})")
     return "\n".join(parts)
-
-
-def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, sort_keys: Sequence[str] = ()) -> None:
-    """A catalogue table bucketed on its key, so that joins and aggregates on the key need no shuffle of it."""
-    writer = df.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys)
-    (writer.sortBy(*sort_keys) if sort_keys else writer).saveAsTable(table)

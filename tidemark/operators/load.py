@@ -34,7 +34,9 @@ def staged_keys(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _matched(target: DataFrame, matches: DataFrame, keys: Sequence[str], how: str, salt: int) -> DataFrame:
     if salt <= 1:
         return target.join(matches, list(keys), how).select(*target.columns)
-    salted_target = target.withColumn(_SALT, F.pmod(F.monotonically_increasing_id(), F.lit(salt)))
+    # A hash of the whole row: a task that runs again deals its rows out as before.
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in target.columns])
+    salted_target = target.withColumn(_SALT, F.pmod(row, F.lit(salt).cast("long")))
     every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))
     salted_keys = matches.withColumn(_SALT, F.explode(every_salt))
     return salted_target.join(salted_keys, [*keys, _SALT], how).select(*target.columns)
@@ -64,9 +66,13 @@ def matching(target: DataFrame, matches: DataFrame, keys: Sequence[str], salt: i
 
 
 def key_bounds(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The number of keys and, as texts, the least and the greatest value of each key column: one row."""
+    """The number of keys, the bytes they take in memory, about, and, as texts, the bounds of each key column: one row."""
     texts = [agg(k).cast("string").alias(f"{name}_{k}") for k in keys for name, agg in (("min", F.min), ("max", F.max))]
-    return matches.agg(F.count(F.lit(1)).alias("n"), *texts)
+    # A row has some words of its own, and a word for each column besides the bytes of texts.
+    fixed = 16 + 8 * len(keys)
+    varying = [F.octet_length(k) for k in keys if isinstance(matches.schema[k].dataType, (T.StringType, T.BinaryType))]
+    size = F.coalesce(F.sum(sum(varying, F.lit(fixed)).cast("long")), F.lit(0))
+    return matches.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes"), *texts)
 
 
 def within(target: DataFrame, found: Row, keys: Sequence[str]) -> DataFrame:

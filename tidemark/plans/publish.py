@@ -1,13 +1,14 @@
 """Published versions of target tables.
 
-A run writes its rows under ``<root>/<table>/data/run_id=<id>/`` and then creates one small file,
-``<root>/<table>/_published/<id>``. That file is the commit: it lists every folder of the live version, so a reader
-needs only the newest one, and a run that died before it has changed nothing.
+A run writes its rows under ``<root>/<table>/data/run_id=<id>/``, lists every folder of the version it makes in
+``_manifests/<id>``, and then creates one small file, ``_published/<number>``, that names the run. That file is the commit:
+its number is the one after the version that the run started from, and a file system lets only one writer create it. A
+reader needs the newest one alone, and a run that died before it has changed nothing.
 
 Keyed targets are split into hash buckets, and a run makes one folder per bucket it writes to. A load first finds the
 folders that hold a row to delete, from the key columns alone, and rewrites only those; the new version lists the others
 where they were, and adds the folders with the staged rows. So a batch of new keys rewrites nothing. A bucket that has
-come to many folders is merged into one. An append only adds folders. One writer per table.
+come to many folders is merged into one. An append only adds folders. Only ``compact`` changes the number of buckets.
 """
 
 from __future__ import annotations
@@ -31,14 +32,12 @@ from tidemark.sources import files
 BUCKET = "_bucket"
 PART = "_part"
 BUCKET_BYTES = 1 << 30
-MAX_BUCKETS = 20_000
 # A bucket with this many folders is merged by the next load that adds to it.
 MAX_FOLDERS = 16
-# Buckets that are this many times larger than intended are split.
-MAX_GROWTH = 4
-# Staged keys within both limits are sent to every executor; more of them are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
+# Staged keys that take so many bytes in memory are sent to every executor; more of them are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
+# A marker that its writer has not finished after so many seconds is void.
+UNFINISHED_SECONDS = 600
 _STAMP = "%Y%m%dT%H%M%S%f"
 
 
@@ -56,15 +55,14 @@ class Part:
 
 @dataclass(frozen=True)
 class Written:
-    """Distinct keys that were written and read back, so that their number, bounds and bytes are known."""
+    """Distinct keys that were written and read back, so that their number, bounds and bytes in memory are known."""
 
     rows: DataFrame
     bounds: Row
-    size: int
 
     @property
     def small(self) -> bool:
-        return self.bounds["n"] <= BROADCAST_ROWS and self.size <= BROADCAST_BYTES
+        return self.bounds["bytes"] <= BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -115,25 +113,42 @@ class TargetStore:
     def stage_folder(self, table: str, run_id: str) -> str:
         return f"{self.root}/_stage/{table}/{run_id}"
 
+    def _markers(self, table: str) -> list[str]:
+        return [n for n in files.names(self.spark, f"{self.folder(table)}/_published") if n.isdigit()]
+
+    def _newest(self, table: str) -> tuple[int, str | None]:
+        """The number of the newest marker, and the run of the newest one that is whole."""
+        names = self._markers(table)
+        for name in reversed(names):
+            text = files.read_text(self.spark, f"{self.folder(table)}/_published/{name}")
+            if text.endswith("\n"):
+                return int(names[-1]), text.strip()
+        return (int(names[-1]) if names else 0), None
+
     def published(self, table: str) -> list[str]:
-        return [n for n in files.names(self.spark, f"{self.folder(table)}/_published") if not n.startswith(("_", "."))]
+        """The ids of all published runs, in order.
+
+        Each run leaves its name once it is published. The newest is known from its marker, in case it died before that.
+        """
+        newest = self._newest(table)[1]
+        return sorted({*files.names(self.spark, f"{self.folder(table)}/_runs"), newest} - {None})
 
     def latest(self, table: str) -> Version | None:
-        runs = self.published(table)
-        return self.version(table, runs[-1]) if runs else None
+        newest = self._newest(table)[1]
+        return self.version(table, newest) if newest else None
 
     def version(self, table: str, run_id: str) -> Version:
-        return Version.from_text(files.read_text(self.spark, f"{self.folder(table)}/_published/{run_id}"))
+        return Version.from_text(files.read_text(self.spark, f"{self.folder(table)}/_manifests/{run_id}"))
 
     def exists(self, table: str) -> bool:
-        return bool(self.published(table))
+        return self._newest(table)[1] is not None
 
     def new_run_id(self, table: str, now: datetime | None = None) -> str:
         """Greater than every published id of the table, also when a clock went back."""
         now = now or datetime.now(timezone.utc).replace(tzinfo=None)
-        runs = self.published(table)
-        if runs:
-            last = datetime.strptime(runs[-1].split("-")[0], _STAMP)
+        newest = self._newest(table)[1]
+        if newest:
+            last = datetime.strptime(newest.split("-")[0], _STAMP)
             now = max(now, last + timedelta(microseconds=1))
         return f"{now.strftime(_STAMP)}-{uuid.uuid4().hex[:8]}"
 
@@ -176,7 +191,7 @@ class TargetStore:
     # Writing
 
     def bucket_count(self, size: int) -> int:
-        return max(1, min(MAX_BUCKETS, math.ceil(size / self.bucket_bytes)))
+        return max(1, math.ceil(size / self.bucket_bytes))
 
     def _write(
         self, table: str, run_id: str, rows: DataFrame, keys: Sequence[str], buckets: int | None,
@@ -208,11 +223,33 @@ class TargetStore:
 
     def publish(self, table: str, version: Version, base: Version | None) -> Version:
         """Make a version the live one. ``base`` is the version it was made from; another run must not have come first."""
-        if self.published(table)[-1:] != ([base.run_id] if base else []):
+        folder = self.folder(table)
+        number, newest = self._newest(table)
+        if newest != (base.run_id if base else None):
             raise ConcurrentRun(f"{table} was published by another run; {version.run_id} is void")
-        files.write_text_once(self.spark, f"{self.folder(table)}/_published/{version.run_id}", version.to_text())
+        marker = f"{folder}/_published/{number + 1:012d}"
+        if base and not files.exists(self.spark, f"{folder}/_runs/{base.run_id}"):
+            self._name_run(table, base.run_id)
+        if number and self._unfinished(f"{folder}/_published/{number:012d}"):
+            raise ConcurrentRun(f"{table} is being published by another run; {version.run_id} is void")
+        files.write_text_once(self.spark, f"{folder}/_manifests/{version.run_id}", version.to_text())
+        try:
+            files.write_text_once(self.spark, marker, version.run_id + "\n")
+        except FileExistsError:
+            raise ConcurrentRun(f"{table} was published by another run; {version.run_id} is void") from None
+        self._name_run(table, version.run_id)
         return version
 
+    def _unfinished(self, marker: str) -> bool:
+        text = files.read_text(self.spark, marker)
+        return not text.endswith("\n") and files.age_seconds(self.spark, marker) < UNFINISHED_SECONDS
+
+    def _name_run(self, table: str, run_id: str) -> None:
+        try:
+            files.write_text_once(self.spark, f"{self.folder(table)}/_runs/{run_id}", "")
+        except FileExistsError:
+            pass  # another writer has done it for this run
+
     def replace(
         self, table: str, run_id: str, rows: DataFrame, mode: str, keys: Sequence[str] = (),
         buckets: int | None = None, size: int = 0, distribution_key: str | None = None,
@@ -252,13 +289,11 @@ class TargetStore:
         """Write a version with the staged rows in place of those with their keys.
 
         ``matches`` are the distinct staged keys, ``inserted`` is the number of staged rows and ``size`` their bytes.
-        Returns the version and the number of rows it deletes. A table that has outgrown its buckets, unless their
-        number is given, is written anew with more of them.
+        Returns the version and the number of rows it deletes. A table whose buckets are not on these keys is written anew.
         """
         found = F.broadcast(matches.rows) if matches.small else matches.rows
         placed = base.buckets and base.keys == tuple(keys) and all(p.bucket is not None for p in base.parts)
-        outgrown = buckets is None and base.size > MAX_GROWTH * self.bucket_bytes * (base.buckets or 1)
-        if not placed or outgrown:
+        if not placed:
             live = self.read(table, base)
             version = self.replace(
                 table, run_id, load.upsert(live, staged, keys, matches=found), "upsert", keys, buckets,
@@ -338,11 +373,19 @@ class TargetStore:
         return files.folder_bytes(self.spark, f"{self.folder(table)}/data/run_id={run_id}")
 
     def clean_up(self, table: str, keep: int = 2) -> list[str]:
-        """Delete run folders that none of the newest ``keep`` versions lists. Markers stay, as history."""
+        """Delete run folders that none of the newest ``keep`` versions lists, and the manifests of the others.
+
+        The names of published runs stay, as history.
+        """
         runs = self.published(table)
         used = {p.path.split("/")[1] for run in runs[-keep:] for p in self.version(table, run).parts}
         data = f"{self.folder(table)}/data"
         stale = [n for n in files.names(self.spark, data) if n not in used and n.split("=")[-1] <= (runs or [""])[-1]]
         for name in stale:
             files.delete_folder(self.spark, f"{data}/{name}")
+        for name in self._markers(table)[:-keep]:
+            files.delete_folder(self.spark, f"{self.folder(table)}/_published/{name}")
+        for name in files.names(self.spark, f"{self.folder(table)}/_manifests"):
+            if name in runs[:-keep]:
+                files.delete_folder(self.spark, f"{self.folder(table)}/_manifests/{name}")
         return stale

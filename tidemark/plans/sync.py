@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import astuple, dataclass, fields, replace
 from datetime import datetime, timezone
 from typing import Any
@@ -20,7 +20,7 @@ from tidemark.operators import load, metrics, reconcile
 from tidemark.operators.bounds import extract_window, index_check, index_literal
 from tidemark.operators.extract import project
 from tidemark.operators.layout import layout_clause
-from tidemark.plans.publish import TargetStore, Version, Written
+from tidemark.plans.publish import ConcurrentRun, TargetStore, Version, Written
 from tidemark.plans.state import StateLog, append_monitor
 from tidemark.sources import files, jdbc, reader, sqltext
 from tidemark.spec import DIALECTS, SchemaMismatch, SpecError, SyncSpec
@@ -120,16 +120,19 @@ def resolve_bounds(spark: SparkSession, spec: SyncSpec, state: StateLog, table:
     return Bounds(old, lookback, new, follows)
 
 
-def extract(spark: SparkSession, spec: SyncSpec, bounds: Bounds, table: DataFrame | None) -> DataFrame:
-    """The rows of a run, normalised. Nothing is read yet."""
+def extract(
+    spark: SparkSession, spec: SyncSpec, bounds: Bounds, table: DataFrame | None,
+    columns: Sequence[Mapping[str, Any]] | None = None,
+) -> DataFrame:
+    """The rows of a run, normalised. Nothing is read yet but, for a database's first load, the bounds of its ranges."""
     if spec.query_file:
         text = sqltext.read_text(spec.query_file)
         values = sqltext.template_values(spec, bounds.old, bounds.new)
-        rows = reader.read_query(spark, spec.source, text, values)
+        rows = reader.read_query(spark, spec.source, text, values, spec.index_column)
     else:
         rows = table
         if spec.source.kind in DIALECTS and spec.index_column:
-            rows = reader.read_table(spark, spec, bounds.lookback or bounds.old, bounds.new)
+            rows = reader.read_table(spark, spec, bounds.lookback or bounds.old, bounds.new, True, columns)
         if spec.index_column:
             data_type = rows.schema[spec.index_column].dataType
             literals = [index_literal(v, data_type) for v in (bounds.new, bounds.old, bounds.lookback)]
@@ -197,9 +200,10 @@ def sync_table(
     base = store.latest(spec.target)
     mode = spec.mode
 
-    table = None if spec.query_file else reader.read_table(spark, spec)
+    columns = None if spec.query_file else reader.catalogue_columns(spark, spec)
+    table = None if spec.query_file else reader.read_table(spark, spec, columns=columns)
     bounds = resolve_bounds(spark, spec, state, table)
-    rows = extract(spark, spec, bounds, table)
+    rows = extract(spark, spec, bounds, table, columns)
     source_schema = rows.schema if table is None else table.schema
 
     status = reconcile.target_status(
@@ -335,7 +339,7 @@ def write_version(
     key_schema = T.StructType([staged.schema[k] for k in keys])
     back = spark.read.schema(key_schema).parquet(f"{staged.folder}/keys")
     found = load.key_bounds(back, keys).first()
-    matches = Written(back, found, files.folder_bytes(spark, f"{staged.folder}/keys"))
+    matches = Written(back, found)
     return store.upsert(
         target, run_id, base, rows, matches, keys, staged.count, staged.size, spec.buckets, spec.sort_keys, done
     )
@@ -384,7 +388,7 @@ def sync_all(
         except (SchemaMismatch, NotImplementedError) as e:
             log.error("%s", e)
             results.append(replace(blank, status="skipped", error=str(e)))
-        except (ValueError, TypeError, AnalysisException, PySparkException) as e:
+        except (ValueError, TypeError, AnalysisException, PySparkException, ConcurrentRun) as e:
             log.error("%s: %s", spec.source_table, e)
             results.append(replace(blank, error=str(e)))
         except Exception as e:
@@ -409,9 +413,10 @@ def plan_sync(spark: SparkSession, specs: Iterable[SyncSpec], store: TargetStore
         if conflict:
             rows.append((spec.source.alias, spec.source_table, spec.target, None, spec.mode, None, None, None, None, None, conflict))
             continue
-        table = None if spec.query_file else reader.read_table(spark, spec)
+        columns = None if spec.query_file else reader.catalogue_columns(spark, spec)
+        table = None if spec.query_file else reader.read_table(spark, spec, columns=columns)
         bounds = resolve_bounds(spark, spec, state, table)
-        extracted = extract(spark, spec, bounds, table)
+        extracted = extract(spark, spec, bounds, table, columns)
         base = store.latest(spec.target)
         status = reconcile.target_status(
             extracted.columns, base.struct.fieldNames() if base else (), (), spec.rebuild

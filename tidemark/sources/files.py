@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -33,18 +36,26 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file whole or not at all: written under another name, then renamed."""
+    """Create a file that must not exist. The file system refuses the second of two writers, without a rename.
+
+    A writer that dies leaves a file that may be cut short, so a reader has to be able to tell.
+    """
     fs, where = _fs(spark, path)
-    if fs.exists(where):
-        raise FileExistsError(path)
-    hidden = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f"_{where.getName()}.tmp")
-    stream = fs.create(hidden, True)
+    try:
+        stream = fs.create(where, False)
+    except Py4JJavaError as e:
+        if "already exists" in str(e.java_exception) or "AlreadyExists" in e.java_exception.getClass().getName():
+            raise FileExistsError(path) from None
+        raise
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    if not fs.rename(hidden, where):
-        raise FileExistsError(path)
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    fs, where = _fs(spark, path)
+    return time.time() - fs.getFileStatus(where).getModificationTime() / 1000
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

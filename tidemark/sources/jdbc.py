@@ -61,7 +61,11 @@ def connection_options(source: SourceSpec, zero_dates: bool = False) -> dict[str
         # Rows are streamed instead of buffered as a whole.
         separator = "&" if "?" in url else "?"
         behaviour = "ROUND" if zero_dates else "CONVERT_TO_NULL"
-        options["url"] = f"{url}{separator}useCursorFetch=true&zeroDateTimeBehavior={behaviour}"
+        # Without the last two, tinyint(1) is a bit and year a date: other values would be lost.
+        options["url"] = (
+            f"{url}{separator}useCursorFetch=true&zeroDateTimeBehavior={behaviour}"
+            "&tinyInt1isBit=false&yearIsDateType=false"
+        )
     return options
 
 
@@ -72,6 +76,12 @@ def high_water_query(kind: str, table: str, index_column: str) -> str:
     return f"SELECT MAX({quoted(kind, index_column)}) AS index_value FROM {quoted(kind, table)}"
 
 
+def bounds_query(kind: str, sql: str, column: str, alias: str = "src") -> str:
+    """The least and the greatest value of a query's column, for a parallel read of all of it."""
+    name = quoted(kind, column)
+    return f"SELECT MIN({name}) AS least, MAX({name}) AS greatest FROM ({sql}) {alias}"
+
+
 def primary_key_query(kind: str, table: str) -> str:
     """A query with one row per key column, in key order."""
     name = text_literal(table)

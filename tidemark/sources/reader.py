@@ -14,10 +14,14 @@ from tidemark.sources import jdbc, sqltext
 from tidemark.spec import DIALECTS, SourceSpec, SyncSpec
 
 
-def read_table(spark: SparkSession, spec: SyncSpec, lower: Any = None, upper: Any = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, spec: SyncSpec, lower: Any = None, upper: Any = None, cut: bool = False,
+    columns: Sequence[Mapping[str, Any]] | None = None,
+) -> DataFrame:
     """The source table without its dropped columns, but with its index column in any case.
 
-    The bounds only cut a JDBC read into ranges.
+    With ``cut`` a JDBC read is cut into ranges; the bounds only say where. ``columns`` are those of
+    :func:`catalogue_columns` if they were read before.
     """
     source = spec.source
     dropped = [c for c in spec.columns_to_drop if c != spec.index_column]
@@ -28,14 +32,39 @@ def read_table(spark: SparkSession, spec: SyncSpec, lower: Any = None, upper: An
         return project(spark.read.parquet(path), dropped)
     if source.kind == "mssql":
         raise NotImplementedError("SQL Server tables need a query_file")
-    catalogue = jdbc.column_query(source.kind, spec.source_table, dropped)
-    found = jdbc.read(spark, jdbc.query_options(source, catalogue)).collect()
-    columns = [(r["column_name"], r["data_type"]) for r in found]
-    sql = jdbc.select_query(source.kind, spec.source_table, columns, str(spec.type_map.get("money", "decimal(19,2)")))
-    partitions = int(source.options.get("numPartitions", 1))
-    ranges = jdbc.range_options(spec.index_column, lower, upper, partitions) if spec.index_column else {}
+    if columns is None:
+        columns = catalogue_columns(spark, spec)
+    pairs = [(c["column_name"], c["data_type"]) for c in columns if c["column_name"] not in dropped]
+    sql = jdbc.select_query(source.kind, spec.source_table, pairs, str(spec.type_map.get("money", "decimal(19,2)")))
+    ranges = read_ranges(spark, source, sql, spec.index_column, lower, upper) if cut else {}
     rows = jdbc.read(spark, jdbc.table_options(source, sql, ranges, bool(spec.not_null_date)))
-    return described(rows, [r.asDict() for r in found], source.kind)
+    return described(rows, columns, source.kind)
+
+
+def catalogue_columns(spark: SparkSession, spec: SyncSpec) -> list[dict[str, Any]]:
+    """What a database says about the columns of a table, read once per run."""
+    if spec.source.kind not in ("postgresql", "mysql"):
+        return []
+    sql = jdbc.column_query(spec.source.kind, spec.source_table)
+    return [r.asDict() for r in jdbc.read(spark, jdbc.query_options(spec.source, sql)).collect()]
+
+
+def read_ranges(
+    spark: SparkSession, source: SourceSpec, sql: str, column: str | None, lower: Any = None, upper: Any = None
+) -> dict[str, str]:
+    """Options for a read in ``numPartitions`` ranges of the index column.
+
+    Bounds that a run does not have, as on a first load or a refresh, are asked for: both in one query. Bounds cut ranges
+    and filter nothing, so rows beyond them, and rows without an index value, are read too.
+    """
+    partitions = int(source.options.get("numPartitions", 1))
+    if column is None or partitions <= 1:
+        return {}
+    if lower is None or upper is None:
+        row = jdbc.read(spark, jdbc.query_options(source, jdbc.bounds_query(source.kind, sql, column))).first()
+        lower = row["least"] if lower is None else lower
+        upper = row["greatest"] if upper is None else upper
+    return jdbc.range_options(column, lower, upper, partitions)
 
 
 def described(df: DataFrame, columns: Sequence[Mapping[str, Any]], kind: str) -> DataFrame:
@@ -70,11 +99,18 @@ def table_comment(spark: SparkSession, spec: SyncSpec) -> str | None:
     return None
 
 
-def read_query(spark: SparkSession, source: SourceSpec, text: str, values: Mapping[str, Any]) -> DataFrame:
-    """The result of SQL text: run by the database for JDBC sources, by Spark for others."""
-    if source.kind in DIALECTS:
-        return jdbc.read(spark, jdbc.query_options(source, sqltext.with_literals(text, values)))
-    return sqltext.run_sql(spark, text, values)
+def read_query(
+    spark: SparkSession, source: SourceSpec, text: str, values: Mapping[str, Any], index_column: str | None = None
+) -> DataFrame:
+    """The result of SQL text: run by the database for JDBC sources, by Spark for others.
+
+    With an index column, which the text has to return, a database's result is read in ranges of it.
+    """
+    if source.kind not in DIALECTS:
+        return sqltext.run_sql(spark, text, values)
+    sql = sqltext.with_literals(text, values).rstrip().rstrip(";")
+    ranges = read_ranges(spark, source, sql, index_column)
+    return jdbc.read(spark, jdbc.table_options(source, sql, ranges) if ranges else jdbc.query_options(source, sql))
 
 
 def primary_key(spark: SparkSession, spec: SyncSpec) -> tuple[str, ...]:
