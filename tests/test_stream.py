@@ -3,13 +3,16 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import types as T
 
+from tidemark.plans.state import StateLog, read_monitor
 from tidemark.spec import SchemaMismatch, SourceSpec, SyncSpec
 from tidemark.streaming import stream_sync
 from tidemark.streaming.incremental import StreamSource, load_batch
 
 SPEC = SyncSpec(SourceSpec("a", "db"), "arrivals", "arrivals", index_column="id", primary_key="id", buckets=2)
 SCHEMA = "id bigint, v string"
+SPARK_SCHEMA = T.StructType().add("id", "long").add("v", "string")
 
 
 def rows(store):
@@ -47,3 +50,34 @@ def test_a_repeated_batch_is_loaded_once(spark, store):
 def test_a_key_is_needed(spark, store):
     with pytest.raises(SchemaMismatch):
         load_batch(spark, replace(SPEC, primary_key=()), store, spark.createDataFrame([(1, "a")], SCHEMA), "s", 0)
+
+
+def test_a_path_without_files_is_an_error(spark, store):
+    for source in (StreamSource(f"{store.root}/none", SPARK_SCHEMA), StreamSource(store.root, SPARK_SCHEMA, "no.parquet")):
+        with pytest.raises(FileNotFoundError):
+            stream_sync(spark, source, SPEC, store, f"{store.root}/checkpoint")
+
+
+def test_a_table_may_be_a_file_or_a_folder(spark, store, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders.repartition(3).write.parquet(f"{store.root}/orders.parquet")
+    spec = SyncSpec(SourceSpec("a", "db"), "o", "o", index_column="o_orderkey", primary_key="o_orderkey", buckets=2)
+    for number, path in enumerate([f"{sf_dir}/orders.parquet", f"{store.root}/orders.parquet"]):
+        own = replace(spec, target_table=f"o{number}")
+        stream_sync(spark, StreamSource(path, orders.schema), own, store, f"{store.root}/checkpoint{number}")
+        assert store.read(own.target).count() == orders.count()
+
+
+def test_batches_leave_index_values_and_monitor_rows(spark, store):
+    for number, ids in enumerate([(1, 2), (2, 5, 7)]):
+        load_batch(spark, SPEC, store, spark.createDataFrame([(i, "v") for i in ids], SCHEMA), "s", number)
+    log = StateLog(store).of(SPEC.state_key, SPEC.target).orderBy("created_ts").collect()
+    assert [r.index_value for r in log] == ["2", "7"]
+    assert sorted(r.row_count for r in read_monitor(store, "extract").collect()) == [2, 3]
+    assert sorted((r.rows_inserted, r.rows_deleted) for r in read_monitor(store, "load").collect()) == [(2, 0), (3, 1)]
+
+
+def test_a_stream_without_a_target_column_is_refused(spark, store):
+    load_batch(spark, SPEC, store, spark.createDataFrame([(1, "a")], SCHEMA), "s", 0)
+    with pytest.raises(SchemaMismatch, match="v"):
+        load_batch(spark, SPEC, store, spark.createDataFrame([(2,)], "id bigint"), "s", 1)

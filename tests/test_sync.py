@@ -416,3 +416,50 @@ def test_query_file_with_an_index_column(spark, store, tmp_path):
     source(spark, [(1,), (4,)], "id bigint", "qi")
     assert sync_table(spark, spec, store).new_index_value == "4"
     assert target(store, spec) == [(1,), (4,)]
+
+
+def test_text_is_cut_where_the_spec_says_and_counted(spark, store):
+    rows = [(1, "abcdef", "x"), (2, "abc", None), (3, "äbcdefg", "yyyy"), (4, None, "yyy")]
+    spark.createDataFrame(rows, "id bigint, v string, w string").createOrReplaceTempView("cut_source")
+    spec = SyncSpec(SourceSpec("a", "db"), "cut_source", "cut", index_column="id", primary_key="id", max_text=3)
+    sync_table(spark, spec, store)
+    got = sorted(tuple(r) for r in store.read(spec.target).collect())
+    assert got == [(1, "abc", "x"), (2, "abc", None), (3, "abc", "yyy"), (4, None, "yyy")]
+    assert [r.task_other_params for r in read_monitor(store, "extract").collect()] == ['{"cut_values": 3}']
+    whole = replace(spec, target_table="whole", max_text=None)
+    sync_table(spark, whole, store)
+    assert {r.v for r in store.read(whole.target).collect()} == {"abcdef", "abc", "abcdefg", None}
+
+
+def test_sources_of_one_target_do_not_meet(spark, store):
+    def run(alias, ids, **asked):
+        spark.createDataFrame([(i, f"{alias}{i}") for i in ids], "id bigint, v string").createOrReplaceTempView(f"merge_{alias}")
+        source = SourceSpec(alias, "db")
+        spec = SyncSpec(source, f"merge_{alias}", "merged", index_column="id", primary_key="id", alias_column="who", buckets=2)
+        return sync_table(spark, spec, store, **asked), spec
+
+    run("a", [1, 2])
+    run("b", [2, 3])
+    result, spec = run("a", [2, 9], full_refresh=True)
+    assert (result.rows_deleted, result.rows_inserted) == (2, 2)
+    got = sorted((r.who, r.id, r.v) for r in store.read(spec.target).collect())
+    assert got == [("a", 2, "a2"), ("a", 9, "a9"), ("b", 2, "b2"), ("b", 3, "b3")]
+    assert run("b", [2, 3, 4])[0].rows_inserted == 1
+
+
+def test_a_concurrent_run_fails_one_table_only(spark, store, monkeypatch):
+    from tidemark.plans.publish import ConcurrentRun, TargetStore
+
+    for name in ("race_a", "race_b"):
+        spark.range(3).createOrReplaceTempView(name)
+    publish = TargetStore.publish
+
+    def refuse(self, table, version, base):
+        if table.endswith("race_a"):
+            raise ConcurrentRun("late")
+        return publish(self, table, version, base)
+
+    monkeypatch.setattr(TargetStore, "publish", refuse)
+    source = SourceSpec("a", "db")
+    specs = [SyncSpec(source, n, n, index_column="id", primary_key="id", buckets=1) for n in ("race_a", "race_b")]
+    assert [r.status for r in sync_all(spark, specs, store)] == ["failed", "loaded"]

@@ -167,3 +167,11 @@ def test_times(spark, time_type):
     row = spark.sql("SELECT time'10:11:12' AS a, time'10:11:12.5' AS b, CAST(NULL AS TIME) AS c")
     assert tuple(row.select(*[f.iso_time(F.col(x)) for x in "abc"]).first()) == ("10:11:12", "10:11:12.500000", None)
     assert tuple(f.normalize_row(row).first()) == ("10:11:12", "10:11:12.500000", None)
+
+
+def test_intervals_of_any_fields_are_times_of_day(spark):
+    kinds = ["DAY", "HOUR", "DAY TO HOUR", "HOUR TO MINUTE", "MINUTE TO SECOND", "SECOND"]
+    texts = ["'1'", "'5'", "'1 5'", "'5:07'", "'7:09.5'", "'9.25'"]
+    row = spark.sql("SELECT " + ", ".join(f"INTERVAL {t} {k} AS c{i}" for i, (t, k) in enumerate(zip(texts, kinds))))
+    got = tuple(f.normalize_row(row).first())
+    assert got == ("00:00:00", "05:00:00", "05:00:00", "05:07:00", "00:07:09.500000", "00:00:09.250000")

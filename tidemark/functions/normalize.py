@@ -35,10 +35,10 @@ def _as_text(c: Column, data_type: T.DataType) -> Column | None:
     return None
 
 
-def normalize_value(c: Column, data_type: T.DataType, as_staged: bool = False, size: int = MAX_TEXT) -> Column:
+def normalize_value(c: Column, data_type: T.DataType, as_staged: bool = False, size: int | None = MAX_TEXT) -> Column:
     """Normalise one column.
 
-    Text is folded to ASCII; bytes, nested values, intervals and times become text; all text is cut at ``size``.
+    Text is folded to ASCII; bytes, nested values, intervals and times become text; all text is cut at ``size``, if there is one.
     With ``as_staged`` the result has only the staging types string, long, double and boolean: dates, timestamps
     and decimals become text too, and numbers are widened.
     """
@@ -58,14 +58,18 @@ def normalize_value(c: Column, data_type: T.DataType, as_staged: bool = False, s
             text = iso_date(c)
         else:
             text = c.cast("string")
-    return c if text is None else truncate_text(text, size)
+    return c if text is None else _cut(text, size)
+
+
+def _cut(text: Column, size: int | None) -> Column:
+    return text if size is None else truncate_text(text, size)
 
 
 def _holds_json(f: T.StructField) -> bool:
     return f.metadata.get("source_kind") == "postgresql" and f.metadata.get("source_type") in ("json", "jsonb")
 
 
-def normalize_row(df: DataFrame, as_staged: bool = False, size: int = MAX_TEXT) -> DataFrame:
+def normalize_row(df: DataFrame, as_staged: bool = False, size: int | None = MAX_TEXT) -> DataFrame:
     """Normalise all columns in one projection; names, order and comments stay.
 
     JSON that a database hands over as text is escaped instead of folded, as any other nested value is.
@@ -74,8 +78,19 @@ def normalize_row(df: DataFrame, as_staged: bool = False, size: int = MAX_TEXT)
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if _holds_json(f):
-            value = truncate_text(escape_unprintable(c), size)
+            value = _cut(escape_unprintable(c), size)
         else:
             value = normalize_value(c, f.dataType, as_staged, size)
         columns.append(value.alias(f.name, metadata=f.metadata))
     return df.select(*columns)
+
+
+def cut_texts(df: DataFrame, size: int | None) -> tuple[DataFrame, Column]:
+    """The frame with all text cut at ``size``, and an expression over the old frame of how many of a row's values that cuts."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)] if size is not None else []
+    long = [F.coalesce((F.char_length(F.col(f"`{n}`")) > size).cast("long"), F.lit(0)) for n in texts]
+    cut = {n: truncate_text(F.col(f"`{n}`"), size) for n in texts}
+    kept = [
+        cut[f.name].alias(f.name, metadata=f.metadata) if f.name in cut else F.col(f"`{f.name}`") for f in df.schema.fields
+    ]
+    return df.select(*kept), sum(long, F.lit(0).cast("long"))

@@ -199,7 +199,7 @@ def spark_type(target: str) -> tuple[T.DataType, int | None]:
         return T.DecimalType(min(precision, MAX_PRECISION), scale), None
     if name in ("varchar", "char", "bpchar", "character varying", "character"):
         return T.StringType(), min(numbers[0], MAX_TEXT) if numbers else MAX_TEXT
-    return T.StringType(), MAX_TEXT
+    return T.StringType(), None
 
 
 def _declared(f: T.StructField, type_map: Mapping[str, object] | None) -> str | None:

@@ -61,6 +61,20 @@ def lookback_index(state: DataFrame, runs_back: int) -> DataFrame:
     )
 
 
+def latest_and_lookback(state: DataFrame, runs_back: int) -> DataFrame:
+    """Per state key the newest index value, and the one ``runs_back`` runs before it or NULL, from one pass."""
+    newest_first = Window.partitionBy(*STATE_KEY).orderBy(F.col("created_ts").desc())
+    ranked = state.select(*STATE_KEY, "index_value", F.row_number().over(newest_first).alias("rn"))
+    near = ranked.where(F.col("rn") <= runs_back + 1)
+
+    def value(rank: int) -> Column:
+        return F.any_value(F.when(F.col("rn") == rank, F.col("index_value")), True)
+
+    return near.groupBy(*STATE_KEY).agg(
+        value(1).alias("index_value"), value(runs_back + 1).alias("lookback_index_value")
+    )
+
+
 def override_state_key(state: DataFrame, overrides: DataFrame) -> DataFrame:
     """Replace database names in the state key. ``overrides`` has the columns database_name and override_database."""
     return (
@@ -158,13 +172,10 @@ def window_plan(state: DataFrame, marks: DataFrame, runs_back: int = 0) -> DataF
 
     ``state`` is the log of one database. Tables without history are first loads.
     """
-    newest = latest_index(state).select("table_name", F.col("index_value").alias("old_index_value"))
-    earlier = lookback_index(state, runs_back).select("table_name", F.col("index_value").alias("lookback_index_value"))
-    joined = (
-        marks.select("table_name", F.col("index_value").alias("new_index_value"))
-        .join(newest, "table_name", "left")
-        .join(earlier, "table_name", "left")
+    known = latest_and_lookback(state, runs_back).select(
+        "table_name", F.col("index_value").alias("old_index_value"), "lookback_index_value"
     )
+    joined = marks.select("table_name", F.col("index_value").alias("new_index_value")).join(known, "table_name", "left")
     lookback = F.col("lookback_index_value") if runs_back else F.lit(None).cast("string")
     return joined.select(
         "table_name",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 from typing import Any
 
@@ -76,7 +77,7 @@ def _task_id_column(task: str, alias: str, database: str, table: Column) -> Colu
 
 def extract_monitor_row(
     task: str, key: tuple[str, str, str], started: datetime, ended: datetime, data_path: str, row_count: int,
-    upload_size: int,
+    upload_size: int, cut_values: int = 0,
 ) -> dict[str, Any]:
     return {
         **_task(task, key, started, ended),
@@ -85,6 +86,7 @@ def extract_monitor_row(
         "output_exists": row_count > 0,
         "row_count": row_count,
         "upload_size": upload_size,
+        "task_other_params": json.dumps({"cut_values": cut_values}),
     }
 
 

@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.temporal import index_text
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -138,32 +144,13 @@ def column_lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return source, target, rebuilt
 
 
-# MySQL types with the part size as their size.
+# MySQL types as a catalogue reports them; % stands for a number.
 MYSQL_TYPE_TEXTS = (
-    "TINYINT(%)",
-    "SMALLINT(%)",
-    "MEDIUMINT(%)",
-    "INT(%)",
-    "INT(%) UNSIGNED",
-    "BIGINT(%)",
-    "BIGINT(%) UNSIGNED",
-    "FLOAT",
-    "DOUBLE",
-    "DECIMAL(%, 2)",
-    "VARCHAR(%)",
-    "CHAR(%)",
-    "VARCHAR(%000)",
-    "BIT(1)",
-    "BIT(%)",
-    "text",
-    "enum('foo', 'bar')",
-    "datetime",
-    "date",
-    "time",
-    "year",
-    "integer(%)",
-    "smallint(%) unsigned",
-)
+    "tinyint(%) unsigned", "smallint(%)", "smallint unsigned", "MEDIUMINT(%)", "int", "int unsigned",
+    "INT(%) UNSIGNED ZEROFILL", "bigint(%)", "bigint unsigned", "float unsigned", "DOUBLE", "decimal(%,2) unsigned",
+    "VARCHAR(%)", "char(%)", "varchar(%000)", "bit(1)", "bit(64)", "set('a','b')", "mediumtext", "datetime(6)", "date",
+    "time(3)", "year", "char(36)",
+)
 
 
 def mysql_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,18 +184,16 @@ def postgres_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def acl_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-control string per customer: users, groups, the public; some are empty or malformed."""
     group, user = F.col("c_mktsegment"), F.col("c_custkey").cast("string")
-    text = (
-        F.when(F.col("c_nationkey") == 0, F.lit(""))
-        .when(F.col("c_nationkey") == 1, F.lit("something"))
-        .when(F.col("c_nationkey") == 2, F.lit("{=r/admin}"))
-        .otherwise(
-            F.concat(
-                F.lit("{user"), user, F.lit("=arwdRxtD/admin,reader"), user, F.lit('=a*r*Z/admin,"group '),
-                group, F.lit('=r/owner'), F.col("c_nationkey").cast("string"), F.lit('"}'),
-            )
-        )
-    )
-    return table(spark, sf_dir, "customer").select("c_custkey", text.alias("acl"))
+    odd = {0: "", 1: "something", 2: "{=r/admin}", 3: "{reader=r/admin,reader}", 4: "{reader=r}"}
+    usual = F.concat(
+        F.lit("{user"), user, F.lit("=arwdRxtD/admin,reader"), user, F.lit('=a*r*Z/admin,"group '),
+        group, F.lit(",all=r/owner"), F.col("c_nationkey").cast("string"), F.lit('"}'),
+    )
+    text = F.when(F.lit(False), F.lit(""))
+    for nation, value in odd.items():
+        text = text.when(F.col("c_nationkey") == nation, F.lit(value))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.otherwise(usual).alias("acl"))
+
 
 
 def settings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.functions.types import MYSQL_RULES
-from tidemark.operators.acl import GRANTS
-from tidemark.plans.derived import MYSQL_TYPE_TEXTS, POSTGRES_TYPE_NAMES
+from tidemark.plans.derived import POSTGRES_TYPE_NAMES
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -39,13 +37,7 @@ FRAMES = {
     "col_tgt": """
         SELECT DISTINCT p_brand AS table_name, p_name AS column_name FROM part
         WHERE p_size >= 15 AND p_type <> 'ECONOMY'""",
-    "acl_texts": """
-        SELECT c_custkey, CASE c_nationkey WHEN 0 THEN '' WHEN 1 THEN 'something' WHEN 2 THEN '{=r/admin}'
-          ELSE '{user' || c_custkey || '=arwdRxtD/admin,reader' || c_custkey || '=a*r*Z/admin,"group '
-               || c_mktsegment || '=r/owner' || c_nationkey || '"}' END AS acl
-        FROM customer""",
-    "acl_entries": """
-        SELECT c_custkey, unnest(string_split(trim(acl, '{}'), ',')) AS e FROM acl_texts WHERE acl LIKE '{%}'""",
+    "acl_texts": "SELECT c_custkey, c_nationkey FROM customer",
     "settings": """
         SELECT p_partkey, (p_size & 1) > 0 AS ic, (p_size & 2) > 0 AS isql, (p_size & 4) > 0 AS ao,
                (p_size & 8) > 0 AS fr, (p_size & 16) > 0 AS qf, (p_size & 32) > 0 AS rb,
@@ -93,19 +85,45 @@ def _bytes(*columns: str) -> str:
     return " + ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)), 0)" for c in columns)
 
 
+#: Type texts, in the order of the frame ``mysql_types``, with what each must become; % stands for a number, # for four times it.
+_MYSQL_EXPECTED = (
+    ("tinyint(%) unsigned", "smallint"),
+    ("smallint(%)", "smallint"),
+    ("smallint unsigned", "integer"),
+    ("MEDIUMINT(%)", "integer"),
+    ("int", "integer"),
+    ("int unsigned", "bigint"),
+    ("INT(%) UNSIGNED ZEROFILL", "bigint"),
+    ("bigint(%)", "bigint"),
+    ("bigint unsigned", "numeric(65, 0)"),
+    ("float unsigned", "real"),
+    ("DOUBLE", "double precision"),
+    ("decimal(%,2) unsigned", "decimal(%,2)"),
+    ("VARCHAR(%)", "varchar(#)"),
+    ("char(%)", "varchar(#)"),
+    ("varchar(%000)", "varchar(#000)"),
+    ("bit(1)", "boolean"),
+    ("bit(64)", "varchar(64)"),
+    ("set('a','b')", "varchar(65535)"),
+    ("mediumtext", "varchar(65535)"),
+    ("datetime(6)", "timestamp"),
+    ("date", "date"),
+    ("time(3)", "varchar(40)"),
+    ("year", "integer"),
+    ("char(36)", "char(36)"),
+)
+
+
 def _mysql_type() -> str:
-    texts = ", ".join("'" + t.replace("'", "''") + "'" for t in MYSQL_TYPE_TEXTS)
-    source = f"replace(([{texts}])[CAST(p_partkey % {len(MYSQL_TYPE_TEXTS)} + 1 AS INT)], '%', CAST(p_size AS VARCHAR))"
-    rules = " ".join(f"WHEN regexp_matches(n, '{pattern}') THEN '{target}'" for pattern, target in MYSQL_RULES)
-    chars = r"regexp_extract(n, '^(?:var)?char *\((\d+)\).*$', 1)"
-    return rf"""
-        WITH t AS (SELECT p_partkey, {source} AS source_type FROM part),
-        n AS (SELECT *, lower(source_type) AS n FROM t)
-        SELECT p_partkey, source_type, CASE WHEN n = 'char(36)' THEN 'char(36)' {rules}
-          WHEN n LIKE 'decimal%' THEN rtrim(replace(n, 'unsigned', ''))
-          WHEN n LIKE 'bit(%' THEN 'varchar(' || regexp_extract(n, '\((\d+)\)', 1) || ')'
-          WHEN {chars} <> '' THEN 'varchar(' || least(65535, 4 * CAST({chars} AS BIGINT)) || ')'
-          ELSE 'varchar(65535)' END AS target_type
+    rows = ", ".join(f"({i}, '{s.replace(chr(39), chr(39) * 2)}', '{t}')" for i, (s, t) in enumerate(_MYSQL_EXPECTED))
+    return f"""
+        WITH wanted(i, s, t) AS (VALUES {rows}),
+        n AS (SELECT p_partkey, replace(s, '%', CAST(p_size AS VARCHAR)) AS source_type,
+                     CASE WHEN t LIKE 'varchar(#%' THEN 'varchar(' || least(65535,
+                            4 * CAST(p_size AS BIGINT) * CASE WHEN t LIKE '%000)' THEN 1000 ELSE 1 END) || ')'
+                          ELSE replace(t, '%', CAST(p_size AS VARCHAR)) END AS target_type
+              FROM part JOIN wanted ON wanted.i = p_partkey % {len(_MYSQL_EXPECTED)})
+        SELECT p_partkey, source_type, CASE WHEN source_type = 'char(36)' THEN 'char(36)' ELSE target_type END AS target_type
         FROM n"""
 
 
@@ -127,35 +145,51 @@ def _postgres_type() -> str:
 
 
 def _grants() -> str:
-    letters = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in GRANTS.items())
     return _with(
-        "acl_texts acl_entries",
-        f"""
-        , parts AS (SELECT c_custkey, split_part(trim(e, '"'), '=', 1) AS u, split_part(trim(e, '"'), '=', 2) AS r
-                    FROM acl_entries),
-        letters AS (SELECT c_custkey, u, split_part(r, '/', 2) AS owner,
-                           unnest(string_split(split_part(r, '/', 1), '')) AS letter FROM parts),
-        named AS (SELECT c_custkey, CASE WHEN u = '' THEN 'PUBLIC' ELSE regexp_replace(u, '^group ', '') END AS name,
-                         u = '' OR u LIKE 'group %' AS is_group, owner, CASE letter {letters} END AS "grant" FROM letters)
-        SELECT * FROM named WHERE "grant" IS NOT NULL""",
+        "acl_texts",
+        """
+        , wanted(kind, name, is_group, owner, "grant") AS (VALUES
+            (2, 'PUBLIC', true, 'admin', 'SELECT'),
+            (9, 'user', false, 'admin', 'INSERT'), (9, 'user', false, 'admin', 'SELECT'), (9, 'user', false, 'admin', 'UPDATE'),
+            (9, 'user', false, 'admin', 'DELETE'), (9, 'user', false, 'admin', 'RULE'), (9, 'user', false, 'admin', 'REFERENCES'),
+            (9, 'user', false, 'admin', 'TRIGGER'), (9, 'user', false, 'admin', 'DROP'),
+            (9, 'reader', false, 'admin', 'INSERT'), (9, 'reader', false, 'admin', 'SELECT'),
+            (9, 'group', true, 'owner', 'SELECT')),
+        kinds AS (SELECT c.c_custkey, c.c_mktsegment, c.c_nationkey,
+                         CASE WHEN c_nationkey IN (0, 1, 3, 4) THEN 0 WHEN c_nationkey = 2 THEN 2 ELSE 9 END AS kind
+                  FROM customer c)
+        SELECT c_custkey, CASE name WHEN 'PUBLIC' THEN name WHEN 'group' THEN c_mktsegment || ',all' ELSE name || c_custkey END AS name,
+               is_group, CASE owner WHEN 'owner' THEN owner || c_nationkey ELSE owner END AS owner, "grant"
+        FROM kinds JOIN wanted USING (kind)""",
     )
 
 
 def _profile() -> str:
     tables = {
-        "orders": [("o_orderkey", "long"), ("o_custkey", "long"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
-                   ("o_orderdate", "string"), ("o_orderpriority", "string")],
-        "events": [("event_id", "long"), ("ts", "string"), ("user_id", "long"), ("event_type", "string"),
-                   ("value", "double"), ("props", "string")],
-        "documents": [("doc_id", "long"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long")],
-        "conversations": [("conv_id", "long"), ("turn", "long"), ("role", "string"), ("text", "string")],
-        "pages": [("page_id", "long"), ("url", "string"), ("html", "string")],
+        "region": "r_regionkey:long r_name:string",
+        "nation": "n_nationkey:long n_name:string n_regionkey:long",
+        "customer": "c_custkey:long c_name:string c_nationkey:long c_acctbal:double c_mktsegment:string",
+        "supplier": "s_suppkey:long s_name:string s_nationkey:long s_acctbal:double",
+        "part": "p_partkey:long p_name:string p_brand:string p_type:string p_size:long p_retailprice:double",
+        "orders": "o_orderkey:long o_custkey:long o_orderstatus:string o_totalprice:double o_orderdate:string "
+        "o_orderpriority:string",
+        "lineitem": "l_orderkey:long l_partkey:long l_suppkey:long l_linenumber:long l_quantity:double "
+        "l_extendedprice:double l_discount:double l_tax:double l_returnflag:string l_linestatus:string l_shipdate:string",
+        "events": "event_id:long ts:string user_id:long event_type:string value:double props:string",
+        "documents": "doc_id:long text:string lang:string source:string n_chars:long",
+        "embeddings": "vec_id:long embedding:string label:long",
+        "pages": "page_id:long url:string html:string",
+        "benchmark": "item_id:long text:string",
+        "labels": "doc_id:long quality:long toxic:long",
+        "conversations": "conv_id:long turn:long role:string text:string",
     }
+    listed = {t: [c.split(":") for c in columns.split()] for t, columns in tables.items()}
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, '{s}' AS staging_type, "
         f"count(*) FILTER ({c} IS NULL) AS null_count, "
-        f"CAST(coalesce(max(strlen(CAST({c} AS VARCHAR))), 0) AS BIGINT) AS max_bytes FROM {t}"
-        for t, columns in tables.items()
+        # The text of an array has no size of its own.
+        f"CAST(coalesce(max(strlen({'NULL' if c == 'embedding' else f'CAST({c} AS VARCHAR)'})), 0) AS BIGINT) AS max_bytes FROM {t}"
+        for t, columns in listed.items()
         for i, (c, s) in enumerate(columns, 1)
     )
 
@@ -359,6 +393,9 @@ ORACLE: dict[str, str] = {
         SELECT 'events' AS src, event_id AS id, {_iso('ts')} AS text FROM events UNION ALL
         SELECT 'orders', o_orderkey, {_iso('o_orderdate')} FROM orders""",
     "iso_date": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS text FROM orders",
+    "iso_time": """
+        SELECT event_id, CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%H:%M:%S')
+               ELSE strftime(ts, '%H:%M:%S.%f') END AS text FROM events""",
     "time_of_day": f"SELECT event_id, {_clock('epoch_us(ts)')} AS text FROM events",
     "interval_time_of_day": f"""
         WITH m AS (SELECT event_id, (epoch_us(ts) - epoch_us((SELECT min(ts) FROM events))) % 86400000000 AS us FROM events)
@@ -366,11 +403,13 @@ ORACLE: dict[str, str] = {
     "decimal_text": """
         SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS DECIMAL(19,0)) AS VARCHAR) AS l_quantity,
                CAST(CAST(l_extendedprice AS DECIMAL(19,2)) AS VARCHAR) AS l_extendedprice,
-               CAST(CAST(l_discount AS DECIMAL(19,4)) AS VARCHAR) AS l_discount
+               CAST(CAST(l_discount AS DECIMAL(19,4)) AS VARCHAR) AS l_discount,
+               CAST(CAST(round(l_tax * 100) AS INTEGER) AS VARCHAR) || 'E-10' AS l_tax
         FROM lineitem""",
     "ascii_fold": f"SELECT doc_id, {_FOLD.format('text')} AS text FROM documents",
     "truncate_text": "SELECT doc_id, left(text, 1000) AS text FROM documents",
-    "fit_to_width": "SELECT p_partkey, left(p_name, 8) AS p_name FROM part",
+    "fit_to_width": """
+        SELECT p_partkey, left(repeat(chr(65533), CAST(p_size % 2 + 1 AS BIGINT)) || p_name, 8) AS p_name FROM part""",
     "json_text": f"""
         SELECT event_id, '{{"event_id": ' || event_id || ', "type": "' || event_type || '", "raw": "'
           || replace(props, '"', '\\"') || '", "value": ' || CAST(value AS VARCHAR) || ', "users": [' || user_id
@@ -418,8 +457,8 @@ ORACLE: dict[str, str] = {
     "acl_explode": _grants(),
     "acl_entries": _with(
         "acl_texts",
-        """SELECT c_custkey, CAST(CASE WHEN acl = '' THEN 0 WHEN acl LIKE '{%}'
-             THEN len(string_split(acl, ',')) END AS INTEGER) AS entries FROM acl_texts""",
+        """SELECT c_custkey, CAST(CASE c_nationkey WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN NULL WHEN 3 THEN NULL
+             WHEN 4 THEN NULL ELSE 3 END AS INTEGER) AS entries FROM acl_texts""",
     ),
     "spec_conflicts": _with(
         "settings",
@@ -449,6 +488,36 @@ ORACLE: dict[str, str] = {
            SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders_tgt UNION ALL
            SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM win""",
     ),
+    "published_refresh": _with("orders_tgt orders_stg orders_moved", "SELECT * FROM orders_moved"),
+    "published_scoped_refresh": _with(
+        "orders_tgt orders_stg orders_moved",
+        "SELECT * FROM orders_tgt WHERE o_orderpriority <> '1-URGENT' UNION ALL SELECT * FROM orders_moved",
+    ),
+    "published_rebuild": _with(
+        "orders_tgt orders_stg orders_moved",
+        "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders_moved",
+    ),
+    "published_lookback": _with(
+        "orders_tgt orders_stg orders_moved",
+        """, win AS (SELECT * REPLACE ('L' AS o_orderstatus) FROM orders_moved
+                      WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders_tgt) AND o_orderstatus = 'U') """
+        + _upsert("orders_tgt", "win", "o_orderkey"),
+    ),
+    "published_merge": """
+        SELECT c_custkey AS account_id, c_acctbal AS balance, 'crm' AS source_alias FROM customer WHERE c_acctbal > 0
+        UNION ALL SELECT s_suppkey, s_acctbal, 'erp' FROM supplier""",
+    "plan_sync": _with(
+        "orders_tgt orders_stg orders_moved",
+        f"""SELECT 'source_plan' AS source_table, 'ok' AS status, 'upsert' AS mode,
+               strftime(max(o_orderdate), {STAMP}) AS old_index_value, strftime(max(o_orderdate), {STAMP}) AS new_index_value,
+               CAST(NULL AS VARCHAR) AS create_columns, CAST(NULL AS VARCHAR) AS layout, CAST(NULL AS VARCHAR) AS conflict
+            FROM orders_moved UNION ALL
+            SELECT 'events', 'non-existent', 'append', NULL, strftime(max(ts), {STAMP}),
+               'event_id BIGINT,ts TIMESTAMP_NTZ,user_id BIGINT,event_type STRING,value DOUBLE,props STRING', 'sortkey(ts)', NULL
+            FROM events UNION ALL
+            SELECT 'part', NULL, 'upsert', NULL, NULL, NULL, NULL, 'incremental without index'
+            FROM (SELECT max(p_partkey) FROM part)""",
+    ),
     "published_state": _with(
         "orders_tgt orders_stg orders_moved",
         f"""SELECT 'shop' AS datastore_name, 'sales' AS database_name, strftime(max(o_orderdate), {STAMP}) AS index_value

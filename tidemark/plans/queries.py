@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -17,6 +18,7 @@ from tidemark.functions import (
     index_text,
     interval_time_of_day,
     iso_date,
+    iso_time,
     iso_timestamp,
     json_text,
     normalize_row,
@@ -29,7 +31,7 @@ from tidemark.operators import acl, bounds, extract, layout, load, metrics, reco
 from tidemark.plans import derived as d
 from tidemark.plans.publish import TargetStore
 from tidemark.plans.state import StateLog, append_state, state_rows
-from tidemark.plans.sync import results_frame, sync_all, sync_table
+from tidemark.plans.sync import plan_sync, results_frame, sync_all, sync_table
 from tidemark.session import scratch_dir, written
 from tidemark.sources import sqltext
 from tidemark.spec import SourceSpec, SyncSpec
@@ -323,10 +325,7 @@ def target_status(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def schema_profile(spark: SparkSession, sf: str) -> DataFrame:
-    profiles = [
-        reconcile.schema_profile(d.table(spark, sf, name), name)
-        for name in ("orders", "events", "documents", "conversations", "pages")
-    ]
+    profiles = [reconcile.schema_profile(d.table(spark, sf, name), name) for name in d.TABLES]
     return reduce(DataFrame.unionAll, profiles)
 
 
@@ -411,6 +410,14 @@ def time_of_day(spark: SparkSession, sf: str) -> DataFrame:
     return d.table(spark, sf, "events").select("event_id", interval_time_of_day(since_epoch).alias("text"))
 
 
+@query_named("iso_time")
+def iso_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Times of day as the TIME type prints them, without trailing zeros; sessions have to allow that type itself."""
+    printed = F.regexp_replace(F.date_format("ts", "HH:mm:ss.SSSSSS"), r"\.?0{0,6}$", "")
+    whole = F.when(F.length(printed) < 8, F.date_format("ts", "HH:mm:ss")).otherwise(printed)
+    return d.table(spark, sf, "events").select("event_id", iso_time(whole).alias("text"))
+
+
 @query_named("interval_time_of_day")
 def intervals(spark: SparkSession, sf: str) -> DataFrame:
     events = d.table(spark, sf, "events")
@@ -424,7 +431,8 @@ def decimal_texts(spark: SparkSession, sf: str) -> DataFrame:
         return decimal_text(F.col(name).cast(f"decimal(19,{scale})"), scale).alias(name)
 
     return d.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", text("l_quantity", 0), text("l_extendedprice", 2), text("l_discount", 4)
+        "l_orderkey", "l_linenumber", text("l_quantity", 0), text("l_extendedprice", 2), text("l_discount", 4),
+        decimal_text(F.expr("cast(cast(l_tax as decimal(19,2)) * 0.00000001 as decimal(19,10))"), 10).alias("l_tax"),
     )
 
 
@@ -440,7 +448,10 @@ def truncate_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query_named("fit_to_width")
 def fit_widths(spark: SparkSession, sf: str) -> DataFrame:
-    return d.table(spark, sf, "part").select("p_partkey", fit_to_width(F.col("p_name"), 8).alias("p_name"))
+    """Names as bytes of which the first, or the first two, are no UTF-8."""
+    broken = F.when(F.col("p_size") % 2 == 0, F.lit(b"\xff")).otherwise(F.lit(b"\xff\xe9"))
+    name = F.concat(broken, F.col("p_name").cast("binary"))
+    return d.table(spark, sf, "part").select("p_partkey", fit_to_width(name, 8).alias("p_name"))
 
 
 @query_named("json_text")
@@ -581,16 +592,26 @@ def _orders_spec(sf: str, view: str, **given) -> SyncSpec:
     return SyncSpec(**{**base, **given})
 
 
-def _two_runs(spark: SparkSession, sf: str, label: str, **given) -> tuple[TargetStore, SyncSpec]:
-    """A first load of the old orders, then a run over the same table after it has moved on."""
+def _moved(spark: SparkSession, sf: str) -> DataFrame:
+    """The old orders, and the staged ones a year later."""
+    later = d.orders_stg(spark, sf).withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS"))
+    return d.orders_tgt(spark, sf).unionByName(later)
+
+
+def _two_runs(
+    spark: SparkSession, sf: str, label: str, again: dict | None = None, more: dict | None = None, **given
+) -> tuple[TargetStore, SyncSpec]:
+    """A first load of the old orders, then a run over the same table after it has moved on.
+
+    ``again`` is asked of the second run, which finds the columns ``more`` too.
+    """
     view = f"source_{label}"
     store = TargetStore(spark, scratch_dir(spark, label))
     spec = _orders_spec(sf, view, **given)
     d.orders_tgt(spark, sf).createOrReplaceTempView(view)
     sync_table(spark, spec, store)
-    later = d.orders_stg(spark, sf).withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS"))
-    d.orders_tgt(spark, sf).unionByName(later).createOrReplaceTempView(view)
-    sync_table(spark, spec, store)
+    _moved(spark, sf).withColumns(more or {}).createOrReplaceTempView(view)
+    sync_table(spark, spec, store, **(again or {}))
     return store, spec
 
 
@@ -606,6 +627,78 @@ def published_append(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(spec.target)
 
 
+@query
+def published_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A refresh of a target that exists, after its source has moved on."""
+    store, spec = _two_runs(spark, sf, "refresh", again={"full_refresh": True})
+    return store.read(spec.target)
+
+
+@query
+def published_scoped_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A refresh that deletes only the urgent orders, and loads all rows of the source."""
+    scope = os.path.join(os.path.dirname(__file__), "sql", "urgent_orders.sql")
+    store, spec = _two_runs(spark, sf, "scoped", again={"full_refresh": True}, truncate_file=scope)
+    return store.read(spec.target)
+
+
+@query
+def published_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """A rebuild takes on a column that the target lacked."""
+    store, spec = _two_runs(spark, sf, "rebuild", again={"rebuild": True}, more={"o_year": F.year("o_orderdate")})
+    return store.read(spec.target)
+
+
+@query
+def published_lookback(spark: SparkSession, sf: str) -> DataFrame:
+    """A third run reads from the second last index value on, and so sees changes that left the index as it was."""
+    store, spec = _two_runs(spark, sf, "lookback", lookback=1)
+    later = _moved(spark, sf).where(F.col("o_orderstatus") == "U").withColumn("o_orderstatus", F.lit("L"))
+    d.orders_tgt(spark, sf).unionByName(later).createOrReplaceTempView(spec.source_table)
+    sync_table(spark, spec, store)
+    return store.read(spec.target)
+
+
+@query
+def published_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources feed one target; then one of them is refreshed."""
+    store = TargetStore(spark, scratch_dir(spark, "merge"))
+
+    def spec(alias: str, table: str) -> SyncSpec:
+        source = SourceSpec(alias=alias, database="accounts", kind="table")
+        return SyncSpec(source, table, "accounts", index_column="account_id", primary_key="account_id",
+                        alias_column="source_alias", buckets=2)
+
+    crm, erp = spec("crm", "source_crm"), spec("erp", "source_erp")
+    customers, suppliers = (
+        d.table(spark, sf, name).select(F.col(f"{c}_{key}").alias("account_id"), F.col(f"{c}_acctbal").alias("balance"))
+        for name, c, key in (("customer", "c", "custkey"), ("supplier", "s", "suppkey"))
+    )
+    customers.createOrReplaceTempView("source_crm")
+    suppliers.createOrReplaceTempView("source_erp")
+    sync_table(spark, crm, store)
+    sync_table(spark, erp, store)
+    customers.where(F.col("balance") > 0).createOrReplaceTempView("source_crm")
+    sync_table(spark, crm, store, full_refresh=True)
+    return store.read(crm.target)
+
+
+@query_named("plan_sync")
+def planned(spark: SparkSession, sf: str) -> DataFrame:
+    """What a sync would do next: go on with one table, create another, and refuse the settings of a third."""
+    store, spec = _two_runs(spark, sf, "plan")
+    lake = SourceSpec(alias="lake", database="files", kind="parquet", location=sf)
+    specs = [
+        spec,
+        SyncSpec(lake, "events", "events", index_column="ts", append_only=True, sort_keys=("ts",)),
+        SyncSpec(lake, "part", "part"),
+    ]
+    planned = plan_sync(spark, specs, store)
+    return planned.select(
+        "source_table", "status", "mode", "old_index_value", "new_index_value", "create_columns", "layout", "conflict"
+    )
+
+
 @query
 def published_state(spark: SparkSession, sf: str) -> DataFrame:
     store, spec = _two_runs(spark, sf, "state")
@@ -656,5 +749,5 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
         return batch.withColumns({"o_orderstatus": F.lit("U"), "o_totalprice": F.col("o_totalprice") + 1})
 
     schema = d.table(spark, sf, "orders").schema
-    stream_sync(spark, StreamSource(sf, schema, "orders.parquet"), spec, store, f"{root}/checkpoint", staged)
+    stream_sync(spark, StreamSource(f"{sf}/orders.parquet", schema), spec, store, f"{root}/checkpoint", staged)
     return store.read(spec.target)

@@ -9,11 +9,11 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.normalize import normalize_row
+from tidemark.functions.normalize import cut_texts, normalize_row
 from tidemark.functions.temporal import TIMESTAMP_TYPES, index_text, replace_zero_dates
 from tidemark.functions.types import override_types
 from tidemark.operators import load, metrics, reconcile
@@ -139,7 +139,17 @@ def extract(
             rows = extract_window(rows, spec.index_column, *literals)
     if spec.not_null_date and not isinstance(spec.not_null_date, bool):
         rows = replace_zero_dates(rows, dict(spec.not_null_date))
-    return normalize_row(project(rows, spec.columns_to_drop))
+    return normal_rows(spec, project(rows, spec.columns_to_drop))
+
+
+def normal_rows(spec: SyncSpec, rows: DataFrame) -> DataFrame:
+    """Normalised rows, with their source's alias if the target keeps it.
+
+    Text keeps one character more than it will have, so that values that are cut can be told, and counted as they are
+    written.
+    """
+    normal = normalize_row(rows, size=None if spec.max_text is None else spec.max_text + 1)
+    return normal.withColumn(spec.alias_column, F.lit(spec.source.alias)) if spec.alias_column else normal
 
 
 def new_target_schema(spec: SyncSpec, rows: DataFrame, source: T.StructType) -> T.StructType:
@@ -181,6 +191,17 @@ def _require_not_null(staged: DataFrame, schema: T.StructType) -> None:
         raise ValueError("NULL in " + ", ".join(f"{r['column_name']} ({r['violations']})" for r in broken))
 
 
+def keyed_by_source(spec: SyncSpec, keys: Sequence[str]) -> tuple[str, ...]:
+    """The key in the target: with an alias column, keys of different sources never meet."""
+    return (spec.alias_column, *keys) if spec.alias_column and keys else tuple(keys)
+
+
+def mode_for(spec: SyncSpec, base: Version | None) -> str:
+    """The load mode. A refresh of one source among several replaces that source's rows."""
+    merged = spec.alias_column and base is not None and spec.mode == "full_refresh"
+    return "scoped_refresh" if merged else spec.mode
+
+
 def sync_table(
     spark: SparkSession,
     spec: SyncSpec,
@@ -195,7 +216,7 @@ def sync_table(
     The extract is written once and read back: the upsert uses it twice, and its true size decides how it is joined.
     """
     spec = spec.forced(full_refresh, rebuild).validate_runtime()
-    started = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    started = _clock(now)
     state = StateLog(store)
     base = store.latest(spec.target)
     mode = spec.mode
@@ -215,6 +236,8 @@ def sync_table(
     keys = () if mode == "append" else reader.primary_key(spark, spec)
     if mode == "upsert" and not keys:
         raise SchemaMismatch(f"{spec.target}: an upsert needs a primary key, or every row would be deleted")
+    keys = keyed_by_source(spec, keys)
+    mode = mode_for(spec, base)
 
     result = SyncResult(
         spec.source.alias, spec.source_table, spec.target, "empty", mode, status, bounds.old, bounds.new
@@ -228,11 +251,7 @@ def sync_table(
 
     staged = land(spark, store, spec, rows, schema, mode, base, keys, now=now)
     if monitor:
-        ended = _clock(now)
-        row = metrics.extract_monitor_row(
-            TASK, spec.state_key, started, ended, staged.folder, staged.count, staged.size
-        )
-        append_monitor(store, "extract", staged.run_id, row)
+        log_extract(store, spec, staged, started, _clock(now))
 
     if staged.count == 0 and not (spec.allow_empty_refresh and spec.full_refresh):
         if base is None:
@@ -243,13 +262,9 @@ def sync_table(
     load_started = _clock(now)
     version, deleted = write_version(spark, spec, store, mode, base, staged, keys, bounds)
     if bounds.new is not None:
-        state.add(spec.state_key, spec.target, staged.run_id, bounds.new, _stamp(staged.run_id))
+        state.add(spec.state_key, spec.target, staged.run_id, bounds.new, stamp_of(staged.run_id))
     if monitor:
-        row = metrics.load_monitor_row(
-            TASK, spec.state_key, spec.target, load_started, _clock(now), staged.folder, staged.count,
-            deleted, staged.size,
-        )
-        append_monitor(store, "load", staged.run_id, row)
+        log_load(store, spec, staged, deleted, load_started, _clock(now))
     store.publish(spec.target, version, base)
     if staged.version is None:
         files.delete_folder(spark, staged.folder)
@@ -273,6 +288,7 @@ class Staged:
     count: int
     size: int
     version: Version | None = None
+    cut_values: int = 0
 
 
 def land(
@@ -286,7 +302,9 @@ def land(
     the written files, so a task that is run twice counts once.
     """
     run_id = store.new_run_id(spec.target, now)
-    fitted = reconcile.conform_to_target(rows, schema)
+    seen = Observation()
+    counted = rows.observe(seen, F.sum(cut_texts(rows, spec.max_text)[1]).alias("cut"))
+    fitted = reconcile.conform_to_target(cut_texts(counted, spec.max_text)[0], schema)
     looks_back = base is not None and mode in ("upsert", "scoped_refresh")
     version = None
     if looks_back or (keys and spec.buckets is None):
@@ -297,7 +315,10 @@ def land(
         folder = f"{store.folder(spec.target)}/data/run_id={run_id}"
         version = _new_version(store, spec, run_id, fitted, schema, mode, base, keys, 0, batches)
         back = store.read(spec.target, version, [p for p in version.parts if p.path.startswith(f"data/run_id={run_id}")])
-    staged = Staged(run_id, folder, back, schema, back.count(), files.folder_bytes(spark, folder), version)
+    count = back.count()
+    # Nothing is observed where the plan is known to be empty.
+    cut = seen.get["cut"] or 0 if count else 0
+    staged = Staged(run_id, folder, back, schema, count, files.folder_bytes(spark, folder), version, cut)
     if staged.count:
         _require_not_null(back, schema)
     return staged
@@ -331,9 +352,13 @@ def write_version(
         return version, store.read(target, base).count() if base and mode == "full_refresh" else 0
     done = {**base.batches, **(batches or {})}
     if mode == "scoped_refresh":
-        text = sqltext.read_text(spec.truncate_file)
-        values = sqltext.template_values(spec, bounds.old, bounds.new)
-        scope = F.expr(sqltext.with_literals(sqltext.delete_predicate(text), values))
+        scope = F.lit(True)
+        if spec.truncate_file:
+            text = sqltext.read_text(spec.truncate_file)
+            values = sqltext.template_values(spec, bounds.old, bounds.new)
+            scope = F.expr(sqltext.with_literals(sqltext.delete_predicate(text), values))
+        if spec.alias_column:
+            scope &= F.col(spec.alias_column) == F.lit(spec.source.alias)
         return store.replace_where(target, run_id, base, rows, scope, staged.size, spec.sort_keys, done)
     load.staged_keys(rows, keys).write.parquet(f"{staged.folder}/keys")
     key_schema = T.StructType([staged.schema[k] for k in keys])
@@ -345,11 +370,31 @@ def write_version(
     )
 
 
+def log_extract(store: TargetStore, spec: SyncSpec, staged: Staged, started: datetime, ended: datetime) -> None:
+    """The run's row in the extract monitor."""
+    row = metrics.extract_monitor_row(
+        TASK, spec.state_key, started, ended, staged.folder, staged.count, staged.size, staged.cut_values
+    )
+    append_monitor(store, "extract", staged.run_id, row)
+
+
+def log_load(store: TargetStore, spec: SyncSpec, staged: Staged, deleted: int, started: datetime, ended: datetime) -> None:
+    """The run's row in the load monitor."""
+    row = metrics.load_monitor_row(
+        TASK, spec.state_key, spec.target, started, ended, staged.folder, staged.count, deleted, staged.size
+    )
+    append_monitor(store, "load", staged.run_id, row)
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def _clock(now: datetime | None) -> datetime:
-    return now or datetime.now(timezone.utc).replace(tzinfo=None)
+    return now or utc_now()
 
 
-def _stamp(run_id: str) -> datetime:
+def stamp_of(run_id: str) -> datetime:
     return datetime.strptime(run_id.split("-")[0], "%Y%m%dT%H%M%S%f")
 
 

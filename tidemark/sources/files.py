@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import time
 
 from py4j.protocol import Py4JJavaError
@@ -26,6 +27,24 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(where))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, where = _fs(spark, path)
+    return fs.exists(where) and fs.getFileStatus(where).isFile()
+
+
+def holds(spark: SparkSession, path: str, pattern: str | None = None) -> bool:
+    """Whether a path is a file, or a folder with files at any depth; with a pattern, files whose name matches it."""
+    fs, where = _fs(spark, path)
+    if not fs.exists(where):
+        return False
+    found = fs.listFiles(where, True)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if not name.startswith(("_", ".")) and (pattern is None or fnmatch.fnmatchcase(name, pattern)):
+            return True
+    return False
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, where = _fs(spark, path)
     stream = fs.open(where)

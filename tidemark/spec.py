@@ -9,6 +9,8 @@ from typing import Any
 
 import numpy as np
 
+from tidemark.functions.text import MAX_TEXT
+
 DIALECTS = ("postgresql", "mysql", "mssql")
 
 
@@ -50,7 +52,9 @@ class SyncSpec:
 
     ``query_file``, ``truncate_file`` and ``schema_file`` name files of SQL text with named parameters.
     ``index_sql`` is SQL text with a column ``index_value``. ``buckets`` is the number of hash buckets of a keyed
-    target; None derives it from the size of the first load.
+    target; None derives it from the size of the first load. Text is cut at ``max_text`` characters, if that is given; the
+    extract monitor has the number of values that were. ``alias_column`` is a column of the target that takes the source's
+    alias, so that several sources can feed one target: it is part of the key, and a refresh replaces its own source's rows.
     """
 
     source: SourceSpec
@@ -78,6 +82,8 @@ class SyncSpec:
     enabled: bool = True
     allow_empty_refresh: bool = False
     buckets: int | None = None
+    max_text: int | None = MAX_TEXT
+    alias_column: str | None = None
 
     def __post_init__(self) -> None:
         key = self.primary_key

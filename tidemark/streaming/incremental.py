@@ -11,17 +11,29 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.normalize import normalize_row
+from tidemark.operators import reconcile
+from tidemark.operators.bounds import high_water_mark
 from tidemark.operators.extract import project
 from tidemark.plans.publish import TargetStore
-from tidemark.plans.sync import land, write_version
+from tidemark.plans.state import StateLog
+from tidemark.plans.sync import (
+    keyed_by_source,
+    land,
+    log_extract,
+    log_load,
+    mode_for,
+    normal_rows,
+    stamp_of,
+    utc_now,
+    write_version,
+)
 from tidemark.sources import files
 from tidemark.spec import SchemaMismatch, SyncSpec
 
 
 @dataclass(frozen=True)
 class StreamSource:
-    """A folder of Parquet files, or those of its files that match a pattern."""
+    """A Parquet file, or a folder of them, or those of its files that match a pattern."""
 
     path: str
     schema: T.StructType
@@ -29,27 +41,54 @@ class StreamSource:
     max_files: int | None = None
 
     def frame(self, spark: SparkSession) -> DataFrame:
+        """The stream. A path that holds no file is an error: such a stream would load nothing for ever."""
+        if not files.holds(spark, self.path, self.pattern):
+            raise FileNotFoundError(f"{self.path}: no file" + (f" is named like {self.pattern}" if self.pattern else ""))
         reader = spark.readStream.schema(self.schema)
         if self.pattern:
             reader = reader.option("pathGlobFilter", self.pattern)
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
-        return reader.parquet(self.path)
+        if not files.is_file(spark, self.path):
+            return reader.parquet(self.path)
+        # Streams read folders: one file is the folder it lies in, and its name as the pattern.
+        folder, _, name = self.path.rstrip("/").rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
 
 
-def load_batch(spark: SparkSession, spec: SyncSpec, store: TargetStore, rows: DataFrame, stream: str, batch: int) -> None:
-    """Load one batch as one published run, unless it was published already."""
+def load_batch(
+    spark: SparkSession, spec: SyncSpec, store: TargetStore, rows: DataFrame, stream: str, batch: int, monitor: bool = True
+) -> None:
+    """Load one batch as one published run, unless it was published already.
+
+    As in a run without a stream, columns are checked against the target's, the newest index value is logged, and the
+    monitor tables get a row each.
+    """
+    started = utc_now()
     base = store.latest(spec.target)
     if base is not None and base.batches.get(stream, -1) >= batch:
         return
     if spec.mode == "upsert" and not spec.primary_key:
         raise SchemaMismatch(f"{spec.target}: an upsert needs a primary key")
-    keys = () if spec.mode == "append" else spec.primary_key
-    normal = normalize_row(rows)
-    schema, batches = base.struct if base else normal.schema, {stream: batch}
-    staged = land(spark, store, spec, normal, schema, spec.mode, base, keys, batches)
+    keys = () if spec.mode == "append" else keyed_by_source(spec, spec.primary_key)
+    normal = normal_rows(spec, rows)
+    target_columns = base.struct.fieldNames() if base else ()
+    if reconcile.target_status(normal.columns, target_columns, (), False) == reconcile.INCORRECT:
+        extra = sorted(set(target_columns) - set(normal.columns))
+        raise SchemaMismatch(f"{spec.target} has columns that the stream lacks: {', '.join(extra)}")
+    schema, batches, mode = base.struct if base else normal.schema, {stream: batch}, mode_for(spec, base)
+    staged = land(spark, store, spec, normal, schema, mode, base, keys, batches)
+    if monitor:
+        log_extract(store, spec, staged, started, utc_now())
     if staged.count:
-        version, _ = write_version(spark, spec, store, spec.mode, base, staged, keys, batches=batches)
+        loading = utc_now()
+        version, deleted = write_version(spark, spec, store, mode, base, staged, keys, batches=batches)
+        if spec.index_column and spec.index_column in staged.rows.columns:
+            newest = high_water_mark(staged.rows, spec.index_column).first()["index_value"]
+            if newest is not None:
+                StateLog(store).add(spec.state_key, spec.target, staged.run_id, newest, stamp_of(staged.run_id))
+        if monitor:
+            log_load(store, spec, staged, deleted, loading, utc_now())
         store.publish(spec.target, version, base)
     if staged.version is None or not staged.count:
         files.delete_folder(spark, staged.folder)
