@@ -23,9 +23,9 @@ from tidemark.llm.components import components
 from tidemark.session import written
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
-#: Fingerprints under one key that one step compares; more are cut further.
-DIRECT = 2048
-_LEVELS = 3
+#: Fingerprints under one key that are compared at once; more are cut further, by the bits that their key leaves open.
+DIRECT = 32_768
+_LEVELS = 2
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -244,8 +244,8 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, direct: int = DIRECT
     """Links (a, b) between distinct fingerprints (column ``bits``): all pairs within ``max_bits`` bits are connected by
     them, though not each has a link of its own.
 
-    Exact for ``max_bits`` up to 5. A key that holds more than ``direct`` fingerprints is cut by its open bits, twice at
-    most; the bits that then stay open bound what one key can hold.
+    Exact for ``max_bits`` up to 5. A key that holds more than ``direct`` fingerprints is cut once more, by its open bits.
+    Where a key then still holds very many, they agree in all but few bits, and most are reached from the first.
     """
     if not 0 <= max_bits <= 5:
         raise ValueError("three segments with one wildcard find up to 5 differing bits")
