@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import BLANKS, ascii_lower, col, free_name
+from tidemark.session import written
 
 MIN_DOCS, MIN_CHARS = 3, 20
 
@@ -73,9 +74,11 @@ def dedup_lines(
     Null text is one empty line and becomes an empty text. Rows that share an id are one document; a null id is one
     document, below all others. A text whose lines all go becomes empty, and stays as a row. Other columns are kept.
     """
-    lines = line_hashes(docs, id_col, text_col, min_chars)
+    lines = written(line_hashes(docs, id_col, text_col, min_chars), "lines")
+    # Written, the few shared lines have a known size, and a line in very many documents is a join key that AQE splits.
+    shared = written(shared_lines(lines, min_docs), "shared-lines")
     dropped = (
-        lines.join(shared_lines(lines, min_docs), ["k1", "k2"])
+        lines.join(shared, ["k1", "k2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id", "t1", "t2")
         .agg(F.collect_set("pos").alias("drop"))
