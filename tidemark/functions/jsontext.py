@@ -30,6 +30,7 @@ SHORT_ESCAPES = {
     "\b": "\\b",
 }
 _UNPRINTABLE = "[^ -~]"
+_ESCAPED = r"[^ !#-\[\]-~]"
 
 
 def _units(char: Column) -> Column:
@@ -43,11 +44,15 @@ def escape_unprintable(c: Column) -> Column:
 
 
 def json_string(c: Column) -> Column:
-    """A quoted, escaped string."""
+    """A quoted, escaped string. Text without anything to escape, which one test tells, is passed through.
+
+    The escaped text is bound to a name, since the test for other signs and their replacement each read it.
+    """
     text = c
     for char, escape in SHORT_ESCAPES.items():
         text = F.replace(text, F.lit(char), F.lit(escape))
-    return _quoted(escape_unprintable(text))
+    escaped = F.element_at(F.transform(F.array(text), escape_unprintable), 1)
+    return _quoted(F.when(c.rlike(_ESCAPED), escaped).otherwise(c))
 
 
 def _fewest_digits(c: Column, text: Column, data_type: T.DataType) -> Column:
@@ -63,7 +68,11 @@ def _fewest_digits(c: Column, text: Column, data_type: T.DataType) -> Column:
 
 def json_float(c: Column, data_type: T.DataType) -> Column:
     """A floating-point number: shortest digits, exponent form below 1e-4 and from 1e16 on."""
-    text = c.cast("string")
+    return F.element_at(F.transform(F.array(c.cast("string")), lambda text: _float_text(c, text, data_type)), 1)
+
+
+def _float_text(c: Column, text: Column, data_type: T.DataType) -> Column:
+    """The same from the number and Java's text of it, which is written once and read several times."""
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     body = F.regexp_replace(_fewest_digits(c, text, data_type), "^-", "")
     mantissa = F.regexp_replace(F.regexp_extract(body, r"^([0-9.]+)[eE]", 1), r"\.?0*$", "")

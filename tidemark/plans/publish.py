@@ -199,7 +199,7 @@ class TargetStore:
     ) -> tuple[Part, ...]:
         """Write rows to the run's folder."""
         if buckets is not None:
-            return self._write_buckets(table, run_id, self._by_bucket(rows, keys, buckets, True), sort_keys)
+            return self._write_buckets(table, run_id, self._by_bucket(rows, keys, buckets, True), sort_keys or keys)
         relative = f"data/run_id={run_id}"
         placed = clustered(rows, [distribution_key] if distribution_key else [], sort_keys)
         placed.write.parquet(f"{self.folder(table)}/{relative}")
@@ -215,6 +215,7 @@ class TargetStore:
         return clustered(labelled, [BUCKET], partitions=buckets) if together else labelled
 
     def _write_buckets(self, table: str, run_id: str, rows: DataFrame, sort_keys: Sequence[str]) -> tuple[Part, ...]:
+        """Rows are sorted by the key unless the table has sort keys, so that a range of keys skips row groups."""
         relative = f"data/run_id={run_id}"
         path = f"{self.folder(table)}/{relative}"
         rows.sortWithinPartitions(BUCKET, *[f"`{c}`" for c in sort_keys]).write.partitionBy(BUCKET).parquet(path)
@@ -348,7 +349,7 @@ class TargetStore:
             rows = self._by_bucket(left, base.keys, base.buckets, together).unionByName(
                 self._by_bucket(staged.select(*left.columns), base.keys, base.buckets, True)
             )
-            parts = self._write_buckets(table, run_id, rows, sort_keys)
+            parts = self._write_buckets(table, run_id, rows, sort_keys or base.keys)
         else:
             parts = self._write(table, run_id, load.insert_all(left, staged), (), None, None, sort_keys)
         gone = {p.path for p in redone}
