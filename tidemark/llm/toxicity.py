@@ -26,13 +26,13 @@ from tidemark.session import written
 #: Labelled rows that the classifier is fitted on: so many of each class at most, chosen by hash.
 MAX_LABELS = 25_000
 #: Terms of the model: the most significant ones, how significant they have to be, and their least log-odds.
-MAX_TERMS, MIN_Z, MIN_ODDS = 50_000, 4.0, 1.0
+MAX_TERMS, MIN_Z, MIN_ODDS = 50_000, 4.0, 2.0
 #: The prior weighs this share of the labelled words.
 PRIOR = 0.1
 #: Lengths of the beginnings of words that are terms too.
 STEMS = (5, 4)
 #: What a word that is no term costs at least; in a clean text, scores have to sink on the average.
-COST = 0.1
+COST = 0.05
 #: Segments are reported as passages up to this expected number in a clean text of the same length.
 MAX_EXPECTED = 0.05
 #: Folds by crc32 of the id as text; fold 0 is held out.
