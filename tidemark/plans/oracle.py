@@ -488,6 +488,26 @@ ORACLE: dict[str, str] = {
            SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders_tgt UNION ALL
            SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM win""",
     ),
+    "published_monitor": _with(
+        "orders_tgt orders_stg orders_moved",
+        """, runs AS (
+             SELECT count(*) AS n, CAST(0 AS BIGINT) AS gone FROM orders_tgt UNION ALL
+             SELECT count(*), (SELECT count(*) FROM orders_tgt t WHERE o_orderkey IN (SELECT o_orderkey FROM orders_stg))
+             FROM orders_moved WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders_tgt)),
+           named AS (SELECT *, 'SyncTable(alias=shop, database=sales, table=source_shared)' AS task_id FROM runs)
+           SELECT 'extract' AS monitor, task_id, n > 0 AS output_exists, n AS rows, CAST(NULL AS BIGINT) AS rows_deleted FROM named
+           UNION ALL SELECT 'load', task_id, NULL, n, gone FROM named""",
+    ),
+    "published_clean_up": _with(
+        "orders_tgt orders_stg orders_moved",
+        "SELECT CAST(1 AS INTEGER) AS folders_deleted, count(*) AS row_count FROM orders_moved",
+    ),
+    "published_rebuild_result": _with(
+        "orders_tgt orders_stg orders_moved",
+        f"""SELECT 'source_rebuilt' AS source_table, 'loaded' AS status, 'rebuild' AS mode, 'rebuild' AS target_status,
+               strftime(max(o_orderdate), {STAMP}) AS new_index_value, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_deleted
+            FROM orders_moved""",
+    ),
     "published_refresh": _with("orders_tgt orders_stg orders_moved", "SELECT * FROM orders_moved"),
     "published_scoped_refresh": _with(
         "orders_tgt orders_stg orders_moved",
@@ -508,7 +528,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT s_suppkey, s_acctbal, 'erp' FROM supplier""",
     "plan_sync": _with(
         "orders_tgt orders_stg orders_moved",
-        f"""SELECT 'source_plan' AS source_table, 'ok' AS status, 'upsert' AS mode,
+        f"""SELECT 'source_shared' AS source_table, 'ok' AS status, 'upsert' AS mode,
                strftime(max(o_orderdate), {STAMP}) AS old_index_value, strftime(max(o_orderdate), {STAMP}) AS new_index_value,
                CAST(NULL AS VARCHAR) AS create_columns, CAST(NULL AS VARCHAR) AS layout, CAST(NULL AS VARCHAR) AS conflict
             FROM orders_moved UNION ALL

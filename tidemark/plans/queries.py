@@ -30,7 +30,7 @@ from tidemark.functions.types import mysql_type_column, override_types, postgres
 from tidemark.operators import acl, bounds, extract, layout, load, metrics, reconcile, rules
 from tidemark.plans import derived as d
 from tidemark.plans.publish import TargetStore
-from tidemark.plans.state import StateLog, append_state, state_rows
+from tidemark.plans.state import StateLog, append_state, read_monitor, state_rows
 from tidemark.plans.sync import plan_sync, results_frame, sync_all, sync_table
 from tidemark.session import scratch_dir, written
 from tidemark.sources import sqltext
@@ -615,6 +615,19 @@ def _two_runs(
     return store, spec
 
 
+_stores: dict[tuple[str, str], tuple[TargetStore, SyncSpec]] = {}
+
+
+def _shared_runs(spark: SparkSession, sf: str) -> tuple[TargetStore, SyncSpec]:
+    """One store for the queries that only look at what two runs have left."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stores or not _stores[key][0].exists(_stores[key][1].target):
+        _stores[key] = _two_runs(spark, sf, "shared")
+    store, spec = _stores[key]
+    _moved(spark, sf).createOrReplaceTempView(spec.source_table)
+    return store, spec
+
+
 @query
 def published_upsert(spark: SparkSession, sf: str) -> DataFrame:
     store, spec = _two_runs(spark, sf, "upsert")
@@ -627,6 +640,38 @@ def published_append(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(spec.target)
 
 
+@query
+def published_monitor(spark: SparkSession, sf: str) -> DataFrame:
+    """What the monitor tables say of both runs."""
+    store, _ = _shared_runs(spark, sf)
+    found = read_monitor(store, "extract").select(
+        F.lit("extract").alias("monitor"), "task_id", "output_exists", F.col("row_count").alias("rows"),
+        F.lit(None).cast("long").alias("rows_deleted"),
+    )
+    loaded = read_monitor(store, "load").select(
+        F.lit("load").alias("monitor"), "task_id", F.lit(None).cast("boolean").alias("output_exists"),
+        F.col("rows_inserted").alias("rows"), "rows_deleted",
+    )
+    return found.unionAll(loaded)
+
+
+@query
+def published_clean_up(spark: SparkSession, sf: str) -> DataFrame:
+    """After a refresh, only the folders of the newest version are kept, and its rows can still be read."""
+    store, spec = _two_runs(spark, sf, "clean", again={"full_refresh": True}, buckets=None, append_only=True)
+    gone = store.clean_up(spec.target, keep=1)
+    rows = store.read(spec.target)
+    return rows.groupBy(F.lit(len(gone)).alias("folders_deleted")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def published_rebuild_result(spark: SparkSession, sf: str) -> DataFrame:
+    """What a rebuild reports: its mode, its status against the old target, and the rows it has counted."""
+    store, spec = _two_runs(spark, sf, "rebuilt")
+    results = results_frame(spark, [sync_table(spark, spec, store, rebuild=True)])
+    return results.select("source_table", "status", "mode", "target_status", "new_index_value", "rows_inserted", "rows_deleted")
+
+
 @query
 def published_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """A refresh of a target that exists, after its source has moved on."""
@@ -686,7 +731,7 @@ def published_merge(spark: SparkSession, sf: str) -> DataFrame:
 @query_named("plan_sync")
 def planned(spark: SparkSession, sf: str) -> DataFrame:
     """What a sync would do next: go on with one table, create another, and refuse the settings of a third."""
-    store, spec = _two_runs(spark, sf, "plan")
+    store, spec = _shared_runs(spark, sf)
     lake = SourceSpec(alias="lake", database="files", kind="parquet", location=sf)
     specs = [
         spec,
@@ -701,7 +746,7 @@ def planned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def published_state(spark: SparkSession, sf: str) -> DataFrame:
-    store, spec = _two_runs(spark, sf, "state")
+    store, spec = _shared_runs(spark, sf)
     rows = StateLog(store).of(spec.state_key, spec.target)
     return rows.select("datastore_name", "database_name", "index_value")
 
@@ -709,7 +754,7 @@ def published_state(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def published_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """The rows that the files of the live version hold together."""
-    store, spec = _two_runs(spark, sf, "manifest")
+    store, spec = _shared_runs(spark, sf)
     files = store.manifest(spec.target)
     return files.groupBy("mandatory").agg(F.sum("row_count").alias("row_count"))
 
