@@ -14,14 +14,15 @@ import sys
 import types
 import unicodedata
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 
 #: Characters that are handled at once; a longer text is cut between two words.
 CHUNK = 2_000_000
-#: Pre-tokens that a Python worker remembers. Beyond them it starts anew.
-REMEMBER = 1_000_000
+#: Pre-tokens, of 16 characters each, that a Python worker remembers. Beyond them it starts anew.
+REMEMBER = 1_200_000
 
 #: Blocks of characters whose classes and lower case are the same in every version of Unicode in use.
 _BLOCKS = ((0x21, 0x7E), (0xA1, 0x24F), (0x370, 0x3FF), (0x400, 0x4FF), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC),
@@ -124,16 +125,68 @@ def starts_of(points: np.ndarray, kinds: np.ndarray, way: str) -> np.ndarray:
     return np.flatnonzero(start | (kinds == _END))
 
 
-class _Places(dict):
-    """Numbers what it has not seen, and lists it."""
+class _Known:
+    """The pre-tokens that were encoded, by hash: their code points, which tell equal hashes apart, and their ids."""
 
     def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        place = self[key] = len(self)
-        self.new.append(key)
-        return place
+        self.hashes, self.slots = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.points, self.ids = np.empty(0, np.uint32), np.empty(0, np.uint32)
+        self.point_starts, self.point_counts = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.id_starts, self.id_counts = np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray, points: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The slot of each pre-token, -1 for new ones. ``points``: those of all, one after the other."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        slots = np.where(self.hashes[at] == hashes, self.slots[at], -1)
+        seen = slots >= 0
+        own, size = slots[seen], counts[seen]
+        if not (self.point_counts[own] == size).all() or not np.array_equal(
+            self.points[_runs(self.point_starts[own], size)], points[np.repeat(seen, counts)]
+        ):
+            raise ArithmeticError("two pre-tokens have the same hash")
+        return slots
+
+    def add(self, hashes: np.ndarray, points: np.ndarray, counts: np.ndarray, lists: list[list[int]]) -> np.ndarray:
+        """Take in new pre-tokens, with ascending hashes; returns their slots."""
+        slots = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
+        for name, more, first in (("point", counts, len(self.points)), ("id", sizes, len(self.ids))):
+            starts = (np.cumsum(more) - more + first).astype(np.int32)
+            setattr(self, f"{name}_starts", np.concatenate((getattr(self, f"{name}_starts"), starts)))
+            setattr(self, f"{name}_counts", np.concatenate((getattr(self, f"{name}_counts"), more.astype(np.int32))))
+        self.points, self.ids = np.concatenate((self.points, points)), np.concatenate((self.ids, ids))
+        return slots
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of runs, one after the other."""
+    ends = np.cumsum(counts, dtype=np.int64)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+@dataclass(frozen=True)
+class Split:
+    """Plain texts as pre-tokens: the distinct ones, by ascending hash, which of them stands at each place, and how many
+    places each text has."""
+
+    text: str
+    starts: np.ndarray
+    counts: np.ndarray
+    hashes: np.ndarray
+    points: np.ndarray
+    which: np.ndarray
+    per_text: np.ndarray
+
+    def strings(self, chosen: np.ndarray | slice = slice(None)) -> list[str]:
+        return [self.text[a : a + n] for a, n in zip(self.starts[chosen].tolist(), self.counts[chosen].tolist())]
 
 
 class Encoder:
@@ -155,41 +208,33 @@ class Encoder:
         rng = np.random.default_rng(7)
         self.by_sign = rng.integers(1, 2**63, _SIZE, dtype=np.uint64)
         self.by_place = np.array([pow(0x9E3779B97F4A7C15, i, 2**64) for i in range(1024)], dtype=np.uint64)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places = _Places()
-        self.lengths, self.starts = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
+        self.known = _Known()
 
     def is_plain(self, text: str) -> bool:
         return self.way != "library" and not self.odd.search(text) and not any(s in text for s in self.special)
 
-    def split(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Plain texts as pre-tokens: those that occur, which of them each place holds, and how many each text has."""
+    def split(self, texts: list[str]) -> Split:
         joined = "\0".join(texts) + "\0"
         if self.way == "bare":
             joined = joined.lower()
         points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         kinds = self.classes[points]
         starts = starts_of(points, kinds, self.way)
-        lengths = np.diff(starts, append=len(points))
+        counts = np.diff(starts, append=len(points))
         own = kinds[starts]
         ends = np.flatnonzero(own == _END)
         real = own != _END if self.way == "spaced" else (own != _END) & (own < _SPACE)
-        counts = np.diff(np.concatenate(([0], np.cumsum(real)[ends])))
-        places = np.arange(len(points)) - np.repeat(starts, lengths)
-        hashes = np.add.reduceat(self.by_sign[points] * self.by_place[places & 1023], starts) + lengths.astype(np.uint64)
-        _, first, which = np.unique(hashes[real], return_index=True, return_inverse=True)
-        starts, lengths = starts[real], lengths[real]
+        per_text = np.diff(np.concatenate(([0], np.cumsum(real)[ends])))
+        places = np.arange(len(points)) - np.repeat(starts, counts)
+        hashes = np.add.reduceat(self.by_sign[points] * self.by_place[places & 1023], starts) + counts.astype(np.uint64)
+        distinct, first, which = np.unique(hashes[real], return_index=True, return_inverse=True)
+        starts, counts = starts[real], counts[real]
         # Equal hashes have to mean equal pre-tokens.
-        mine = np.repeat(starts, lengths)
-        inside = np.arange(len(mine)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        model = np.repeat(starts[first][which], lengths)
-        if not (lengths[first][which] == lengths).all() or not (points[mine + inside] == points[model + inside]).all():
-            raise ArithmeticError("two pre-tokens of one chunk have the same hash")
-        distinct = [joined[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist())]
-        return distinct, which, counts
+        same = points[_runs(starts, counts)] == points[_runs(starts[first][which], counts)]
+        if not (counts[first][which] == counts).all() or not same.all():
+            raise ArithmeticError("two pre-tokens have the same hash")
+        starts, counts = starts[first], counts[first]
+        return Split(joined, starts, counts, distinct, points[_runs(starts, counts)], which, per_text)
 
     def pretokens(self, text: str) -> list[str]:
         """The pre-tokens of a text that is not plain, special strings among them, for files that keep white space."""
@@ -221,32 +266,28 @@ class Encoder:
         """The number of ids of each pre-token, or text."""
         return [len(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self) -> None:
-        """Encode the pre-tokens that are new. The model takes their bytes as signs; none holds the separator."""
-        new, self.places.new = self.places.new, []
-        if not new:
-            return
-        spelled = "\0".join(new).encode().decode("latin-1").translate(self.signs).split(chr(self.signs[0]))
+    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of pre-tokens. The model takes their bytes as signs; none holds the separator."""
+        if not pieces:
+            return []
+        spelled = "\0".join(pieces).encode().decode("latin-1").translate(self.signs).split(chr(self.signs[0]))
         tokenize = self.model.tokenize
-        lists = [[t.id for t in tokenize(piece)] for piece in spelled]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for ids in lists for i in ids), np.uint32, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths + len(self.ids)
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.starts = np.concatenate((self.starts, starts))
-        self.ids = np.concatenate((self.ids, ids))
+        return [[t.id for t in tokenize(piece)] for piece in spelled]
 
     def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
-        distinct, which, counts = self.split(texts)
-        at = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))[which]
-        self._learn()
-        lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(total)]
-        bounds = np.concatenate(([0], ends))[np.cumsum(counts)]
-        if len(self.places) > REMEMBER:
-            self._forget()
+        if len(self.known) > REMEMBER or len(self.known.points) > 16 * REMEMBER:
+            self.known = _Known()
+        split, known = self.split(texts), self.known
+        slots = known.find(split.hashes, split.points, split.counts)
+        new = slots < 0
+        if new.any():
+            lists = self._ids_of(split.strings(new))
+            points = split.points[np.repeat(new, split.counts)]
+            slots[new] = known.add(split.hashes[new], points, split.counts[new], lists)
+        at = slots[split.which]
+        counts = known.id_counts[at]
+        ids = known.ids[_runs(known.id_starts[at], counts)]
+        bounds = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(split.per_text)]
         return np.split(ids, bounds[:-1])
 
     def _encode_whole(self, texts: list[str]) -> list[np.ndarray]:
