@@ -149,12 +149,32 @@ def decode(payload: bytes, counts: np.ndarray, document_bytes: np.ndarray, check
 _BLOCK = "part long, block long, {id} n_ids array<int>, n_bytes array<int>, checkpoints binary, payload binary"
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
+def _tokens(batches: Iterator[pa.RecordBatch], path: str, end: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The ids of each text; and at last, in a row of its own, how often the task has had each id."""
     encoder = encoder_for(path)
+    total, held, size = np.zeros(0, np.int64), [], 0
     for batch in batches:
-        own = (np.append(ids, np.uint32(end)) for ids in encoder.encode(t.as_py() for t in batch.column("text")))
-        packed = [_narrow(ids) for ids in own]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "ids"])
+        packed = []
+        for ids in encoder.encode(t.as_py() for t in batch.column("text")):
+            ids = np.append(ids, np.uint32(end))
+            packed.append(_narrow(ids))
+            held.append(ids)
+            size += len(ids)
+            if size >= 1_000_000:
+                total, held, size = _added(total, np.bincount(np.concatenate(held))), [], 0
+        columns = [batch.column("doc_id"), pa.array(packed, pa.binary()), pa.nulls(len(batch), pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+    if held:
+        total = _added(total, np.bincount(np.concatenate(held)))
+    last = [pa.nulls(1, schema.field("doc_id").type), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(last, schema=schema)
+
+
+def _added(total: np.ndarray, more: np.ndarray) -> np.ndarray:
+    if len(more) > len(total):
+        total, more = more, total
+    total[: len(more)] += more
+    return total
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -169,15 +189,11 @@ def _wide(packed: memoryview) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n) from the counts of tasks."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for packed in batch.column("ids"):
-            own = np.bincount(_wide(packed.as_buffer()))
-            if len(own) > len(total):
-                own[: len(total)] += total
-                total = own
-            else:
-                total[: len(own)] += own
+        for counts in batch.column("counts"):
+            total = _added(total, np.frombuffer(counts.as_buffer(), np.int64).copy())
     ids = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
@@ -238,8 +254,8 @@ def write_ids(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", t
     """Write the ids of each text, then ``end``, in ascending order of ``id_col``: ``folder``/blocks and ``folder``/code.
 
     ``path``: a tokenizer file that every executor has. Null and empty texts are the end alone. Null ids come first, and rows
-    that share an id stand in the order of their token ids' hash. The ids are written once as they are, to be counted and
-    then coded, so a lost executor never has texts tokenized anew; that copy is removed in the end.
+    that share an id stand in the order of their token ids' hash. The ids are written once as they are, with their counts by
+    task, and then coded, so a lost executor never has texts tokenized anew; that copy is removed in the end.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -247,10 +263,14 @@ def write_ids(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", t
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     plain = scratch_dir(spark, "ids")
-    tokens = rows.mapInArrow(lambda batches: _tokens(batches, path, end), f"doc_id {kind}, ids binary")
+    made = T.StructType.fromDDL(f"doc_id {kind}, ids binary, counts binary")
+    arrow_made = to_arrow_schema(made)
+    tokens = rows.mapInArrow(lambda batches: _tokens(batches, path, end, arrow_made), made)
     tokens.write.option("compression", "zstd").parquet(plain)
-    tokens = spark.read.schema(tokens.schema).parquet(plain)
-    counted = tokens.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    back = spark.read.schema(made).parquet(plain)
+    tokens = back.where(F.col("ids").isNotNull()).select("doc_id", "ids")
+    by_task = back.where(F.col("counts").isNotNull()).select("counts")
+    counted = by_task.mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counted.toPandas()  # one row per entry of the vocabulary at most
     counts = np.zeros(int(found["id"].max()) + 1 if len(found) else 1, np.int64)
     counts[found["id"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
