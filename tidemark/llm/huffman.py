@@ -278,25 +278,16 @@ def write_ids(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", t
     code = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(code, "id int, bits int").coalesce(1).write.parquet(f"{folder}/code")
     codes = canonical(lengths)
-    tie = tokens.withColumn("tie", F.xxhash64("ids"))
-    coded = tie.mapInArrow(
-        lambda batches: _with_tie(batches, lengths, codes),
-        f"doc_id {kind}, n_ids int, payload binary, checkpoints binary, tie long",
-    )
-    placed = coded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    # Dealt by range before they are coded: the sample that finds the ranges costs no coding.
+    tied = tokens.withColumn("tie", F.xxhash64("ids"))
+    placed = tied.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     schema = T.StructType.fromDDL(_BLOCK.format(id=f"doc_id array<{kind}>,"))
     arrow = to_arrow_schema(schema)
-    blocks = placed.mapInArrow(lambda batches: _blocks(batches, arrow), schema)
+    blocks = placed.mapInArrow(lambda batches: _blocks(_encode(batches, lengths, codes), arrow), schema)
     blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
     files.delete_folder(spark, plain)
 
 
-def _with_tie(batches: Iterator[pa.RecordBatch], lengths: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for coded in _encode(iter([batch]), lengths, codes):
-            yield pa.RecordBatch.from_arrays([*coded.columns, batch.column("tie")], [*coded.schema.names, "tie"])
-
-
 def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (of little-endian unsigned 32-bit ids) for each
     document of a folder that :func:`write_ids` made; with ``with_ids`` also ids."""
