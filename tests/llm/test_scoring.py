@@ -100,6 +100,25 @@ def test_each_template_is_found_also_with_small_changes(name, text):
         assert any(name in found for found in scan_text(" ".join([*words[:10], "kindly", *words[10:20], *words[21:]])))
 
 
+def test_every_license_of_a_block_is_told():
+    texts = licenses.TEMPLATES
+    lines = [texts["GPL-3.0"][1], texts["Apache-2.0"][0], texts["MIT"][0]]
+    assert sorted(scan_text("\n".join(lines))[0]) == ["Apache-2.0", "GPL-3.0", "MIT"]
+    for order in (list(texts), list(texts)[::-1]):
+        assert sorted(scan_text("\n".join(texts[name][-1] for name in order))[0]) == sorted(texts)
+        assert sorted(scan_text("\n".join(texts[name][0] for name in order) * 2)[0]) == sorted(texts)
+
+
+def test_a_wording_is_told_with_all_its_differences_and_hides_its_siblings():
+    for text, name in ((t, n) for n, texts in licenses.TEMPLATES.items() for t in texts):
+        assert scan_text(text) == [[name]]
+    words = licenses.TEMPLATES["MIT"][1].split()
+    block = " ".join(["Copyright"] * 5000 + [*words[:10], "kindly", *words[10:20], *words[21:]])
+    found = licenses.Scanner().licenses(block)
+    assert [(f["license"], f["lacking"], f["added"]) for f in found] == [("MIT", ["the"], ["kindly"])]
+    assert block[found[0]["start"] : found[0]["end"]].split()[0] == "Permission"
+
+
 def test_versions_and_other_prose_are_told_apart():
     assert scan_text("Licensed under the Apache License, Version 1.1.") == [[]]
     assert scan_text("This work is licensed under the GNU General Public License, version 2.") == [["GPL-2.0"]]
