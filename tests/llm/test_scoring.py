@@ -74,6 +74,24 @@ def test_passages_point_at_what_is_toxic(spark):
         assert found == (["Vile grubstuff, vile grubling"] if r["doc_id"] % 10 == 0 else [])
 
 
+def test_a_sample_of_labels_keeps_the_mix_of_classes(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abdeimnorstuy", k=6)) for _ in range(300)]
+    docs = []
+    for i in range(2200):
+        vile = rng.random() < (0.8 if i % 11 == 0 else 0.02)
+        docs.append((i, " ".join(rng.choices(words, k=20) + ["grubstuff"] * vile)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 11 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    whole = toxicity.fit(frame, labels)
+    monkeypatch.setattr(toxicity, "MAX_LABELS", 130)
+    part = toxicity.fit(frame, labels)
+    assert "grubstuff" in whole.terms and "grubstuff" in part.terms
+    vile = [m.probability(m.evidence(m.terms["grubstuff"], 21)) for m in (whole, part)]
+    clean = [m.probability(m.evidence(0, 21)) for m in (whole, part)]
+    assert abs(vile[0] - vile[1]) < 0.2 and abs(clean[0] - clean[1]) < 0.05
+
+
 def test_planted_license_lines_are_found_and_nothing_else(spark, sf_dir, documents):
     lines = {texts[0]: name for name, texts in licenses.TEMPLATES.items()}
     wanted = {d: ",".join(sorted({lines[x] for x in t.split("\n") if x in lines})) for d, t in documents[0]}

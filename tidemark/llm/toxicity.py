@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import col
 from tidemark.session import written
 
-#: Labelled rows that the classifier is fitted on: so many of each class at most, chosen by hash.
+#: Labelled rows that the classifier is fitted on: so many of each class at most, chosen by hash. In the calibration the
+#: rows of a class weigh as many as it has in all.
 MAX_LABELS = 25_000
-#: Terms of the model: the most significant ones, how significant they have to be, and their least log-odds.
-MAX_TERMS, MIN_Z, MIN_ODDS = 50_000, 4.0, 2.0
+#: Terms of the model: how significant they have to be, and their least log-odds. All such terms are kept; there are no
+#: more than the words of the labelled toxic rows and their beginnings.
+MIN_Z, MIN_ODDS = 4.0, 2.0
 #: The prior weighs this share of the labelled words.
 PRIOR = 0.1
 #: Lengths of the beginnings of words that are terms too.
@@ -119,18 +121,21 @@ def _counts(batches: Iterator[pa.RecordBatch], labels) -> Iterator[pa.RecordBatc
     yield rows()
 
 
-def _sample(labels: DataFrame, id_col: str, label_col: str) -> dict:
-    """doc_id -> 0 or 1 of the labelled rows that are not held out: the ``MAX_LABELS`` smallest hashes of each class.
+def _sample(labels: DataFrame, id_col: str, label_col: str) -> tuple[dict, dict[int, float]]:
+    """doc_id -> 0 or 1 of the labelled rows that are not held out: the ``MAX_LABELS`` smallest hashes of each class; and how
+    many labelled rows of its class one of the sample stands for.
 
     Of labels that differ for one id the larger counts; null ids and labels count nowhere.
     """
     one = labels.select(col(id_col).alias("doc_id"), col(label_col).alias("label")).dropna()
     one = one.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0).groupBy("doc_id").agg(F.max("label").alias("label"))
+    totals = {row["label"]: row["count"] for row in one.groupBy("label").count().collect()}
     found = {}
     for label in (0, 1):
         for row in one.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELS).collect():
             found[row["doc_id"]] = label
-    return found
+    taken = Counter(found.values())
+    return found, {label: totals[label] / n for label, n in taken.items()}
 
 
 def _terms(counts: DataFrame) -> Model:
@@ -155,7 +160,7 @@ def _terms(counts: DataFrame) -> Model:
         "word", odds.alias("odds"), (odds / F.sqrt(1 / toxic + 1 / clean)).alias("z"),
         (clean / (sums["clean"] + prior)).alias("share"),
     )
-    rows = weighed.where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).orderBy(F.desc("z"), "word").limit(MAX_TERMS).collect()
+    rows = weighed.where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).orderBy(F.desc("z"), "word").collect()
     shares, odds = (np.array([r[c] for r in rows], float) for c in ("share", "odds"))
     # The scale at which exp(scale * score) has the mean one over clean words: there, best segments are extreme values.
     rest = max(1e-9, 1 - float(shares.sum()))
@@ -168,16 +173,21 @@ def _terms(counts: DataFrame) -> Model:
     return Model({r["word"]: float(r["odds"]) for r in rows}, low if rows else 1.0, cost)
 
 
-def _calibrated(model: Model, evidence: np.ndarray, labels: np.ndarray) -> Model:
-    """The logistic line from evidence to label, by Newton's steps with a little ridge."""
+def _calibrated(model: Model, evidence: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> Model:
+    """The logistic line from evidence to label, by Newton's steps with a little ridge.
+
+    ``weights`` are in proportion to the labelled rows that a row stands for, so that the line has the mix of all labels and
+    not of a sample that holds more of one class.
+    """
+    weights = weights / max(1e-9, float(weights.mean())) if len(weights) else weights
     x = np.stack([evidence, np.ones(len(evidence))], axis=1)
     # Prior probabilities as labelled, drawn towards the line through zero.
     w, ridge = np.array([0.1, 0.0]), np.array([1e-3, 1e-3]) * max(1, len(x))
     start = w.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (labels - p) - ridge * (w - start)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), gradient)
+        gradient = x.T @ (weights * (labels - p)) - ridge * (w - start)
+        step = np.linalg.solve((x * (weights * p * (1 - p))[:, None]).T @ x + np.diag(ridge), gradient)
         w = w + np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-8:
             break
@@ -255,7 +265,7 @@ def fit(
     not shuffled. Without labels of both classes there are no terms, and every score is one half at most.
     """
     spark = docs.sparkSession
-    sample = _sample(labels, id_col, label_col)
+    sample, stands_for = _sample(labels, id_col, label_col)
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(sample)
     counted = rows.mapInArrow(lambda batches: _counts(batches, shared), "word string, n long, toxic long, clean long")
@@ -266,7 +276,9 @@ def fit(
     ids = spark.createDataFrame(list(sample.items()), f"id {rows.schema['doc_id'].dataType.simpleString()}, label int")
     labelled = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("doc_id", "text")
     found = _scored(labelled, model, "doc_id", "text").select("doc_id", "evidence").toPandas()
-    return _calibrated(model, found["evidence"].to_numpy(float), np.array([sample[d] for d in found["doc_id"]], float))
+    known = [sample[d] for d in found["doc_id"]]
+    weights = np.array([stands_for[label] for label in known], float)
+    return _calibrated(model, found["evidence"].to_numpy(float), np.array(known, float), weights)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
