@@ -137,6 +137,60 @@ def test_a_wording_is_told_with_all_its_differences_and_hides_its_siblings():
     assert block[found[0]["start"] : found[0]["end"]].split()[0] == "Permission"
 
 
+BSD = """Copyright (c) 2001, The Authors. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+CREDIT = """3. All advertising materials mentioning features or use of this software must
+   display the following acknowledgement: This product includes software
+   developed by Some Lab.
+"""
+NAMES = """3. Neither the name of {} nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+AS_IS = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE."""
+
+
+def test_bsd_licenses_are_told_by_their_clauses():
+    lab = NAMES.format("Some Lab")
+    for end in ("", AS_IS):
+        assert scan_text(BSD + end) == [["BSD-2-Clause"]]
+        assert scan_text(BSD + lab + end) == [["BSD-3-Clause"]]
+        assert scan_text(BSD + CREDIT + lab + end) == [["BSD-4-Clause"]]
+        # Too many names for the wording; not the license with fewer clauses.
+        assert scan_text(BSD + NAMES.format("one " * 30) + end) == [["BSD"]]
+        assert scan_text(BSD + "3. Do not endorse products by our name.\n" + end) == [["BSD"]]
+    assert scan_text(BSD[: BSD.index("1.")]) == [["BSD"]]
+    assert sorted(scan_text(BSD + BSD + lab)[0]) == ["BSD-2-Clause", "BSD-3-Clause"]
+
+
+def test_spdx_tags_are_told_by_their_identifiers():
+    for line, names in {
+        "// SPDX-License-Identifier: MIT": ["MIT"],
+        "/* spdx-license-identifier: (GPL-2.0-only OR bsd-3-clause) */": ["GPL-2.0", "BSD-3-Clause"],
+        "# SPDX-License-Identifier: GPL-3.0-or-later WITH GCC-exception-3.1 AND Zlib": ["GPL-3.0", "Zlib"],
+        "SPDX-License-Identifier: LGPL-3.0+.": ["LGPL-3.0"],
+        "SPDX-License-Identifier: see the file": [],
+        "SPDX-License-Identifier: NONE": [],
+        "SPDX-License-Identifier:": [],
+    }.items():
+        assert scan_text(line) == [names], line
+    found = licenses.Scanner().licenses("x\nSPDX-License-Identifier: MIT\n")
+    assert [(f["start"], f["end"]) for f in found] == [(27, 30)]
+
+
 def test_versions_and_other_prose_are_told_apart():
     assert scan_text("Licensed under the Apache License, Version 1.1.") == [[]]
     assert scan_text("This work is licensed under the GNU General Public License, version 2.") == [["GPL-2.0"]]
