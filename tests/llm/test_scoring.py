@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -31,6 +32,23 @@ def test_segments_are_the_maximal_ones():
         assert got == best_segments(scores)
 
 
+def test_segments_of_sinking_scores_take_linear_time():
+    n = 60_000
+    scores = np.tile([1.0, -1.5], n)
+    began = time.process_time()
+    assert toxicity.segments(scores) == [(2 * i, 2 * i + 1, 1.0) for i in range(n)]
+    assert time.process_time() - began < 20
+
+
+def test_passages_of_texts_whose_lower_case_is_longer():
+    model = toxicity.Model({"vile": 5.0, "i\u0307gre*": 4.0}, 2.0)
+    scores = toxicity._Scores(model)
+    text = "İstanbul İİ and so on, VILE vile \u0130GREN\u00c7 ends"
+    n, found = toxicity._scan(text, scores)
+    spans = toxicity._spans(text, [(a, b, s, 0.0) for a, b, s in found])
+    assert n == 9 and [text[x["start"] : x["end"]] for x in spans] == ["VILE vile \u0130GREN\u00c7"]
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     return CATALOGUE["op1_toxicity"](spark, "/root/testdata/sf0.01").toPandas()

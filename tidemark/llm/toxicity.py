@@ -80,20 +80,22 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
     A segment is maximal if no part of it scores more and no longer one holds it and scores at least as much at every step:
     each new positive score is joined to the nearest earlier segment that starts lower, as long as the joint one ends higher.
+    Each segment keeps which one that is, so that those between are passed over once.
     """
     sums = np.concatenate(([0.0], np.cumsum(scores)))
     kept: list[tuple[int, int, float, float]] = []  # first, last + 1, sum before, sum at the end
+    lower: list[int] = []  # the nearest earlier segment that starts lower, or -1
     for at in np.flatnonzero(scores > 0).tolist():
         new = (at, at + 1, float(sums[at]), float(sums[at + 1]))
-        while True:
-            i = len(kept) - 1
-            while i >= 0 and kept[i][2] >= new[2]:
-                i -= 1
-            if i < 0 or kept[i][3] >= new[3]:
-                kept.append(new)
-                break
-            new = (kept[i][0], new[1], kept[i][2], new[3])
-            del kept[i:]
+        i = len(kept) - 1
+        while i >= 0 and kept[i][2] >= new[2]:
+            i = lower[i]
+        while i >= 0 and kept[i][3] < new[3]:
+            new, j = (kept[i][0], new[1], kept[i][2], new[3]), lower[i]
+            del kept[i:], lower[i:]
+            i = j
+        kept.append(new)
+        lower.append(i)
     return [(a, b, end - start) for a, b, start, end in kept]
 
 
@@ -113,7 +115,7 @@ def _counts(batches: Iterator[pa.RecordBatch], labels) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            found[known.get(doc)].update(set(_WORD.findall((text.as_py() or "").lower())))
+            found[known.get(doc)].update({w.lower() for w in set(_WORD.findall(text.as_py() or ""))})
             if sum(map(len, found.values())) > _REMEMBER:
                 yield rows()
                 for counter in found.values():
@@ -195,26 +197,28 @@ def _calibrated(model: Model, evidence: np.ndarray, labels: np.ndarray, weights:
 
 
 class _Scores(dict):
+    """The scores of words as they are written. Words are found in texts before they are lowered, as lower case may be longer."""
+
     def __init__(self, model: Model):
         self.model = model
 
     def __missing__(self, word: str) -> float:
-        score = self.model.score_of(word)
+        score = self.model.score_of(word.lower())
         if len(self) < _REMEMBER:
             self[word] = score
         return score
 
 
 def _scan(text: str, scores: _Scores) -> tuple[int, list[tuple[int, int, float]]]:
-    words = _WORD.findall(text.lower())
+    words = _WORD.findall(text)
     return len(words), segments(np.fromiter(map(scores.__getitem__, words), np.float64, len(words)))
 
 
 def _spans(text: str, found: list[tuple[int, int, float, float]]) -> list[dict]:
-    """Passages by code points of the text. Lower case of the same length has the same places; else there are none."""
-    if not found or len(text.lower()) != len(text):
+    """Passages by code points of the text."""
+    if not found:
         return []
-    places = [m.span() for m in _WORD.finditer(text.lower())]
+    places = [m.span() for m in _WORD.finditer(text)]
     return [{"start": places[a][0], "end": places[b - 1][1], "score": s, "expected": e} for a, b, s, e in found]
 
 
