@@ -28,6 +28,33 @@ def test_every_plain_character_splits_as_in_the_library(path):
     assert [ids.tolist() for ids in tokens.Encoder(path).encode(texts)] == library(path, texts)
 
 
+def clashing_texts():
+    """Rulers whose signs are moved by 1,024 places, and two that no powers of one number modulo 2^64 tell apart."""
+    moved = ["".join("+" if i == at else "-" for i in range(1500)) for at in (7, 1031)]
+    odd = ["".join("-+"[(i.bit_count() + k) % 2] for i in range(4096)) for k in (0, 1)]
+    return moved, odd
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_pretokens_of_equal_hashes_have_the_ids_of_the_library(path):
+    moved, odd = clashing_texts()
+    split = tokens.Encoder(path).split(moved)
+    assert len(split.hashes) == 2
+    with pytest.raises(tokens.HashClash):
+        tokens.Encoder(path).split(odd)
+    encoder = tokens.Encoder(path)
+    for texts in (moved, odd, [f"a {odd[0]} b"], [f"a {odd[1]} b"], ["a b"]):
+        assert [ids.tolist() for ids in encoder.encode(texts)] == library(path, texts)
+
+
+def test_pretokens_of_equal_hashes_are_counted(spark):
+    moved, odd = clashing_texts()
+    texts = [*moved, *odd, "one and two", f"{odd[0]} {odd[1]}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = {r["doc_id"]: r["n_tokens"] for r in counting.count_tokens(frame, BYTES).collect()}
+    assert rows == {i: len(ids) for i, ids in enumerate(library(BYTES, texts))}
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_texts_of_all_kinds_have_the_ids_of_the_library(path, odd_documents):
     rng = random.Random(11)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.llm.common import col
-from tidemark.llm.tokens import Encoder, chunks, encoder_for
+from tidemark.llm.tokens import Encoder, HashClash, chunks, encoder_for
 
 #: Documents and characters of a block.
 BLOCK_DOCS, BLOCK_CHARS = 60_000, 32_000_000
@@ -71,8 +71,11 @@ class _Block:
 
     def add(self, plain: bool, texts: list[str]) -> None:
         encoder, n = self.encoder, len(texts)
-        if plain:
-            split = encoder.split(texts)
+        try:
+            split = encoder.split(texts) if plain else None
+        except HashClash:
+            split = None
+        if split is not None:
             distinct = split.strings()
             pairs, often = np.unique(split.which * n + np.repeat(np.arange(n), split.per_text), return_counts=True)
         else:

@@ -125,6 +125,10 @@ def starts_of(points: np.ndarray, kinds: np.ndarray, way: str) -> np.ndarray:
     return np.flatnonzero(start | (kinds == _END))
 
 
+class HashClash(ArithmeticError):
+    """Two pre-tokens have the same hash; their texts have to go to the library."""
+
+
 class _Known:
     """The pre-tokens that were encoded, by hash: their code points, which tell equal hashes apart, and their ids."""
 
@@ -148,7 +152,7 @@ class _Known:
         if not (self.point_counts[own] == size).all() or not np.array_equal(
             self.points[_runs(self.point_starts[own], size)], points[np.repeat(seen, counts)]
         ):
-            raise ArithmeticError("two pre-tokens have the same hash")
+            raise HashClash("two pre-tokens have the same hash")
         return slots
 
     def add(self, hashes: np.ndarray, points: np.ndarray, counts: np.ndarray, lists: list[list[int]]) -> np.ndarray:
@@ -189,6 +193,13 @@ class Split:
         return [self.text[a : a + n] for a, n in zip(self.starts[chosen].tolist(), self.counts[chosen].tolist())]
 
 
+def _powers(n: int) -> np.ndarray:
+    """The weights of ``n`` places, modulo 2^64; none comes twice."""
+    made = np.full(n, 0x9E3779B97F4A7C15, np.uint64)
+    made[:1] = 1
+    return np.multiply.accumulate(made)
+
+
 class Encoder:
     """Encodes texts with the tokenizer in a file, without begin, end or added special tokens."""
 
@@ -207,13 +218,14 @@ class Encoder:
         self.signs = _byte_signs()
         rng = np.random.default_rng(7)
         self.by_sign = rng.integers(1, 2**63, _SIZE, dtype=np.uint64)
-        self.by_place = np.array([pow(0x9E3779B97F4A7C15, i, 2**64) for i in range(1024)], dtype=np.uint64)
+        self.by_place = _powers(1024)
         self.known = _Known()
 
     def is_plain(self, text: str) -> bool:
         return self.way != "library" and not self.odd.search(text) and not any(s in text for s in self.special)
 
     def split(self, texts: list[str]) -> Split:
+        """Raises ``HashClash`` where hashes do not tell pre-tokens apart."""
         joined = "\0".join(texts) + "\0"
         if self.way == "bare":
             joined = joined.lower()
@@ -226,13 +238,16 @@ class Encoder:
         real = own != _END if self.way == "spaced" else (own != _END) & (own < _SPACE)
         per_text = np.diff(np.concatenate(([0], np.cumsum(real)[ends])))
         places = np.arange(len(points)) - np.repeat(starts, counts)
-        hashes = np.add.reduceat(self.by_sign[points] * self.by_place[places & 1023], starts) + counts.astype(np.uint64)
+        longest = int(counts.max())
+        by_place = self.by_place if longest <= len(self.by_place) else _powers(longest)
+        hashes = np.add.reduceat(self.by_sign[points] * by_place[places], starts) + counts.astype(np.uint64)
         distinct, first, which = np.unique(hashes[real], return_index=True, return_inverse=True)
         starts, counts = starts[real], counts[real]
         # Equal hashes have to mean equal pre-tokens.
-        same = points[_runs(starts, counts)] == points[_runs(starts[first][which], counts)]
-        if not (counts[first][which] == counts).all() or not same.all():
-            raise ArithmeticError("two pre-tokens have the same hash")
+        if not (counts[first][which] == counts).all() or not np.array_equal(
+            points[_runs(starts, counts)], points[_runs(starts[first][which], counts)]
+        ):
+            raise HashClash("two pre-tokens have the same hash")
         starts, counts = starts[first], counts[first]
         return Split(joined, starts, counts, distinct, points[_runs(starts, counts)], which, per_text)
 
@@ -277,8 +292,12 @@ class Encoder:
     def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBER or len(self.known.points) > 16 * REMEMBER:
             self.known = _Known()
-        split, known = self.split(texts), self.known
-        slots = known.find(split.hashes, split.points, split.counts)
+        known = self.known
+        try:
+            split = self.split(texts)
+            slots = known.find(split.hashes, split.points, split.counts)
+        except HashClash:
+            return self._encode_whole(texts)
         new = slots < 0
         if new.any():
             lists = self._ids_of(split.strings(new))
