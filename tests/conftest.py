@@ -9,10 +9,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from tidemark.plans.publish import TargetStore  # noqa: E402
+from shown import SF_DIR  # noqa: E402
 from tidemark.session import clear_scratch, local_session, scratch_dir  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -31,9 +30,3 @@ def store(spark):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )

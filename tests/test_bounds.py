@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import plan_text
+from shown import plan_text
 from tidemark.operators import bounds as b
 
 

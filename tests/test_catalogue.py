@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import difference, oracle_connection
-from conftest import SF_DIR
+from shown import SF_DIR
 from tidemark.plans.oracle import ORACLE
 from tidemark.plans.queries import CATALOGUE
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from shown import plan_text
 from tidemark.operators import layout, reconcile
 
 

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from shown import plan_text
 from tidemark.operators import load
 
 KEYED = "k int, j int, v string"

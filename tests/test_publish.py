@@ -259,7 +259,7 @@ def test_a_run_that_died_after_its_marker_counts(spark, store, monkeypatch):
 def test_key_range_reaches_the_scan(spark, store):
     from datetime import datetime
 
-    from conftest import plan_text
+    from shown import plan_text
     from tidemark.operators.load import key_bounds, within
 
     rows = [(i, f"v{i:03d}", datetime(2024, 1, 1 + i % 9), b"x", i > 3) for i in range(100)]
