@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, toxicity, warc
+from tidemark.llm import align, counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_dir
 
@@ -95,6 +95,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align.align(table(spark, sf_dir, "documents"), *paths)
+
+
 CATALOGUE: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -108,5 +113,6 @@ CATALOGUE: dict[str, Query] = {
         op8_license_scan,
         op9_warc_fixity,
         op10_benchmark_decontamination,
+        op11_cross_tokenizer_alignment,
     )
 }

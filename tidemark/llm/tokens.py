@@ -201,17 +201,19 @@ def _powers(n: int) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with the tokenizer in a file, without begin, end or added special tokens."""
+    """Encodes texts with the tokenizer in a file, without begin, end or added special tokens. With ``special=False`` special
+    strings inside texts are plain text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         self.way = _way(settings)
-        self.special = [t["content"] for t in settings["added_tokens"]]
+        self.special = [t["content"] for t in settings["added_tokens"] if special]
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special
         self.model = self.tokenizer.model
         self.classes = _classes()
         self.odd = re.compile(f"[^{_set(np.flatnonzero(self.classes).tolist())}]")
