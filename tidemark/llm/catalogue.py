@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import align, counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, toxicity, warc
+from tidemark.llm import align, counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, substrings, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_dir
 
@@ -100,6 +100,11 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return align.align(table(spark, sf_dir, "documents"), *paths)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 CATALOGUE: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -114,5 +119,6 @@ CATALOGUE: dict[str, Query] = {
         op9_warc_fixity,
         op10_benchmark_decontamination,
         op11_cross_tokenizer_alignment,
+        op12_substring_dedup,
     )
 }
