@@ -105,6 +105,20 @@ def test_token_counts_of_odd_documents(spark, odd_documents):
     assert counted(repeated) == wanted_counts(rows)
 
 
+def test_any_number_of_short_texts_in_a_batch(spark):
+    texts = ["", "xylograph", None, "a", "qwzxv qwzxv"]
+    rows = [(i, texts[i % 5]) for i in range(150_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    lengths = [len(i) for i in library(BYTES, texts)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "0")
+    try:
+        got = counting.count_tokens(frame, BYTES).select("doc_id", "n_tokens").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(map(tuple, got)) == [(i, lengths[i % 5]) for i, _ in rows]
+
+
 def test_large_counts_take_several_entries():
     entries, times = counting._entries(np.array([3, 5, 9]), np.array([700, 0, 255]), counting._ENTRY)
     assert times.tolist() == [3, 1, 1]

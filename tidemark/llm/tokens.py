@@ -19,10 +19,12 @@ from functools import cached_property
 
 import numpy as np
 
-#: Characters that are handled at once; a longer text is cut between two words.
-CHUNK = 2_000_000
-#: Pre-tokens, of 16 characters each, that a Python worker remembers. Beyond them it starts anew.
-REMEMBER = 1_200_000
+#: Characters that are handled at once; a longer text is cut between two words. Each takes about 45 bytes meanwhile.
+CHUNK = 250_000
+#: Texts that are handled at once, however short.
+TEXTS = 20_000
+#: Bytes of pre-tokens with their ids that a Python worker remembers. Beyond them it starts anew.
+REMEMBER = 32_000_000
 
 #: Blocks of characters whose classes and lower case are the same in every version of Unicode in use.
 _BLOCKS = ((0x21, 0x7E), (0xA1, 0x24F), (0x370, 0x3FF), (0x400, 0x4FF), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC),
@@ -141,6 +143,10 @@ class _Known:
     def __len__(self) -> int:
         return len(self.hashes)
 
+    @property
+    def nbytes(self) -> int:
+        return sum(held.nbytes for held in vars(self).values())
+
     def find(self, hashes: np.ndarray, points: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The slot of each pre-token, -1 for new ones. ``points``: those of all, one after the other."""
         if not len(self.hashes):
@@ -292,7 +298,7 @@ class Encoder:
         return [[t.id for t in tokenize(piece)] for piece in spelled]
 
     def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBER or len(self.known.points) > 16 * REMEMBER:
+        if self.known.nbytes > REMEMBER:
             self.known = _Known()
         known = self.known
         try:
@@ -327,13 +333,13 @@ class Encoder:
 
 
 def chunks(encoder: Encoder, texts: Iterable[str | None]) -> Iterator[tuple[bool, list[str]]]:
-    """Neighbours that are all plain, or all not, together up to ``CHUNK`` characters; a longer text by itself."""
+    """Neighbours that are all plain, or all not, together up to ``CHUNK`` characters and ``TEXTS`` texts; a longer text by itself."""
     group: list[str] = []
     size, kind = 0, True
     for text in texts:
         text = text or ""
         plain = encoder.is_plain(text)
-        if group and (plain != kind or size + len(text) > CHUNK):
+        if group and (plain != kind or size + len(text) > CHUNK or len(group) == TEXTS):
             yield kind, group
             group, size = [], 0
         kind = plain
