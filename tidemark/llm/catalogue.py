@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import align, counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, substrings, toxicity, warc
+from tidemark.llm import align, counting, decontaminate, huffman, licenses, lines, packing, quality, simhash, substrings, toxicity, trie, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_dir
 
@@ -105,6 +105,10 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 CATALOGUE: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -120,5 +124,6 @@ CATALOGUE: dict[str, Query] = {
         op10_benchmark_decontamination,
         op11_cross_tokenizer_alignment,
         op12_substring_dedup,
+        op13_conversation_prefix_trie,
     )
 }

@@ -86,4 +86,68 @@ ORACLE: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM folded f LEFT JOIN hit ON hit.doc_id = f.id LEFT JOIN items ON items.doc_id = f.id
         WHERE f.kind = 'd'""",
+    "op12_substring_dedup": """
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        windows AS (
+            SELECT doc_id, i, words[i : i + 19] AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs)),
+        again AS (
+            SELECT doc_id, i FROM (
+                SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM windows)
+            WHERE n > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM again),
+        placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM docs),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+            FROM placed ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+        SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+            sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs d LEFT JOIN kept USING (doc_id)""",
+    # A beginning is spelled by the MD5 of each turn's role and text, 64 characters a turn.
+    "op13_conversation_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (
+                    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS source, xor(list_reduce(
+                    [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                    lambda crc, byte: list_reduce(
+                        [xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                        lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS head
+            FROM (SELECT DISTINCT conv_id FROM own)),
+        turns AS (
+            SELECT ids.conv_id, 0 AS step, place, role, text
+            FROM ids JOIN own ON own.conv_id = ids.source AND place <= head
+            UNION ALL
+            SELECT conv_id, 1, place, role, text FROM own JOIN ids USING (conv_id) WHERE place > head),
+        begun AS (
+            SELECT conv_id, row_number() OVER w AS depth,
+                string_agg(md5(role) || md5(text), '') OVER (w ROWS UNBOUNDED PRECEDING) AS path,
+                octet_length(encode(text)) AS n_bytes
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY step, place)
+            UNION ALL
+            SELECT conv_id, 0, '', 0 FROM ids),
+        nodes AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes
+            FROM begun GROUP BY path, depth),
+        children AS (
+            SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        totals AS (
+            SELECT left(path, 64 * above) AS path, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves,
+                sum((n_convs - 1) * n_bytes) AS saved_tokens
+            FROM (
+                SELECT path, n_convs, n_bytes, n_children, unnest(range(0, depth + 1)) AS above
+                FROM nodes LEFT JOIN children USING (path))
+            GROUP BY 1),
+        ends AS (
+            SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+            FROM (SELECT conv_id, arg_max(path, depth) AS path FROM begun GROUP BY conv_id) GROUP BY path)
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+            coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+            saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+        FROM nodes n JOIN totals USING (path) LEFT JOIN children USING (path) LEFT JOIN ends USING (path)
+            LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, 64 * (n.depth - 1))""",
 }
