@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import difflib
 import itertools
 import random
+import textwrap
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -194,6 +197,101 @@ def test_bsd_licenses_are_told_by_their_clauses():
     assert sorted(scan_text(BSD + BSD + lab)[0]) == ["BSD-2-Clause", "BSD-3-Clause"]
 
 
+def test_a_clause_far_after_a_wording_tells_the_family():
+    names = "3. names of the authors may not be used to endorse products.\n"
+    assert scan_text(BSD + names) == [["BSD"]]
+    assert scan_text(BSD + "more conditions and permission notices " * 40 + "\n" + names) == [["BSD"]]
+    assert scan_text(BSD + "more conditions and permission notices " * 40) == [["BSD-2-Clause"]]
+    other = licenses.TEMPLATES["MIT"][0]
+    assert sorted(scan_text(f"{BSD}{other}\n{names}")[0]) == ["BSD-2-Clause", "MIT"]
+
+
+def test_compression_decides_which_of_several_like_wordings_is_told(monkeypatch):
+    """A text with three clauses holds the wordings of its siblings with fewer; in another order one of those is told."""
+    text = licenses.TEMPLATES["BSD-3-Clause"][0]
+    scanner = licenses.Scanner()
+    assert [f["license"] for f in scanner.licenses(text)] == ["BSD-3-Clause"]
+    ranked = scanner.reductions
+    monkeypatch.setattr(scanner, "reductions", lambda have: [-x for x in ranked(have)])
+    assert [f["license"] for f in scanner.licenses(text)] == ["BSD"]
+    nothing = [0.0] * len(scanner.templates)
+    monkeypatch.setattr(scanner, "reductions", lambda have: nothing)
+    assert [f["license"] for f in scanner.licenses(text)] == ["BSD"]
+
+
+def test_names_tell_licenses_of_one_family():
+    for name in ("GPL-3.0", "AGPL-3.0", "GPL-2.0", "LGPL-2.1"):
+        notice = licenses.TEMPLATES[name][1]
+        for width in (5, 8, 60):
+            lines = textwrap.wrap(notice, width * 5)
+            assert scan_text("\n".join(["/*", *(f" * {x}" for x in lines), " */"])) == [[name]]
+
+
+def generated_block(rng):
+    """Wordings in any order with other words between them and small changes, and what has to be told of each."""
+    names = rng.sample(list(licenses.TEMPLATES), rng.randrange(1, 7))
+    lines, wanted = [], {}
+    for name in names:
+        text = rng.choice([t for t in licenses.TEMPLATES[name]])
+        words, plain = text.split(), licenses.words(text)
+        lacking, added = [], []
+        # A word in the middle goes or comes, as far as a wording may differ.
+        for _ in range(int((1 - licenses.MIN_SAME) * len(plain) + 1e-9) // 2):
+            at = rng.randrange(2, len(words) - 2)
+            if rng.random() < 0.5:
+                words.insert(at, f"{rng.choice('qxz')}ord{rng.randrange(99)}q")
+                added.append(licenses.words(words[at])[0])
+            elif len(own := licenses.words(words[at])) == 1 and not licenses._tells(own[0]):
+                lacking += licenses.words(words.pop(at))
+        wanted[name] = lacking, added
+        width = rng.randrange(4, 30)
+        lines += [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+        lines += ["Copyright " + " ".join(f"filler{rng.randrange(999)}" for _ in range(rng.randrange(9)))] * rng.randrange(3)
+    return "\n".join(lines), wanted
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_generated_blocks_against_difflib(seed):
+    scanner = licenses.Scanner()
+    text, wanted = generated_block(random.Random(seed))
+    found = {f["license"]: f for f in scanner.licenses(text)}
+    family = {"BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"}
+    assert set(found) - family == set(wanted) - family and bool(family & set(found)) == bool(family & set(wanted))
+    for name in set(wanted) - family:
+        one = found[name]
+        have = licenses.words(text[one["start"] : one["end"]])
+        best = min((licenses.words(t) for t in licenses.TEMPLATES[name]), key=lambda w: abs(len(w) - len(have)))
+        steps = difflib.SequenceMatcher(None, best, have, autojunk=False).get_opcodes()
+        lacking = sum(b - a for tag, a, b, _, _ in steps if tag in ("delete", "replace"))
+        added = sum(b - a for tag, _, _, a, b in steps if tag in ("insert", "replace"))
+        assert (len(one["lacking"]), len(one["added"])) <= (lacking, added)
+        assert Counter(one["lacking"]) == Counter(wanted[name][0]) and Counter(one["added"]) == Counter(wanted[name][1])
+        assert Counter(have) - Counter(one["added"]) == Counter(best) - Counter(one["lacking"])
+
+
+def test_query_against_a_search_of_plain_lines(spark, sf_dir, documents):
+    """Every line or neighbouring lines of a document whose words are a template's, by difflib; nothing else is told."""
+    templates = [(name, licenses.words(t)) for name, texts in licenses.TEMPLATES.items() for t in texts]
+    wanted = {}
+    for doc, text in documents[0]:
+        mine = set()
+        if any(cue in (text or "").lower() for cue in licenses.CUES):
+            have = licenses.words(text)
+            for name, own in templates:
+                match = difflib.SequenceMatcher(None, own, have, autojunk=False).find_longest_match()
+                if match.size >= licenses.MIN_SAME * len(own):
+                    mine.add(name)
+        wanted[doc] = ",".join(sorted(mine))
+    rows = CATALOGUE["op8_license_scan"](spark, sf_dir).collect()
+    assert {r["doc_id"]: r["licenses"] for r in rows} == wanted
+
+
+def test_a_block_longer_than_what_is_compared_at_once():
+    texts = [licenses.TEMPLATES[n][-1] for n in ("MIT", "Zlib", "GPL-2.0")]
+    block = (" copyright" * 4090 + " ").join(["", *texts, ""])
+    assert sorted(f["license"] for f in licenses.Scanner().licenses(block)) == ["GPL-2.0", "MIT", "Zlib"]
+
+
 def test_spdx_tags_are_told_by_their_identifiers():
     for line, names in {
         "// SPDX-License-Identifier: MIT": ["MIT"],

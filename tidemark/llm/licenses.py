@@ -1,16 +1,17 @@
 """License scans by conditional compression.
 
-A block of lines that may state a license is compared word by word with every template. Each wording that is there is told, with
-its exact differences and the share of the block's compressed size that its template saves as a raw dictionary.
+A block of lines that may state a license is compressed with every template as a raw dictionary. In the order of what they
+save, templates are confirmed by exact differences of wording; the first that is confirmed takes its words, what is left is
+compressed again, and so on until no template is confirmed. So the template that explains most of what is left decides which of
+several like wordings is told, and neither long notices nor siblings hide others.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,19 @@ TEMPLATES = {
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
         "version.",
     ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version.",
+    ),
     "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -97,18 +110,43 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means.",
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions:",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and '
+        "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+        "is furnished to do so, all subject to the following:",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+        "available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",),
 }
 
-#: A license that others add clauses to, words of such clauses, and the family that is told where they are in or after its wording.
+#: A license that others add clauses to, words of such clauses, and the family that is told where they are in its wording, or
+#: after it up to the next wording or the end of the block.
 BEGINS_OTHERS = {"BSD-2-Clause": ({"advertising", "endorse", "promote"}, "BSD")}
-#: Words after a wording in which a further clause would begin.
-AFTER = 100
+#: Words that tell a license from another one; like numbers, a wording may not lack them.
+TELLING = {"affero", "lesser", "library", "by-sa", "by-nc", "attribution-sharealike", "attribution-noncommercial"}
 
 #: Lower-case strings of which a block's lines hold one at least.
 CUES = ("licen", "copyright", "permission", "warrant", "redistribut", "spdx", "public domain", "creative commons",
         "all rights reserved", "free software", "cc by", "cc0", "disclaimer", "endorse", "advertising materials",
-        "mentioning features", "following acknowledg")
+        "mentioning features", "following acknowledg", "subject to the following", "derivative works",
+        "compiled binary")
 #: Lines without a cue that a block holds before its first and after its last line with one.
 GAP = 2
 #: The least share of a template's words that have to be there, in order. As many may be amid them as may be lacking.
@@ -155,8 +193,8 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _is_number(word: str) -> bool:
-    return any(c.isdigit() for c in word)
+def _tells(word: str) -> bool:
+    return word in TELLING or any(c.isdigit() for c in word)
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
@@ -186,28 +224,28 @@ class Scanner:
         self.given = [
             zstandard.ZstdCompressor(
                 level=3,
-                dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                dict_data=zstandard.ZstdCompressionDict(" ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
             )
-            for _, text in self.templates
+            for own in self.words
         ]
 
-    def reductions(self, block: str) -> list[float]:
-        """The share of a block's compressed size that each template saves."""
-        data = block.lower().encode("utf-8")
+    def reductions(self, have: list[str]) -> list[float]:
+        """The share of the compressed size of a block's words that each template saves."""
+        data = " ".join(have).encode("utf-8", "surrogatepass")
         size = len(self.alone.compress(data))
         return [1 - len(c.compress(data)) / size for c in self.given]
 
-    def ends(self, have: list[str], template: int) -> list[tuple[int, int, int]]:
+    def ends(self, have: list[str], template: int, counted: Counter | None = None) -> list[tuple[int, int, int]]:
         """Where a template's wording may end among a block's words: (words before the end, words it lacks, words amid them).
 
-        For every end, among all that are allowed, the one with the fewest differences. A template's numbers all have to be
-        there, so that no version stands for another.
+        For every end, among all that are allowed, the one with the fewest differences. A template's numbers and telling words
+        all have to be there, so that no version stands for another.
         """
         want = self.words[template]
         limit = int((1 - MIN_SAME) * len(want) + 1e-9)
         # What a template lacks can be told from how often words are there, wherever they stand.
-        lacking = self.counted[template] - Counter(have)
-        if sum(lacking.values()) > limit or any(_is_number(word) for word in lacking):
+        lacking = self.counted[template] - (Counter(have) if counted is None else counted)
+        if sum(lacking.values()) > limit or any(_tells(word) for word in lacking):
             return []
         found: dict[int, tuple[int, int]] = {}
         # A wording is no longer than its words and those amid them, so overlapping windows hold each.
@@ -232,7 +270,7 @@ class Scanner:
         for word in self.words[template]:
             new = np.full_like(row, _NEVER)
             new[:, 1:] = np.where(codes == number[word], row[:, :-1], _NEVER)
-            if not _is_number(word):
+            if not _tells(word):
                 np.minimum(new[1:], row[:-1], out=new[1:])
             row = np.minimum(np.minimum.accumulate(new - places, axis=1) + places, _NEVER)
             rows.append(row)
@@ -247,7 +285,7 @@ class Scanner:
             here = rows[j][lacks, end]
             if end and want[j - 1] == have[end - 1] and rows[j - 1][lacks, end - 1] == here:
                 j, end = j - 1, end - 1
-            elif lacks and not _is_number(want[j - 1]) and rows[j - 1][lacks - 1, end] == here:
+            elif lacks and not _tells(want[j - 1]) and rows[j - 1][lacks - 1, end] == here:
                 j, lacks = j - 1, lacks - 1
                 lacking.append(want[j])
             else:
@@ -255,61 +293,68 @@ class Scanner:
                 added.append(have[end])
         return lacking[::-1], added[::-1]
 
-    def wordings(self, have: list[str]) -> list[tuple[int, int, int, int]]:
-        """(template, first word, last + 1, words it lacks) of all wordings among a block's words, none within another.
-
-        Every template is compared. The wording with the most words beyond its differences takes its words; what is left is
-        compared again until no template is found, so neither long notices nor siblings take the place of others.
-        """
+    def _confirmed(self, have: list[str], parts: list[tuple[int, int]], counted: list[Counter], template: int) -> list[tuple]:
+        """(first word, last + 1, words it lacks) of a template's wordings in what is left that have the fewest differences, none
+        in another. Others may be closer to another template, and wait for a later round."""
+        ways = [
+            (2 * lacks + amid, first + end - (len(self.words[template]) - lacks) - amid, first + end, lacks)
+            for (first, last), own in zip(parts, counted)
+            for end, lacks, amid in self.ends(have[first:last], template, own)
+        ]
+        taken: list[tuple] = []
+        least = min(ways, default=(0,))[0]
+        used = bytearray(len(have))
+        for cost, start, end, lacks in sorted(ways):
+            if cost > least:
+                break
+            if not any(used[start:end]):
+                used[start:end] = b"\1" * (end - start)
+                taken.append((start, end, lacks))
+        return taken
+
+    def wordings(self, have: list[str]) -> list[tuple[int, int, int, int, float]]:
+        """(template, first word, last + 1, words it lacks, share saved) of all wordings among a block's words, none within
+        another, in the order in which they are confirmed."""
         found, parts = [], [(0, len(have))]
         while parts:
-            ways = []
-            for first, last in parts:
-                for i in range(len(self.words)):
-                    for end, lacks, amid in self.ends(have[first:last], i):
-                        kept = len(self.words[i]) - lacks
-                        ways.append((lacks + amid - kept, first + end - kept - amid, i, first + end, lacks))
-            taken = bytearray(len(have))
-            new = []
-            for _, start, i, end, lacks in sorted(ways):
-                if not any(taken[start:end]):
-                    taken[start:end] = b"\1" * (end - start)
-                    new.append((i, start, end, lacks))
-            found += new
-            # Only parts of which words were taken can hold a wording that was not told.
+            saved = self.reductions([word for first, last in parts for word in have[first:last]])
+            counted = [Counter(have[first:last]) for first, last in parts]
+            for template in sorted(range(len(saved)), key=lambda i: (-saved[i], i)):
+                if taken := self._confirmed(have, parts, counted, template):
+                    break
+            else:
+                return found
+            found += [(template, *one, saved[template]) for one in taken]
             rest = []
             for first, last in parts:
-                spans = sorted((start, end) for _, start, end, _ in new if first <= start < last)
-                if spans:
-                    edges = [first, *itertools.chain(*spans), last]
-                    rest += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+                spans = sorted((start, end) for start, end, _ in taken if first <= start < last)
+                edges = [first, *chain(*spans), last]
+                rest += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
             parts = rest
         return found
 
     def licenses(self, block: str) -> list[dict]:
         """The templates whose wording is in a block: license, saved, same, lacking, added, and the place of the wording.
 
-        Each license is told once, by the wording that has the most words beyond its differences, or else by an SPDX tag's
-        identifier, which has no share saved.
+        Each license is told once, by the wording that is confirmed first, or else by an SPDX tag's identifier, which has no
+        share saved.
         """
         places = [m.span() for m in _WORD.finditer(block)]
         have = [block[a:b].lower() for a, b in places]
-        best: dict[str, tuple[int, int, int, int]] = {}
+        best: dict[str, tuple[int, int, int, int, float]] = {}
         wordings = self.wordings(have)
-        starts = sorted(start for _, start, _, _ in wordings)
-        for i, start, end, lacks in wordings:
+        starts = sorted(start for _, start, _, _, _ in wordings)
+        for i, start, end, lacks, saved in wordings:
             name = self.templates[i][0]
             if name in BEGINS_OTHERS:
                 more, family = BEGINS_OTHERS[name]
-                after = next((s for s in starts if s >= end), len(have))
-                if more.intersection(have[start : min(after, end + AFTER)]):
+                if more.intersection(have[start : next((s for s in starts if s >= end), len(have))]):
                     name = family
-            best.setdefault(name, (i, start, end, lacks))
-        saved = self.reductions(block) if best else []
+            best.setdefault(name, (i, start, end, lacks, saved))
         found = []
-        for name, (i, start, end, lacks) in best.items():
+        for name, (i, start, end, lacks, saved) in best.items():
             lacking, added = self.differences(have[start:end], i, lacks)
-            one = {"license": name, "start": places[start][0], "end": places[end - 1][1], "saved": saved[i]}
+            one = {"license": name, "start": places[start][0], "end": places[end - 1][1], "saved": saved}
             found.append(one | {"same": 1 - lacks / len(self.words[i]), "lacking": lacking, "added": added})
         for name, start, end in identifiers(block):
             if name not in best:
