@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,35 @@ def test_links_of_crowded_keys_lose_nothing(spark, direct):
     assert {i: got.get(i, i) for i, _ in numbered} == brute.groups(numbered)
 
 
+@pytest.mark.parametrize(("bits", "direct"), [(range(3, 19), 200), (range(10, 40), 300), (range(0, 64, 3), 1000)])
+def test_very_many_fingerprints_under_one_key(spark, bits, direct):
+    """Fingerprints that differ in few of their bits share most keys; each level cuts the bits in which they differ."""
+    rng = np.random.default_rng(len(bits))
+    places = np.array(list(bits), np.uint64)
+    chosen = rng.integers(0, 2, (12_000, len(places)), dtype=np.uint64)
+    prints = np.unique((chosen << places).sum(axis=1, dtype=np.uint64) ^ np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    if len(bits) < 20:
+        prints = rng.choice(prints, 4000, replace=False)
+    links = simhash.near_links(spark.createDataFrame([(int(p),) for p in prints], "bits long"), direct=direct)
+    pairs = np.array(links.collect(), np.int64).reshape(-1, 2)
+    assert (np.bitwise_count((pairs[:, 0] ^ pairs[:, 1]).view(np.uint64)) <= 4).all()
+    root = np.arange(len(prints))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    order = np.argsort(prints)
+    for a, b in zip(*(order[np.searchsorted(prints[order], pairs[:, i])] for i in (0, 1))):
+        root[find(a)] = find(b)
+    found = np.array([find(i) for i in range(len(prints))])
+    for i, one in enumerate(prints):
+        near = np.bitwise_count((prints ^ one).view(np.uint64)) <= 4
+        assert (found[near] == found[i]).all()
+
+
 def test_one_document_of_each_group_stays(spark, odd_documents):
     kept = simhash.keep_first(odd_documents[1])
     assert kept.columns == odd_documents[1].columns

@@ -5,12 +5,14 @@ four bits of each other are links, and links make groups.
 
 The bits are cut into three segments: of four differing bits, one segment has one at most. So two linked fingerprints agree
 on some segment with some one bit left out, and each fingerprint is indexed under its 64 such variants. Fingerprints with an
-equal key are compared. A key with very many fingerprints is cut further by the bits that it leaves open, in the same way.
+equal key are compared. A key with very many fingerprints is cut further in the same way, by the bits in which its fingerprints
+differ at all, and again, until it is small or so few bits differ that it cannot hold many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,8 @@ from tidemark.session import written
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: Fingerprints under one key that are compared at once; more are cut further, by the bits that their key leaves open.
 DIRECT = 32_768
-_LEVELS = 2
+#: A key whose fingerprints differ in at most so many bits holds two to this many at most; those are compared as they are.
+FEW_BITS = 14
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -86,13 +89,9 @@ def _segments(bits: list[int]) -> list[list[int]]:
     return [bits[a:b] for a, b in zip(ends, ends[1:])]
 
 
-def _variants(bits: list[int]) -> list[tuple[int, list[int], list[int]]]:
-    """(wildcard's place, the places that the key holds, the places that stay open) for each variant of these places."""
-    return [
-        (wild, [b for b in segment if b != wild], [b for b in bits if b not in segment])
-        for segment in _segments(bits)
-        for wild in segment
-    ]
+def _variants(bits: list[int]) -> list[tuple[int, list[int]]]:
+    """(wildcard's place, the places that the key holds) for each variant of these places."""
+    return [(wild, [b for b in segment if b != wild]) for segment in _segments(bits) for wild in segment]
 
 
 def _mask(places: list[int]) -> int:
@@ -104,34 +103,13 @@ def _keyed(prints: DataFrame) -> DataFrame:
     """One row per fingerprint and variant: variant (a number for its wildcard), held (the bits that the key holds), bits."""
     keys = [
         F.struct(
-            F.lit(_number([wild])).alias("variant"), F.col("bits").bitwiseAND(F.lit(_mask(held))).alias("held")
+            F.lit(wild).cast("long").alias("variant"), F.col("bits").bitwiseAND(F.lit(_mask(held))).alias("held")
         )
-        for wild, held, _ in _variants(list(range(64)))
+        for wild, held in _variants(list(range(64)))
     ]
     return prints.select("bits", F.explode(F.array(*keys)).alias("k")).select("k.variant", "k.held", "bits")
 
 
-def _number(wilds: list[int]) -> int:
-    """A number for a list of wildcards."""
-    return sum((wild + 1) * 128**i for i, wild in enumerate(wilds))
-
-
-def _wilds(variant: int) -> list[int]:
-    out = []
-    while variant:
-        variant, digit = divmod(variant, 128)
-        out.append(digit - 1)
-    return out
-
-
-def _open_after(variant: int) -> list[int]:
-    """The places that a key of this variant leaves open, its wildcards aside."""
-    places = list(range(64))
-    for wild in _wilds(variant):
-        places = next(rest for at, _, rest in _variants(places) if at == wild)
-    return places
-
-
 def _near(some: np.ndarray, others: np.ndarray, max_bits: int) -> np.ndarray:
     """Which fingerprints, given as signed numbers, differ in few bits."""
     # Signed numbers would have the bits of their absolute values counted.
@@ -223,19 +201,18 @@ def _compare(batches: Iterator[pa.RecordBatch], max_bits: int, direct: int | Non
 
 
 def _recut(crowded: DataFrame) -> DataFrame:
-    """The variants of the open places, for rows whose key has too many fingerprints."""
+    """The variants of the places in which a key's fingerprints differ. ``crowded``: variant, held, a, differ (a mask)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            variant, held, bits = (batch.column(n).to_numpy() for n in ("variant", "held", "a"))
-            for one in np.unique(variant).tolist():
-                mine = variant == one
-                for wild, places, _ in _variants(_open_after(one)):
-                    more = held[mine] | (bits[mine] & np.int64(_mask(places)))
-                    number = np.full(len(more), _number([*_wilds(one), wild]), np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(number), pa.array(more), pa.array(bits[mine])], ["variant", "held", "bits"]
-                    )
+            variant, held, bits, differ = (batch.column(n).to_numpy() for n in ("variant", "held", "a", "differ"))
+            for mask in np.unique(differ).tolist():
+                mine = differ == mask
+                for wild, places in _variants([p for p in range(64) if mask >> p & 1]):
+                    # A number for the key that was cut and the wildcard; those that are equal by chance are compared in vain.
+                    own = (variant[mine] * 0x2545F491 + held[mine]) * 0x5851F42D + wild + 1
+                    kept = bits[mine] & np.int64(_mask(places))
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(kept), pa.array(bits[mine])], ["variant", "held", "bits"])
 
     return crowded.mapInArrow(cut, "variant long, held long, bits long")
 
@@ -244,24 +221,31 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, direct: int = DIRECT
     """Links (a, b) between distinct fingerprints (column ``bits``): all pairs within ``max_bits`` bits are connected by
     them, though not each has a link of its own.
 
-    Exact for ``max_bits`` up to 5. A key that holds more than ``direct`` fingerprints is cut once more, by its open bits.
-    Where a key then still holds very many, they agree in all but few bits, and most are reached from the first.
+    Exact for ``max_bits`` up to 5. A key that holds more than ``direct`` fingerprints is cut by the bits in which they differ,
+    which takes a third of these bits away on each level, until it holds no more or differs in ``FEW_BITS`` at most.
     """
     if not 0 <= max_bits <= 5:
         raise ValueError("three segments with one wildcard find up to 5 differing bits")
-    keyed, links = _keyed(prints), None
-    for level in range(1, _LEVELS + 1):
-        limit = direct if level < _LEVELS else None
+
+    def compared(keyed: DataFrame, limit: int | None) -> DataFrame:
         by_key = keyed.repartition("variant", "held").sortWithinPartitions("variant", "held")
-        found = by_key.mapInArrow(lambda batches, limit=limit: _compare(batches, max_bits, limit), _COMPARED)
-        found = written(found, "simhash")
-        own = found.where(F.col("b").isNotNull()).select("a", "b")
-        links = own if links is None else links.unionAll(own)
-        crowded = found.where(F.col("b").isNull())
-        if limit is None or crowded.isEmpty():
+        return written(by_key.mapInArrow(lambda batches: _compare(batches, max_bits, limit), _COMPARED), "simhash")
+
+    keyed, links = _keyed(prints), []
+    while keyed is not None:
+        found = compared(keyed, direct)
+        links.append(found.where(F.col("b").isNotNull()).select("a", "b"))
+        crowded, keyed = found.where(F.col("b").isNull()).drop("b"), None
+        if crowded.isEmpty():
             break
-        keyed = _recut(crowded)
-    return links.distinct()
+        differ = F.bit_or("a").bitwiseXOR(F.bit_and("a")).alias("differ")
+        crowded = written(crowded.join(crowded.groupBy("variant", "held").agg(differ), ["variant", "held"]), "crowded")
+        few = crowded.where(F.bit_count("differ") <= FEW_BITS)
+        if not few.isEmpty():
+            links.append(compared(few.select("variant", "held", F.col("a").alias("bits")), None).select("a", "b"))
+        many = crowded.where(F.bit_count("differ") > FEW_BITS)
+        keyed = None if many.isEmpty() else _recut(many)
+    return reduce(DataFrame.unionAll, links).distinct()
 
 
 def near_groups(
