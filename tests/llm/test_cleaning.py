@@ -118,6 +118,27 @@ def test_decontamination_of_nothing(spark, odd_documents):
     assert decontaminate.decontaminate(odd_documents[1], none).columns == odd_documents[1].columns
 
 
+def test_a_beginning_that_a_third_of_all_items_share(spark):
+    """Only windows travel to the scan; the items of a window that very many share are joined to what was hit."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    start = "in the following question choose the best answer of all"
+    items = [(i, (f"{start} " if i % 3 == 0 else "") + " ".join(rng.choices(words, k=9))) for i in range(6000)]
+    texts = [f"so {start} or none", items[3][1], f"x {items[4][1]} y {start}", "nothing at all", None, f"{items[7][1]} {items[9][1]}"]
+    docs = [(i, texts[i % len(texts)]) for i in range(60)]
+    frame = spark.createDataFrame([(*d, "", "", 0) for d in docs], SCHEMA)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    held, patterns = decontaminate._patterns(benchmark, "item_id", "text", 10)
+    shards = list(decontaminate._shards(patterns, 20_000))
+    assert all(isinstance(n, int) and isinstance(w, bytes) for shard in shards for n, w in shard) and len(shards) > 10
+    assert max(sum(len(w) + 2 for _, w in shard) for shard in shards) < 40_000
+    assert sum(map(len, shards)) == patterns.count() < held.count()
+    wanted = brute.decontaminate(docs, items)
+    assert decontaminated(frame, benchmark) == wanted
+    assert decontaminated(frame, benchmark, automaton_chars=100_000) == wanted
+    assert wanted[0][2] == 2000
+
+
 def test_spans_point_into_the_original_text(spark):
     text = "Vorab: “Ça VA, Bien!” – ça va bien?"
     docs = spark.createDataFrame([(1, text, "", "", 0)], SCHEMA)

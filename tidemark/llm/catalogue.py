@@ -84,7 +84,8 @@ def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scanned = decontaminate.scan(documents, table(spark, sf_dir, "benchmark"))
+    scanned = decontaminate.scan(documents, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    span = F.transform("spans", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string")))
     return scanned.select(
         "doc_id",
         "n_words",
@@ -92,6 +93,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.array_join(span, ",").alias("spans"),
     )
 
 

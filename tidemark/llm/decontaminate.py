@@ -3,12 +3,15 @@
 Words are runs of digits, letters and everything beyond ASCII, A-Z in lower case. The windows of an item, joined by single
 blanks and fenced by blanks, are the patterns; a document in the same form is scanned once. Offsets of hits lead back to
 words, and words to places in the original text.
+
+Only windows and their numbers travel to the scan, so many at a time as an automaton may hold. Which items hold a window is a
+table of its own, joined to the sets of windows that documents hit.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import chain
 
@@ -47,38 +50,43 @@ def windows(text: str | None, size: int = WINDOW) -> set[bytes]:
     return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
-def _patterns(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
-    """Distinct windows with the items that hold them, all as text."""
+def _patterns(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """Which items hold which windows (item, as text, and window), and the distinct windows (window, number), both written."""
 
-    @F.udf("array<binary>")
-    def cut(text):
-        return sorted(windows(text, size))
+    @F.arrow_udf("array<binary>")
+    def cut(texts: pa.Array) -> pa.Array:
+        return pa.array([sorted(windows(t.as_py(), size)) for t in texts], pa.list_(pa.binary()))
 
     rows = benchmark.select(col(item_col).cast("string").alias("item"), F.explode(cut(col(text_col))).alias("window"))
-    return rows.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    held = written(rows, "held")
+    return held, written(held.select("window").distinct().withColumn("number", F.monotonically_increasing_id()), "windows")
+
+
+def _items(held: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The numbers of windows with the items that hold them. A window that very many items share is a hot key of this join only,
+    which AQE splits."""
+    return held.where(F.col("item").isNotNull()).join(patterns, "window").select("number", "item").distinct()
 
 
-def _shards(patterns: DataFrame, limit: int) -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
-    """The patterns in parts of about ``limit`` characters at most; one empty part when there are none."""
+def _shards(patterns: DataFrame, limit: int) -> Iterator[list[tuple[int, bytes]]]:
+    """Windows with their numbers, in parts of about ``limit`` characters at most; one empty part when there are none."""
     total = patterns.agg(F.sum(F.length("window") + 2)).first()[0] or 0
     parts = max(1, -(-int(total) // limit))
     for part in range(parts):
         mine = patterns if parts == 1 else patterns.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == part)
-        yield [(bytes(r["window"]), tuple(r["items"])) for r in mine.collect()]
+        yield [(r["number"], bytes(r["window"])) for r in mine.collect()]
 
 
-def _automaton(patterns: list[tuple[bytes, tuple[str, ...]]]) -> ahocorasick.Automaton:
+def _automaton(patterns: list[tuple[int, bytes]]) -> ahocorasick.Automaton:
     made = ahocorasick.Automaton()
-    for i, (window, _) in enumerate(patterns):
-        made.add_word(f" {window.decode('latin-1')} ", (i, window.count(b" ") + 1))
+    for number, window in patterns:
+        made.add_word(f" {window.decode('latin-1')} ", (number, window.count(b" ") + 1))
     made.make_automaton()
     return made
 
 
-
-
 def _scan(automaton, folded: bytes) -> tuple[np.ndarray, set[int]]:
-    """Places of the words in hits, sorted, and the patterns that hit. ``folded`` is fenced by blanks."""
+    """Places of the words in hits, sorted, and the numbers of the windows that hit. ``folded`` is fenced by blanks."""
     ends = list(automaton.iter(folded.decode("latin-1")))
     if not ends:
         return np.empty(0, np.int64), set()
@@ -102,7 +110,11 @@ def _spans(text: str, hit: np.ndarray) -> list[dict]:
 
 
 _FOUND = T.StructType(
-    [T.StructField("hits", T.ArrayType(T.IntegerType())), T.StructField("item_ids", T.ArrayType(T.StringType()))]
+    [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("hits", T.ArrayType(T.IntegerType())),
+        T.StructField("numbers", T.ArrayType(T.LongType())),
+    ]
 )
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
@@ -110,17 +122,17 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.St
 def _scanner(shared):
     @F.arrow_udf(_FOUND)
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        patterns = shared.value
-        automaton = _automaton(patterns) if patterns else None
+        automaton = _automaton(shared.value) if shared.value else None
         for batch in batches:
-            hits, items = [], []
+            counts, hits, numbers = [], [], []
             for text in batch:
-                words = normalise(text.as_py() or "") if automaton else []
-                hit, which = _scan(automaton, b" " + b" ".join(words) + b" ") if words else ((), ())
+                words = normalise(text.as_py() or "")
+                hit, which = _scan(automaton, b" " + b" ".join(words) + b" ") if words and automaton else ((), ())
+                counts.append(len(words))
                 hits.append(hit)
-                items.append(sorted({i for w in which for i in patterns[w][1]}))
-            arrays = [pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.StructArray.from_arrays(arrays, names=["hits", "item_ids"])
+                numbers.append(sorted(which))
+            arrays = [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int64()))]
+            yield pa.StructArray.from_arrays(arrays, names=["n_words", "hits", "numbers"])
 
     return scanned
 
@@ -130,13 +142,18 @@ def _count_words(texts: pa.Array) -> pa.Array:
     return pa.array([len(normalise(t.as_py() or "")) for t in texts], pa.int64())
 
 
-@F.udf(_SPANS)
-def _place(text, hits):
-    return _spans(text, np.array(hits)) if text is not None else None
+@F.arrow_udf(_SPANS)
+def _place(texts: pa.Array, hits: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    found = [
+        _spans(text.as_py(), np.array(hit.as_py(), np.int64)) if text.is_valid and hit.is_valid else []
+        for text, hit in zip(texts, hits)
+    ]
+    return pa.array(found, kind)
 
 
 def _found(frame: DataFrame, shards, text, found: str) -> DataFrame:
-    """The frame with a column of hits and items."""
+    """The frame with a column of words, hits and the numbers of windows."""
     spark, first = frame.sparkSession, next(shards)
     second = next(shards, None)
     if second is None:
@@ -151,45 +168,68 @@ def _found(frame: DataFrame, shards, text, found: str) -> DataFrame:
         shared.unpersist()
     merged = reduce(DataFrame.unionAll, parts).groupBy("k1", "k2").agg(
         F.array_distinct(F.flatten(F.collect_list("f.hits"))).alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list("f.item_ids"))).alias("item_ids"),
+        F.array_distinct(F.flatten(F.collect_list("f.numbers"))).alias("numbers"),
     )
     k1, k2 = free_name(frame, "scan_k1"), free_name(frame, "scan_k2")
-    merged = merged.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.struct("hits", "item_ids").alias(found))
-    joined = frame.withColumns({k1: keys[0], k2: keys[1]}).join(merged, [k1, k2], "left").drop(k1, k2)
-    none = F.array().cast("array<int>"), F.array().cast("array<string>")
-    return joined.withColumn(found, F.coalesce(found, F.struct(none[0].alias("hits"), none[1].alias("item_ids"))))
+    merged = merged.select(F.col("k1").alias(k1), F.col("k2").alias(k2), "hits", "numbers")
+    joined = frame.withColumns({k1: keys[0], k2: keys[1]}).join(merged, [k1, k2], "left")
+    none = F.array().cast("array<int>"), F.array().cast("array<bigint>")
+    one = F.struct(
+        _count_words(text).alias("n_words"),
+        F.coalesce("hits", none[0]).alias("hits"),
+        F.coalesce("numbers", none[1]).alias("numbers"),
+    )
+    return joined.withColumn(found, one).drop(k1, k2, "hits", "numbers")
+
+
+def _inner(docs: DataFrame) -> DataFrame:
+    """The frame with names that nothing here uses."""
+    return docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)])
 
 
 def scan(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", size: int = WINDOW, automaton_chars: int = AUTOMATON_CHARS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """The documents with n_words, n_hit (words inside any occurrence of a window), item_ids (array of text, sorted), and
     spans (array of start and end in the text's code points).
 
     Null or empty text has no words and hits nothing; the same holds for every document when the benchmark is empty. Items
     without words have no window. Equal items all count; an item without an id hits under no name. Repeated rows all stay.
-    Columns of ``docs`` with these four names are replaced.
+    Columns of ``docs`` with these four names are replaced. ``keep``: the columns of ``docs`` that are wanted, all unless
+    given. What the scan finds is written before items are joined.
     """
-    found, spans = free_name(docs, "scan_found"), free_name(docs, "scan_spans")
-    shards = _shards(_patterns(benchmark, item_col, item_text_col, size), automaton_chars)
-    frame = _found(docs, shards, col(text_col), found)
-    some = F.size(F.col(found)["hits"]) > 0
+    added = ("n_words", "n_hit", "item_ids", "spans")
+    wanted = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
+    place = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    held, patterns = _patterns(benchmark, item_col, item_text_col, size)
+    text = F.col(place[text_col])
+    frame = _found(_inner(docs), _shards(patterns, automaton_chars), text, "found")
+    some = F.size("found.hits") > 0
     # Only texts with hits are read a second time, for the places of their words.
-    frame = frame.withColumn(
-        spans, _place(F.when(some, col(text_col)), F.when(some, F.sort_array(F.col(found)["hits"])))
-    )
-    added = {
-        "n_words": _count_words(col(text_col)),
-        "n_hit": F.size(F.col(found)["hits"]).cast("long"),
-        "item_ids": F.sort_array(F.col(found)["item_ids"]),
-        "spans": F.coalesce(F.col(spans), F.array().cast(_SPANS)),
-    }
-    return frame.select(*[col(c) for c in docs.columns if c.lower() not in added], *[v.alias(k) for k, v in added.items()])
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    spans = _place(F.when(some, text), F.when(some, F.sort_array("found.hits")))
+    scanned = frame.select(
+        *[place[c] for c in wanted], "found.n_words", F.size("found.hits").cast("long").alias("n_hit"),
+        F.sort_array("found.numbers").alias("numbers"), spans.alias("spans"),
+    )
+    scanned = written(scanned, "scanned")
+    hit = scanned.where(F.size("numbers") > 0)
+    # Documents that hit the same windows share one list of items.
+    sets = hit.select("numbers").distinct().withColumn("number", F.explode("numbers"))
+    listed = sets.join(_items(held, patterns), "number").groupBy("numbers").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
+    none = F.array().cast("array<string>")
+    with_items = hit.join(listed, "numbers", "left").withColumn("item_ids", F.coalesce("item_ids", none))
+    rest = scanned.where(F.size("numbers") == 0).withColumn("item_ids", none)
+    return with_items.unionByName(rest).select(*[F.col(place[c]).alias(c) for c in wanted], *added)
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    size: int = WINDOW, automaton_chars: int = AUTOMATON_CHARS,
+) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with their own columns."""
-    scanned = scan(docs.select(*[col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)]), benchmark,
-                   f"in_{docs.columns.index(text_col)}", **options)
-    return scanned.where(F.col("n_hit") == 0).select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    _, patterns = _patterns(benchmark, item_col, item_text_col, size)
+    frame = _inner(docs)
+    frame = _found(frame, _shards(patterns, automaton_chars), F.col(f"in_{docs.columns.index(text_col)}"), "found")
+    return frame.where(F.size("found.hits") == 0).select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -80,11 +80,29 @@ ORACLE: dict[str, str] = {
             FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY doc_id),
         items AS (
             SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
-            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
-        SELECT f.id AS doc_id, len(f.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id),
+        pieces_of AS (
+            SELECT doc_id, unnest(pieces) AS piece, unnest(range(len(pieces))) AS k FROM (
+                SELECT doc_id, string_split(regexp_replace(text, '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]', ' ', 'g'), ' ') AS pieces
+                FROM documents WHERE doc_id IN (SELECT doc_id FROM found))),
+        begun AS (
+            SELECT doc_id, piece, k, sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(piece) - 1 AS start
+            FROM pieces_of),
+        placed AS (
+            SELECT doc_id, start, start + length(piece) AS stop, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS pos
+            FROM begun WHERE piece <> ''),
+        runs AS (
+            SELECT doc_id, min(start) AS start, max(stop) AS stop FROM (
+                SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run
+                FROM placed JOIN (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS pos FROM found) USING (doc_id, pos))
+            GROUP BY doc_id, run),
+        spans AS (
+            SELECT doc_id, string_agg(start::BIGINT || '-' || stop::BIGINT, ',' ORDER BY start) AS spans FROM runs GROUP BY doc_id)
+        SELECT f.id AS doc_id, coalesce(spans, '') AS spans, len(f.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
             coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM folded f LEFT JOIN hit ON hit.doc_id = f.id LEFT JOIN items ON items.doc_id = f.id
+            LEFT JOIN spans ON spans.doc_id = f.id
         WHERE f.kind = 'd'""",
     "op12_substring_dedup": """
         WITH docs AS (
