@@ -30,9 +30,9 @@ from tidemark.llm.tokens import Encoder, _byte_signs
 from tidemark.session import written
 
 #: Characters that are aligned at once; a longer document by itself.
-CHUNK = 2_000_000
+CHUNK = 500_000
 #: Tokens of A that one pointer goes through.
-LANE = 256
+LANE = 128
 #: Distinct pairs that a task holds before it passes their counts on.
 _PAIRS_AT = 1_000_000
 
