@@ -8,7 +8,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
-from tidemark.plans.publish import TargetStore  # noqa: E402
+from tidemark.plans.tables import TargetStore  # noqa: E402
 from shown import SF_DIR  # noqa: E402
 from tidemark.session import clear_scratch, local_session, scratch_dir  # noqa: E402
 

@@ -29,9 +29,9 @@ from tidemark.functions import (
 from tidemark.functions.types import mysql_type_column, override_types, postgres_type_column, staging_schema
 from tidemark.operators import acl, bounds, extract, layout, load, metrics, reconcile, rules
 from tidemark.plans import derived as d
-from tidemark.plans.publish import TargetStore
+from tidemark.plans.tables import TargetStore
 from tidemark.plans.state import StateLog, append_state, read_monitor, state_rows
-from tidemark.plans.sync import plan_sync, results_frame, sync_all, sync_table
+from tidemark.plans.sync import land, plan_sync, results_frame, sync_all, sync_table
 from tidemark.session import scratch_dir, written
 from tidemark.sources import sqltext
 from tidemark.spec import SourceSpec, SyncSpec
@@ -615,19 +615,6 @@ def _two_runs(
     return store, spec
 
 
-_stores: dict[tuple[str, str], tuple[TargetStore, SyncSpec]] = {}
-
-
-def _shared_runs(spark: SparkSession, sf: str) -> tuple[TargetStore, SyncSpec]:
-    """One store for the queries that only look at what two runs have left."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _stores or not _stores[key][0].exists(_stores[key][1].target):
-        _stores[key] = _two_runs(spark, sf, "shared")
-    store, spec = _stores[key]
-    _moved(spark, sf).createOrReplaceTempView(spec.source_table)
-    return store, spec
-
-
 @query
 def published_upsert(spark: SparkSession, sf: str) -> DataFrame:
     store, spec = _two_runs(spark, sf, "upsert")
@@ -643,7 +630,7 @@ def published_append(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def published_monitor(spark: SparkSession, sf: str) -> DataFrame:
     """What the monitor tables say of both runs."""
-    store, _ = _shared_runs(spark, sf)
+    store, _ = _two_runs(spark, sf, "shared")
     found = read_monitor(store, "extract").select(
         F.lit("extract").alias("monitor"), "task_id", "output_exists", F.col("row_count").alias("rows"),
         F.lit(None).cast("long").alias("rows_deleted"),
@@ -657,9 +644,11 @@ def published_monitor(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def published_clean_up(spark: SparkSession, sf: str) -> DataFrame:
-    """After a refresh, only the folders of the newest version are kept, and its rows can still be read."""
-    store, spec = _two_runs(spark, sf, "clean", again={"full_refresh": True}, buckets=None, append_only=True)
-    gone = store.clean_up(spec.target, keep=1)
+    """A run dies after its extract was staged. Cleaning up deletes what it has left, and the target's rows stay."""
+    store, spec = _two_runs(spark, sf, "clean", again={"full_refresh": True})
+    rows, base = spark.table(spec.source_table), store.latest(spec.target)
+    land(spark, store, spec, rows, base.struct, "upsert", base, base.keys)
+    gone = store.clean_up(spec.target)
     rows = store.read(spec.target)
     return rows.groupBy(F.lit(len(gone)).alias("folders_deleted")).agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -731,7 +720,7 @@ def published_merge(spark: SparkSession, sf: str) -> DataFrame:
 @query_named("plan_sync")
 def planned(spark: SparkSession, sf: str) -> DataFrame:
     """What a sync would do next: go on with one table, create another, and refuse the settings of a third."""
-    store, spec = _shared_runs(spark, sf)
+    store, spec = _two_runs(spark, sf, "shared")
     lake = SourceSpec(alias="lake", database="files", kind="parquet", location=sf)
     specs = [
         spec,
@@ -746,15 +735,15 @@ def planned(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def published_state(spark: SparkSession, sf: str) -> DataFrame:
-    store, spec = _shared_runs(spark, sf)
+    store, spec = _two_runs(spark, sf, "state")
     rows = StateLog(store).of(spec.state_key, spec.target)
     return rows.select("datastore_name", "database_name", "index_value")
 
 
 @query
 def published_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """The rows that the files of the live version hold together."""
-    store, spec = _shared_runs(spark, sf)
+    """The rows that the target's files hold together."""
+    store, spec = _two_runs(spark, sf, "manifest")
     files = store.manifest(spec.target)
     return files.groupBy("mandatory").agg(F.sum("row_count").alias("row_count"))
 

@@ -1,20 +1,18 @@
-"""The state log and the monitor tables of a store: append-only, created when first written."""
+"""The state log and the monitor tables of a store: tables of its database, only added to, created when first written."""
 
 from __future__ import annotations
 
-import json
+from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.bounds import STATE_KEY
 from tidemark.operators.metrics import EXTRACT_MONITOR, LOAD_MONITOR
-from tidemark.plans.publish import TargetStore
-from tidemark.session import text_rows
-from tidemark.sources import files
+from tidemark.plans.tables import TargetStore
 
 # The columns of the state log; the last two tell which run a row belongs to.
 STATE = (
@@ -38,68 +36,65 @@ def append_state(log: DataFrame, rows: DataFrame) -> DataFrame:
     return log.unionByName(rows.select(*log.columns))
 
 
-def _one_line(row: dict[str, Any]) -> str:
-    return json.dumps({k: v.isoformat() if isinstance(v, datetime) else v for k, v in row.items()})
+def _added(store: TargetStore, table: str, columns: str, row: dict[str, Any], parts: Sequence[str] = ()) -> None:
+    """Insert one row into a table of the store, which is created if it is not there. ``parts`` are the columns it is
+    partitioned by."""
+    name = store.name(table)
+    schema = T.StructType.fromDDL(columns)
+    by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+    store.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by}")
+    values = store.spark.createDataFrame([tuple(row.get(f.name) for f in schema)], schema).coalesce(1)
+    values.select(*store.spark.table(name).columns).write.insertInto(name)
+
+
+def _found(store: TargetStore, table: str, columns: str) -> DataFrame:
+    schema = T.StructType.fromDDL(columns)
+    if not store.exists(table):
+        return store.spark.createDataFrame([], schema)
+    return store.spark.table(store.name(table)).select(*schema.names)
 
 
 class StateLog:
-    """Index values of all runs: one small file per run, in one folder per table.
+    """Index values of all runs: one row per run, in a table that is partitioned by the state key.
 
-    A row counts only once its run is published.
+    A row is added once the run's rows are in the target.
     """
 
     def __init__(self, store: TargetStore):
         self.store = store
-        self.spark: SparkSession = store.spark
-        self.path = f"{store.root}/_state"
 
     def rows(self) -> DataFrame:
-        """All rows, published or not; a filter on the key columns prunes folders."""
-        if not files.exists(self.spark, self.path):
-            return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).json(self.path)
-
-    def _folder(self, key: tuple[str, str, str]) -> str:
-        return "/".join([self.path, *[f"{c}={quote(v, safe='')}" for c, v in zip(STATE_KEY, key)]])
+        """All rows; a filter on the key columns prunes partitions."""
+        return _found(self.store, "tidemark_state", STATE)
 
     def of(self, key: tuple[str, str, str], target: str) -> DataFrame:
-        """One table's published rows. Only its folder is listed and read; the run ids come from a listing."""
-        folder = self._folder(key)
-        if not files.exists(self.spark, folder):
-            return self.spark.createDataFrame([], STATE)
-        rows = self.spark.read.schema(STATE).option("basePath", self.path).json(folder)
-        runs = text_rows(self.spark, self.store.published(target), "run_id")
-        return rows.where(F.col("target") == target).join(runs, "run_id", "left_semi")
+        """One table's rows, from its partition alone."""
+        rows = self.rows()
+        for column, value in zip(STATE_KEY, key):
+            rows = rows.where(F.col(column) == F.lit(value))
+        return rows.where(F.col("target") == target)
 
     def bounds(self, key: tuple[str, str, str], target: str, runs_back: int) -> tuple[str | None, str | None]:
-        """The newest value and the one ``runs_back`` runs before it.
-
-        Files are named after their runs, which are in the order of time: two files are read, however long the log.
-        """
-        folder = self._folder(key)
-        published = set(self.store.published(target))
-        runs = [name for name in files.names(self.spark, folder) if name.removesuffix(".json") in published]
+        """The newest value and the one ``runs_back`` runs before it. Runs' ids are in the order of time."""
+        newest = self.of(key, target).orderBy(F.desc("run_id")).limit(runs_back + 1).collect()
 
         def value(back: int) -> str | None:
-            if back >= len(runs):
-                return None
-            return json.loads(files.read_text(self.spark, f"{folder}/{runs[-1 - back]}"))["index_value"]
+            return newest[back]["index_value"] if back < len(newest) else None
 
         return value(0), value(runs_back) if runs_back else None
 
     def add(self, key: tuple[str, str, str], target: str, run_id: str, index_value: str, created_ts: datetime) -> None:
         row = {"index_value": index_value, "created_ts": created_ts, "run_id": run_id, "target": target}
-        files.write_text_once(self.spark, f"{self._folder(key)}/{run_id}.json", _one_line(row))
+        _added(self.store, "tidemark_state", STATE, row | dict(zip(STATE_KEY, key)), STATE_KEY)
+
+
+_MONITORS = {"extract": EXTRACT_MONITOR, "load": LOAD_MONITOR}
 
 
 def append_monitor(store: TargetStore, name: str, run_id: str, row: dict[str, Any]) -> None:
-    files.write_text_once(store.spark, f"{store.root}/_monitor/{name}/{run_id}.json", _one_line(row))
+    _added(store, f"tidemark_{name}_monitor", _MONITORS[name], row)
 
 
 def read_monitor(store: TargetStore, name: str) -> DataFrame:
     """The ``extract`` or ``load`` monitor table."""
-    schema = {"extract": EXTRACT_MONITOR, "load": LOAD_MONITOR}[name]
-    path = f"{store.root}/_monitor/{name}"
-    if not files.exists(store.spark, path):
-        return store.spark.createDataFrame([], schema)
-    return store.spark.read.schema(schema).json(path)
+    return _found(store, f"tidemark_{name}_monitor", _MONITORS[name])

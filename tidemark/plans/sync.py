@@ -20,7 +20,7 @@ from tidemark.operators import load, metrics, reconcile
 from tidemark.operators.bounds import extract_window, index_check, index_literal
 from tidemark.operators.extract import project
 from tidemark.operators.layout import layout_clause
-from tidemark.plans.publish import ConcurrentRun, TargetStore, Version, Written
+from tidemark.plans.tables import FIRST, Target, TargetStore, Written
 from tidemark.plans.state import StateLog, append_monitor
 from tidemark.sources import files, jdbc, reader, sqltext
 from tidemark.spec import DIALECTS, SchemaMismatch, SpecError, SyncSpec
@@ -181,14 +181,10 @@ def _columns_of(text: str) -> str:
     return text[text.index("(") + 1 : text.rindex(")")]
 
 
-def _require_not_null(staged: DataFrame, schema: T.StructType) -> None:
-    """Fail the load when a NOT NULL column has NULLs: Parquet itself would take them."""
-    strict = [f.name for f in schema.fields if not f.nullable]
-    if not strict:
-        return
-    broken = reconcile.not_null_violations(staged, strict).where("violations > 0").collect()
-    if broken:
-        raise ValueError("NULL in " + ", ".join(f"{r['column_name']} ({r['violations']})" for r in broken))
+def without_nulls(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows; writing them fails, before anything is committed, at a NULL in a NOT NULL column, which Parquet would take."""
+    strict = {f.name: F.raise_error(F.lit(f"NULL in {f.name}")) for f in schema.fields if not f.nullable}
+    return rows.withColumns({name: F.coalesce(F.col(f"`{name}`"), error) for name, error in strict.items()}) if strict else rows
 
 
 def keyed_by_source(spec: SyncSpec, keys: Sequence[str]) -> tuple[str, ...]:
@@ -196,7 +192,7 @@ def keyed_by_source(spec: SyncSpec, keys: Sequence[str]) -> tuple[str, ...]:
     return (spec.alias_column, *keys) if spec.alias_column and keys else tuple(keys)
 
 
-def mode_for(spec: SyncSpec, base: Version | None) -> str:
+def mode_for(spec: SyncSpec, base: Target | None) -> str:
     """The load mode. A refresh of one source among several replaces that source's rows."""
     merged = spec.alias_column and base is not None and spec.mode == "full_refresh"
     return "scoped_refresh" if merged else spec.mode
@@ -211,9 +207,10 @@ def sync_table(
     monitor: bool = True,
     now: datetime | None = None,
 ) -> SyncResult:
-    """Bring one target up to date with its source and publish the result with its index value.
+    """Bring one target up to date with its source, then log its index value.
 
-    The extract is written once and read back: the upsert uses it twice, and its true size decides how it is joined.
+    An extract that is used twice is written first and read back, and its true size decides how it is joined. A run that dies
+    logs no index value, so the next one loads the same window again, which leaves the same rows.
     """
     spec = spec.forced(full_refresh, rebuild).validate_runtime()
     started = _clock(now)
@@ -249,108 +246,122 @@ def sync_table(
         if ignored := [c for c in rows.columns if c not in schema.fieldNames()]:
             log.warning("%s: source columns without a target column: %s", spec.target, ", ".join(ignored))
 
-    staged = land(spark, store, spec, rows, schema, mode, base, keys, now=now)
+    staged = land(spark, store, spec, rows, schema, mode, base, keys, window_of(bounds), now)
     if monitor:
         log_extract(store, spec, staged, started, _clock(now))
 
     if staged.count == 0 and not (spec.allow_empty_refresh and spec.full_refresh):
         if base is None:
-            store.create(spec.target, staged.run_id, schema, keys, spec.buckets)
-        files.delete_folder(spark, staged.folder)
+            store.create(spec.target, schema, keys, spec.buckets)
+        leave(store, spec, staged)
         return replace(result, rows_extracted=0)
 
     load_started = _clock(now)
-    version, deleted = write_version(spark, spec, store, mode, base, staged, keys, bounds)
+    deleted = load_staged(spark, spec, store, mode, base, staged, keys, bounds)
     if bounds.new is not None:
         state.add(spec.state_key, spec.target, staged.run_id, bounds.new, stamp_of(staged.run_id))
     if monitor:
         log_load(store, spec, staged, deleted, load_started, _clock(now))
-    store.publish(spec.target, version, base)
-    if staged.version is None:
-        files.delete_folder(spark, staged.folder)
+    leave(store, spec, staged)
     return replace(
         result, status="loaded", rows_extracted=staged.count, rows_inserted=staged.count, rows_deleted=deleted,
         run_id=staged.run_id,
     )
 
 
+def window_of(bounds: Bounds) -> str | None:
+    """The name of a run's window: its lower bound, which a run that is repeated has again. None without an index value, when
+    every run stands for itself."""
+    return None if bounds.new is None else bounds.old or FIRST
+
+
 @dataclass(frozen=True)
 class Staged:
-    """An extract on disk, with its exact row count and size.
+    """An extract that was written, with its exact row count and size.
 
-    ``version`` is set when the rows lie where the new version keeps them, so that they need not be written again.
+    ``place`` is ``stage`` for a staging folder, ``new`` for a table beside the target, and ``window`` for a partition of the
+    target itself.
     """
 
     run_id: str
+    place: str
     folder: str
     rows: DataFrame
     schema: T.StructType
     count: int
     size: int
-    version: Version | None = None
+    window: str = FIRST
     cut_values: int = 0
 
 
 def land(
     spark: SparkSession, store: TargetStore, spec: SyncSpec, rows: DataFrame, schema: T.StructType, mode: str,
-    base: Version | None, keys: Sequence[str], batches: dict[str, int] | None = None, now: datetime | None = None,
-) -> Staged:
+    base: Target | None, keys: Sequence[str], window: str | None = None, now: datetime | None = None,
+) -> Staged:
     """Write the rows in the target's form, from one pass over the source.
 
-    Loads that keep or drop whole versions write straight into the target's folder. Loads that look at the old rows,
-    or need the size of the extract to choose the number of buckets, write to a staging folder first. Counts come from
-    the written files, so a task that is run twice counts once.
+    Loads that keep or drop all old rows write straight into a partition or a new table. Loads that look at the old rows, or
+    need the size of the extract to choose the number of buckets, write to a staging folder first. Counts come from the written
+    files, so a task that is run twice counts once.
     """
     run_id = store.new_run_id(spec.target, now)
+    window = window or run_id
     seen = Observation()
     counted = rows.observe(seen, F.sum(cut_texts(rows, spec.max_text)[1]).alias("cut"))
     fitted = reconcile.conform_to_target(cut_texts(counted, spec.max_text)[0], schema)
-    looks_back = base is not None and mode in ("upsert", "scoped_refresh")
-    version = None
-    if looks_back or (keys and spec.buckets is None):
-        folder = store.stage_folder(spec.target, run_id)
+    fitted = without_nulls(fitted, schema)
+    layout = {"distribution_key": spec.distribution_key, "sort_keys": spec.sort_keys}
+    folder = store.stage_folder(spec.target, run_id)
+    appends = base is not None and mode == "append"
+    if (base is not None and mode in ("upsert", "scoped_refresh")) or (keys and spec.buckets is None) or (appends and base.buckets):
+        place = "stage"
         fitted.write.parquet(f"{folder}/rows")
         back = spark.read.schema(schema).parquet(f"{folder}/rows")
+    elif appends:
+        place, folder = "window", store.name(spec.target)
+        store.append(spec.target, run_id, fitted, window, **layout)
+        back = store.of_window(spec.target, window)
     else:
-        folder = f"{store.folder(spec.target)}/data/run_id={run_id}"
-        version = _new_version(store, spec, run_id, fitted, schema, mode, base, keys, 0, batches)
-        back = store.read(spec.target, version, [p for p in version.parts if p.path.startswith(f"data/run_id={run_id}")])
-    count = back.count()
+        place = "new"
+        folder = store.fill(spec.target, fitted, new_target(store, spec, schema, keys, spec.buckets), window, **layout)
+        back = spark.table(folder)
+    count, size = store.sizes(back)
     # Nothing is observed where the plan is known to be empty.
     cut = seen.get["cut"] or 0 if count else 0
-    staged = Staged(run_id, folder, back, schema, count, files.folder_bytes(spark, folder), version, cut)
-    if staged.count:
-        _require_not_null(back, schema)
-    return staged
+    return Staged(run_id, place, folder, back.select(*[F.col(f"`{c}`") for c in schema.names]), schema, count, size, window, cut)
 
 
-def _new_version(
-    store: TargetStore, spec: SyncSpec, run_id: str, rows: DataFrame, schema: T.StructType, mode: str,
-    base: Version | None, keys: Sequence[str], size: int, batches: dict[str, int] | None,
-) -> Version:
-    """Write a version that takes over nothing of the old one, or all of it."""
-    layout = {"distribution_key": spec.distribution_key, "sort_keys": spec.sort_keys}
-    done = {**(base.batches if base else {}), **(batches or {})}
-    if base is not None and mode == "append":
-        return store.append(spec.target, run_id, base, rows, batches=done, **layout)
+def new_target(store: TargetStore, spec: SyncSpec, schema: T.StructType, keys: Sequence[str], buckets: int | None) -> Target:
     comment = reader.table_comment(store.spark, spec) if spec.include_comments else None
-    return store.replace(
-        spec.target, run_id, rows, mode, keys, spec.buckets, size, schema=schema, batches=done, comment=comment, **layout
-    )
+    return Target(schema, tuple(keys), (buckets or 1) if keys else None, None, comment)
 
 
-def write_version(
-    spark: SparkSession, spec: SyncSpec, store: TargetStore, mode: str, base: Version | None, staged: Staged,
-    keys: Sequence[str], bounds: Bounds = Bounds(), batches: dict[str, int] | None = None,
-) -> tuple[Version, int]:
-    """Write, but do not publish, the version that a load mode makes; returns it with the rows it deletes."""
+def leave(store: TargetStore, spec: SyncSpec, staged: Staged) -> None:
+    """Nothing of an extract stays beside the target, loaded or not."""
+    if staged.place == "stage":
+        files.delete_folder(store.spark, staged.folder)
+    elif staged.place == "new":
+        store.discard(spec.target)
+
+
+def load_staged(
+    spark: SparkSession, spec: SyncSpec, store: TargetStore, mode: str, base: Target | None, staged: Staged,
+    keys: Sequence[str], bounds: Bounds = Bounds(),
+) -> int:
+    """Apply an extract to the target by its load mode; returns the rows that it deletes."""
     target, run_id, rows = spec.target, staged.run_id, staged.rows
-    if base is None or mode in ("rebuild", "append", "full_refresh"):
-        version = staged.version or _new_version(
-            store, spec, run_id, rows, staged.schema, mode, base, keys, staged.size, batches
-        )
-        return version, store.read(target, base).count() if base and mode == "full_refresh" else 0
-    done = {**base.batches, **(batches or {})}
+    layout = {"distribution_key": spec.distribution_key, "sort_keys": spec.sort_keys}
+    if base is not None and mode == "append":
+        if staged.place == "stage":
+            store.append(target, run_id, rows, staged.window, **layout)
+        return 0
+    if base is None or mode in ("rebuild", "full_refresh"):
+        deleted = store.read(target).count() if base and mode == "full_refresh" else 0
+        if staged.place == "stage":
+            made = new_target(store, spec, staged.schema, keys, store.bucket_count(staged.size))
+            store.fill(target, rows, made, staged.window, **layout)
+        store.swap(target, run_id)
+        return deleted
     if mode == "scoped_refresh":
         scope = F.lit(True)
         if spec.truncate_file:
@@ -359,15 +370,12 @@ def write_version(
             scope = F.expr(sqltext.with_literals(sqltext.delete_predicate(text), values))
         if spec.alias_column:
             scope &= F.col(spec.alias_column) == F.lit(spec.source.alias)
-        return store.replace_where(target, run_id, base, rows, scope, staged.size, spec.sort_keys, done)
+        return store.replace_where(target, run_id, rows, scope, staged.window, spec.sort_keys)
     load.staged_keys(rows, keys).write.parquet(f"{staged.folder}/keys")
     key_schema = T.StructType([staged.schema[k] for k in keys])
     back = spark.read.schema(key_schema).parquet(f"{staged.folder}/keys")
-    found = load.key_bounds(back, keys).first()
-    matches = Written(back, found)
-    return store.upsert(
-        target, run_id, base, rows, matches, keys, staged.count, staged.size, spec.buckets, spec.sort_keys, done
-    )
+    matches = Written(back, load.key_bounds(back, keys).first())
+    return store.upsert(target, run_id, rows, matches, keys, staged.size, spec.buckets, spec.sort_keys)
 
 
 def log_extract(store: TargetStore, spec: SyncSpec, staged: Staged, started: datetime, ended: datetime) -> None:
@@ -433,7 +441,7 @@ def sync_all(
         except (SchemaMismatch, NotImplementedError) as e:
             log.error("%s", e)
             results.append(replace(blank, status="skipped", error=str(e)))
-        except (ValueError, TypeError, AnalysisException, PySparkException, ConcurrentRun) as e:
+        except (ValueError, TypeError, AnalysisException, PySparkException) as e:
             log.error("%s: %s", spec.source_table, e)
             results.append(replace(blank, error=str(e)))
         except Exception as e:

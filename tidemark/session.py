@@ -18,7 +18,7 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Static partition overwrite is never used: every run writes to its own folder.
+    # Loads that overwrite some partitions ask for it themselves; any other overwrite means the whole table.
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 

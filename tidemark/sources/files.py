@@ -1,11 +1,9 @@
-"""Small files and folders next to the data, through the file system that Spark itself uses."""
+"""Files and folders beside the tables, through the file system that Spark itself uses."""
 
 from __future__ import annotations
 
 import fnmatch
-import time
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -45,44 +43,7 @@ def holds(spark: SparkSession, path: str, pattern: str | None = None) -> bool:
     return False
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, where = _fs(spark, path)
-    stream = fs.open(where)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file that must not exist. The file system refuses the second of two writers, without a rename.
-
-    A writer that dies leaves a file that may be cut short, so a reader has to be able to tell.
-    """
-    fs, where = _fs(spark, path)
-    try:
-        stream = fs.create(where, False)
-    except Py4JJavaError as e:
-        if "already exists" in str(e.java_exception) or "AlreadyExists" in e.java_exception.getClass().getName():
-            raise FileExistsError(path) from None
-        raise
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
-
-
-def age_seconds(spark: SparkSession, path: str) -> float:
-    fs, where = _fs(spark, path)
-    return time.time() - fs.getFileStatus(where).getModificationTime() / 1000
-
-
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, where = _fs(spark, path)
     if fs.exists(where):
         fs.delete(where, True)
-
-
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    fs, where = _fs(spark, path)
-    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0

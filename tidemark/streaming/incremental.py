@@ -1,7 +1,7 @@
 """Scheduled incremental runs as a stream: each run loads the files that are new, then stops.
 
-The checkpoint plays the part of the state log. A batch that is repeated after a crash is recognised by the number that
-its version was published with, so that it is loaded once in every mode.
+The checkpoint plays the part of the state log. A batch that is repeated after a crash leaves the same rows: an upsert by its
+keys, a refresh by its nature, and an append since the stream and the batch's number name its window.
 """
 
 from __future__ import annotations
@@ -14,18 +14,19 @@ from pyspark.sql import types as T
 from tidemark.operators import reconcile
 from tidemark.operators.bounds import high_water_mark
 from tidemark.operators.extract import project
-from tidemark.plans.publish import TargetStore
+from tidemark.plans.tables import TargetStore
 from tidemark.plans.state import StateLog
 from tidemark.plans.sync import (
     keyed_by_source,
     land,
+    leave,
+    load_staged,
     log_extract,
     log_load,
     mode_for,
     normal_rows,
     stamp_of,
     utc_now,
-    write_version,
 )
 from tidemark.sources import files
 from tidemark.spec import SchemaMismatch, SyncSpec
@@ -59,15 +60,13 @@ class StreamSource:
 def load_batch(
     spark: SparkSession, spec: SyncSpec, store: TargetStore, rows: DataFrame, stream: str, batch: int, monitor: bool = True
 ) -> None:
-    """Load one batch as one published run, unless it was published already.
+    """Load one batch as one run.
 
     As in a run without a stream, columns are checked against the target's, the newest index value is logged, and the
     monitor tables get a row each.
     """
     started = utc_now()
     base = store.latest(spec.target)
-    if base is not None and base.batches.get(stream, -1) >= batch:
-        return
     if spec.mode == "upsert" and not spec.primary_key:
         raise SchemaMismatch(f"{spec.target}: an upsert needs a primary key")
     keys = () if spec.mode == "append" else keyed_by_source(spec, spec.primary_key)
@@ -76,22 +75,20 @@ def load_batch(
     if reconcile.target_status(normal.columns, target_columns, (), False) == reconcile.INCORRECT:
         extra = sorted(set(target_columns) - set(normal.columns))
         raise SchemaMismatch(f"{spec.target} has columns that the stream lacks: {', '.join(extra)}")
-    schema, batches, mode = base.struct if base else normal.schema, {stream: batch}, mode_for(spec, base)
-    staged = land(spark, store, spec, normal, schema, mode, base, keys, batches)
+    schema, mode = base.struct if base else normal.schema, mode_for(spec, base)
+    staged = land(spark, store, spec, normal, schema, mode, base, keys, f"{stream}#{batch}")
     if monitor:
         log_extract(store, spec, staged, started, utc_now())
     if staged.count:
-        loading = utc_now()
-        version, deleted = write_version(spark, spec, store, mode, base, staged, keys, batches=batches)
+        loading, newest = utc_now(), None
         if spec.index_column and spec.index_column in staged.rows.columns:
             newest = high_water_mark(staged.rows, spec.index_column).first()["index_value"]
-            if newest is not None:
-                StateLog(store).add(spec.state_key, spec.target, staged.run_id, newest, stamp_of(staged.run_id))
+        deleted = load_staged(spark, spec, store, mode, base, staged, keys)
+        if newest is not None:
+            StateLog(store).add(spec.state_key, spec.target, staged.run_id, newest, stamp_of(staged.run_id))
         if monitor:
             log_load(store, spec, staged, deleted, loading, utc_now())
-        store.publish(spec.target, version, base)
-    if staged.version is None or not staged.count:
-        files.delete_folder(spark, staged.folder)
+    leave(store, spec, staged)
 
 
 def stream_sync(
