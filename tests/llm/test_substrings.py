@@ -107,7 +107,7 @@ def test_equal_windows_have_equal_symbols_inside(seed):
         docs += [i] * (len(text) + 20)
     table = np.random.default_rng(3).integers(0, 2**63, (2, kinds), dtype=np.uint64)
     names, docs = [t[np.array(flat)] for t in table], np.array(docs)
-    found = substrings.levels(names, docs, 3)
+    found = list(substrings.levels(names, docs, 3))
     for depth in (1, 2, 3):
         low, high = substrings.inner(np.array(at), 20, found[:depth], len(flat))
         own = set()

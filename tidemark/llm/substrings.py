@@ -23,7 +23,6 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,14 +36,14 @@ WINDOW = 20
 #: Levels of the high and of the low symbols; three levels have symbols of some 2.4 words, twelve of some 30.
 HIGH, LOW = 12, 2
 #: Words of a block, and texts; a longer text is a block by itself. A task holds some 200 bytes for each word.
-BLOCK_WORDS, BLOCK_TEXTS = 300_000, 60_000
+BLOCK_WORDS, BLOCK_TEXTS = 200_000, 60_000
 #: Words in the documents for each part into which names and keys are dealt, and the least number of parts.
 PART_WORDS, LEAST_PARTS = 2_000_000, 64
 
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
 _RUN, _SIDE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-#: Rounds' kinds of rows.
-_UNITS, _SYMBOLS, _WINDOWS = range(3)
+#: Rounds' kinds of rows; the last kind is what a block knows of itself and passes on to the next round.
+_UNITS, _SYMBOLS, _WINDOWS, _OWN = range(4)
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -75,6 +74,19 @@ def spans(names: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def names_of(words: bytes) -> list[np.ndarray]:
+    """Two numbers for each of the words, which line feeds part: sums of its bytes, each times its place's own number."""
+    spelled = np.frombuffer(words + b"\n", np.uint8)
+    ends = np.flatnonzero(spelled == 10)
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    places = np.arange(len(spelled)) - np.repeat(starts, ends - starts + 1)
+    out = []
+    for lane in (1, 2):
+        weights = mix(np.arange(int(places.max()) + 1, dtype=np.uint64), np.full(1, lane, np.uint64)) | np.uint64(1)
+        out.append(mix(np.add.reduceat(weights[places] * spelled, starts), np.full(1, lane, np.uint64)))
+    return out
+
+
 @dataclass
 class Level:
     """One level over all words of a block. Starts are places of words and ascend."""
@@ -94,9 +106,9 @@ class Level:
         return out[0], out[1]
 
 
-def levels(names: list[np.ndarray], docs: np.ndarray, count: int) -> list[Level]:
+def levels(names: list[np.ndarray], docs: np.ndarray, count: int) -> Iterator[Level]:
     """Recompress words with two numbers each, ``docs`` being the document of each word."""
-    starts, found = np.arange(len(docs)), []
+    starts = np.arange(len(docs))
     for level in range(count):
         first = np.ones(len(starts), bool)
         first[1:] = (names[0][1:] != names[0][:-1]) | (names[1][1:] != names[1][:-1]) | (docs[1:] != docs[:-1])
@@ -116,8 +128,7 @@ def levels(names: list[np.ndarray], docs: np.ndarray, count: int) -> list[Level]
         for x, y in zip(merged, names):
             x[both] = mix(y[both], y[both + 1])
         runs, names, starts, docs = starts, [x[keep] for x in merged], starts[keep], docs[keep]
-        found.append(Level(runs, left, starts, names))
-    return found
+        yield Level(runs, left, starts, names)
 
 
 def inner(windows: np.ndarray, size: int, steps: list[Level], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +178,8 @@ class Block:
     def __init__(self, row: dict, window: int):
         self.block, self.ids, self.window = row["block"], row["ids"], window
         unpack = zstandard.ZstdDecompressor().decompress
-        self.words = unpack(row["words"]).split()
+        spelled = unpack(row["words"])
+        self.words = spelled.split()
         self.slots = np.frombuffer(unpack(row["slots"]), "<i4")
         self.counts = np.array(row["counts"], np.int64)
         self.n = len(self.slots)
@@ -175,9 +187,7 @@ class Block:
         self.ends = np.cumsum(self.counts)
         # Places in an array in which each document is followed by as many blanks as a window has words.
         self.padded = np.arange(self.n) + self.docs * window
-        digests = b"".join(xxhash.xxh3_128_digest(w) for w in self.words)
-        pairs = np.frombuffer(digests, "<u8").reshape(-1, 2)
-        self.names = [np.ascontiguousarray(pairs[:, i])[self.slots] for i in (0, 1)]
+        self.names = [x[self.slots] for x in names_of(spelled)]
 
     @cached_property
     def order(self) -> np.ndarray:
@@ -199,8 +209,7 @@ class Block:
     @cached_property
     def levels(self) -> list[Level]:
         """The low levels, and the high one."""
-        found = levels(self.names, self.docs, HIGH)
-        return [*found[:LOW], found[-1]]
+        return [x for i, x in enumerate(levels(self.names, self.docs, HIGH)) if i < LOW or i == HIGH - 1]
 
     @cached_property
     def units(self) -> tuple[Keys, np.ndarray, np.ndarray]:
@@ -239,9 +248,9 @@ class Block:
         first = low.names[0][at]
         return Keys([first, np.zeros(len(at), np.uint64)]), at
 
-    def candidates(self, units_seen: np.ndarray, symbols_seen: np.ndarray) -> tuple[np.ndarray, Keys, np.ndarray]:
-        """Windows of what no earlier unit holds, of which all inner symbols occur elsewhere too, and their keys; and which
-        windows begin in units that occur earlier. ``units_seen``: which of the distinct units do, in other blocks."""
+    def candidates(self, units_seen: np.ndarray, symbols_seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows of what no earlier unit holds, of which all inner symbols occur elsewhere too; and which windows begin in
+        units that occur earlier. ``units_seen``: which of the distinct units do, in other blocks."""
         keys, _, _ = self.units
         first = self.own & ~units_seen[keys.which]
         windows = np.flatnonzero(self._opened(first))
@@ -256,8 +265,10 @@ class Block:
         symbol_of = np.append(low.places(self.n)[1], len(low.starts))
         some = start < end
         start, end = np.where(some, start, 0), np.where(some, end, 0)
-        windows = windows[before[symbol_of[end]] == before[symbol_of[start]]]
-        return windows, Keys([x[self.padded[windows]] for x in self._spans(self.window)]), closed
+        return windows[before[symbol_of[end]] == before[symbol_of[start]]], closed
+
+    def keys_of(self, windows: np.ndarray) -> Keys:
+        return Keys([x[self.padded[windows]] for x in self._spans(self.window)])
 
     def kept(self, repeated: np.ndarray) -> np.ndarray:
         """Which words are in no repeated window."""
@@ -266,6 +277,14 @@ class Block:
         return sums[1:] == sums[begin]
 
 
+class _Slots(dict):
+    """Words by their number; new ones get the next."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 _BLOCKS = "block long, ids array<long>, counts array<int>, slots binary, words binary"
 _SENT = "part long, kind int, block long, numbers binary, owners binary"
 _FLAGS = "block long, kind int, part long, bits binary"
@@ -275,8 +294,7 @@ def _blocked(batches, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Documents as blocks, each with its distinct words, and its texts as numbers of words."""
     number = TaskContext.get().partitionId() << 33
     rows: list[tuple] = []
-    slots: dict[bytes, int] = {}
-    size = 0
+    slots, size = _Slots(), 0
 
     def block() -> pa.RecordBatch:
         nonlocal rows, slots, size, number
@@ -290,7 +308,7 @@ def _blocked(batches, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
             pa.array([pack(texts.astype("<i4").tobytes())], pa.binary()),
             pa.array([pack(b"\n".join(slots))], pa.binary()),
         ]
-        rows, slots, size, number = [], {}, 0, number + 1
+        rows, slots, size, number = [], _Slots(), 0, number + 1
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     for batch in batches:
@@ -298,7 +316,7 @@ def _blocked(batches, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
             words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
             if rows and (size + len(words) > BLOCK_WORDS or len(rows) == BLOCK_TEXTS):
                 yield block()
-            rows.append((name, np.fromiter((slots.setdefault(w, len(slots)) for w in words), np.int32, len(words))))
+            rows.append((name, np.fromiter(map(slots.__getitem__, words), np.int32, len(words))))
             size += len(words)
     if rows:
         yield block()
@@ -327,6 +345,7 @@ def _first_round(batches, window: int, parts: int) -> Iterator[pa.RecordBatch]:
             units, starts, _ = block.units
             yield _sent(_UNITS, block, units, block.order[block.docs[starts[units.first]]], parts)
             yield _sent(_SYMBOLS, block, block.symbols[0], None, parts)
+            del block, units, starts
 
 
 def earlier(numbers: list[np.ndarray], owners: np.ndarray, blocks: np.ndarray) -> np.ndarray:
@@ -361,6 +380,10 @@ def _judged(batches, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     def flags() -> Iterator[pa.RecordBatch]:
         if not held:
             return
+        if held[0]["kind"] == _OWN:
+            rows = [{"block": r["block"], "kind": _OWN, "part": r["part"], "bits": r["numbers"]} for r in held]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            return
         kind, part = held[0]["kind"], held[0]["part"]
         flat = np.frombuffer(b"".join(r["numbers"] for r in held), "<u8")
         blocks = np.array([r["block"] for r in held], np.int64)
@@ -414,22 +437,31 @@ def _seen(keys: Keys, flags: list[tuple[int, bytes]], parts: int) -> np.ndarray:
     return out
 
 
-def _candidates(block: Block, flags: dict, parts: int) -> tuple[np.ndarray, Keys, np.ndarray]:
-    units = _seen(block.units[0], flags.get(_UNITS, []), parts)
-    return block.candidates(units, _seen(block.symbols[0], flags.get(_SYMBOLS, []), parts))
-
-
 def _second_round(batches, window: int, parts: int) -> Iterator[pa.RecordBatch]:
     for row, flags in _with_flags(batches):
         block = Block(row, window)
-        windows, keys, _ = _candidates(block, flags, parts)
+        units = _seen(block.units[0], flags.get(_UNITS, []), parts)
+        windows, closed = block.candidates(units, _seen(block.symbols[0], flags.get(_SYMBOLS, []), parts))
+        keys = block.keys_of(windows)
         yield _sent(_WINDOWS, block, keys, block.order[block.docs[windows[keys.first]]], parts)
+        some = np.zeros(block.n, bool)
+        some[windows] = True
+        own = zstandard.ZstdCompressor(level=3).compress(np.packbits(np.concatenate((some, closed))).tobytes())
+        columns = [[block.block % parts], [_OWN], [block.block], [own], [b""]]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, kind) for x, kind in zip(columns, kinds)], ["part", "kind", "block", "numbers", "owners"]
+        )
+        del block, units, keys
 
 
 def _cleaned(batches, window: int, parts: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for row, flags in _with_flags(batches):
         block = Block(row, window)
-        windows, keys, repeated = _candidates(block, flags, parts)
+        own = np.frombuffer(zstandard.ZstdDecompressor().decompress(flags[_OWN][0][1]), np.uint8)
+        some, repeated = np.unpackbits(own, count=2 * block.n).astype(bool).reshape(2, block.n)
+        windows = np.flatnonzero(some)
+        keys = block.keys_of(windows)
         again = np.ones(len(windows), bool)
         again[keys.first] = False
         repeated[windows] = again | _seen(keys, flags.get(_WINDOWS, []), parts)[keys.which]
@@ -490,5 +522,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     second = judged(sent, "windows")
     made = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, text string")
     made_arrow = to_arrow_schema(made)
-    cleaned = with_flags(first.unionAll(second)).mapInArrow(lambda batches: _cleaned(batches, window, parts, made_arrow), made)
+    cleaned = with_flags(second).mapInArrow(lambda batches: _cleaned(batches, window, parts, made_arrow), made)
     return cleaned.withColumn("doc_id", F.col("doc_id").cast(id_type))
