@@ -5,10 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.sources import files
 
@@ -83,11 +80,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     # Small on disk, and its buffers are freed with each file; those of other codecs wait outside the heap for a collection.
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def text_rows(spark: SparkSession, values: Sequence[str], name: str) -> DataFrame:
-    """Short identifiers as rows, from one text literal. They must not contain commas."""
-    if not values:
-        return spark.range(0, numPartitions=1).select(F.lit("").alias(name))
-    texts = F.split(F.lit(",".join(values)), ",")
-    return spark.range(1, numPartitions=1).select(F.explode(texts).alias(name))
