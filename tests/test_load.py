@@ -7,8 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from shown import plan_text
-from tidemark.operators import load
+from tidemark.operators import layout, load
 
 KEYED = "k int, j int, v string"
 
@@ -148,3 +149,80 @@ def test_keys_of_both_sides_are_distinct_before_a_shuffle_join(spark, shuffled):
     plan = plan_text(load.orphan_keys(hot_target(spark), hot_target(spark).where("k > 10"), ["k"]))
     joined = plan[plan.index("SortMergeJoin") :]
     assert joined.count("HashAggregate") >= 4
+
+
+def exchanges(plan: str) -> list[str]:
+    """The part of a formatted plan's tree in which exchanges stand."""
+    tree = plan.split("\n(1)")[0]
+    return [line for line in tree.splitlines() if "Exchange" in line]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, sf_dir, no_broadcast):
+    found = entry.queries()["upsert_bucketed"](spark, sf_dir)
+    plan = plan_text(found)
+    assert "SortMergeJoin" in plan and exchanges(plan) == [] and "Bucketed: true" in plan
+    assert found.count() == entry.queries()["upsert_orders"](spark, sf_dir).count()
+
+
+def test_bucketed_upsert_of_duplicates_and_nulls(spark):
+    name = f"bucketed_{id(spark)}"
+    target = spark.createDataFrame([(None, "a"), (1, "b"), (1, "c"), (2, "d")], "k long, v string")
+    staged = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (3, "n")], "k long, v string")
+    try:
+        sides = [layout.write_bucketed(df, f"{name}_{i}", ["k"], 4) for i, df in enumerate((target, staged))]
+        got = sorted((tuple(r) for r in load.upsert_bucketed(*sides, ["k"]).collect()), key=str)
+    finally:
+        for i in (0, 1):
+            spark.sql(f"DROP TABLE IF EXISTS {name}_{i}")
+    assert got == sorted([(None, "a"), (None, "z"), (1, "x"), (1, "y"), (2, "d"), (3, "n")], key=str)
+
+
+def test_a_bitmap_keeps_survivors_out_of_the_shuffle(spark, sf_dir, no_broadcast):
+    plan = plan_text(entry.queries()["delete_using_bitmap"](spark, sf_dir))
+    first, second = plan.split("\n(1)")[0].split("+- SortMergeJoin LeftAnti")
+    survivors = first.split("+- BroadcastExchange")[0]
+    # Above the target's scan there is no exchange where rows survive; the bitmap's own rows are the only ones in the other.
+    assert "Union" in survivors and "Scan parquet" in survivors and "Exchange" not in survivors
+    assert first.count("- Exchange") == 1
+    assert "BroadcastHashJoin LeftOuter" in second.split("+- Exchange")[1]
+
+
+@pytest.mark.parametrize("bitmaps", [1, 64])
+def test_a_crowded_bitmap_loses_nothing(spark, bitmaps):
+    """Far more keys than bits: most rows are doubtful, and the same ones stay."""
+    rows = [(i, f"k{i % 7}") for i in range(60_000)] + [(None, "x"), (5, None)]
+    target = spark.createDataFrame(rows, "a long, b string")
+    staged = target.where("a % 3 = 0").select("a", "b").unionAll(spark.createDataFrame([(None, "x")], "a long, b string"))
+    got = load.delete_matching_bitmap(target, staged, ["a", "b"], bitmaps)
+    wanted = load.delete_matching(target, staged, ["a", "b"])
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+    bitmap = load.key_bitmap(staged, ["a", "b"], bitmaps)
+    assert bitmap.count() <= bitmaps and bitmap.selectExpr("max(octet_length(_bits))").first()[0] == 4096
+
+
+def test_a_bitmap_of_no_keys_deletes_nothing(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b")], "a long, b string")
+    assert load.delete_matching_bitmap(target, target.limit(0), ["a"]).count() == 2
+
+
+def test_net_changes_count_equal_rows(spark):
+    schema = "day int, v string, w string"
+    old = spark.createDataFrame([(1, "a", None)] * 3 + [(1, None, "a")] + [(2, "b", "b")] * 2 + [(None, "n", None)], schema)
+    new = spark.createDataFrame([(1, "a", None)] * 5 + [(2, "b", "b")] + [(3, "c", "c")] + [(None, "n", None)], schema)
+    got = {r["day"]: (r["deleted"], r["inserted"], r["unchanged"]) for r in load.net_changes(old, new, ["day"]).collect()}
+    assert got == {1: (1, 2, 3), 2: (1, 0, 1), 3: (0, 1, 0), None: (0, 0, 1)}
+
+
+def test_net_changes_move_hashes_only(spark, sf_dir, no_broadcast):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = plan_text(load.net_changes(lines, lines.where("l_quantity > 3"), ["l_shipdate"]))
+    assert "partial_sum" in plan
+    inputs = [part for part in plan.split("\n\n") if "Exchange\nInput" in part]
+    assert inputs and all("l_comment" not in x and "l_extendedprice" not in x for x in inputs)

@@ -32,3 +32,14 @@ def layout_clause(distribution_key: str | None, sort_keys: Sequence[str] = ()) -
     if sort_keys:
         parts.append(f"{'compound ' if len(sort_keys) > 1 else ''}sortkey({','.join(sort_keys)})")
     return "\n".join(parts)
+
+
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Write a table of the catalogue whose files are split by a hash of the key and sorted by it, and read it back.
+
+    Two tables with the same buckets meet by key without a shuffle. A bucket is one task of the write, so it has one file.
+    """
+    columns = [F.col(f"`{k}`") for k in keys]
+    by_key = df.repartition(buckets, *columns)
+    by_key.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)

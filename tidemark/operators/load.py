@@ -113,6 +113,53 @@ def upsert(
     return insert_all(kept, staging)
 
 
+def upsert_bucketed(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An upsert of two tables that are bucketed alike by the key, see :func:`tidemark.operators.layout.write_bucketed`.
+
+    Buckets meet where they lie: neither side is shuffled or broadcast, however large.
+    """
+    # The key alone, unlike in ``staged_keys``: so the distinct keys stay in their buckets.
+    matches = staging.select(*keys).dropna(how="any").distinct()
+    kept = target.join(matches.hint("merge"), list(keys), "left_anti").select(*target.columns)
+    return insert_all(kept, staging)
+
+
+#: Bitmaps of a key filter; each has 32,768 bits in 4 KB.
+BITMAPS = 2048
+_PLACE, _BITMAP, _BITS = "_place", "_bitmap", "_bits"
+
+
+def key_bitmap(staging: DataFrame, keys: Sequence[str], bitmaps: int = BITMAPS) -> DataFrame:
+    """Which hashes complete keys have, as at most ``bitmaps`` rows of 4 KB each, however many keys there are."""
+    place = _place(keys, bitmaps)
+    complete = staging.select(*keys).dropna(how="any")
+    return complete.groupBy(F.bitmap_bucket_number(place).alias(_BITMAP)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(_BITS)
+    )
+
+
+def _place(keys: Sequence[str], bitmaps: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(bitmaps * 32768)) + 1
+
+
+def delete_matching_bitmap(target: DataFrame, staging: DataFrame, keys: Sequence[str], bitmaps: int = BITMAPS) -> DataFrame:
+    """Target rows whose key is not staged, for more staged keys than can be sent to every executor.
+
+    A bitmap of the staged keys' hashes is broadcast; its size is fixed. Rows whose bit is unset stay without meeting the keys.
+    Only the others are shuffled and compared with them, so hashes that are equal by chance lose nothing. The target is read
+    twice.
+    """
+    marked = target.withColumn(_PLACE, F.bitmap_bit_position(_place(keys, bitmaps)))
+    marked = marked.withColumn(_BITMAP, F.bitmap_bucket_number(_place(keys, bitmaps)))
+    marked = marked.join(F.broadcast(key_bitmap(staging, keys, bitmaps)), _BITMAP, "left")
+    # One byte of the bitmap, as a character's code.
+    byte = F.ascii(F.decode(F.substring(F.col(_BITS), (F.col(_PLACE) / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    found = F.coalesce(F.bit_get(byte, (F.col(_PLACE) % 8).cast("int")) == 1, F.lit(False))
+    doubtful = marked.where(found).select(*target.columns)
+    survivors = marked.where(~found).select(*target.columns)
+    return survivors.unionAll(delete_matching(doubtful, staging, keys))
+
+
 def full_refresh(target: DataFrame, staging: DataFrame, staging_is_empty: bool, allow_empty: bool = False) -> DataFrame:
     """The staged rows replace the target; an empty extract leaves it as it is unless that is allowed."""
     if staging_is_empty and not allow_empty:
@@ -160,3 +207,30 @@ def load_counts(target: DataFrame, staging: DataFrame, keys: Sequence[str], salt
     deleted = matching(target, staged_keys(staging, keys), keys, salt).agg(F.count(F.lit(1)).alias("rows_deleted"))
     inserted = staging.agg(F.count(F.lit(1)).alias("rows_inserted"))
     return deleted.select("rows_deleted", inserted.scalar().alias("rows_inserted"))
+
+
+def row_hash(columns: Sequence[str], lane: int = 0) -> Column:
+    """A hash of a row's values in which a NULL counts by its place."""
+    values = [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.xxhash64(F.lit(lane), *values)
+
+
+def net_changes(old: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What became of a table without a key: for each value of ``by`` the rows deleted, inserted and unchanged.
+
+    Equal rows are told apart by their number alone: three of them that become five are two inserted. Each row counts with its
+    side's sign under 128 bits of hash; counts are combined before the one shuffle, so rows themselves are not moved.
+    """
+    kept = [F.col(f"`{c}`") for c in by]
+    hashes = [row_hash(old.columns, lane).alias(f"_row{lane}") for lane in (0, 1)]
+    was, now = (F.lit(1).cast("long"), F.lit(0).cast("long")), (F.lit(0).cast("long"), F.lit(1).cast("long"))
+    sides = [
+        side.select(*kept, *hashes, signs[0].alias("was"), signs[1].alias("now"))
+        for side, signs in ((old, was), (new.select(*old.columns), now))
+    ]
+    net = sides[0].unionAll(sides[1]).groupBy(*kept, "_row0", "_row1").agg(F.sum("was").alias("was"), F.sum("now").alias("now"))
+    return net.groupBy(*kept).agg(
+        F.sum(F.greatest(F.col("was") - F.col("now"), F.lit(0))).alias("deleted"),
+        F.sum(F.greatest(F.col("now") - F.col("was"), F.lit(0))).alias("inserted"),
+        F.sum(F.least("was", "now")).alias("unchanged"),
+    )

@@ -77,6 +77,16 @@ def orders_stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns(changed)
 
 
+def orders_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source behind the loaded orders: in every 20th block of 64 keys it has lost a third and changed a third of them, and
+    has orders that were not loaded."""
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    block = F.floor(key / 64) % 20 == 3
+    rows = orders.where((F.col("o_orderdate") <= ntz("1998-06-30")) | block).where(~(block & (key % 3 == 0)))
+    price = F.when(block & (key % 3 == 1), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return rows.withColumn("o_totalprice", price)
+
+
 def lineitem_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") <= ntz("1998-06-30"))
 

@@ -19,6 +19,11 @@ FRAMES = {
     "orders_stg": """
         SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
         FROM orders WHERE o_orderdate > TIMESTAMP '1998-03-31' AND o_orderdate <= TIMESTAMP '1998-12-31'""",
+    "orders_drifted": """
+        SELECT * REPLACE (o_totalprice + CASE WHEN o_orderkey // 64 % 20 = 3 AND o_orderkey % 3 = 1 THEN 1 ELSE 0 END AS o_totalprice)
+        FROM orders
+        WHERE (o_orderdate <= TIMESTAMP '1998-06-30' OR o_orderkey // 64 % 20 = 3)
+          AND NOT (o_orderkey // 64 % 20 = 3 AND o_orderkey % 3 = 0)""",
     "lineitem_tgt": "SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-06-30'",
     "lineitem_stg": """
         SELECT * FROM lineitem
@@ -305,6 +310,27 @@ ORACLE: dict[str, str] = {
              SELECT 1 FROM lineitem_stg s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)""",
     ),
     "upsert_orders": _with("orders_tgt orders_stg", _upsert("orders_tgt", "orders_stg", "o_orderkey")),
+    "upsert_bucketed": _with("orders_tgt orders_stg", _upsert("orders_tgt", "orders_stg", "o_orderkey")),
+    "delete_using_bitmap": _with(
+        "lineitem_tgt lineitem_stg",
+        """SELECT t.* FROM lineitem_tgt t WHERE NOT EXISTS (
+             SELECT 1 FROM lineitem_stg s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)""",
+    ),
+    "source_drift": _with(
+        "orders_tgt orders_drifted",
+        """SELECT o_orderkey, CASE WHEN s.o_custkey IS NULL THEN 'deleted' WHEN t.o_custkey IS NULL THEN 'added' ELSE 'changed' END AS change
+           FROM orders_tgt t FULL JOIN orders_drifted s USING (o_orderkey)
+           WHERE t.o_custkey IS NULL OR s.o_custkey IS NULL OR t.o_totalprice <> s.o_totalprice""",
+    ),
+    "net_changes": _with(
+        "lineitem_tgt lineitem_stg",
+        ", new AS (" + _upsert("lineitem_tgt", "lineitem_stg", "l_orderkey", "l_linenumber") + """),
+           gone AS (SELECT l_shipdate, count(*) AS n FROM (SELECT * FROM lineitem_tgt EXCEPT ALL SELECT * FROM new) GROUP BY 1),
+           come AS (SELECT l_shipdate, count(*) AS n FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM lineitem_tgt) GROUP BY 1),
+           same AS (SELECT l_shipdate, count(*) AS n FROM (SELECT * FROM new INTERSECT ALL SELECT * FROM lineitem_tgt) GROUP BY 1)
+           SELECT l_shipdate, coalesce(gone.n, 0) AS deleted, coalesce(come.n, 0) AS inserted, coalesce(same.n, 0) AS unchanged
+           FROM gone FULL JOIN come USING (l_shipdate) FULL JOIN same USING (l_shipdate)""",
+    ),
     "upsert_composite_dupes": _with(
         "lineitem_tgt lineitem_stg", _upsert("lineitem_tgt", "lineitem_stg", "l_orderkey", "l_linenumber")
     ),

@@ -27,7 +27,7 @@ from tidemark.functions import (
     zero_date_default,
 )
 from tidemark.functions.types import mysql_type_column, override_types, postgres_type_column, staging_schema
-from tidemark.operators import acl, bounds, extract, layout, load, metrics, reconcile, rules
+from tidemark.operators import acl, bounds, drift, extract, layout, load, metrics, reconcile, rules
 from tidemark.plans import derived as d
 from tidemark.plans.tables import TargetStore
 from tidemark.plans.state import StateLog, append_state, read_monitor, state_rows
@@ -293,6 +293,44 @@ def orphan_keys(spark: SparkSession, sf: str) -> DataFrame:
     return load.orphan_keys(d.orders_tgt(spark, sf), source, ["o_orderkey"])
 
 
+def _database(spark: SparkSession, label: str) -> str:
+    """A database of its own for a query's tables."""
+    folder = scratch_dir(spark, label)
+    name = f"tidemark_{label}_{folder[-12:]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{folder}'")
+    return name
+
+
+@query
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and staged rows as tables that are bucketed alike: neither is shuffled to meet the other."""
+    database, keys = _database(spark, "bucketed"), ["o_orderkey"]
+    target = layout.write_bucketed(d.orders_tgt(spark, sf), f"`{database}`.target", keys, 16)
+    staged = layout.write_bucketed(d.orders_stg(spark, sf), f"`{database}`.staged", keys, 16)
+    return load.upsert_bucketed(target, staged, keys)
+
+
+@query
+def delete_using_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """The target's rows meet the staged keys only where a bitmap of these says so."""
+    keys = ["l_orderkey", "l_linenumber"]
+    return load.delete_matching_bitmap(d.lineitem_tgt(spark, sf), d.lineitem_stg(spark, sf), keys)
+
+
+@query
+def source_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """In some ranges of the key the source has lost, changed and gained orders since they were loaded."""
+    return drift.source_drift(d.orders_tgt(spark, sf), d.orders_drifted(spark, sf), "o_orderkey")
+
+
+@query
+def net_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows deleted, inserted and unchanged by shipping day when the staged lines replace those of their orders' lines."""
+    old = d.lineitem_tgt(spark, sf)
+    new = load.upsert(old, d.lineitem_stg(spark, sf), ["l_orderkey", "l_linenumber"])
+    return load.net_changes(old, new, ["l_shipdate"])
+
+
 @query
 def load_counts(spark: SparkSession, sf: str) -> DataFrame:
     return load.load_counts(d.lineitem_tgt(spark, sf), d.lineitem_stg(spark, sf), ["l_orderkey", "l_linenumber"])
