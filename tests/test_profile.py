@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from shown import plan_text
+from tidemark.functions import shape
+from tidemark.operators import bounds, profile
+from tidemark.sources import jdbc
+from tidemark.streaming.once import append_once
+
+START = datetime(2024, 1, 1)
+
+
+def test_coverage_tells_gaps_overlaps_and_steps_back(spark):
+    rows = [("a", 1, None, 10), ("a", 2, 10, 20), ("a", 3, 15, 30), ("a", 4, 20, 25), ("a", 5, 25, 40), ("a", 6, 45, 50), ("a", 7, 50, 60),
+            ("b", 1, 5, 9), ("b", 2, 9, 9), ("b", 3, None, 12)]
+    frame = spark.createDataFrame(rows, "t string, run int, lo int, hi int")
+    got = bounds.window_coverage(frame, ["t"], "run", "lo", "hi").orderBy("t", "run").collect()
+    steps = ["first", "adjoins", "overlap", "back", "overlap", "gap", "adjoins", "first", "adjoins", "overlap"]
+    assert [r["step"] for r in got] == steps
+    assert [r["reached"] for r in got] == [None, 10, 20, 30, 30, 40, 50, None, 9, 9]
+    assert [r["island"] for r in got] == [1, 1, 1, 1, 1, 2, 2, 1, 1, 1]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranges_of_a_skewed_index_are_even(spark, seed):
+    rng = random.Random(seed)
+    values = [int(10 ** (rng.random() * 9)) for _ in range(20_000)] + [None] * 50
+    frame = spark.createDataFrame([(v,) for v in values], "i long")
+    ends = bounds.balanced_bounds(frame, "i", 12)
+    sizes = {r["part"]: r["n"] for r in frame.groupBy(bounds.balanced_range("i", ends).alias("part")).agg(F.count("*").alias("n")).collect()}
+    assert sizes.pop(None) == 50 and len(sizes) == 12 and max(sizes.values()) <= 1.1 * sorted(sizes.values())[6]
+    conditions = jdbc.range_predicates("postgresql", "i", ends)
+    found = [frame.where(c.replace('"', "`")).count() for c in conditions]
+    assert sum(found) == len(values) and found[1:] == [sizes[k] for k in sorted(sizes)][1:] and found[0] == sizes[0] + 50
+
+
+def test_ranges_of_timestamps_of_one_value_and_of_nothing(spark):
+    stamps = spark.createDataFrame([(START + timedelta(minutes=i),) for i in range(1000)], "t timestamp_ntz")
+    ends = bounds.balanced_bounds(stamps, "t", 4)
+    assert [round((e - START) / timedelta(minutes=250), 1) for e in ends] == [1.0, 2.0, 3.0]
+    assert "2024-01-01 0" in jdbc.range_predicates("mysql", "t", ends)[0] and "`t` IS NULL OR" in jdbc.range_predicates("mysql", "t", ends)[0]
+    same = spark.createDataFrame([(7,)] * 100, "i int")
+    ends = bounds.balanced_bounds(same, "i", 8)
+    assert ends == [7] and same.groupBy(bounds.balanced_range("i", ends)).count().collect()[0][1] == 100
+    assert bounds.balanced_bounds(same.limit(0), "i", 8) == [] == bounds.balanced_bounds(same, "i", 1)
+    assert jdbc.range_predicates("mysql", "i", []) == ["1 = 1"]
+
+
+def test_ranges_come_from_one_pass_without_a_shuffle_of_rows(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = plan_text(lines.agg(F.kll_sketch_agg_bigint("l_orderkey", F.lit(bounds.SKETCH_K))))
+    assert "ObjectHashAggregate" in plan and "partial_kll_sketch_agg_bigint" in plan
+
+
+def test_the_newest_whole_number_is_read_from_footers(spark, sf_dir):
+    path = f"{sf_dir}/orders.parquet"
+    number, stamp = (bounds.footer_high_water_mark(spark, path, c) for c in ("o_orderkey", "o_orderdate"))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (number, stamp)]
+    assert "PushedAggregation: [MAX(o_orderkey)]" in plans[0] and "PushedAggregation: []" in plans[1]
+    rows = spark.read.parquet(path)
+    for found, column in ((number, "o_orderkey"), (stamp, "o_orderdate")):
+        assert found.collect() == bounds.high_water_mark(rows, column).collect()
+
+
+def test_profiles_of_windows_merge(spark):
+    rows = [(i % 10, i % 700 if i % 13 else None, f"t{i % 3}") for i in range(9000)]
+    frame = spark.createDataFrame(rows, "day int, n int, t string")
+    kept = profile.window_profiles(frame, F.col("day"), ["n", "t"])
+    assert kept.count() == 20
+    merged = {r["column_name"]: r for r in profile.merged_profile(kept).collect()}
+    assert (merged["n"]["row_count"], merged["n"]["null_count"]) == (9000, sum(r[1] is None for r in rows))
+    assert abs(merged["n"]["distinct_values"] - 700) <= 21 and merged["t"]["distinct_values"] == 3
+    some = profile.merged_profile(kept.where("window < 2")).where("column_name = 'n'").first()
+    wanted = len({r[1] for r in rows if r[0] < 2} - {None})
+    assert abs(some["distinct_values"] - wanted) <= 0.03 * wanted
+    assert profile.merged_profile(kept.limit(0)).count() == 0
+
+
+def test_shapes_of_json_that_drifts(spark):
+    texts = ['{"a": 1}', '{"a": 2.5, "b": ["x"]}', "{broken", None, "", "[1]", '"text"']
+    frame = spark.createDataFrame([(i // 5, t) for i, t in enumerate(texts)], "g int, j string")
+    got = {r["g"]: r for r in shape.shapes(frame, "g", "j").collect()}
+    assert (got[0]["row_count"], got[0]["malformed"]) == (5, 2) and got[0]["shape"] == "OBJECT<a: DECIMAL(21,1), b: ARRAY<STRING>>"
+    assert got[1]["malformed"] == 0
+    members = frame.select(shape.member(F.col("j"), "$.a", "double").alias("a"), shape.member(F.col("j"), "$.b[0]", "string").alias("b"))
+    assert [tuple(r) for r in members.collect()] == [(1.0, None), (2.5, "x")] + [(None, None)] * 5
+
+
+def test_a_stream_of_overlapping_extracts_loads_each_row_once(spark, tmp_path):
+    schema = "id long, ts timestamp_ntz, v string"
+
+    def arrive(number, first, last):
+        rows = [(i, START + timedelta(hours=i), f"v{i}") for i in range(first, last)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(number)))
+
+    def run():
+        append_once(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, ["id"], "ts", "30 hours",
+                    str(tmp_path / "out"), str(tmp_path / "state"))
+        return sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    arrive(0, 0, 100)
+    arrive(1, 80, 150)
+    assert run() == list(range(150))
+    assert run() == list(range(150))
+    arrive(2, 125, 200)
+    assert run() == list(range(200))
+
+
+def test_state_of_a_stream_holds_an_overlap_not_the_table(spark, tmp_path):
+    schema = "id long, ts timestamp_ntz"
+    for number in range(6):
+        rows = [(i, START + timedelta(hours=i)) for i in range(number * 100, number * 100 + 110)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(number)))
+        append_once(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, ["id"], "ts", "20 hours",
+                    str(tmp_path / "out"), str(tmp_path / "state"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 610
+    kept = spark.read.format("statestore").load(str(tmp_path / "state")).count()
+    assert kept < 250

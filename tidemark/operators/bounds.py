@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,3 +187,80 @@ def window_plan(state: DataFrame, marks: DataFrame, runs_back: int = 0) -> DataF
         F.coalesce(lookback, F.col("old_index_value")).alias("lower_value"),
         "new_index_value",
     )
+
+
+def window_coverage(windows: DataFrame, keys: Sequence[str], order: str, lower: str, upper: str) -> DataFrame:
+    """Whether the logged windows of each key follow each other: the windows with reached, step and island.
+
+    ``reached`` is the greatest upper bound of the windows before, in the order of ``order`` (a key's run times, no two alike).
+    ``step`` is ``first`` for a key's first window, ``back`` if a window ends below what was reached, ``overlap`` if it begins
+    there, ``gap`` if it begins above it, so that rows between were never loaded, and else ``adjoins``. ``island`` numbers, from
+    1, the runs of windows without a gap. A window without a lower bound covers all below its upper one.
+    """
+    before = Window.partitionBy(*keys).orderBy(order)
+    reached = F.max(upper).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    step = (
+        F.when(F.row_number().over(before) == 1, "first")
+        .when(F.col(upper) < F.col("reached"), "back")
+        .when(F.col(lower) > F.col("reached"), "gap")
+        .when(F.coalesce(F.col(lower) < F.col("reached"), F.lit(True)), "overlap")
+        .otherwise("adjoins")
+    )
+    found = windows.withColumn("reached", reached).withColumn("step", step)
+    gaps = F.sum((F.col("step") == "gap").cast("long")).over(before)
+    return found.withColumn("island", gaps + 1)
+
+
+def _as_number(index: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.unix_micros(F.to_timestamp_ltz(index))
+    return F.unix_micros(index) if isinstance(data_type, T.TimestampType) else index.cast("long")
+
+
+#: The size of the sketch of an index column: ranks are right to about 0.2 %, whatever the number of rows.
+SKETCH_K = 2000
+
+
+def balanced_bounds(df: DataFrame, index_column: str, parts: int) -> list[Any]:
+    """The greatest values of ``parts`` ranges of an index column that hold about as many rows each; the last range has no end.
+
+    One pass gives a quantile sketch of fixed size; it is combined per task, and a few numbers come back. A value that very
+    many rows share cannot be cut, so there may be fewer ranges. Rows without an index value are not looked at.
+    """
+    data_type = df.schema[index_column].dataType
+    sketch = F.kll_sketch_agg_bigint(_as_number(F.col(f"`{index_column}`"), data_type), F.lit(SKETCH_K))
+    ranks = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    if parts < 2:
+        return []
+    known = F.when(F.kll_sketch_get_n_bigint("s") > 0, F.kll_sketch_get_quantile_bigint("s", ranks))
+    ends = df.agg(sketch.alias("s")).select(F.explode(known).alias("n")).distinct()
+    if isinstance(data_type, T.TimestampNTZType):
+        ends = ends.select(F.timestamp_micros("n").cast("timestamp_ntz").alias("n"))
+    elif isinstance(data_type, T.TimestampType):
+        ends = ends.select(F.timestamp_micros("n").alias("n"))
+    return sorted(r["n"] for r in ends.where("n IS NOT NULL").collect())
+
+
+def balanced_range(index_column: str, ends: Sequence[Any]) -> Column:
+    """The number, from 0, of the range of :func:`balanced_bounds` that a row is in; NULL without an index value."""
+    found = F.when(F.col(f"`{index_column}`").isNull(), None)
+    for number, end in enumerate(ends):
+        found = found.when(F.col(f"`{index_column}`") <= F.lit(end), number)
+    return found.otherwise(len(ends))
+
+
+def footer_high_water_mark(spark: SparkSession, path: str, index_column: str) -> DataFrame:
+    """The greatest index value of a folder of Parquet files, as :func:`high_water_mark` gives it, from the files' footers.
+
+    The V2 reader answers a maximum of whole numbers from statistics and reads no data; for types whose statistics do not tell
+    (timestamps among them) it falls back to the column.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    # Which reader a frame has is decided when it is made.
+    first = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in first.split(",") if x != "parquet"))
+    try:
+        rows = spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", first)
+    return high_water_mark(rows, index_column)

@@ -5,7 +5,7 @@ Each has a counterpart of the same name among the oracle's common table expressi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import index_text
@@ -258,3 +258,32 @@ def document_uuids(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("urn:uuid:"), dashed))
     )
     return table(spark, sf_dir, "documents").select("doc_id", spelling.alias("u"))
+
+
+def logged_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the state log, a run a day: clicks are read from the day's beginning, errors from two runs before, and one in
+    seven of the sign-ups' runs ends half a week early; all others go on where the last run ended."""
+    order = Window.partitionBy("table_name").orderBy("created_ts")
+    kind, upper = F.col("table_name"), F.col("index_value").cast("timestamp_ntz")
+    early = (kind == "signup") & (F.dayofweek("created_ts") == 1)
+    ends = idx_log(spark, sf_dir).withColumn("upper_ts", F.when(early, upper - F.expr("INTERVAL 84 HOURS")).otherwise(upper))
+    lower = (
+        F.when(kind == "click", F.col("created_ts"))
+        .when(kind == "error", F.lag("upper_ts", 2).over(order))
+        .otherwise(F.lag("upper_ts", 1).over(order))
+    )
+    return ends.select("table_name", "created_ts", lower.alias("lower_ts"), "upper_ts")
+
+
+def events_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties whose shape has drifted: purchases have a label and a list, views a decimal number, and some errors were
+    cut short."""
+    kind, props = F.col("event_type"), F.col("props")
+    number = F.regexp_extract(props, r"(\d+)", 1)
+    text = (
+        F.when(kind == "purchase", F.concat(F.lit('{"k": '), number, F.lit(', "label": "n'), number, F.lit('", "tags": ["a", "b"]}')))
+        .when(kind == "view", F.concat(F.lit('{"k": '), number, F.lit(".5}")))
+        .when((kind == "error") & (F.col("event_id") % 5 == 0), F.substring(props, 1, 5))
+        .when(kind != "signup", props)
+    )
+    return table(spark, sf_dir, "events").select("event_id", "event_type", text.alias("props"))

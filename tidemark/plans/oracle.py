@@ -368,6 +368,52 @@ ORACLE: dict[str, str] = {
                      SELECT 1 FROM lineitem_stg s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)
                   ) AS rows_deleted, (SELECT count(*) FROM lineitem_stg) AS rows_inserted""",
     ),
+    "window_coverage": _with(
+        "idx_log",
+        """, ends AS (
+             SELECT table_name, created_ts, CAST(index_value AS TIMESTAMP) - CASE
+                    WHEN table_name = 'signup' AND dayofweek(created_ts) = 0 THEN INTERVAL 84 HOUR ELSE INTERVAL 0 HOUR END AS upper_ts
+             FROM idx_log),
+           logged AS (
+             SELECT *, CASE table_name WHEN 'click' THEN created_ts WHEN 'error' THEN lag(upper_ts, 2) OVER w
+                       ELSE lag(upper_ts, 1) OVER w END AS lower_ts
+             FROM ends WINDOW w AS (PARTITION BY table_name ORDER BY created_ts)),
+           before AS (
+             SELECT *, row_number() OVER w AS n,
+                    max(upper_ts) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+             FROM logged WINDOW w AS (PARTITION BY table_name ORDER BY created_ts)),
+           steps AS (
+             SELECT table_name, created_ts, lower_ts, upper_ts, reached,
+                    CASE WHEN n = 1 THEN 'first' WHEN upper_ts < reached THEN 'back' WHEN lower_ts > reached THEN 'gap'
+                         WHEN lower_ts = reached THEN 'adjoins' ELSE 'overlap' END AS step
+             FROM before)
+           SELECT *, CAST(1 + count(*) FILTER (WHERE step = 'gap') OVER (PARTITION BY table_name ORDER BY created_ts) AS BIGINT) AS island
+           FROM steps""",
+    ),
+    "balanced_ranges": """
+        SELECT 'lineitem' AS table_name, CAST(16 AS BIGINT) AS ranges, count(*) AS rows, true AS even FROM lineitem UNION ALL
+        SELECT 'events', 16, count(*), true FROM events""",
+    "profile_merged": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, true AS as_the_whole, "
+        "true AS near_exact FROM events"
+        for c in ("event_id", "user_id", "event_type", "value", "props")
+    ),
+    "footer_high_water_mark": f"""
+        SELECT 'orders' AS table_name, CAST(max(o_orderkey) AS VARCHAR) AS index_value FROM orders UNION ALL
+        SELECT 'lineitem', CAST(max(l_orderkey) AS VARCHAR) FROM lineitem UNION ALL
+        SELECT 'events', strftime(max(ts), {STAMP}) FROM events""",
+    "props_shape": """
+        SELECT event_type, count(*) AS row_count, count(*) FILTER (WHERE event_type = 'error' AND event_id % 5 = 0) AS malformed,
+               CASE event_type WHEN 'purchase' THEN 'OBJECT<k: BIGINT, label: STRING, tags: ARRAY<STRING>>'
+                    WHEN 'view' THEN 'OBJECT<k: DECIMAL(3,1)>' WHEN 'signup' THEN 'VOID' ELSE 'OBJECT<k: BIGINT>' END AS shape
+        FROM events GROUP BY event_type""",
+    "props_members": """
+        SELECT event_id, CASE WHEN event_type = 'signup' OR event_type = 'error' AND event_id % 5 = 0 THEN NULL
+                    ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) + CASE event_type WHEN 'view' THEN 0.5 ELSE 0 END END AS k,
+               CASE event_type WHEN 'purchase' THEN 'n' || json_extract_string(props, '$.k') END AS label,
+               CASE event_type WHEN 'purchase' THEN 'b' END AS second_tag
+        FROM events""",
+    "stream_lookback_once": "SELECT * FROM events",
     "conform_to_target": _with("orders_stg", "SELECT * FROM orders_stg"),
     "schema_diff": _with(
         "col_src col_tgt",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +26,9 @@ from tidemark.functions import (
     uuid_text,
     zero_date_default,
 )
+from tidemark.functions import shape
 from tidemark.functions.types import mysql_type_column, override_types, postgres_type_column, staging_schema
-from tidemark.operators import acl, bounds, drift, extract, layout, load, metrics, reconcile, rules
+from tidemark.operators import acl, bounds, drift, extract, layout, load, metrics, profile, reconcile, rules
 from tidemark.plans import derived as d
 from tidemark.plans.tables import TargetStore
 from tidemark.plans.state import StateLog, append_state, read_monitor, state_rows
@@ -37,6 +38,7 @@ from tidemark.sources import sqltext
 from tidemark.spec import SourceSpec, SyncSpec
 from tidemark.streaming import stream_sync
 from tidemark.streaming.incremental import StreamSource
+from tidemark.streaming.once import append_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -336,6 +338,86 @@ def load_counts(spark: SparkSession, sf: str) -> DataFrame:
     return load.load_counts(d.lineitem_tgt(spark, sf), d.lineitem_stg(spark, sf), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def window_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps, overlaps and steps back of the logged windows."""
+    return bounds.window_coverage(d.logged_windows(spark, sf), ["table_name"], "created_ts", "lower_ts", "upper_ts")
+
+
+@query
+def balanced_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables cut into 16 ranges of their index by a sketch: their rows, and whether the largest range is near the median."""
+    found = []
+    for name, index in (("lineitem", "l_orderkey"), ("events", "ts")):
+        rows = d.table(spark, sf, name)
+        ends = bounds.balanced_bounds(rows, index, 16)
+        sizes = rows.groupBy(bounds.balanced_range(index, ends).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        near = F.max("n") <= 1.1 * F.median("n")
+        found.append(sizes.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("ranges"), F.sum("n").alias("rows"), near.alias("even")))
+    return reduce(DataFrame.unionAll, found)
+
+
+@query
+def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of the events by day, kept and merged: beside one of all events, and beside exact counts."""
+    events, columns = d.table(spark, sf, "events"), ["event_id", "user_id", "event_type", "value", "props"]
+    kept = written(profile.window_profiles(events, F.to_date("ts"), columns), "profiles")
+    merged = profile.merged_profile(kept)
+    whole = profile.merged_profile(profile.window_profiles(events, F.lit(1), columns))
+    exact = events.select(*[F.count_distinct(F.col(c).cast("string")).alias(c) for c in columns]).unpivot([], columns, "column_name", "exact")
+    about = F.col("distinct_values")
+    beside = merged.join(whole.select("column_name", about.alias("whole")), "column_name").join(exact, "column_name")
+    return beside.select(
+        "column_name", "row_count", "null_count", (F.abs(about - F.col("whole")) <= 0.02 * F.col("whole")).alias("as_the_whole"),
+        (F.abs(about - F.col("exact")) <= 0.03 * F.col("exact")).alias("near_exact"),
+    )
+
+
+@query
+def footer_high_water_mark(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest index values from the files' footers; that of a timestamp from its column."""
+    marks = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "ts"}
+    found = [
+        bounds.footer_high_water_mark(spark, f"{sf}/{name}.parquet", column).select(F.lit(name).alias("table_name"), "index_value")
+        for name, column in marks.items()
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+@query
+def props_shape(spark: SparkSession, sf: str) -> DataFrame:
+    return shape.shapes(d.events_props(spark, sf), "event_type", "props")
+
+
+@query
+def props_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Members of properties whose shape differs from type to type."""
+    props = F.col("props")
+    return d.events_props(spark, sf).select(
+        "event_id",
+        shape.member(props, "$.k", "double").alias("k"),
+        shape.member(props, "$.label", "string").alias("label"),
+        shape.member(props, "$.tags[1]", "string").alias("second_tag"),
+    )
+
+
+@query
+def stream_lookback_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Three extracts of the events, each with some days of the one before, arrive as files; the stream is started again before
+    the last one. Each event is loaded once."""
+    root = scratch_dir(spark, "lookback")
+    events = d.table(spark, sf, "events")
+    ends = bounds.balanced_bounds(events, "ts", 3)
+    lower = [None, *[end - timedelta(days=2) for end in ends]]
+    for number, (first, last) in enumerate(zip(lower, [*ends, None])):
+        rows = events if first is None else events.where(F.col("ts") > F.lit(first))
+        rows = rows if last is None else rows.where(F.col("ts") <= F.lit(last))
+        rows.coalesce(1).write.parquet(f"{root}/arrived/extract={number}")
+        if number:
+            append_once(spark, f"{root}/arrived", events.schema, ["event_id"], "ts", "3 days", f"{root}/loaded", f"{root}/checkpoint")
+    return spark.read.schema(events.schema).parquet(f"{root}/loaded")
+
+
 # Schemas and types
 
 

@@ -151,6 +151,24 @@ def range_options(column: str, lower: Any, upper: Any, partitions: int) -> dict[
     }
 
 
+def range_predicates(kind: str, column: str, ends: Sequence[Any]) -> list[str]:
+    """Conditions that cut a table into the ranges of :func:`tidemark.operators.bounds.balanced_bounds`, one per read; rows
+    without an index value go with the first. Each row meets exactly one."""
+    name = quoted(kind, column)
+    literals = [str(e) if isinstance(e, int) else text_literal(str(e)) for e in ends]
+    if not ends:
+        return ["1 = 1"]
+    first = [f"{name} IS NULL OR {name} <= {literals[0]}"]
+    inner = [f"{name} > {a} AND {name} <= {b}" for a, b in zip(literals, literals[1:])]
+    return [*first, *inner, f"{name} > {literals[-1]}"]
+
+
+def read_in_ranges(spark: SparkSession, options: Mapping[str, str], predicates: Sequence[str]) -> DataFrame:
+    """A parallel read of ``dbtable``, one task for each condition."""
+    rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=list(predicates), properties=rest)
+
+
 def query_options(source: SourceSpec, sql: str) -> dict[str, str]:
     return {**connection_options(source), "query": sql}
 
