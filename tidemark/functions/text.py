@@ -113,7 +113,7 @@ def decimal_text(c: Column, scale: int) -> Column:
     plain = c.cast("string")
     if scale <= 6:
         return plain
-    digits = F.regexp_replace(plain, r"^-?0\.0*", "")
+    digits = F.ltrim(F.translate(plain, "-.", ""), F.lit("0"))
     # Zero has no significant digit: its exponent is the scale itself.
     exponent = F.when(c == 0, F.lit(scale)).otherwise(F.lit(scale + 1) - F.length(digits))
     mantissa = (

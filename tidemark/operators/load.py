@@ -176,11 +176,6 @@ def append(target: DataFrame, staging: DataFrame) -> DataFrame:
     return insert_all(target, staging)
 
 
-def rebuild(staging: DataFrame) -> DataFrame:
-    """The staged rows under the source's own schema."""
-    return staging
-
-
 def merge_sources(target: DataFrame, staged: dict[str, DataFrame], keys: Sequence[str], alias_column: str) -> DataFrame:
     """Several sources feed one target. Each row names its source, and the name is part of the key.
 

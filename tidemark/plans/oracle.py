@@ -574,6 +574,22 @@ ORACLE: dict[str, str] = {
         "orders_tgt orders_stg orders_moved",
         "SELECT CAST(1 AS INTEGER) AS folders_deleted, count(*) AS row_count FROM orders_moved",
     ),
+    "published_comments": _with(
+        "orders_tgt",
+        " UNION ALL ".join(
+            f"SELECT 'all orders' AS table_comment, '{c}' AS column_name, 'the {c[2:]}' AS comment, count({c}) AS value_count "
+            "FROM orders_tgt"
+            for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        ),
+    ),
+    "published_schema_file": _with(
+        "orders_tgt orders_stg orders_moved",
+        """, win AS (SELECT * FROM orders_moved WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders_tgt)),
+           live AS ("""
+        + _upsert("orders_tgt", "win", "o_orderkey")
+        + """) SELECT CAST(o_orderkey AS DECIMAL(12,0)) AS o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+               CAST(o_totalprice AS DECIMAL(12,1)) AS o_totalprice, o_orderstatus FROM live""",
+    ),
     "published_rebuild_result": _with(
         "orders_tgt orders_stg orders_moved",
         f"""SELECT 'source_rebuilt' AS source_table, 'loaded' AS status, 'rebuild' AS mode, 'rebuild' AS target_status,

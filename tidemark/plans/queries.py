@@ -30,7 +30,7 @@ from tidemark.functions import shape
 from tidemark.functions.types import mysql_type_column, override_types, postgres_type_column, staging_schema
 from tidemark.operators import acl, bounds, drift, extract, layout, load, metrics, profile, reconcile, rules
 from tidemark.plans import derived as d
-from tidemark.plans.tables import TargetStore
+from tidemark.plans.tables import Target, TargetStore
 from tidemark.plans.state import StateLog, append_state, read_monitor, state_rows
 from tidemark.plans.sync import land, plan_sync, results_frame, sync_all, sync_table
 from tidemark.session import scratch_dir, written
@@ -278,8 +278,14 @@ def append_only_load(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rebuild_new_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """A table under the source's new columns takes the place of the stored one."""
+    store = TargetStore(spark, scratch_dir(spark, "new_schema"))
     added = d.table(spark, sf, "orders").withColumn("o_channel", F.concat(F.lit("ch-"), F.col("o_orderstatus")))
-    return load.rebuild(extract.project(added, ["o_custkey"]))
+    for rows in (d.orders_tgt(spark, sf), extract.project(added, ["o_custkey"])):
+        run_id = store.new_run_id("orders")
+        store.fill("orders", rows, Target(rows.schema, ("o_orderkey",), 4))
+        store.swap("orders", run_id)
+    return store.read("orders")
 
 
 @query
@@ -803,6 +809,34 @@ def published_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(spec.target)
 
 
+@query
+def published_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """A new target keeps the comments of the source's table and columns; how many values each column of it has."""
+    database, store = _database(spark, "commented"), TargetStore(spark, scratch_dir(spark, "comments"))
+    name = f"`{database}`.orders"
+    orders = d.orders_tgt(spark, sf)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()} COMMENT 'the {f.name[2:]}'" for f in orders.schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet COMMENT 'all orders'")
+    orders.write.insertInto(name)
+    source = SourceSpec(alias="shop", database=database, kind="table", options={"qualified": "true"})
+    spec = SyncSpec(source, "orders", "orders", index_column="o_orderdate", primary_key="o_orderkey", buckets=4)
+    sync_table(spark, spec, store)
+    target, rows = store.latest(spec.target), store.read(spec.target)
+    counts = rows.select(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "column_name", "value_count")
+    comments = F.create_map(*[F.lit(x) for f in target.struct for x in (f.name, f.metadata.get("comment", ""))])
+    return counts.select(
+        F.lit(target.comment).alias("table_comment"), "column_name", comments[F.col("column_name")].alias("comment"), "value_count"
+    )
+
+
+@query
+def published_schema_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A target that is created from a file of column definitions, and not as its source is."""
+    columns = os.path.join(os.path.dirname(__file__), "sql", "orders_columns.sql")
+    store, spec = _two_runs(spark, sf, "columns", schema_file=columns)
+    return store.read(spec.target)
+
+
 @query
 def published_lookback(spark: SparkSession, sf: str) -> DataFrame:
     """A third run reads from the second last index value on, and so sees changes that left the index as it was."""
