@@ -71,10 +71,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audits a replica that has one byte changed in some records and lacks others, as their place's hash decides."""
+    """Audits a replica that has one byte changed in some records and lacks others, as their page's hash decides."""
     pages = table(spark, sf_dir, "pages")
     good = warc.archive(pages, scratch_dir(spark, "warc"))
-    luck = F.pmod(F.xxhash64("file", "offset"), F.lit(500))
+    luck = F.pmod(F.xxhash64("page_id"), F.lit(500))
     spoilt = F.concat(F.expr("substring(record, 1, octet_length(record) - 5)"), F.lit(b"?"), F.expr("substring(record, -4)"))
     replica = good.where(luck != 1).withColumn("record", F.when(luck == 0, spoilt).otherwise(F.col("record")))
     folder = scratch_dir(spark, "warc-replica")
