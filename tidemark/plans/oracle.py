@@ -414,6 +414,7 @@ ORACLE: dict[str, str] = {
                CASE event_type WHEN 'purchase' THEN 'b' END AS second_tag
         FROM events""",
     "stream_lookback_once": "SELECT * FROM events",
+    "stream_index_window": "SELECT * FROM events",
     "conform_to_target": _with("orders_stg", "SELECT * FROM orders_stg"),
     "schema_diff": _with(
         "col_src col_tgt",

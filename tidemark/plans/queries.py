@@ -35,6 +35,7 @@ from tidemark.plans.state import StateLog, append_state, read_monitor, state_row
 from tidemark.plans.sync import land, plan_sync, results_frame, sync_all, sync_table
 from tidemark.session import scratch_dir, written
 from tidemark.sources import sqltext
+from tidemark.sources.indexed import indexed_stream
 from tidemark.spec import SourceSpec, SyncSpec
 from tidemark.streaming import stream_sync
 from tidemark.streaming.incremental import StreamSource
@@ -424,6 +425,21 @@ def stream_lookback_once(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(f"{root}/loaded")
 
 
+@query
+def stream_index_window(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a database's table, which an in-process engine reads: a stream whose offsets are event times is started,
+    and started again after the table has grown."""
+    root = scratch_dir(spark, "indexed")
+    events = d.table(spark, sf, "events")
+    end = bounds.balanced_bounds(events, "ts", 2)[0]
+    for number, rows in enumerate((events.where(F.col("ts") <= F.lit(end)), events.where(F.col("ts") > F.lit(end)))):
+        rows.coalesce(1).write.parquet(f"{root}/table/part={number}")
+        found = indexed_stream(spark, events.schema, f"read_parquet('{root}/table/*/*.parquet')", "ts", "duckdb", partitions=4)
+        sink = found.writeStream.format("parquet").option("path", f"{root}/loaded").option("checkpointLocation", f"{root}/state")
+        sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/loaded")
+
+
 # Schemas and types
 
 
