@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +43,12 @@ def _added(store: TargetStore, table: str, columns: str, row: dict[str, Any], pa
     schema = T.StructType.fromDDL(columns)
     by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
     store.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by}")
-    values = store.spark.createDataFrame([tuple(row.get(f.name) for f in schema)], schema).coalesce(1)
+
+    def value(field: T.StructField) -> Column:
+        given = row.get(field.name)
+        return F.lit(given.isoformat(" ") if isinstance(given, datetime) else given).cast(field.dataType).alias(field.name)
+
+    values = store.spark.range(1, numPartitions=1).select(*[value(f) for f in schema])
     values.select(*store.spark.table(name).columns).write.insertInto(name)
 
 
