@@ -22,6 +22,8 @@ from tidemark.llm.common import col
 from tidemark.llm.tokens import encoder_for
 
 CAPACITY, END = 4096, 2
+#: Bytes of pre-tokens that a task remembers; it holds pieces of open bins and rows of ids besides.
+REMEMBER = 32_000_000
 #: A piece is not cut where a bin of its like would be padded by at most this share.
 PADDING = 0.02
 
@@ -104,7 +106,7 @@ class Bins:
 
 
 def _pack(batches, path: str, schema: pa.Schema, end: int, capacity: int, padding: float) -> Iterator[pa.RecordBatch]:
-    encoder = encoder_for(path)
+    encoder = encoder_for(path, REMEMBER)
     bins = Bins(TaskContext.get().partitionId() << 36, capacity, padding)
     docs: dict[int, object] = {}  # the ids of documents with pieces in open bins, by their number in this task
     number = 0

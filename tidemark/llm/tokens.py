@@ -20,11 +20,11 @@ from functools import cached_property
 import numpy as np
 
 #: Characters that are handled at once; a longer text is cut between two words. Each takes about 45 bytes meanwhile.
-CHUNK = 250_000
+CHUNK = 500_000
 #: Texts that are handled at once, however short.
 TEXTS = 20_000
 #: Bytes of pre-tokens with their ids that a Python worker remembers. Beyond them it starts anew.
-REMEMBER = 32_000_000
+REMEMBER = 96_000_000
 
 #: Blocks of characters whose classes and lower case are the same in every version of Unicode in use.
 _BLOCKS = ((0x21, 0x7E), (0xA1, 0x24F), (0x370, 0x3FF), (0x400, 0x4FF), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC),
@@ -131,21 +131,41 @@ class HashClash(ArithmeticError):
     """Two pre-tokens have the same hash; their texts have to go to the library."""
 
 
+class _Column:
+    """Values that are only added to. Room grows by a quarter when it is full."""
+
+    def __init__(self, dtype):
+        self.room, self.size = np.empty(1024, dtype), 0
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.room):
+            room = np.empty(max(end, len(self.room) * 5 // 4), self.room.dtype)
+            room[: self.size] = self.values
+            self.room = room
+        self.room[self.size : end] = more
+        self.size = end
+
+
 class _Known:
     """The pre-tokens that were encoded, by hash: their code points, which tell equal hashes apart, and their ids."""
 
     def __init__(self):
         self.hashes, self.slots = np.empty(0, np.uint64), np.empty(0, np.int32)
-        self.points, self.ids = np.empty(0, np.uint32), np.empty(0, np.uint32)
-        self.point_starts, self.point_counts = np.empty(0, np.int32), np.empty(0, np.int32)
-        self.id_starts, self.id_counts = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.points, self.ids = _Column(np.uint32), _Column(np.uint32)
+        self.point_starts, self.point_counts = _Column(np.int32), _Column(np.int32)
+        self.id_starts, self.id_counts = _Column(np.int32), _Column(np.int32)
 
     def __len__(self) -> int:
         return len(self.hashes)
 
     @property
     def nbytes(self) -> int:
-        return sum(held.nbytes for held in vars(self).values())
+        return sum((held.room if isinstance(held, _Column) else held).nbytes for held in vars(self).values())
 
     def find(self, hashes: np.ndarray, points: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The slot of each pre-token, -1 for new ones. ``points``: those of all, one after the other."""
@@ -155,8 +175,8 @@ class _Known:
         slots = np.where(self.hashes[at] == hashes, self.slots[at], -1)
         seen = slots >= 0
         own, size = slots[seen], counts[seen]
-        if not (self.point_counts[own] == size).all() or not np.array_equal(
-            self.points[_runs(self.point_starts[own], size)], points[np.repeat(seen, counts)]
+        if not (self.point_counts.values[own] == size).all() or not np.array_equal(
+            self.points.values[_runs(self.point_starts.values[own], size)], points[np.repeat(seen, counts)]
         ):
             raise HashClash("two pre-tokens have the same hash")
         return slots
@@ -168,11 +188,12 @@ class _Known:
         self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         ids = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
-        for name, more, first in (("point", counts, len(self.points)), ("id", sizes, len(self.ids))):
-            starts = (np.cumsum(more) - more + first).astype(np.int32)
-            setattr(self, f"{name}_starts", np.concatenate((getattr(self, f"{name}_starts"), starts)))
-            setattr(self, f"{name}_counts", np.concatenate((getattr(self, f"{name}_counts"), more.astype(np.int32))))
-        self.points, self.ids = np.concatenate((self.points, points)), np.concatenate((self.ids, ids))
+        self.point_starts.add(np.cumsum(counts) - counts + self.points.size)
+        self.point_counts.add(counts)
+        self.points.add(points)
+        self.id_starts.add(np.cumsum(sizes) - sizes + self.ids.size)
+        self.id_counts.add(sizes)
+        self.ids.add(ids)
         return slots
 
 
@@ -227,7 +248,7 @@ class Encoder:
         rng = np.random.default_rng(7)
         self.by_sign = rng.integers(1, 2**63, _SIZE, dtype=np.uint64)
         self.by_place = _powers(1024)
-        self.known = _Known()
+        self.known, self.remember = _Known(), REMEMBER
 
     def is_plain(self, text: str) -> bool:
         return self.way != "library" and not self.odd.search(text) and not any(s in text for s in self.special)
@@ -298,7 +319,7 @@ class Encoder:
         return [[t.id for t in tokenize(piece)] for piece in spelled]
 
     def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
-        if self.known.nbytes > REMEMBER:
+        if self.known.nbytes > self.remember:
             self.known = _Known()
         known = self.known
         try:
@@ -312,8 +333,8 @@ class Encoder:
             points = split.points[np.repeat(new, split.counts)]
             slots[new] = known.add(split.hashes[new], points, split.counts[new], lists)
         at = slots[split.which]
-        counts = known.id_counts[at]
-        ids = known.ids[_runs(known.id_starts[at], counts)]
+        counts = known.id_counts.values[at]
+        ids = known.ids.values[_runs(known.id_starts.values[at], counts)]
         bounds = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(split.per_text)]
         return np.split(ids, bounds[:-1])
 
@@ -364,10 +385,12 @@ def cut(text: str, size: int = CHUNK) -> Iterator[str]:
     yield text[start:]
 
 
-def encoder_for(path: str) -> Encoder:
-    """The encoder of a file that this Python worker already has, with what it remembers; workers outlive tasks."""
+def encoder_for(path: str, remember: int | None = None) -> Encoder:
+    """The encoder of a file that this Python worker already has, with what it remembers; workers outlive tasks. ``remember``:
+    bytes of it, ``REMEMBER`` unless given."""
     kept = sys.modules.setdefault("tidemark_worker_encoders", types.ModuleType("tidemark_worker_encoders"))
     if path not in kept.__dict__:
         kept.__dict__.clear()
         kept.__dict__[path] = Encoder(path)
+    kept.__dict__[path].remember = REMEMBER if remember is None else remember
     return kept.__dict__[path]
