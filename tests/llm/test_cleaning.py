@@ -223,6 +223,31 @@ def test_very_many_fingerprints_under_one_key(spark, bits, direct):
         assert (found[near] == found[i]).all()
 
 
+def test_a_group_with_a_third_of_all_fingerprints_is_split(spark):
+    """The last join's key is the group's root; AQE deals the classes of a hot one to several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        classes = spark.range(30_000).select(F.col("id").alias("bits"), (F.col("id") + 1000).alias("first")).repartition(8)
+        roots = spark.range(1, 10_000).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("root"))
+        named = simhash._named(classes, roots)
+        wrong = named.where(F.col("component_id") != F.when(F.col("bits") < 10_000, 1000).otherwise(F.col("bits") + 1000))
+        assert named.count() == 30_000 and wrong.count() == 0
+        named.collect()
+        assert "SortMergeJoin(skew=true)" in named._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_one_document_of_each_group_stays(spark, odd_documents):
     kept = simhash.keep_first(odd_documents[1])
     assert kept.columns == odd_documents[1].columns

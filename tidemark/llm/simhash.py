@@ -259,12 +259,18 @@ def near_groups(
     prints = written(fingerprints(docs, id_col, text_col, shingle), "prints")
     classes = prints.groupBy("bits").agg(F.min("doc_id").alias("first"))
     roots = components(near_links(classes.select("bits"), max_bits))
+    return prints.join(_named(classes, roots), "bits")
+
+
+def _named(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """bits, component_id, root of each class of equal fingerprints (bits, first). A root that very many classes share is a hot
+    key of the last join, whose sides AQE splits."""
     rooted = classes.join(roots, F.col("bits") == F.col("node"), "left").select(
         "bits", "first", F.coalesce("root", "bits").alias("root")
     )
-    groups = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(groups, "root").select("bits", "component_id", "root")
-    return prints.join(named, "bits")
+    # Grouped by a hash besides the root, so that the join reads both sides from exchanges of its own: only such are split.
+    groups = rooted.groupBy("root", F.xxhash64("root").alias("h")).agg(F.min("first").alias("component_id")).drop("h")
+    return rooted.join(groups, "root").select("bits", "component_id", "root")
 
 
 def hex_fingerprint(bits: Column) -> Column:
