@@ -28,6 +28,8 @@ END = 2
 LONGEST = 18
 #: Ids between two checkpoints, and ids in a block; a longer document is a block by itself.
 STEP, BLOCK = 128, 65_536
+#: Bytes of pre-tokens that a task remembers; it holds little else.
+REMEMBER = 200_000_000
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -151,7 +153,7 @@ _BLOCK = "part long, block long, {id} n_ids array<int>, n_bytes array<int>, chec
 
 def _tokens(batches: Iterator[pa.RecordBatch], path: str, end: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The ids of each text; and at last, in a row of its own, how often the task has had each id."""
-    encoder = encoder_for(path)
+    encoder = encoder_for(path, REMEMBER)
     total, held, size = np.zeros(0, np.int64), [], 0
     for batch in batches:
         packed = []
@@ -255,7 +257,8 @@ def write_ids(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", t
 
     ``path``: a tokenizer file that every executor has. Null and empty texts are the end alone. Null ids come first, and rows
     that share an id stand in the order of their token ids' hash. The ids are written once as they are, with their counts by
-    task, and then coded, so a lost executor never has texts tokenized anew; that copy is removed in the end.
+    task, and then coded, so a lost executor never has texts tokenized anew; that copy is removed in the end. More than 2^18
+    different ids have no code of ``LONGEST`` bits and are refused.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
